@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewise.llm import sentencepiece_bpe, substring_dedup
+from framewise.llm import exact_dedup, license_scan, ngram_join, sentencepiece_bpe, substring_dedup, warc
 
 
 def _piece_model() -> str:
@@ -19,19 +19,80 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup_table(_table(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(_table(spark, sf_dir, "pages"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(_table(spark, sf_dir, "documents"), _piece_model())
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=20)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op7_warc": op7_warc,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_ngram_join": op9_ngram_join,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLES: dict[str, str] = {
+    "op4_exact_dedup": r"""
+with d as (
+  select doc_id, length(coalesce(text, '')) as chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as norm from documents
+), k as (
+  select *, first_value(doc_id) over (partition by norm order by chars desc, doc_id) as keep_id, count(*) over (partition by norm) as group_size from d
+)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from k
+""",
+    "op7_warc": r"""
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), f as (
+  select *, min(page_id) over (partition by payload_digest) as first_id from p
+)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
+from f
+""",
+    "op9_ngram_join": r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents
+), s as (
+  select distinct doc_id, array_to_string(ws[i:i + 4], ' ') as g
+  from (select doc_id, ws, unnest(range(1, greatest(2, len(ws) - 3))) as i from w where len(ws) > 0)
+), n as (
+  select doc_id, count(*) as n from s group by doc_id
+), pairs as (
+  select a.doc_id as a, b.doc_id as b, count(*) as both from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2
+), e as (
+  select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b where 100 * both >= 80 * (x.n + y.n - both)
+), both as (
+  select a, b from e union all select b, a from e
+), reach(a, b) as (
+  select doc_id, doc_id from n union select r.a, t.b from reach r join both t on t.a = r.b
+), c as (
+  select a as doc_id, min(b) as component_id from reach group by a
+)
+select w.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(c.component_id, w.doc_id) as component_id
+from w left join n using (doc_id) left join c using (doc_id)
+""",
     "op10_substring_dedup": r"""
 with w as (
   select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents
