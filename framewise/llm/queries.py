@@ -80,13 +80,13 @@ with recursive w as (
 ), n as (
   select doc_id, count(*) as n from s group by doc_id
 ), pairs as (
-  select a.doc_id as a, b.doc_id as b, count(*) as both from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2
+  select a.doc_id as a, b.doc_id as b, count(*) as hits from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2
 ), e as (
-  select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b where 100 * both >= 80 * (x.n + y.n - both)
-), both as (
+  select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b where 100 * hits >= 80 * (x.n + y.n - hits)
+), sym as (
   select a, b from e union all select b, a from e
 ), reach(a, b) as (
-  select doc_id, doc_id from n union select r.a, t.b from reach r join both t on t.a = r.b
+  select doc_id, doc_id from n union select r.a, t.b from reach r join sym t on t.a = r.b
 ), c as (
   select a as doc_id, min(b) as component_id from reach group by a
 )
