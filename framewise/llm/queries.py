@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewise.llm import exact_dedup, license_scan, ngram_join, sentencepiece_bpe, substring_dedup, warc
+from framewise.llm import exact_dedup, license_scan, line_dedup, ngram_join, sentencepiece_bpe, substring_dedup, warc
 
 
 def _piece_model() -> str:
@@ -27,6 +27,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_table(_table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(_table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(_table(spark, sf_dir, "pages"))
 
@@ -46,6 +50,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_line_dedup": op6_line_dedup,
     "op7_warc": op7_warc,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_ngram_join": op9_ngram_join,
@@ -59,6 +64,23 @@ with d as (
   select *, first_value(doc_id) over (partition by norm order by chars desc, doc_id) as keep_id, count(*) over (partition by norm) as group_size from d
 )
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from k
+""",
+    "op6_line_dedup": r"""
+with l as (
+  select doc_id, k, raw, trim(raw, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') as line
+  from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as raw, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as k from documents)
+), f as (
+  select line, length(line) as n, min(struct_pack(doc_id := doc_id, k := k)) as first from l where line <> '' group by line
+), near as (
+  select distinct a.line from f a join f b on b.n between a.n - 1 and a.n + 1 and b.first < a.first
+  where a.n >= 20 and levenshtein(a.line, b.line) = 1
+), j as (
+  select l.*, l.line <> '' and (struct_pack(doc_id := l.doc_id, k := l.k) > f.first or near.line is not null) as gone
+  from l left join f on f.line = l.line left join near on near.line = l.line
+)
+select doc_id, count(*) filter (line <> '') as n_lines, count(*) filter (gone) as n_removed,
+       sha256(coalesce(string_agg(raw, chr(10) order by k) filter (not gone), '')) as kept_sha256
+from j group by doc_id
 """,
     "op7_warc": r"""
 with p as (
