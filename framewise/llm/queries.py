@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewise.llm import exact_dedup, license_scan, line_dedup, ngram_join, sentencepiece_bpe, substring_dedup, warc
+from framewise.llm import exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, sentencepiece_bpe, substring_dedup, toxicity, warc
 
 
-def _piece_model() -> str:
+def piece_model() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("piece_bpe_32k.model")
@@ -23,10 +23,22 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predict(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_table(_table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_table(_table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(_table(spark, sf_dir, "documents"))
 
@@ -36,7 +48,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_bpe.digests(_table(spark, sf_dir, "documents"), _piece_model())
+    return sentencepiece_bpe.digests(_table(spark, sf_dir, "documents"), piece_model())
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +61,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_toxicity": op2_toxicity,
+    "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality": op5_quality,
     "op6_line_dedup": op6_line_dedup,
     "op7_warc": op7_warc,
     "op8_sentencepiece": op8_sentencepiece,
