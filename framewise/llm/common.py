@@ -47,8 +47,8 @@ def stash(df: DataFrame, name: str) -> DataFrame:
 
 
 def n_blocks(spark: SparkSession) -> int:
-    """Blocks of documents: some for every shuffle partition, so that blocks stay small however large the input is."""
-    return 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Blocks of documents: as many as shuffle partitions, so that blocks stay small however large the input is."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def texts_of(column) -> pa.LargeStringArray:

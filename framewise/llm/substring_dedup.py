@@ -1,11 +1,11 @@
 """Substring dedup: words covered by a window of words that starts earlier somewhere else are removed.
 
-A count-min prefilter (sketch.py) finds the windows that may be repeated; it overestimates, so it loses none. Only those
-are shuffled, with two independent hashes of 64 and 32 bits, and grouped exactly; of each group the earliest window stays
-and the others' words go. Windows with a high estimate are dealt over salted keys first, so that one passage shared by a
-third of all documents is no single group.
+Documents are dealt into blocks by a hash of their id. Inside a block, windows with equal hashes (64 and 32 bits, which are
+independent) are settled at once: all but the block's first are repeats. The first ones meet the other blocks': a count-min
+prefilter (sketch.py) finds those that another block may hold, losing none, and only these are shuffled and grouped exactly.
+A group has one window of a block at most, so a passage shared by a third of all documents is a small group.
 
-Blocks are dealt by a hash of the document id. The text is shuffled once; its exchange serves all three passes.
+The text is shuffled once; its exchange serves all three passes.
 
 Defined results: null text has no words (its digest is that of the empty text); a null doc_id orders after all others;
 rows of equal doc_id are ordered by their text, and of wholly equal rows one comes first; a document shorter than a window
@@ -25,9 +25,6 @@ from framewise.llm import sketch
 from framewise.llm.common import n_blocks, slices, texts_of, tune
 from framewise.llm.hashing import Words
 
-#: Windows estimated to occur so often are salted.
-HOT = 256
-SALTS = 64
 LAST = (1 << 63) - 1
 
 
@@ -40,50 +37,67 @@ def _pieces(texts: pa.LargeStringArray):
         yield a, Words(texts.slice(a, b - a))
 
 
+class Windows:
+    """All windows of a block in order: their document's place, their start in it, two hashes; first: not seen before."""
+
+    def __init__(self, texts: pa.LargeStringArray, window: int):
+        parts: list[list[np.ndarray]] = [[], [], [], []]
+        for a, w in _pieces(texts):
+            at, (h1, h2) = w.windows(w.hashes(), window, (0, 1))
+            row = w.text_of()[at]
+            for part, x in zip(parts, ((a + row).astype(np.int32), (at - w.first[row]).astype(np.int32), h1, h2 >> np.uint64(32)), strict=True):
+                part.append(x)
+        empty = (np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+        self.row, self.start, self.h1, self.h2 = (np.concatenate(p) if p else e for p, e in zip(parts, empty, strict=True))
+        order = np.argsort(self.h1, kind="stable")
+        same = np.zeros(len(order), bool)
+        same[1:] = self.h1[order[1:]] == self.h1[order[:-1]]
+        again = same.copy()
+        again[:-1] |= same[1:]
+        some = np.sort(order[again])
+        some = some[np.lexsort((some, self.h2[some], self.h1[some]))]
+        repeat = np.zeros(len(some), bool)
+        repeat[1:] = (self.h1[some[1:]] == self.h1[some[:-1]]) & (self.h2[some[1:]] == self.h2[some[:-1]])
+        self.first = np.ones(len(order), bool)
+        self.first[some[repeat]] = False
+
+
 def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = False) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text."""
     spark = tune(docs.sparkSession)
     n = n_blocks(spark)
+    bits = sketch.bits_for(n)
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", sketch.block_of("doc_id", n)).repartition("block")
 
     def keys(table):
-        for _, w in _pieces(texts_of(table["text"])):
-            yield w.windows(w.hashes(), window)[1][0]
+        for_block = [w.windows(w.hashes(), window)[1][0] for _, w in _pieces(texts_of(table["text"]))]
+        yield np.unique(np.concatenate(for_block)) if for_block else np.zeros(0, np.uint64)
 
-    shared = sketch.merge(sketch.sketches(blocks, keys, n), HOT)
+    shared = sketch.merge(sketch.sketches(blocks, keys, n))
 
     def candidates(key, docs_: pa.Table, shared_: pa.Table) -> pa.Table:
-        cells, hot = sketch.union(shared_["cells"]), sketch.union(shared_["hot"])
+        cells = sketch.union(shared_["cells"])
+        if not len(cells):
+            return pa.table({name: pa.array([], kind) for name, kind in _ROWS})
         docs_ = _sorted(docs_)
+        w = Windows(texts_of(docs_["text"]), window)
+        may = w.first & sketch.member(w.h1, cells, bits)
         ids = docs_["doc_id"].fill_null(LAST).to_numpy()
-        out: list[list[np.ndarray]] = [[], [], [], [], []]
-        for a, w in _pieces(texts_of(docs_["text"])) if len(cells) else ():
-            at, (h1, h2) = w.windows(w.hashes(), window, (0, 1))
-            may = sketch.member(h1, cells)
-            at, h1, h2 = at[may], h1[may], h2[may]
-            row = w.text_of()[at]
-            salt = np.where(sketch.member(h1, hot), 1 + (ids[a + row] + a + row) % SALTS, 0)
-            start = (at - w.first[row]).astype(np.uint64)
-            for k, x in enumerate((h1.view(np.int64), ((h2 >> np.uint64(32) << np.uint64(32)) | start).view(np.int64), ids[a + row], (a + row).astype(np.int32), salt.astype(np.int32))):
-                out[k].append(x)
-        return pa.table({name: pa.array(np.concatenate(x) if x else [], kind) for (name, kind), x in zip(_ROWS, out, strict=True)})
-
-    rows = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(candidates, "h1 long, hs long, doc long, ord int, salt int")
-    start = F.col("hs").bitwiseAND(0xFFFFFFFF)
-    word2 = F.shiftright("hs", 32)
-    rows = rows.select("h1", word2.alias("h2"), "doc", "ord", start.cast("int").alias("start"), "salt")
-    order = ["doc", "ord", "start"]
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("h1", "h2", "salt").orderBy(*order)))
-    # The first of each salted group meets the other salts' firsts; an unsalted group is whole already.
-    again = ranked.filter("rank = 1 and salt > 0").withColumn("rank", F.row_number().over(Window.partitionBy("h1", "h2").orderBy(*order)))
-    later = ranked.filter("rank > 1").select(*order).unionByName(again.filter("rank > 1").select(*order))
-    undone = F.when(F.col("doc") != LAST, F.col("doc"))
-    later = later.select(F.pmod(F.xxhash64(undone), F.lit(n)).alias("block"), "ord", "start")
+        columns = w.h1[may].view(np.int64), ((w.h2[may] << np.uint64(32)) | w.start[may].astype(np.uint64)).view(np.int64), ids[w.row[may]], w.row[may]
+        return pa.table({name: pa.array(x, kind) for (name, kind), x in zip(_ROWS, columns, strict=True)})
+
+    rows = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(candidates, "h1 long, hs long, doc long, ord int")
+    rows = rows.select("h1", F.shiftright("hs", 32).alias("h2"), "doc", "ord", F.col("hs").bitwiseAND(0xFFFFFFFF).cast("int").alias("start"))
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("h1", "h2").orderBy("doc", "ord", "start")))
+    known_id = F.when(F.col("doc") != LAST, F.col("doc"))
+    later = ranked.filter("rank > 1").select(F.pmod(F.xxhash64(known_id), F.lit(n)).alias("block"), "ord", "start")
 
     def cut(key, docs_: pa.Table, later_: pa.Table) -> pa.Table:
         docs_ = _sorted(docs_)
         texts = texts_of(docs_["text"])
-        at = np.sort((later_["ord"].to_numpy().astype(np.int64) << 32) | later_["start"].to_numpy().astype(np.int64))
+        w = Windows(texts, window)
+        place = lambda row, start: (row.astype(np.int64) << 32) | start.astype(np.int64)
+        at = np.sort(np.concatenate([place(later_["ord"].to_numpy(), later_["start"].to_numpy()), place(w.row[~w.first], w.start[~w.first])]))
         words, removed, kept = [], [], []
         for a, w in _pieces(texts):
             mine = at[np.searchsorted(at, a << 32) : np.searchsorted(at, (a + len(w.counts)) << 32)]
@@ -104,7 +118,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = False) -
     return blocks.groupBy("block").cogroup(later.groupBy("block")).applyInArrow(cut, schema)
 
 
-_ROWS = (("h1", pa.int64()), ("hs", pa.int64()), ("doc", pa.int64()), ("ord", pa.int32()), ("salt", pa.int32()))
+_ROWS = (("h1", pa.int64()), ("hs", pa.int64()), ("doc", pa.int64()), ("ord", pa.int32()))
 
 
 def _kept(w: Words, keep: np.ndarray) -> list[bytes]:
