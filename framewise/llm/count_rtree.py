@@ -10,18 +10,34 @@ import numpy as np
 #: Jaccard similarity of 0.8 or more, in whole numbers: 9 * overlap >= 4 * (sum of sizes).
 NUM, DEN = 4, 9
 FAN = 16
-GROUPS = 128
-_FULL = 65535
+LEAST_GROUPS = 64
+_FULL = 255
 
 
-def count_vectors(text: np.ndarray, tokens: np.ndarray, n: int) -> np.ndarray:
-    """n x GROUPS counts of tokens, 16 bits each; a full counter stands for any number."""
-    group = (tokens >> np.uint64(57)).astype(np.int64) % GROUPS
-    return np.minimum(np.bincount(text * GROUPS + group, minlength=n * GROUPS), _FULL).astype(np.uint16).reshape(n, GROUPS)
+def groups_for(size: int) -> int:
+    """Groups of a set: a quarter of its size at least, in powers of two, so that bounds stay sharp for large sets."""
+    return max(LEAST_GROUPS, 1 << max(0, (int(size) + 3) // 4 - 1).bit_length())
 
 
-def widen(vectors: np.ndarray) -> np.ndarray:
-    return np.where(vectors == _FULL, 1 << 30, vectors.astype(np.int64))
+def count_vector(tokens: np.ndarray) -> bytes:
+    """Counts of a set's tokens in groups by their high bits, one byte each; a full counter stands for any number."""
+    k = groups_for(len(tokens)).bit_length() - 1
+    return np.minimum(np.bincount((tokens >> np.uint64(64 - k)).astype(np.int64), minlength=1 << k), _FULL).astype(np.uint8).tobytes()
+
+
+def vectors(packed: list[bytes], groups: int) -> np.ndarray:
+    """Count vectors as rows of wide numbers, finer ones folded to `groups`."""
+    out = np.empty((len(packed), groups), np.int32)
+    for k, v in enumerate(packed):
+        x = np.frombuffer(v, np.uint8).astype(np.int32)
+        x[x == _FULL] = 1 << 20
+        out[k] = x.reshape(groups, -1).sum(1)
+    return out
+
+
+def overlap_bound(x: bytes, y: bytes) -> int:
+    a, b = vectors([x, y], min(len(x), len(y)))
+    return int(np.minimum(a, b).sum())
 
 
 def enough(bound: np.ndarray, size_sum: np.ndarray) -> np.ndarray:

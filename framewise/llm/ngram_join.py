@@ -2,12 +2,13 @@
 
 1. Documents with equal shingle sets are one class; its smallest doc_id stands for it.
 2. Prefix filter: two sets that are similar enough share one of their first n - ceil(0.8 n) + 1 shingles in any order that
-   is the same for all. The order puts shingles that are common in a batch of documents last; it affects cost, not results.
-   The prefilter of sketch.py leaves only prefix shingles that two classes may share; no others are shuffled.
-3. Stars: of the classes that share a shingle, all are tried against the smallest. Bounds on count vectors come first, then
-   the sets themselves. What links is joined into components.
+   is the same for all. A count-min sketch over the classes' shingles (sketch.py) gives the order: shingles of one class
+   only come first, hot ones last. A document with enough shingles of its own has no shared one among its first and can be
+   similar to none; nearly all documents end here. No shingle of one class is shuffled.
+3. Stars: of the classes that share a prefix shingle, all are tried against the smallest. Bounds on count vectors come
+   first, then the sets themselves. What links is joined into components.
 4. Count-vector R-trees: shingles whose classes are not all in one component are worked through whole. Their classes'
-   count vectors are indexed in an R-tree, every class queries it, and pairs of different components that survive the bound
+   count vectors are indexed in R-trees, every class queries them, and pairs of different components that survive the bound
    are verified on the sets. A shingle of more than BLOCK classes is dealt over pairs of blocks.
 No pair is listed between classes already linked, so a large group of near copies costs one verification per class.
 
@@ -27,16 +28,12 @@ from pyspark.sql import functions as F
 from framewise.llm import sketch
 from framewise.llm.common import n_blocks, slices, stash, texts_of, tune
 from framewise.llm.components import components
-from framewise.llm.count_rtree import GROUPS, CountRTree, count_vectors, enough, widen
+from framewise.llm.count_rtree import CountRTree, count_vector, enough, overlap_bound, vectors
 from framewise.llm.hashing import mix, shingle_sets
 
 WORDS = 5
 #: Classes of one R-tree.
 BLOCK = 2048
-#: The order's list of common shingles: this many at most, each in so many documents of an Arrow batch.
-COMMON, COMMON_IN_BATCH = 1 << 15, 4
-
-
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n (distinct shingles) and 128 bits that stand for the set."""
 
@@ -51,103 +48,72 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long")
 
 
-def common_shingles(docs: DataFrame) -> np.ndarray:
-    """The most common shingles, least common first; at most COMMON of them, whatever the input."""
-
-    def run(batches):
-        for b in batches:
-            texts = texts_of(b["text"])
-            parts = [shingle_sets(texts.slice(a, z - a), WORDS)[1] for a, z in slices(texts)]
-            token, count = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64),) * 2
-            often = count >= COMMON_IN_BATCH
-            yield pa.record_batch([pa.array(token[often].view(np.int64)), pa.array(count[often].astype(np.int64))], names=["token", "n"])
-
-    top = docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(COMMON)
-    return np.array([r.token for r in top.collect()][::-1], np.int64).view(np.uint64)
-
-
-class Prefixes:
-    """Prefix shingles of sets, in the order of step 2."""
-
-    def __init__(self, common: np.ndarray):
-        by_token = np.argsort(common)
-        self.tokens, self.rank = common[by_token], by_token + 1
-
-    def of(self, bounds: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(text, shingle) of all prefixes."""
-        sizes = np.diff(bounds)
-        text = np.repeat(np.arange(len(sizes)), sizes)
-        rank = np.zeros(len(hashes), np.int64)
-        if len(self.tokens) and len(hashes):
-            at = np.minimum(np.searchsorted(self.tokens, hashes), len(self.tokens) - 1)
-            rank = np.where(self.tokens[at] == hashes, self.rank[at], 0)
-        order = np.lexsort((rank, text)) if rank.any() else np.arange(len(hashes))  # stable: equal ranks stay in hash order
-        first = np.arange(len(hashes)) - np.repeat(bounds[:-1], sizes) < np.repeat(sizes - (4 * sizes + 4) // 5 + 1, sizes)
-        return text[first], hashes[order][first]
+def prefixes(bounds: np.ndarray, hashes: np.ndarray, shared: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, shingle) of the shared shingles in each text's prefix, in the order of step 2."""
+    sizes = np.diff(bounds)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    rank = shared.astype(np.int8) + hot
+    order = np.argsort(text * 3 + rank, kind="stable")  # equal ranks stay in hash order
+    first = np.arange(len(hashes)) - np.repeat(bounds[:-1], sizes) < np.repeat(sizes - (4 * sizes + 4) // 5 + 1, sizes)
+    first &= shared[order]
+    return text[first], hashes[order][first]
 
 
 CANDIDATE = "id long, n long, vector binary, hashes binary, tokens array<long>"
 
 
-def candidates(docs: DataFrame, classes: DataFrame, prefixes: Prefixes) -> DataFrame:
+def candidates(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Classes that may share a prefix shingle with another: their sizes, count vectors, sets and those shingles."""
     n = n_blocks(docs.sparkSession)
+    bits = sketch.bits_for(n)
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", sketch.block_of("doc_id", n)).repartition("block")
+    wanted = classes.select(sketch.block_of("id", n), "id").repartition("block")
 
-    def sets(table):
-        texts = texts_of(table["text"])
+    def sets(table, ids):
+        """(ids, bounds, hashes) of the block's classes, in pieces; of equal rows one."""
+        table = table.filter(pa.array(np.isin(table["doc_id"].fill_null(-1 << 63).to_numpy(), ids)))
+        texts, mine = texts_of(table["text"]), table["doc_id"].to_numpy()
         for a, z in slices(texts):
-            yield a, shingle_sets(texts.slice(a, z - a), WORDS)
+            yield mine[a:z], *shingle_sets(texts.slice(a, z - a), WORDS)
 
-    def keys(table):
-        for _, found in sets(table):
-            yield prefixes.of(*found)[1]
+    def sketched(key, table, more):
+        parts = [h for _, _, h in sets(table, more["id"].to_numpy())]
+        return sketch.sketch_rows(key[0].as_py(), np.concatenate(parts) if parts else np.zeros(0, np.uint64), n, bits)
 
-    shared = sketch.merge(sketch.sketches(blocks, keys, n), 1 << 60).select("block", "cells", F.lit(None).cast("long").alias("id"))
-    wanted = classes.select(sketch.block_of("id", n), F.lit(None).cast("binary").alias("cells"), "id")
+    found = sketch.merge(blocks.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(sketched, sketch.SKETCH))
+    more = found.withColumn("id", F.lit(None).cast("long")).unionByName(wanted.select("block", F.lit(None).cast("binary").alias("cells"), F.lit(None).cast("binary").alias("hot"), "id"))
 
     def one(key, table, more):
-        cells = sketch.union(more["cells"])
-        ids = np.sort(more["id"].drop_null().to_numpy())
-        mine = table["doc_id"].fill_null(-1 << 63).to_numpy()
-        stands = np.isin(mine, ids)
-        table, mine = table.filter(pa.array(stands)), mine[stands]
+        cells, hot = sketch.union(more["cells"]), sketch.union(more["hot"])
         rows: dict[str, list] = {k: [] for k in ("id", "n", "vector", "hashes", "tokens")}
-        for a, (bounds, h) in sets(table) if len(cells) else ():
-            text, token = prefixes.of(bounds, h)
-            may = sketch.member(token, cells)
-            text, token = text[may], token[may]
-            size = np.diff(bounds)
-            vectors = count_vectors(np.repeat(np.arange(len(size)), size), h, len(size))
-            at = np.searchsorted(text, np.arange(len(size) + 1))
+        for ids, bounds, h in sets(table, more["id"].drop_null().to_numpy()) if len(cells) else ():
+            text, token = prefixes(bounds, h, sketch.member(h, cells, bits), sketch.member(h, hot, bits))
+            at = np.searchsorted(text, np.arange(len(ids) + 1))
             for k in np.unique(text).tolist():
-                rows["id"].append(mine[a + k])
-                rows["n"].append(size[k])
-                rows["vector"].append(vectors[k].tobytes())
-                rows["hashes"].append(h[bounds[k] : bounds[k + 1]].tobytes())
+                mine = h[bounds[k] : bounds[k + 1]]
+                rows["id"].append(ids[k])
+                rows["n"].append(len(mine))
+                rows["vector"].append(count_vector(mine))
+                rows["hashes"].append(mine.tobytes())
                 rows["tokens"].append(token[at[k] : at[k + 1]].view(np.int64))
         kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
         return pa.table({k: pa.array(v, t) for (k, v), t in zip(rows.items(), kinds, strict=True)})
 
-    more = shared.unionByName(wanted)
     return blocks.groupBy("block").cogroup(more.groupBy("block")).applyInArrow(one, CANDIDATE)
 
 
-def _vectors(column) -> np.ndarray:
-    data = b"".join(column.to_pylist())
-    return widen(np.frombuffer(data, np.uint16).reshape(-1, GROUPS))
-
-
 def bounded(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs (a, b) that the sizes and the sum of coordinate minima leave."""
     side = lambda x: found.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("vector").alias(f"v{x}"))
 
     def run(batches):
         for b in batches:
-            if len(b):
-                na, nb = b["na"].to_numpy(), b["nb"].to_numpy()
-                ok = (5 * na >= 4 * nb) & (5 * nb >= 4 * na) & enough(np.minimum(_vectors(b["va"]), _vectors(b["vb"])).sum(1), na + nb)
-                yield b.select(["a", "b"]).filter(pa.array(ok))
+            na, nb = b["na"].to_numpy(), b["nb"].to_numpy()
+            ok = (5 * na >= 4 * nb) & (5 * nb >= 4 * na)
+            va, vb = b["va"].to_pylist(), b["vb"].to_pylist()
+            for k in np.flatnonzero(ok).tolist():
+                ok[k] = enough(overlap_bound(va[k], vb[k]), na[k] + nb[k])
+            yield b.select(["a", "b"]).filter(pa.array(ok))
 
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "va", "vb").mapInArrow(run, "a long, b long")
 
@@ -170,40 +136,48 @@ def verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def rtree_pairs(members: DataFrame, found: DataFrame, parts: int) -> DataFrame:
-    """members(token, cnt, id, label) -> pairs of different labels that share a token and survive the R-tree."""
+    """members(token, cnt, pivot, id, label) -> pairs of different labels that share a token and survive the R-tree."""
     chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
+    # Shingles with the same smallest class have much the same classes; together they need each count vector once.
     dealt = (
         members.withColumn("chunks", F.ceil(F.col("cnt") / BLOCK).cast("long"))
         .withColumn("c", chunk)
         .withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-        .select("token", F.least("c", "k").alias("i"), F.greatest("c", "k").alias("j"), "c", "id", "label")
-        .withColumn("part", F.pmod(F.xxhash64("token", "i", "j"), F.lit(parts)))
-        .join(found.select("id", "n", "vector"), "id")
+        .select("token", F.least("c", "k").alias("i"), F.greatest("c", "k").alias("j"), "c", "id", "label", "pivot")
+        .withColumn("part", F.pmod(F.xxhash64("pivot", "i", "j"), F.lit(parts)))
+        .drop("pivot")
     )
+    points = dealt.select("part", "id").distinct().join(found.select("id", "n", "vector"), "id")
+    points = points.select(F.col("part").alias("at"), F.col("id").alias("point"), "n", "vector")
 
-    def one(key, table):
+    def one(key, table, points):
         table = table.sort_by([("token", "ascending"), ("i", "ascending"), ("j", "ascending")])
-        col = {c: table[c].to_numpy() for c in ("token", "i", "j", "c", "id", "label", "n")}
-        vectors = _vectors(table["vector"])
+        col = {c: table[c].to_numpy() for c in ("token", "i", "j", "c", "id", "label")}
+        packed = dict(zip(points["point"].to_pylist(), zip(points["n"].to_pylist(), points["vector"].to_pylist(), strict=True), strict=True))
         group = np.stack([col["token"], col["i"], col["j"]])
-        cut = np.flatnonzero(np.concatenate([[True], (group[:, 1:] != group[:, :-1]).any(0), [True]]))
-        out: list[tuple[np.ndarray, np.ndarray]] = []
+        cut = np.flatnonzero(np.concatenate([[True], (group[:, 1:] != group[:, :-1]).any(0), [True]])) if table.num_rows else []
+        out: set[tuple[int, int]] = set()
         for lo, hi in zip(cut, cut[1:], strict=False):
-            v, n, ids, labels, c = vectors[lo:hi], col["n"][lo:hi], col["id"][lo:hi], col["label"][lo:hi], col["c"][lo:hi]
+            ids, labels, c = col["id"][lo:hi], col["label"][lo:hi], col["c"][lo:hi]
+            n = np.array([packed[k][0] for k in ids.tolist()])
+            v = [packed[k][1] for k in ids.tolist()]
+            groups = np.array([len(x) for x in v])
             across = col["i"][lo] != col["j"][lo]
-            tree = CountRTree(v, n)
-            for q in range(hi - lo):
-                near = tree.near(v[q], n[q])
-                near = near[(ids[near] > ids[q]) & (labels[near] != labels[q])]
-                if across:
-                    near = near[c[near] != c[q]]
-                if len(near):
-                    out.append((np.full(len(near), ids[q]), ids[near]))
-        a, b = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 2
-        pairs = np.unique(np.stack([a, b]), axis=1)
-        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
-
-    return dealt.groupBy("part").applyInArrow(one, "a long, b long").distinct()
+            for g in np.unique(groups).tolist():
+                # Similar sets' vectors are equally fine, or one is twice as fine and is folded.
+                level = np.flatnonzero((groups == g) | (groups == 2 * g))
+                points_g = vectors([v[k] for k in level.tolist()], g)
+                tree = CountRTree(points_g, n[level])
+                for q in np.flatnonzero(groups[level] == g).tolist():
+                    me = level[q]
+                    near = level[tree.near(points_g[q], int(n[me]))]
+                    near = near[labels[near] != labels[me]]
+                    near = near[c[near] != c[me]] if across else near
+                    out.update((min(ids[me], x), max(ids[me], x)) for x in ids[near].tolist())
+        pairs = np.array(sorted(out), np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    return dealt.groupBy("part").cogroup(points.groupBy("at")).applyInArrow(one, "a long, b long").distinct()
 
 
 def links(found: DataFrame, parts: int) -> DataFrame:
@@ -214,7 +188,7 @@ def links(found: DataFrame, parts: int) -> DataFrame:
     stars = members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     stars = bounded(stars, found).groupBy("b").agg(F.min("a").alias("a"))
     first = components(verified(stars, found))
-    labelled = members.join(first, "id", "left").select("token", "cnt", "id", F.coalesce("component", "id").alias("label"))
+    labelled = members.join(first, "id", "left").select("token", "cnt", "pivot", "id", F.coalesce("component", "id").alias("label"))
     mixed = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.shiftright(F.xxhash64("id"), 20)).alias("s")).filter("lo < hi")
     mixed = mixed.groupBy("n", "x", "s").agg(F.min("token").alias("token")).select("token")  # shingles of equal classes once
     pairs = rtree_pairs(labelled.join(mixed, "token"), found, parts)
@@ -228,7 +202,7 @@ def join(docs: DataFrame) -> DataFrame:
     signed = stash(signatures(docs), "signatures")
     sets = signed.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("id"))
     classes = sets.filter("id is not null").select("id").distinct()
-    found = stash(candidates(docs, classes, Prefixes(common_shingles(docs))), "candidates")
+    found = stash(candidates(docs, classes), "candidates")
     linked = links(found, n_blocks(spark))
     classes_of = sets.join(linked, "id", "left").select("n", "s1", "s2", F.coalesce("component", "id").alias("component"))
     return signed.join(classes_of, ["n", "s1", "s2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))

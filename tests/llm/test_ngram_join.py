@@ -5,7 +5,8 @@ import numpy as np
 
 from framewise.llm import ngram_join
 from framewise.llm.components import components
-from framewise.llm.count_rtree import CountRTree
+from framewise.llm.count_rtree import CountRTree, count_vector, overlap_bound
+from framewise.llm.hashing import mix
 from framewise.llm.ngram_join import join, keep_one
 
 SCHEMA = "doc_id long, text string, component long, n string"
@@ -106,3 +107,14 @@ def test_rtree_loses_nothing():
     for q in range(len(v)):
         want = np.flatnonzero((9 * np.minimum(v, v[q]).sum(1) >= 4 * (n + n[q])) & (5 * n >= 4 * n[q]) & (4 * n <= 5 * n[q]))
         assert set(tree.near(v[q], n[q])) == set(want)
+
+
+def test_bound_is_never_below_the_overlap():
+    rng = np.random.default_rng(0)
+    for size in (1, 5, 200, 300, 1025, 5000):
+        x = mix(rng.integers(0, 1 << 62, size).astype(np.uint64))
+        y = np.unique(np.concatenate([x[: size * 9 // 10], mix(rng.integers(0, 1 << 62, size // 8 + 1).astype(np.uint64))]))
+        x = np.unique(x)
+        assert overlap_bound(count_vector(x), count_vector(y)) >= len(np.intersect1d(x, y))
+    same = np.zeros(1000, np.uint64) + np.arange(1000, dtype=np.uint64)  # all in one group: its counter is full
+    assert overlap_bound(count_vector(same), count_vector(same)) >= 1000
