@@ -72,7 +72,7 @@ def dedup(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
     """One row for each row of both inputs (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256."""
     spark = tune(snapshot.sparkSession)
     buckets = n_blocks(spark)
-    old, new = digests(snapshot), digests(batch)
+    old, new = stash(digests(snapshot), "digests"), stash(digests(batch), "digests")
     old_groups, new_groups = groups(old), groups(new)
     screened = stash(new_groups.join(screen(new_groups, filters(old_groups, buckets), buckets), "digest"), "screened")
     found = screened.filter("maybe").join(old_groups.select("digest", F.col("rows").alias("old_rows"), F.col("best").alias("old_best")), "digest")
@@ -80,8 +80,9 @@ def dedup(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
     # The byte check. Ids that can't be looked up (null) rest on the 256-bit digest.
     text = lambda docs, name: docs.select(F.col("doc_id").cast("long").alias(f"{name}_id"), normalised().alias(name))
     pairs = found.select("digest", F.col("best.doc_id").alias("new_id"), F.col("old_best.doc_id").alias("old_id"))
-    new_text = pairs.join(text(batch, "new"), "new_id").select("digest", "new")
-    old_text = pairs.join(text(snapshot, "old"), "old_id").select("digest", "old")
+    # Shuffled at every size, so that what moves is in proportion to the input.
+    new_text = pairs.hint("shuffle_hash").join(text(batch, "new"), "new_id").select("digest", "new")
+    old_text = pairs.hint("shuffle_hash").join(text(snapshot, "old"), "old_id").select("digest", "old")
     differ = new_text.join(old_text, "digest").groupBy("digest").agg(F.max(F.col("new") == F.col("old")).alias("same")).filter("not same").select("digest")
     same = found.join(differ, "digest", "left_anti")
     joint = same.select("digest", (F.col("rows") + F.col("old_rows")).alias("rows"), F.least("best", "old_best").alias("best"))
