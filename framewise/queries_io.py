@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import zlib
 
 import pyarrow as pa
 from pyarrow import fs
@@ -141,3 +142,29 @@ def _(spark, d):
     path = new_folder(spark, "report")
     A.write_report(table(spark, d, "files").groupBy("trajectory").agg(F.count("*").alias("files"), F.sum("size").cast("long").alias("bytes")), path)
     return spark.read.schema("trajectory string, files long, bytes long").json(path)
+
+
+def _png(shade: int, side: int = 8) -> bytes:
+    """A plain RGB image of one shade."""
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    rows = (b"\0" + bytes([shade, 0, 255]) * side) * side
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", side, side, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+
+
+@query("a8_scan_rgb_frames", "select s_suppkey % 25 as shade, 8 as width, 8 as height, 'FF00' as blue_green, count(*) as images from {supplier} group by 1")
+def _(spark, d):
+    """One frame for each supplier, whose shade is the red channel; bytes come back as blue, green, red."""
+    folder = new_folder(spark, "frames")
+
+    def run(batches):
+        for b in batches:
+            for k in b["k"].to_pylist():
+                where, path = fs.FileSystem.from_uri(f"{folder}/{k}.png")
+                where.create_dir(path.rpartition("/")[0], recursive=True)
+                with where.open_output_stream(path) as f:
+                    f.write(_png(k % 25))
+            yield pa.record_batch([b["k"]], names=["k"])
+
+    table(spark, d, "supplier").select(F.col("s_suppkey").alias("k")).mapInArrow(run, "k long").write.parquet(new_folder(spark, "frames-list"))
+    rows = A.scan_rgb_frames(spark, folder).select("width", "height", F.hex(F.substring("bgr", 1, 2)).alias("blue_green"), F.conv(F.hex(F.substring("bgr", 3, 1)), 16, 10).cast("long").alias("shade"))
+    return rows.groupBy("shade", "width", "height", "blue_green").agg(F.count("*").alias("images"))
