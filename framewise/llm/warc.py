@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewise.llm.common import new_path, stash, tune
+from framewise.llm.common import n_blocks, new_path, stash, tune
 
 LEAST_REVISIT = 100
 FRAME_BYTES = 1 << 18
@@ -188,7 +188,8 @@ def read(index: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
                 bundle.close()
 
-    return index.select("bundle").distinct().mapInArrow(run, READ)
+    # A row here is a whole bundle of work: dealt by number, which adaptive execution doesn't coalesce.
+    return index.select("bundle").distinct().repartition(n_blocks(index.sparkSession), "bundle").mapInArrow(run, READ)
 
 
 def fetch(index: DataFrame) -> DataFrame:
