@@ -157,10 +157,11 @@ def _(spark, d):
     return spark.read.schema(S.STEP).parquet(f"{folder}/out").select("event_id", "step_id", "files_present", "success")
 
 
-@query("st2_live_throughput")
+@query("st2_live_throughput", f"with {_STEPS}, w as (select date_trunc('hour', ts) as b, count(*) as events, cast(sum(files_present) as bigint) as files from s group by 1) select strftime(b, '%Y-%m-%d %H:%M:%S') as start, events, files, round(files/3600.0,6)+0.0 as files_per_second from w where b + interval 1 hour <= (select max(ts) from s) - interval 10 minutes")
 def _(spark, d):
     """Windows that the watermark has closed."""
-    return _streamed(spark, _steps(spark, d), S.live_throughput)
+    got = _streamed(spark, _steps(spark, d), S.live_throughput)
+    return got.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "events", "files", _r("files_per_second", 6))
 
 
 @query("st3_placement_guard_stream")
