@@ -5,10 +5,12 @@ lines the earliest stays (smallest doc_id, then place in the document). A line o
 an earlier line is one insertion, deletion or substitution away. All is judged on the input.
 
 Two lines within the bound share a deletion variant: both lose the same place (substitution), or one loses a character and
-equals the other. Variants are emitted as hashed keys and joined by minima over equal keys; no pairs are listed, so a
-template line with thousands of forms costs its variants only. Before that, a lossless prefilter spares most lines the full
-neighbourhood: of a line cut into four parts, all but one stand unchanged at their place in any line within the bound, so
-only lines that share such a three-part key with a different line emit variants. Found pairs are verified by edit distance.
+equals the other. Variants are emitted as hashed keys and joined by minima over equal keys; no pairs are listed. Lines that
+share a variant differ from it by one inserted character, so a group's size is bounded by the line's length and alphabet,
+whatever the corpus. Before that, a lossless prefilter spares most lines the full neighbourhood: of a line cut into four
+parts, all but one stand unchanged at their place in any line within the bound, so only lines that share such a three-part
+key with a different line emit variants. The keys meet in a count-min sketch (sketch.py), which costs two bytes a key. Found
+pairs are verified by edit distance. The text is shuffled once; its exchange serves all passes.
 
 Defined results: null text counts as empty; a null doc_id orders after all others; rows that repeat a doc_id are the same
 document, so equal places don't remove each other; blank lines stay; an empty table gives an empty result; further columns
@@ -17,19 +19,29 @@ are passed on by rewrite().
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from framewise.llm import sketch
 from framewise.llm.common import n_blocks, slices, stash, texts_of, tune
 from framewise.llm.hashing import mix, powers, prefix_sums, span_hash
 
 NEAR_CHARS = 20
 PARTS = 4
 LAST = (1 << 63) - 1
-_WHITE = np.array([0x20, *range(0x09, 0x0E)], np.uint32)
+_WHITE = np.zeros(0x22, bool)
+_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+@lru_cache(maxsize=1)
+def _codes() -> np.ndarray:
+    """A random odd number for each code point."""
+    return mix(np.arange(0x110000, dtype=np.uint64), 11) | np.uint64(1)
 
 
 class Lines:
@@ -43,12 +55,12 @@ class Lines:
         per_text = np.array([t.count("\n") + 1 for t in texts.to_pylist()], np.int64)
         self.text = np.repeat(np.arange(len(texts)), per_text)
         self.place = np.arange(len(feed)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-        solid = np.append(np.flatnonzero(~np.isin(self.chars, _WHITE)), len(self.chars))
+        solid = np.append(np.flatnonzero(~_WHITE[np.minimum(self.chars, 0x21)]), len(self.chars))
         at = np.searchsorted(solid, starts)
         self.starts, self.ends = solid[at], solid[np.maximum(np.searchsorted(solid, feed), 1) - 1] + 1
         full = self.starts < feed
         self.is_full, self.full = full, np.flatnonzero(full)
-        self.sums = prefix_sums(mix(self.chars.astype(np.uint64), 11) | np.uint64(1))
+        self.sums = prefix_sums(_codes()[self.chars])
 
     def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         s, e = self.starts[which], self.ends[which]
@@ -102,7 +114,7 @@ def _before(a: str):
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """doc, line, two hashes and, for lines that may have near ones, the prefilter's keys."""
+    """doc, line and two hashes of every line with a word."""
 
     def run(batches):
         for b in batches:
@@ -110,78 +122,95 @@ def line_table(docs: DataFrame) -> DataFrame:
             for a, z in slices(texts):
                 lines = Lines(texts.slice(a, z - a))
                 w = lines.full
-                h = lines.hashes(w)
-                near = np.flatnonzero(lines.ends[w] - lines.starts[w] >= NEAR_CHARS - 1)
-                sizes = np.zeros(len(w), np.int32)
-                sizes[near] = 2 * PARTS
-                keys = lines.part_keys(w[near]).ravel().view(np.int64)
-                yield pa.record_batch(
-                    [pa.array(ids[a + lines.text[w]]), pa.array(lines.place[w], pa.int32()), pa.array(mix(h, 1).view(np.int64)), pa.array(mix(h, 2).view(np.int64)), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(keys))],
-                    names=["doc", "line", "h1", "h2", "keys"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc long, line int, h1 long, h2 long, keys array<long>")
-
-
-def _in_block(blocks: DataFrame, wanted: DataFrame, one, schema: str) -> DataFrame:
-    """Run one(lines, doc ids, rows of those lines that are wanted) over each block; wanted(doc, line, h1)."""
-
-    def run(key, docs_, wanted_):
-        texts, ids = texts_of(docs_["text"]), docs_["doc_id"].fill_null(LAST).to_numpy()
-        asked = np.rec.fromarrays([wanted_[c].to_numpy().astype(np.int64) for c in _LINE], names=_LINE)
-        docs_asked = np.unique(asked.doc)
-        out = []
-        for a, z in slices(texts):
-            if np.isin(ids[a:z], docs_asked).any():
-                lines = Lines(texts.slice(a, z - a))
-                mine = ids[a + lines.text]
-                which = np.flatnonzero(lines.is_full & np.isin(mine, docs_asked))
-                have = np.rec.fromarrays([mine[which], lines.place[which], _key(lines, which)], names=_LINE)
-                which = which[np.isin(have, asked)]
-                if len(which):
-                    out.append(one(lines, mine, which))
-        return pa.concat_tables(out) if out else one(Lines(texts_of(pa.array([], pa.string()))), np.zeros(0, np.int64), np.zeros(0, np.int64))
+                yield pa.record_batch([pa.array(ids[a + lines.text[w]]), pa.array(lines.place[w], pa.int32()), pa.array(_key(lines, w)), pa.array(mix(lines.hashes(w), 2).view(np.int64))], names=["doc", "line", "h1", "h2"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc long, line int, h1 long, h2 long")
 
-    return blocks.groupBy("_block").cogroup(wanted.groupBy("_block")).applyInArrow(run, schema)
 
+def _asked(table: pa.Table) -> np.ndarray:
+    """The lines of a table as sorted records."""
+    found = table.select(_LINE).drop_null()
+    return np.sort(np.rec.fromarrays([found[c].to_numpy().astype(np.int64) for c in _LINE], names=_LINE))
 
-def _variants(lines: Lines, ids: np.ndarray, which: np.ndarray) -> pa.Table:
-    line, at, key = lines.variants(which)
-    return pa.table({"key": pa.array(key.view(np.int64)), "at": pa.array(at, pa.int32()), "doc": pa.array(ids[which][line], pa.int64()), "line": pa.array(lines.place[which][line], pa.int32()), "h1": pa.array(_key(lines, which)[line])})
 
+def _in(lines: Lines, ids: np.ndarray, which: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Which of some lines are among the asked ones: by hash first, then by document and place."""
+    hit = np.isin(_key(lines, which), asked.h1)
+    some = np.flatnonzero(hit)
+    hit[some] = np.isin(np.rec.fromarrays([ids[which[some]], lines.place[which[some]], _key(lines, which[some])], names=_LINE), asked)
+    return hit
 
-def _strings(lines: Lines, ids: np.ndarray, which: np.ndarray) -> pa.Table:
-    return pa.table({"doc": pa.array(ids[which], pa.int64()), "line": pa.array(lines.place[which], pa.int32()), "h1": pa.array(_key(lines, which)), "string": pa.array([lines.string(k) for k in which.tolist()], pa.string())})
+
+def _pieces(table: pa.Table, only: np.ndarray | None = None):
+    """(lines, their documents' ids) of a block, or of some of its documents."""
+    ids = table["doc_id"].fill_null(LAST).to_numpy()
+    texts = texts_of(table["text"])
+    if only is not None:
+        mine = np.isin(ids, only)
+        ids, texts = ids[mine], texts.filter(pa.array(mine))
+    for a, z in slices(texts):
+        lines = Lines(texts.slice(a, z - a))
+        yield lines, ids[a + lines.text]
+
+
+def _near_lines(table: pa.Table, copies: np.ndarray):
+    """(lines, those that may have near ones and are no copies)."""
+    for lines, ids in _pieces(table):
+        which = lines.full[lines.ends[lines.full] - lines.starts[lines.full] >= NEAR_CHARS - 1]
+        yield lines, which[~_in(lines, ids, which, copies)]
 
 
 def repeated_lines(docs: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
     """(_block, doc, line, h1) of all lines to remove."""
+    bits = sketch.bits_for(n)
     block = lambda: F.pmod(F.xxhash64(F.when(F.col("doc") != LAST, F.col("doc"))), F.lit(n)).alias("_block")
+    by_block = blocks.groupBy("_block")
     table = stash(line_table(docs), "lines")
-    distinct = table.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.any_value("keys").alias("keys"))
-    keyed = distinct.select("first", "h1", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).filter("lo < hi").select("key")
-    wanted = keyed.join(shared, "key", "left_semi").select("first.*").distinct()
-    rows = _in_block(blocks, wanted.select(block(), *_LINE), _variants, "key long, at int, doc long, line int, h1 long")
-    groups = rows.groupBy("key").agg(F.min(_place()).alias("lo"), F.max(_place()).alias("hi"), F.min(F.when(F.col("at") < 0, _place())).alias("whole"), F.min(F.when(F.col("at") >= 0, _place())).alias("cut")).filter("lo < hi")
-    met = rows.join(groups.select("key", "whole", "cut"), "key")
+    distinct = table.groupBy("h1", "h2").agg(F.min(_place()).alias("first"))
+    copies = stash(table.join(distinct, ["h1", "h2"]).filter(_before("first")).select(block(), *_LINE), "line-copies")
+
+    def sketched(key, docs_, copies_):
+        parts = [lines.part_keys(which).ravel() for lines, which in _near_lines(docs_, _asked(copies_))]
+        return sketch.sketch_rows(key[0].as_py(), np.concatenate(parts) if parts else np.zeros(0, np.uint64), n, bits)
+
+    shared = sketch.merge(by_block.cogroup(copies.groupBy("_block")).applyInArrow(sketched, sketch.SKETCH))
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    more = copies.select("_block", *_LINE, none("binary", "cells")).unionByName(shared.select(F.col("block").alias("_block"), none("long", "doc"), none("int", "line"), none("long", "h1"), "cells"))
+
+    def variants(key, docs_, more_):
+        cells, out = sketch.union(more_["cells"]), []
+        for lines, which in _near_lines(docs_, _asked(more_)) if len(cells) else ():
+            which = which[sketch.member(lines.part_keys(which).ravel(), cells, bits).reshape(-1, 2 * PARTS).any(1)]
+            line, at, k = lines.variants(which)
+            out.append(pa.table({"key": pa.array(k.view(np.int64)), "at": pa.array(at, pa.int32()), "h1": pa.array(_key(lines, which)[line])}))
+        return pa.concat_tables(out) if out else pa.table({"key": pa.array([], pa.int64()), "at": pa.array([], pa.int32()), "h1": pa.array([], pa.int64())})
+
+    rows = by_block.cogroup(more.groupBy("_block")).applyInArrow(variants, "key long, at int, h1 long").repartition("key")
+    groups = rows.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).filter("lo < hi").select("key")
+    met = rows.join(groups, "key").join(distinct.select("h1", F.col("first.doc").alias("doc"), F.col("first.line").alias("line")), "h1").select("key", "at", *_LINE)
+    ends = met.groupBy("key").agg(F.min(F.when(F.col("at") < 0, _place())).alias("whole"), F.min(F.when(F.col("at") >= 0, _place())).alias("cut"))
     same_place = met.groupBy("key", "at").agg(F.min(_place()).alias("same"))
-    met = met.join(same_place, ["key", "at"]).withColumn("earlier", F.when(F.col("at") < 0, F.col("cut")).otherwise(F.least("same", "whole")))
-    pairs = stash(met.filter(_before("earlier")).select(*_LINE, "earlier").distinct(), "line-pairs")
+    met = met.join(ends, "key").join(same_place, ["key", "at"]).withColumn("earlier", F.when(F.col("at") < 0, F.col("cut")).otherwise(F.least("same", "whole")))
+    pairs = met.filter(_before("earlier")).select(*_LINE, "earlier").distinct()
     both = pairs.select(*_LINE).unionByName(pairs.select("earlier.*")).distinct()
-    strings = _in_block(blocks, both.select(block(), *_LINE), _strings, "doc long, line int, h1 long, string string").dropDuplicates(_LINE)
+
+    def strings(key, docs_, asked_):
+        asked, out = _asked(asked_), []
+        for lines, ids in _pieces(docs_, np.unique(asked.doc)):
+            which = lines.full[_in(lines, ids, lines.full, asked)]
+            out.append(pa.table({"doc": pa.array(ids[which], pa.int64()), "line": pa.array(lines.place[which], pa.int32()), "h1": pa.array(_key(lines, which)), "string": pa.array([lines.string(k) for k in which.tolist()], pa.string())}))
+        return pa.concat_tables(out) if out else pa.table({"doc": pa.array([], pa.int64()), "line": pa.array([], pa.int32()), "h1": pa.array([], pa.int64()), "string": pa.array([], pa.string())})
+
+    text = by_block.cogroup(both.select(block(), *_LINE).groupBy("_block")).applyInArrow(strings, "doc long, line int, h1 long, string string").dropDuplicates(_LINE)
     near = (
-        pairs.join(strings, _LINE)
-        .join(strings.select(_place().alias("earlier"), F.col("string").alias("string2")), "earlier")
+        pairs.join(text, _LINE)
+        .join(text.select(_place().alias("earlier"), F.col("string").alias("string2")), "earlier")
         .filter(f"length(string) >= {NEAR_CHARS}")
         .filter(F.levenshtein("string", "string2", 1).between(0, 1))
-        .select(_place().alias("first"))
+        .select(block(), *_LINE)
         .distinct()
-        .withColumn("near", F.lit(True))
     )
-    judged = distinct.select("h1", "h2", "first").join(near, "first", "left")
-    gone = table.select(*_LINE, "h2").join(judged, ["h1", "h2"]).filter(F.coalesce("near", F.lit(False)) | _before("first"))
-    return gone.select(block(), *_LINE).distinct()
+    return copies.unionByName(near)
 
 
 def rewrite(docs: DataFrame) -> DataFrame:
@@ -189,26 +218,27 @@ def rewrite(docs: DataFrame) -> DataFrame:
     spark = tune(docs.sparkSession)
     n = n_blocks(spark)
     blocks = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.lit(n))).repartition("_block")
-    gone = repeated_lines(docs, blocks.select("doc_id", "text", "_block"), n)
-    names = [c for c in docs.columns]
+    gone = repeated_lines(docs, blocks, n)
+    names = list(docs.columns)
 
     def run(key, docs_, gone_):
-        texts, ids = texts_of(docs_["text"]), docs_["doc_id"].fill_null(LAST).to_pylist()
-        drop: dict[int, set[tuple[int, int]]] = {}
-        for d, k, h in zip(*(gone_[c].to_pylist() for c in _LINE), strict=True):
-            drop.setdefault(d, set()).add((k, h))
+        asked = _asked(gone_)
         kept, total, removed = [], [], []
-        for k, (d, old, t) in enumerate(zip(ids, docs_["text"].to_pylist(), texts.to_pylist(), strict=True)):
-            mine: set[int] = set()
-            lines = t.split("\n")
-            if d in drop:
-                found = Lines(texts.slice(k, 1))
-                mine = {x[0] for x in zip(found.place[found.full].tolist(), _key(found, found.full).tolist(), strict=True) if x in drop[d]}
-            total.append(sum(x.strip(" \t\n\x0b\x0c\r") != "" for x in lines))
-            removed.append(len(mine))
-            kept.append("\n".join(x for j, x in enumerate(lines) if j not in mine) if mine else old)
-        out = docs_.select(names).set_column(names.index("text"), "text", pa.array(kept, pa.string()))
-        return out.append_column("_n_lines", pa.array(total, pa.int64())).append_column("_n_removed", pa.array(removed, pa.int64()))
+        for lines, ids in _pieces(docs_):
+            drop = lines.is_full.copy()
+            drop[lines.full] = _in(lines, ids, lines.full, asked)
+            count = int(lines.text[-1]) + 1 if len(lines.text) else 0
+            removed.append(np.bincount(lines.text[drop], minlength=count))
+            total.append(np.bincount(lines.text[lines.full], minlength=count))
+            gone_places: dict[int, set[int]] = {}
+            for t, k in zip(lines.text[drop].tolist(), lines.place[drop].tolist(), strict=True):
+                gone_places.setdefault(t, set()).add(k)
+            kept += [gone_places.get(t) for t in range(count)]
+        old = docs_["text"].to_pylist()
+        new = [t if g is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in g) for t, g in zip(old, kept, strict=True)]
+        whole = lambda parts: pa.array(np.concatenate(parts) if parts else [], pa.int64())
+        out = docs_.select(names).set_column(names.index("text"), "text", pa.array(new, pa.string()))
+        return out.append_column("_n_lines", whole(total)).append_column("_n_removed", whole(removed))
 
     fields = [T.StructField(f.name, T.LongType()) if f.name == "doc_id" else f for f in docs.schema]
     schema = T.StructType([*fields, T.StructField("_n_lines", T.LongType()), T.StructField("_n_removed", T.LongType())])
