@@ -60,7 +60,7 @@ def texts_of(column) -> pa.LargeStringArray:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
-def slices(texts: pa.LargeStringArray, most_bytes: int = 1 << 21):
+def slices(texts: pa.LargeStringArray, most_bytes: int = 1 << 20):
     """(first, last) row ranges of at most most_bytes of text each; a longer text makes a range of its own."""
     n = len(texts)
     if not n:

@@ -28,7 +28,7 @@ from framewise.llm.hashing import BYTE_CODE, mix, prefix_sums, span_hash
 
 MARK = "▁"
 #: Words kept between batches of a worker; when there are more, all are forgotten. It bounds memory, not results.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 _NONE = np.iinfo(np.int32).max
 _OTHER = 1 << 31  # symbols from here on are characters that no piece holds
 
