@@ -3,8 +3,9 @@
 A document belongs to one source or to several. Documents are aggregated by membership pattern; a small network routes each
 pattern's token capacity to the quotas of its sources, where a second and third repetition of a pattern cost more and more
 (convex), so that repetition is spread as thin as the quotas allow. The flow gives each pattern a number of words to take:
-whole repetitions of all its documents, and a rest that documents fill in the order of a seeded hash. The rest's last
-document is the one whose size fits best, so a source comes as near its target as whole documents allow.
+whole repetitions of all its documents, and a rest that documents fill in the order of a seeded hash: one larger than what
+is left is left aside, and those behind it go on filling until nothing fits. If words are missing then, a second try takes
+documents larger than the gap first. Of the documents left aside the smallest is taken too if it brings the sum nearer.
 
 The network has one node for each pattern and source, never for documents; its size is checked against MOST_PATTERNS. The
 document side is aggregates and a broadcast of one row per pattern: no document is shuffled for its decision.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 from collections import deque
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +33,8 @@ COSTS = (0, 1, 3)
 SEED = 7
 BINS = 1 << 12
 HASH_BITS = 62
+LAST = 1 << HASH_BITS
+ROUND = "struct<lo:long,hi:long,least:long,most:long>"
 
 
 def size_of(text: str = "text") -> Column:
@@ -158,12 +162,84 @@ def _spread(doc_id: Column, text: Column, seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id, text), 64 - HASH_BITS)
 
 
+@dataclass
+class Filled:
+    """How a pattern's rest is filled: rounds (from hash, to hash, least and most size) whose documents are all taken, one
+    more document by its hash, and the words that are missing without and with it."""
+
+    left: int
+    rounds: list[tuple[int, int, int, int]] = field(default_factory=list)
+    last: int | None = None
+    off: int = 0
+
+
+def _in_rounds(rounds: Column, u: Column, size: Column) -> Column:
+    return F.exists(rounds, lambda r: (u >= r["lo"]) & (u < r["hi"]) & (size >= r["least"]) & (size <= r["most"]))
+
+
+def _take(narrow: DataFrame, filled: dict[str, Filled], least: dict[str, int], most: dict[str, int]) -> None:
+    """Documents of at least `least` and at most `most` words in hash order, each that fits what is left. A round goes on to
+    the first that does not fit (first its bin, then the place inside it) among those no larger than what is left; the next
+    goes on behind it."""
+    spark = narrow.sparkSession
+    lo = {n: 0 for n in least if filled[n].left > 0}
+    while lo:
+        state = [(n, at, max(1, least[n]), min(most[n], filled[n].left), filled[n].left) for n, at in lo.items()]
+        state = spark.createDataFrame(state, "pattern string, lo long, least long, most long, rest long")
+        fits = narrow.join(F.broadcast(state), "pattern").filter("u >= lo and size between least and most").withColumn("bin", F.shiftright("u", HASH_BITS - 12).cast("int"))
+        per_bin = fits.groupBy("pattern", "bin").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
+        sums = per_bin.selectExpr("pattern", "bin", "rest", "sum(words) over (partition by pattern order by bin) as upto")
+        edges = sums.groupBy("pattern").agg(F.min(F.when(F.col("upto") > F.col("rest"), F.col("bin"))).alias("edge"), F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto")).otherwise(0)).alias("before")).collect()
+        found = {r.pattern: (LAST, r.before) for r in edges}
+        if at_edge := [r for r in edges if r.edge is not None]:
+            edge = F.broadcast(spark.createDataFrame(at_edge, "pattern string, edge int, before long"))
+            inside = fits.join(edge, "pattern").filter("bin = edge").selectExpr("pattern", "u", "before", "rest", "before + sum(size) over (partition by pattern order by u) as upto")
+            cut = inside.groupBy("pattern").agg(F.min(F.when(F.col("upto") > F.col("rest"), F.col("u"))).alias("cut"), F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto")).otherwise(F.col("before"))).alias("words"))
+            found |= {r.pattern: (r.cut, r.words) for r in cut.collect()}
+        for n, (cut, words) in found.items():
+            f = filled[n]
+            # Documents of size 0 go with the first round.
+            f.rounds.append((lo[n], cut, max(1, least[n]) if f.rounds else least[n], min(most[n], f.left)))
+            f.left -= words
+            lo[n] = cut + 1
+        lo = {n: at for n, at in lo.items() if n in found and filled[n].left > 0 and at < LAST}
+
+
+def _last(narrow: DataFrame, filled: dict[str, Filled]) -> None:
+    """The document not taken whose words bring the sum nearest, if one brings it nearer at all."""
+    for f in filled.values():
+        f.off = f.left
+    if not (rows := [(n, f.rounds, f.left) for n, f in filled.items() if f.left > 0]):
+        return
+    state = F.broadcast(narrow.sparkSession.createDataFrame(rows, f"pattern string, rounds array<{ROUND}>, rest long"))
+    after = narrow.join(state, "pattern").filter("size > 0 and size < 2 * rest").filter(~_in_rounds(F.col("rounds"), F.col("u"), F.col("size")))
+    after = after.groupBy("pattern", "u").agg(F.sum("size").alias("size"), F.first("rest").alias("rest"))
+    for r in after.groupBy("pattern").agg(F.min(F.struct(F.abs(F.col("size") - F.col("rest")).alias("off"), "u")).alias("f")).collect():
+        if r.f.off < filled[r.pattern].off:
+            filled[r.pattern].off, filled[r.pattern].last = r.f.off, r.f.u
+
+
+def fill(narrow: DataFrame, rest: dict[str, int], smallest: dict[str, int]) -> dict[str, Filled]:
+    """narrow(pattern, u, size) -> how each pattern's rest is filled."""
+    filled = {n: Filled(w) for n, w in rest.items()}
+    _take(narrow, filled, dict.fromkeys(rest, 0), rest)
+    _last(narrow, filled)
+    # A gap that smaller documents could not close, for they are all taken: those above it go first.
+    if short := {n: f.left for n, f in filled.items() if f.off > 0 and f.left >= smallest[n]}:
+        again = {n: Filled(rest[n]) for n in short}
+        _take(narrow, again, {n: gap + 1 for n, gap in short.items()}, {n: rest[n] for n in short})
+        _take(narrow, again, dict.fromkeys(short, 0), short)
+        _last(narrow, again)
+        filled |= {n: f for n, f in again.items() if f.off < filled[n].off}
+    return filled
+
+
 def plan(docs: DataFrame, members: Column, seed: int = SEED, weights=WEIGHTS) -> tuple[DataFrame, dict, dict]:
-    """(one row per pattern: pattern, copies, cut, fill), source sizes and targets. A document's repetitions are copies, one
-    more where its hash is below cut or equals fill."""
+    """(one row per pattern: pattern, copies, rounds, fill), source sizes and targets. A document's repetitions are copies,
+    one more where it is in one of the rounds or its hash equals fill."""
     spark = docs.sparkSession
     narrow = stash(docs.select(_key(F.array_sort(F.array_distinct(members))).alias("pattern"), F.array_distinct(members).alias("members"), size_of().alias("size"), _spread(F.col("doc_id"), F.col("text"), seed).alias("u")), "sizes")
-    patterns = narrow.groupBy("pattern").agg(F.any_value("members").alias("members"), F.sum("size").alias("words"))
+    patterns = narrow.groupBy("pattern").agg(F.any_value("members").alias("members"), F.sum("size").alias("words"), F.min(F.when(F.col("size") > 0, F.col("size"))).alias("smallest"))
     rows = patterns.limit(MOST_PATTERNS + 1).collect()
     if len(rows) > MOST_PATTERNS:
         raise ValueError(f"more than {MOST_PATTERNS} membership patterns: group the sources first")
@@ -180,30 +256,18 @@ def plan(docs: DataFrame, members: Column, seed: int = SEED, weights=WEIGHTS) ->
     words = route(capacity, quota)
     copies = {k: min(MOST_REPEATS, w // capacity[k]) if capacity[k] else 0 for k, w in words.items()}
     rest = {k: words[k] - copies[k] * capacity[k] for k in words}
-    begun = spark.createDataFrame([(name[k], int(copies[k]), int(rest[k])) for k in words], "pattern string, copies int, rest long")
-    # The hash up to which whole documents fit in the rest: first the bin, then the place inside it.
-    binned = narrow.join(F.broadcast(begun.filter("rest > 0")), "pattern").withColumn("bin", F.shiftright("u", HASH_BITS - 12).cast("int"))
-    per_bin = binned.groupBy("pattern", "bin").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    sums = per_bin.selectExpr("pattern", "bin", "words", "rest", "sum(words) over (partition by pattern order by bin) as upto")
-    edge = sums.filter("upto > rest and upto - words <= rest").groupBy("pattern").agg(F.min("bin").alias("edge"), F.min_by(F.col("upto") - F.col("words"), "bin").alias("before"))
-    inside = binned.join(F.broadcast(edge), "pattern").filter("bin = edge").selectExpr("pattern", "u", "before", "rest", "before + sum(size) over (partition by pattern order by u) as upto")
-    cut = inside.groupBy("pattern").agg(F.min(F.when(F.col("upto") > F.col("rest"), F.col("u"))).alias("cut"), F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto"))).alias("filled"), F.first("before").alias("before"))
-    cut = cut.select("pattern", "cut", F.coalesce("filled", "before").alias("filled"))
-    # Of the documents above it, the one whose size fits what is left best, if it brings the sum nearer.
-    after = binned.join(F.broadcast(cut), "pattern").filter("u >= cut").withColumn("need", F.col("rest") - F.col("filled"))
-    fill = after.groupBy("pattern").agg(F.min(F.struct(F.abs(F.col("size") - F.col("need")).alias("off"), "u", "need")).alias("f")).select("pattern", F.when(F.col("f.off") < F.col("f.need"), F.col("f.u")).alias("fill"))
-    found = {r.pattern: (r.cut, r.fill) for r in cut.join(fill, "pattern").collect()}
-    last = (1 << HASH_BITS) - 1
-    rows = [(name[k], int(copies[k]), *found.get(name[k], (last + 1 if rest[k] > 0 else 0, None))) for k in words]
-    return spark.createDataFrame(rows, "pattern string, copies int, cut long, fill long"), sizes, quota
+    filled = fill(narrow, {name[k]: int(n) for k, n in rest.items() if n > 0}, {r.pattern: r.smallest for r in rows})
+    none = Filled(0)
+    rows = [(name[k], int(copies[k]), filled.get(name[k], none).rounds, filled.get(name[k], none).last) for k in words]
+    return spark.createDataFrame(rows, f"pattern string, copies int, rounds array<{ROUND}>, fill long"), sizes, quota
 
 
 def repeats(docs: DataFrame, planned: DataFrame, members: Column, seed: int = SEED) -> DataFrame:
-    """docs with _times: how often the mix takes each row."""
-    key = docs.withColumns({"_pattern": _key(F.array_sort(F.array_distinct(members))), "_u": _spread(F.col("doc_id"), F.col("text"), seed)})
-    p = F.broadcast(planned.select(F.col("pattern").alias("_pattern"), F.col("copies").alias("_copies"), F.col("cut").alias("_cut"), F.col("fill").alias("_fill")))
-    more = ((F.col("_u") < F.col("_cut")) | (F.col("_u") == F.coalesce("_fill", F.lit(-1)))).cast("int")
-    return key.join(p, "_pattern").withColumn("_times", F.least(F.col("_copies") + more, F.lit(MOST_REPEATS))).drop("_pattern", "_u", "_copies", "_cut", "_fill")
+    """docs with _size and _times: how often the mix takes each row."""
+    key = docs.withColumns({"_pattern": _key(F.array_sort(F.array_distinct(members))), "_u": _spread(F.col("doc_id"), F.col("text"), seed), "_size": size_of()})
+    p = F.broadcast(planned.select(F.col("pattern").alias("_pattern"), F.col("copies").alias("_copies"), F.col("rounds").alias("_rounds"), F.col("fill").alias("_fill")))
+    more = (_in_rounds(F.col("_rounds"), F.col("_u"), F.col("_size")) | (F.col("_u") == F.coalesce("_fill", F.lit(-1)))).cast("int")
+    return key.join(p, "_pattern").withColumn("_times", F.least(F.col("_copies") + more, F.lit(MOST_REPEATS))).drop("_pattern", "_u", "_copies", "_rounds", "_fill")
 
 
 def mix_table(docs: DataFrame) -> DataFrame:
@@ -211,7 +275,7 @@ def mix_table(docs: DataFrame) -> DataFrame:
     members = F.array("source")
     planned, sizes, quota = plan(docs, members)
     by_source = docs.sparkSession.createDataFrame([(s, int(n), float(quota[s])) for s, n in sizes.items()], "source string, source_size long, target double")
-    rows = repeats(docs.select("doc_id", "text", "source"), planned, members).select("doc_id", "source", size_of().alias("size"), "_times")
+    rows = repeats(docs.select("doc_id", "text", "source"), planned, members).select("doc_id", "source", F.col("_size").alias("size"), "_times")
     by_source = F.broadcast(by_source.withColumnRenamed("source", "s"))
     return rows.join(by_source, rows["source"].eqNullSafe(by_source["s"])).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("_times")).alias("taken"))
 

@@ -78,3 +78,15 @@ def test_overlapping_sources(spark):
     planned, sizes, quota = plan(df, members)
     taken = repeats(df, planned, members).agg(F.sum(size_of() * F.col("_times"))).first()[0]
     assert abs(taken - sum(quota.values())) < 0.02 * taken
+
+
+def test_one_document_of_over_half_a_source(spark):
+    """A source with one very long document meets its target from the others wherever the long one falls in hash order, and
+    by the long one where the others are too few."""
+    small = [(i, "w " * 100, "a") for i in range(60)]
+    for long_words, copies_of_b in ((6500, 40), (6500, 2)):
+        df = spark.createDataFrame([*small, (99, "w " * long_words, "a"), *((1000 + i, "w " * 100, "b") for i in range(copies_of_b))], "doc_id long, text string, source string")
+        for seed in range(4):
+            planned, sizes, quota = plan(df, F.array("source"), seed, weights=(1, 3))
+            taken = repeats(df, planned, F.array("source"), seed).filter("source = 'a'").agg(F.sum(size_of() * F.col("_times"))).first()[0]
+            assert abs(taken - quota["a"]) <= 100, (long_words, copies_of_b, seed, taken, quota)
