@@ -103,17 +103,18 @@ openrail | openrail | (?:creativeml\s+)?open\s*rail(?:\+\+)?(?:-m)?\s+licen[sc]e
 GRANT = r"(?:licen[sc]ed|released|distributed|available|published)\s+(?:\w+\s+){0,3}?under\s+(?:the\s+)?(?:terms\s+(?:and\s+conditions\s+)?of\s+(?:the\s+)?)?"
 TAG = r"(?:spdx-license-identifier\s*:\s*(?:\(?\s*[\w.+-]+\s+(?:or|and|with)\s+)*|\"license\"\s*:\s*\"|license\s*=\s*\")"
 
-#: Rules without a family: a grant or reservation that names no licence.
+#: Rules without a family: a grant or reservation that names no licence. A keyword is one unbroken word that every match
+#: holds: between words a match may have any white space.
 GENERIC = (
-    ("all-rights-reserved", "rights reserved", r"all\s+rights\s+reserved", 0.4),
-    ("public-domain", "public domain", r"(?:placed|released|dedicated)\s+(?:in)?to\s+the\s+public\s+domain", 0.7),
-    ("mit", "permission is hereby granted", r"permission\s+is\s+hereby\s+granted,\s+free\s+of\s+charge,\s+to\s+any\s+person\s+obtaining\s+a\s+copy", 0.9),
-    ("isc", "permission to use, copy", r"permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software", 0.8),
-    ("bsd", "redistribution and use", r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms", 0.8),
-    ("zlib", "provided 'as-is'", r"this\s+software\s+is\s+provided\s+'as-is',\s+without\s+any\s+express", 0.8),
-    ("gpl", "free software foundation", r"redistribute\s+it\s+and/or\s+modify\s+it\s+under\s+the\s+terms\s+of\s+the\s+gnu\s+general\s+public", 0.9),
+    ("all-rights-reserved", "reserved", r"all\s+rights\s+reserved", 0.4),
+    ("public-domain", "domain", r"(?:placed|released|dedicated)\s+(?:in)?to\s+the\s+public\s+domain", 0.7),
+    ("mit", "hereby", r"permission\s+is\s+hereby\s+granted,\s+free\s+of\s+charge,\s+to\s+any\s+person\s+obtaining\s+a\s+copy", 0.9),
+    ("isc", "modify,", r"permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software", 0.8),
+    ("bsd", "redistribution", r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms", 0.8),
+    ("zlib", "'as-is',", r"this\s+software\s+is\s+provided\s+'as-is',\s+without\s+any\s+express", 0.8),
+    ("gpl", "redistribute", r"redistribute\s+it\s+and/or\s+modify\s+it\s+under\s+the\s+terms\s+of\s+the\s+gnu\s+general\s+public", 0.9),
     ("unlicense", "unencumbered", r"free\s+and\s+unencumbered\s+software\s+released\s+into\s+the\s+public\s+domain", 0.9),
-    ("wtfpl", "you just do what", r"you\s+just\s+do\s+what\s+the\s+f\S+\s+you\s+want\s+to", 0.9),
+    ("wtfpl", "just", r"you\s+just\s+do\s+what\s+the\s+f\S+\s+you\s+want\s+to", 0.9),
     ("copyright", "copyright", r"copyright\s+(?:\(c\)|©)?\s*\d{4}", 0.3),
 )
 

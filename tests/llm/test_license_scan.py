@@ -49,3 +49,40 @@ def test_prefilter_loses_nothing():
 
 def test_suppression():
     assert suppress([(0, 5, 20), (1, 6, 10), (1, 5, 20), (2, 0, 30), (3, 4, 21), (3, 25, 40)]) == [(0, 5, 20), (2, 0, 30), (3, 25, 40)]
+
+
+def a_match(parsed, rnd, gap):
+    """Some text that a parsed pattern matches, with gap wherever it takes white space."""
+    out = ""
+    for op, v in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(v)
+        elif op == "IN":
+            kind, x = v[-1]
+            out += gap if str(v[0][1]) == "CATEGORY_SPACE" else "1" if "DIGIT" in str(x) else "x" if "NOT_SPACE" in str(x) or "WORD" in str(x) else chr(x if isinstance(x, int) else x[0])
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high, inner = v
+            spaces = str(inner[0][0]) == "IN" and str(inner[0][1][0][1]) == "CATEGORY_SPACE"
+            out += gap if spaces else "".join(a_match(inner, rnd, gap) for _ in range(rnd.randint(low, min(int(high), low + 1))))
+        elif op == "SUBPATTERN":
+            out += a_match(v[3], rnd, gap)
+        elif op == "BRANCH":
+            out += a_match(rnd.choice(v[1]), rnd, gap)
+    return out
+
+
+def test_line_breaks_between_all_words():
+    """Every rule on texts with line breaks and indents wherever its pattern takes white space, against no prefilter."""
+    import random
+
+    s, rnd, met = scanner(), random.Random(5), set()
+    for k, r in enumerate(s.rules):
+        parsed = re._parser.parse(r.pattern)
+        for gap in (" ", "\n", "  \n\t"):
+            for _ in range(3):
+                t = a_match(parsed, rnd, gap)
+                every = s.matches(t.lower(), range(len(s.rules)))
+                met |= {m[0] for m in every} & {k}
+                assert s.detections(t) == [(a, b, j) for j, a, b in suppress([(j, a, b) for j, _, a, b in every])], (r, t)
+    assert met == set(range(len(s.rules)))
