@@ -60,6 +60,17 @@ def _(spark, d):
     return got.select("target", "f.frame_id", F.get(F.get("f.transform", 0), 3).alias("tx"), F.col("pos").cast("long").alias("pos"))
 
 
+@query("a3_read_camera_json_all", "select 'T'||seq_no as target, frame as frame_id, tx, cast(frame as bigint) as pos from {frames}")
+def _(spark, d):
+    path = new_folder(spark, "poses")
+    row = lambda *v: F.array(*(F.col(x) if isinstance(x, str) else F.lit(float(x)) for x in v))
+    f = F.struct(F.col("frame").alias("frame_id"), F.format_string("rgb/%04d.png", "frame").alias("file_path"), F.array(row(1, 0, 0, "tx"), row(0, 1, 0, "ty"), row(0, 0, 1, "tz"), row(0, 0, 0, 1)).alias("transform"))
+    docs = table(spark, d, "frames").groupBy("seq_no").agg(F.sort_array(F.collect_list(f)).alias("frames"))
+    docs.select(F.lit("1").alias("version"), F.lit(12).alias("centre_frame"), F.struct(F.concat(F.lit("T"), F.col("seq_no").cast("string")).alias("target")).alias("source"), "frames").write.json(path)
+    got = spark.read.schema(A.POSES).json(path).select("source.target", F.posexplode("frames").alias("pos", "f"))
+    return got.select("target", "f.frame_id", F.get(F.get("f.transform", 0), 3).alias("tx"), F.col("pos").cast("long").alias("pos"))
+
+
 def _blobs(spark, d, name, content: bytes):
     """Write one small file per row of a task's share of sequences, in the tasks."""
     folder = new_folder(spark, name)

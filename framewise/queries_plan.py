@@ -247,6 +247,14 @@ def _(spark, d):
     return C.classify_jobs(jobs.select("job_id", "frames_ok", F.expr("n % 3 <> 0").alias("poses_ok"), F.lit(True).alias("marker"), F.expr("n % 5 <> 0").alias("fingerprint_ok"), F.lit(True).alias("inventory_ok")))
 
 
+@query("c7_classify_jobs_all", f"""with {_COMPLETE}, s as (select q.target_label as job_id, bool_and(complete) as frames_ok, min(seq_no) as n from c join {{sequences}} q using (trajectory, prefix) group by 1)
+ select job_id, case when not frames_ok then 'render' when n % 3 = 0 then 'camera' when n % 5 = 0 then 'render' else 'done' end as state from s""")
+def _(spark, d):
+    seqs = _t(spark, d)("sequences").select("trajectory", "prefix", "target_label", "seq_no")
+    jobs = _completeness(spark, d).join(seqs, ["trajectory", "prefix"]).groupBy(F.col("target_label").alias("job_id")).agg(F.bool_and("complete").alias("frames_ok"), F.min("seq_no").alias("n"))
+    return C.classify_jobs(jobs.select("job_id", "frames_ok", F.expr("n % 3 <> 0").alias("poses_ok"), F.lit(True).alias("marker"), F.expr("n % 5 <> 0").alias("fingerprint_ok"), F.lit(True).alias("inventory_ok")))
+
+
 @query("c8_output_inventory", "with p as (select trajectory, prefix, suffix, pass_name, count(*) as files, sum(size) as bytes, count(distinct frame) as frames from {files} group by 1,2,3,4) select trajectory, cast(sum(files) as bigint) as files, cast(sum(bytes) as bigint) as bytes, cast(sum(frames) as bigint) as frames, count(*) as directories from p group by 1")
 def _(spark, d):
     return C.output_inventory(_t(spark, d)("files"))
@@ -320,3 +328,11 @@ def _(spark, d):
 def _(spark, d):
     log = _t(spark, d)("events").filter("event_id % 5 = 0").selectExpr("user_id as worker", "event_id as seq", "case event_type when 'error' then 'failed' when 'purchase' then 'finished' when 'click' then 'cancelled' else 'progress' end as message", "if(event_id % 3 = 0, null, cast(event_id % 2 as int)) as returncode")
     return C.worker_outcome(log)
+
+
+@query("c18_worker_outcome_all", """with l as (select user_id as worker, event_id as seq, case event_type when 'error' then 'failed' when 'purchase' then 'finished' when 'click' then 'cancelled' else 'progress' end as message, case when event_id % 3=0 then null else cast(event_id % 2 as int) end as returncode from {events}),
+ w as (select worker, arg_max(message, seq) filter (message in ('finished','failed','cancelled')) as last, arg_max(returncode, seq) as rc, arg_max(returncode is null, seq) as rn from l group by 1)
+ select worker, case when last='cancelled' then 'cancelled' when last='failed' then 'failed' when last='finished' and rc is null then 'unreaped' when last='finished' and rc<>0 then 'teardown_incomplete' when last='finished' then 'finished' else 'crash' end as outcome from (select worker, last, case when rn then null else rc end as rc from w)""")
+def _(spark, d):
+    log = _t(spark, d)("events").selectExpr("user_id as worker", "event_id as seq", "case event_type when 'error' then 'failed' when 'purchase' then 'finished' when 'click' then 'cancelled' else 'progress' end as message", "if(event_id % 3 = 0, null, cast(event_id % 2 as int)) as returncode")
+    return C.worker_outcome(log)

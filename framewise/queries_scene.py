@@ -50,6 +50,12 @@ def _(spark, d):
     return T.placement_violations(rows, 0).select("run_label", "event_id", "pid", "reason")
 
 
+@query("f4_placement_violations_all", """with k as (select distinct run_label, pid from {placement} where gpu_index=0), s as (select * from {placement}), r as (select s.run_label, s.event_id, s.pid, case when process_type='C' then 'compute' when sm_util_percent>0 then 'activity' when framebuffer_mb is null or framebuffer_mb>256 then 'allocation' when k.pid is null then 'unverified' end as reason from s left join k using (run_label, pid) where gpu_index<>0) select * from r where reason is not null""")
+def _(spark, d):
+    rows = table(spark, d, "placement")
+    return T.placement_violations(rows, 0).select("run_label", "event_id", "pid", "reason")
+
+
 @query("f5_verified_history", "select run_label, pid, event_id, start_time = first_value(start_time) over (partition by run_label, pid order by event_id) as verified from {placement}")
 def _(spark, d):
     return T.verified_history(table(spark, d, "placement"))

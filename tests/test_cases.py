@@ -89,3 +89,23 @@ def test_inside_needs_one_actor_on_both_sides(spark):
 def test_exr_header():
     head = struct.pack("<II", 20000630, 2) + b"channels\0chlist\0" + struct.pack("<i", 19) + b"R\0" + struct.pack("<iiii", 1, 0, 1, 1) + b"\0\0"
     assert capture.exr_channels(head) == {"R": "half"} and capture.exr_channels(head[:20]) is None and capture.exr_channels(b"no") is None
+
+
+def test_whole_tables_are_read(spark):
+    """The queries over whole tables against the rows that their older namesakes leave out."""
+    from framewise.fixtures import table
+    from framewise.queries import QUERIES
+
+    d = "/root/testdata/sf0.001"
+    frames = table(spark, d, "frames")
+    assert QUERIES["a3_read_camera_json_all"](spark, d).count() == frames.count()
+    jobs = {r.job_id for r in QUERIES["c7_classify_jobs_all"](spark, d).collect()}
+    assert jobs == {r[0] for r in table(spark, d, "sequences").select("target_label").distinct().collect()}
+    last = table(spark, d, "events").filter("event_type in ('error', 'purchase', 'click')").groupBy(F.col("user_id").alias("worker")).agg(F.max_by("event_type", "event_id").alias("t"))
+    ends = {r.worker: r.t for r in last.collect()}
+    for r in QUERIES["c18_worker_outcome_all"](spark, d).collect():
+        says = {"click": ["cancelled"], "error": ["failed"], "purchase": ["finished", "unreaped", "teardown_incomplete"]}
+        assert r.outcome in says.get(ends.get(r.worker), ["crash"])
+    placed = table(spark, d, "placement")
+    known = {(r.run_label, r.pid) for r in placed.filter("gpu_index = 0").collect()}
+    assert not any(r.reason == "unverified" and (r.run_label, r.pid) in known for r in QUERIES["f4_placement_violations_all"](spark, d).collect())
