@@ -137,7 +137,12 @@ def descriptor_match(left: DataFrame, right: DataFrame, ratio: float = 0.75, lea
     r = right.select("pair", F.col("id").alias("b"), F.col("d").alias("db"))
     sq = F.aggregate(F.zip_with("da", "db", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
     both = l.join(r, "pair").select("pair", "a", "b", F.sqrt(sq).alias("dist"))
-    best = lambda side, other: both.groupBy("pair", side).agg(F.min(F.struct("dist", other)).alias("m"), F.min("dist").alias("d1"), F.expr("min_by(dist, dist)").alias("x"), F.slice(F.sort_array(F.collect_list("dist")), 2, 1).alias("d2")).select("pair", side, F.col(f"m.{other}").alias(other), "d1", F.get("d2", 0).alias("d2")).filter(F.col("d1") < ratio * F.col("d2"))
+
+    def best(side: str, other: str) -> DataFrame:
+        near = Window.partitionBy("pair", side).orderBy("dist", other)
+        two = both.withColumns({"rank": F.row_number().over(near), "d2": F.lead("dist").over(near)})
+        return two.filter((F.col("rank") == 1) & (F.col("dist") < ratio * F.col("d2"))).withColumnRenamed("dist", "d1")
+
     found = best("a", "b").select("pair", "a", "b", "d1").join(best("b", "a").select("pair", "a", "b"), ["pair", "a", "b"])
     enough = found.groupBy("pair").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
     return found.join(enough.select("pair"), "pair", "left_semi").withColumnRenamed("d1", "dist")

@@ -109,3 +109,16 @@ def test_whole_tables_are_read(spark):
     placed = table(spark, d, "placement")
     known = {(r.run_label, r.pid) for r in placed.filter("gpu_index = 0").collect()}
     assert not any(r.reason == "unverified" and (r.run_label, r.pid) in known for r in QUERIES["f4_placement_violations_all"](spark, d).collect())
+
+
+def test_descriptors_of_all_rows_match(spark):
+    """Every row is on both sides and its moved copy is found; no list of distances is collected."""
+    from framewise.fixtures import table
+    from framewise.queries import QUERIES
+
+    d = "/root/testdata/sf0.001"
+    found = QUERIES["e12_descriptor_match_all"](spark, d)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    ids = {r.vec_id for r in table(spark, d, "embeddings").select("vec_id").collect()}
+    blocks = {k: sum(i // 64 == k for i in ids) for k in {i // 64 for i in ids}}
+    assert {(r.a, r.b) for r in found.collect()} == {(i, i) for i in ids if blocks[i // 64] >= 8}
