@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +25,42 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int]:
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)
+
+
+def give_back() -> None:
+    """Return what the allocators of this Python worker hold without use; workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def tidy(work: Callable) -> Callable:
+    """A function for applyInArrow that gives unused memory back after each group; it takes as many arguments as work,
+    from which Spark tells whether to pass the key."""
+
+    def one(*tables):
+        try:
+            return work(*tables)
+        finally:
+            give_back()
+
+    return (lambda a: one(a), lambda a, b: one(a, b), lambda a, b, c: one(a, b, c))[work.__code__.co_argcount - 1]
+
+
+def tidy_batches(work: Callable) -> Callable:
+    """A function for mapInArrow that gives unused memory back at the end of its task."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset and the
     master is local (tests). On a cluster without that setting the warehouse is used, which is shared as well."""
@@ -46,6 +85,18 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for work columns: those given, with underscores in front until df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def n_blocks(spark: SparkSession) -> int:
     """Blocks of documents: as many as shuffle partitions, so that blocks stay small however large the input is."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -7,13 +7,23 @@ Nothing here loops over words.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 _BASE = 0x9E3779B97F4A7C15 | 5
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_LOW = 1 << 16
+
+
+@lru_cache(maxsize=2)
+def _low(base: int) -> np.ndarray:
+    """base**i for i below _LOW."""
+    p = np.full(_LOW, base, np.uint64)
+    p[0] = 1
+    return np.multiply.accumulate(p)
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -24,27 +34,30 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i below n at least; kept for the next batch."""
-    if len(_powers[0]) < n:
-        size = 1 << int(n - 1).bit_length()
-        for k, base in ((0, _BASE), (1, _INVERSE)):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _powers[k] = np.multiply.accumulate(p)
-    return _powers[0], _powers[1]
+def powers(at: np.ndarray, base: int = _BASE) -> np.ndarray:
+    """base**i modulo 2**64 for each i, from a table of fixed size and one of a power for each _LOW of the largest."""
+    low = _low(base)
+    if not len(at) or (most := int(at.max())) < _LOW:
+        return low[at]
+    high = np.full((most >> 16) + 1, pow(base, _LOW, 1 << 64), np.uint64)
+    high[0] = 1
+    return low[at & (_LOW - 1)] * np.multiply.accumulate(high)[at >> 16]
 
 
 def prefix_sums(values: np.ndarray) -> np.ndarray:
     """sums[j] = sum of values[i] * base**i for i < j."""
-    out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(len(values) + 1)[0][: len(values)], out=out[1:])
+    out, step, low = np.zeros(len(values) + 1, np.uint64), 1, _low(_BASE)
+    for a in range(0, len(values), _LOW):
+        piece = values[a : a + _LOW]
+        np.cumsum(piece * low[: len(piece)] * np.uint64(step), out=out[a + 1 : a + 1 + len(piece)])
+        out[a + 1 : a + 1 + len(piece)] += out[a]
+        step = step * pow(_BASE, _LOW, 1 << 64) % (1 << 64)
     return out
 
 
 def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The polynomial over values[start:end], whatever start is."""
-    return (sums[ends] - sums[starts]) * powers(len(sums))[1][starts]
+    return (sums[ends] - sums[starts]) * powers(starts, _INVERSE)
 
 
 #: One random odd number for each byte.

@@ -87,7 +87,7 @@ class Lines:
         line = np.repeat(np.arange(len(which)), n)
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         begin, end = s[line], e[line]
-        rest = span_hash(self.sums, begin, begin + at) + span_hash(self.sums, begin + at + 1, end) * powers(int(n.max()) + 1 if len(n) else 1)[0][at]
+        rest = span_hash(self.sums, begin, begin + at) + span_hash(self.sums, begin + at + 1, end) * powers(at)
         length = np.concatenate([n[line] - 1, n]).astype(np.uint64)
         key = mix(np.concatenate([rest, span_hash(self.sums, s, e)]) + length * np.uint64(0x9E3779B97F4A7C15), 5)
         return np.concatenate([line, np.arange(len(which))]), np.concatenate([at, np.full(len(which), -1)]), key

@@ -8,7 +8,9 @@ done once a round, so that the result is the library's, which merges one pair at
 No piece holds a space mark behind another character, so words end before space marks; that is checked when the model is
 read. The model (a few hundred KB) is broadcast as bytes; the library is used to read its pieces only.
 
-Defined results: null text counts as empty and gives the end id only; further columns are passed on by encode().
+Defined results: null text counts as empty and gives the end id only; texts are coded whole, a long one as a piece of its
+own; a null doc_id is passed on; repeated rows are coded each; an empty table gives an empty result; further columns are
+passed on by encode() and decode(), but one with the name of a new column is replaced.
 """
 
 from __future__ import annotations
@@ -23,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framewise.llm.common import slices, texts_of, tune
+from framewise.llm.common import give_back, slices, texts_of, tidy_batches, tune
 from framewise.llm.hashing import BYTE_CODE, mix, prefix_sums, span_hash
 
 MARK = "▁"
-#: Words kept between batches of a worker; when there are more, all are forgotten. It bounds memory, not results.
+#: Words kept between batches of a task; when there are more, all are forgotten. It bounds memory, not results.
 CACHE_WORDS = 300_000
 _NONE = np.iinfo(np.int32).max
 _OTHER = 1 << 31  # symbols from here on are characters that no piece holds
@@ -110,9 +112,10 @@ class Encoder:
         self.text_len = np.array([len(x) for x in self.text])
         self.text_at = np.concatenate([[0], np.cumsum(self.text_len)])
         self.text_all = np.frombuffer(b"".join(self.text), np.uint8)
-        self._forget()
+        self.forget()
 
-    def _forget(self):
+    def forget(self):
+        """Drop the words known so far."""
         self.known, self.code = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.flat, self.bounds = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
@@ -169,7 +172,7 @@ class Encoder:
     def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of texts, each with the end id."""
         if len(self.known) > CACHE_WORDS:
-            self._forget()
+            self.forget()
         texts = pc.replace_substring(texts, MARK, " ")
         texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts, pa.scalar("", pa.large_string())))
         _, offsets, data = texts.buffers()
@@ -250,48 +253,65 @@ def _model(spark, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """df without `text` and with `ids`, the text's ids and the end id."""
+def _without(df: DataFrame, *names: str) -> list[T.StructField]:
+    """The fields of df but those; names are told apart as Spark does, without case."""
+    gone = {n.lower() for n in names}
+    return [f for f in df.schema if f.name.lower() not in gone]
+
+
+def _lists(flat: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
+
+
+def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """df without `text` and with `ids`, the text's ids and the end id, and if asked for `decoded`, what the ids decode to.
+    A column of df that has the name of a new one is replaced."""
     spark = tune(df.sparkSession)
     model = _model(spark, model_path)
-    schema = T.StructType([f for f in df.schema if f.name != text] + [T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    fields = _without(df, text, ids, decoded or ids)
+    new = [T.StructField(ids, T.ArrayType(T.IntegerType()))] + [T.StructField(decoded, T.StringType())] * bool(decoded)
+    rest = [f.name for f in fields]
 
     def run(batches):
         coder = encoder(model.value)
         for b in batches:
-            rest = [c for c in b.schema.names if c != text]
             texts = texts_of(b[text])
             for a, z in slices(texts):
                 flat, bounds = coder.encode(texts.slice(a, z - a))
-                out = b.select(rest).slice(a, z - a)
-                yield pa.record_batch([*out.columns, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))], names=[*rest, ids])
+                out = [*b.select(rest).slice(a, z - a).columns, _lists(flat, bounds)]
+                if decoded:
+                    out.append(pa.array(coder.decode(flat, bounds), pa.string()))
+                yield pa.record_batch(out, names=[*rest, *(f.name for f in new)])
+        coder.forget()
+        give_back()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, T.StructType([*fields, *new]))
 
 
 def decode(df: DataFrame, model_path: str, ids: str = "ids", text: str = "text") -> DataFrame:
-    """df with `text`, decoded from `ids`."""
+    """df with `text`, decoded from `ids` (null: the empty text). A column of df that is named `text` is replaced."""
     spark = tune(df.sparkSession)
     model = _model(spark, model_path)
-    schema = T.StructType([*df.schema, T.StructField(text, T.StringType())])
+    fields = _without(df, text)
+    rest = [f.name for f in fields]
 
     def run(batches):
         coder = encoder(model.value)
         for b in batches:
-            column = b[ids]
+            column = b[ids].fill_null([]) if b[ids].null_count else b[ids]
             bounds = column.offsets.to_numpy().astype(np.int64)
             flat = column.values.to_numpy()[bounds[0] : bounds[-1]] if len(column) else np.zeros(0, np.int32)
-            yield pa.record_batch([*b.columns, pa.array(coder.decode(flat, bounds - bounds[0]) if len(column) else [], pa.string())], names=[*b.schema.names, text])
+            yield pa.record_batch([*b.select(rest).columns, pa.array(coder.decode(flat, bounds - bounds[0]) if len(column) else [], pa.string())], names=[*rest, text])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy_batches(run), T.StructType([*fields, T.StructField(text, T.StringType())]))
 
 
 def digests(df: DataFrame, model_path: str) -> DataFrame:
-    """documents -> doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    back = decode(encode(df.select("doc_id", "text"), model_path), model_path)
+    """documents -> doc_id, n_tokens, ids_sha256, decoded_sha256. Both directions in one pass: one worker for each task."""
+    back = encode(df.select("doc_id", "text"), model_path, decoded="decoded")
     return back.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )

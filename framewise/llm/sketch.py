@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framewise.llm.common import tidy
+
 
 def bits_for(blocks: int) -> int:
     return min(56, 29 + max(1, blocks - 1).bit_length())
@@ -72,7 +74,7 @@ def merge(sketches: DataFrame, hot_from: int = 32) -> DataFrame:
                 out["hot"].append(pack(np.unique(part[n >= hot_from])))
         return pa.table(out, pa.schema([("block", pa.int64()), ("cells", pa.binary()), ("hot", pa.binary())]))
 
-    return sketches.groupBy("shard").applyInArrow(one, SHARED)
+    return sketches.groupBy("shard").applyInArrow(tidy(one), SHARED)
 
 
 def member(keys: np.ndarray, cells: np.ndarray, bits: int) -> np.ndarray:
@@ -97,7 +99,7 @@ def sketches(blocks: DataFrame, keys: Callable[[pa.Table], Iterator[np.ndarray]]
         pieces = list(keys(table))
         return sketch_rows(table["block"][0].as_py(), np.concatenate(pieces) if pieces else np.zeros(0, np.uint64), n, bits)
 
-    return blocks.groupBy("block").applyInArrow(one, SKETCH)
+    return blocks.groupBy("block").applyInArrow(tidy(one), SKETCH)
 
 
 def block_of(column: str, n: int):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewise.llm import sketch
-from framewise.llm.common import n_blocks, slices, texts_of, tune
+from framewise.llm.common import n_blocks, slices, texts_of, tidy, tune
 from framewise.llm.hashing import Words
 
 LAST = (1 << 63) - 1
@@ -86,7 +86,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = False) -
         columns = w.h1[may].view(np.int64), ((w.h2[may] << np.uint64(32)) | w.start[may].astype(np.uint64)).view(np.int64), ids[w.row[may]], w.row[may]
         return pa.table({name: pa.array(x, kind) for (name, kind), x in zip(_ROWS, columns, strict=True)})
 
-    rows = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(candidates, "h1 long, hs long, doc long, ord int")
+    rows = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(tidy(candidates), "h1 long, hs long, doc long, ord int")
     rows = rows.select("h1", F.shiftright("hs", 32).alias("h2"), "doc", "ord", F.col("hs").bitwiseAND(0xFFFFFFFF).cast("int").alias("start"))
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("h1", "h2").orderBy("doc", "ord", "start")))
     known_id = F.when(F.col("doc") != LAST, F.col("doc"))
@@ -115,7 +115,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = False) -
         return pa.table(out)
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    return blocks.groupBy("block").cogroup(later.groupBy("block")).applyInArrow(cut, schema)
+    return blocks.groupBy("block").cogroup(later.groupBy("block")).applyInArrow(tidy(cut), schema)
 
 
 _ROWS = (("h1", pa.int64()), ("hs", pa.int64()), ("doc", pa.int64()), ("ord", pa.int32()))

@@ -8,7 +8,8 @@ or threat, whose weights add up along the best path. The score of a text is a lo
 fitted on the same rows. Words outside a matched clause count for nothing.
 
 Everything is learned on at most SAMPLE labelled rows (those with the smallest hash), a documented bound; no row with
-crc32(doc_id) % 4 = 2 is among them. Labels, lang, source and doc_id are no inputs of a score.
+crc32(doc_id) % 4 = 2 is among them. The lexicon holds all forms of those rows with enough evidence: LEAST_CONTEXTS toxic
+contexts and log-odds of LEAST_WEIGHT. Labels, lang, source and doc_id are no inputs of a score.
 
 Defined results: null text counts as empty and scores as a text without a match; repeated rows score alike; without any
 toxic label the lexicon is empty and all scores are low; texts are read whole; further columns are ignored.
@@ -25,10 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewise.llm.common import texts_of, tune
+from framewise.llm.common import texts_of, tidy_batches, tune
 
 SAMPLE = 12_000
-LEXICON = 4_000
 LEAST_CONTEXTS, LEAST_WEIGHT = 5, 2.5
 STEMS = (4, 5, 6)
 THRESHOLD = 0.3
@@ -170,8 +170,8 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     if not total.T:
         return {}
     weight = F.log((F.col("t") + 0.5) / F.lit(total.T + 1.0)) - F.log((F.col("c") + 0.5) / F.lit(total.C + 1.0))
-    rows = counts.withColumn("w", weight).filter(f"t >= {LEAST_CONTEXTS} and w >= {LEAST_WEIGHT}").orderBy(F.desc(F.col("w") * F.log1p("t")), "form").limit(LEXICON).collect()
-    return {r.form: r.w for r in rows}
+    rows = counts.withColumn("w", weight).filter(f"t >= {LEAST_CONTEXTS} and w >= {LEAST_WEIGHT}").collect()
+    return {r.form: r.w for r in sorted(rows)}
 
 
 def fit(features: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -193,7 +193,7 @@ def _features(df: DataFrame, matcher, carry: str, schema: str) -> DataFrame:
             columns = [pa.array(x, pa.float64()) for x in zip(*found, strict=True)] if found else [pa.array([], pa.float64())] * 3
             yield pa.record_batch([b[carry], *columns], names=[carry, "best", "all", "dense"])
 
-    return df.mapInArrow(run, f"{schema}, best double, all double, dense double")
+    return df.mapInArrow(tidy_batches(run), f"{schema}, best double, all double, dense double")
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], list[float]]:
@@ -236,4 +236,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
             x = np.array([m.features(t) for t in texts_of(b.column(at)).to_pylist()]).reshape(-1, 3)
             yield b.filter(pa.array(1 / (1 + np.exp(-np.clip(w[0] + x @ np.array(w[1:]), -500, 500))) < THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy_batches(run), docs.schema)
