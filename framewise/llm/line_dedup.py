@@ -23,19 +23,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framewise.llm import sketch
-from framewise.llm.common import n_blocks, slices, stash, texts_of, tune
+from framewise.llm.common import free_names, n_blocks, slices, stash, texts_of, tidy, tidy_batches, tune
 from framewise.llm.hashing import mix, powers, prefix_sums, span_hash
 
 NEAR_CHARS = 20
 PARTS = 4
 LAST = (1 << 63) - 1
+WHITE = " \t\n\x0b\x0c\r"
 _WHITE = np.zeros(0x22, bool)
-_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+_WHITE[[ord(c) for c in WHITE]] = True
 
 
 @lru_cache(maxsize=1)
@@ -124,7 +125,7 @@ def line_table(docs: DataFrame) -> DataFrame:
                 w = lines.full
                 yield pa.record_batch([pa.array(ids[a + lines.text[w]]), pa.array(lines.place[w], pa.int32()), pa.array(_key(lines, w)), pa.array(mix(lines.hashes(w), 2).view(np.int64))], names=["doc", "line", "h1", "h2"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc long, line int, h1 long, h2 long")
+    return docs.select("doc_id", "text").mapInArrow(tidy_batches(run), "doc long, line int, h1 long, h2 long")
 
 
 def _asked(table: pa.Table) -> np.ndarray:
@@ -141,13 +142,10 @@ def _in(lines: Lines, ids: np.ndarray, which: np.ndarray, asked: np.ndarray) ->
     return hit
 
 
-def _pieces(table: pa.Table, only: np.ndarray | None = None):
-    """(lines, their documents' ids) of a block, or of some of its documents."""
+def _pieces(table: pa.Table):
+    """(lines, their documents' ids) of a block."""
     ids = table["doc_id"].fill_null(LAST).to_numpy()
     texts = texts_of(table["text"])
-    if only is not None:
-        mine = np.isin(ids, only)
-        ids, texts = ids[mine], texts.filter(pa.array(mine))
     for a, z in slices(texts):
         lines = Lines(texts.slice(a, z - a))
         yield lines, ids[a + lines.text]
@@ -160,20 +158,41 @@ def _near_lines(table: pa.Table, copies: np.ndarray):
         yield lines, which[~_in(lines, ids, which, copies)]
 
 
+def _strings(table: pa.Table, asked: np.ndarray) -> pa.Table:
+    """The asked lines of a block with their texts. Only documents that hold one are split."""
+    ids = table["doc_id"].fill_null(LAST).to_numpy()
+    mine = np.isin(ids, asked.doc)
+    out: dict[str, list] = {"doc": [], "line": [], "string": []}
+    first, last = np.searchsorted(asked.doc, ids[mine]), np.searchsorted(asked.doc, ids[mine], "right")
+    for text, doc, a, z in zip(texts_of(table["text"]).filter(pa.array(mine)).to_pylist(), ids[mine].tolist(), first.tolist(), last.tolist(), strict=True):
+        lines = text.split("\n")
+        for place in sorted(set(asked.line[a:z].tolist())):
+            if place < len(lines) and (line := lines[place].strip(WHITE)):
+                for k, v in zip(out, (doc, place, line), strict=True):
+                    out[k].append(v)
+    strings = pa.array(out["string"], pa.large_string())
+    lines = Lines(strings)
+    keys = _key(lines, lines.full) if len(strings) else np.zeros(0, np.int64)
+    found = pa.table({"doc": pa.array(out["doc"], pa.int64()), "line": pa.array(out["line"], pa.int32()), "h1": pa.array(keys), "string": strings.cast(pa.string())})
+    return found.filter(pa.array(np.isin(np.rec.fromarrays([found[c].to_numpy().astype(np.int64) for c in _LINE], names=_LINE), asked)))
+
+
 def repeated_lines(docs: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
     """(_block, doc, line, h1) of all lines to remove."""
     bits = sketch.bits_for(n)
     block = lambda: F.pmod(F.xxhash64(F.when(F.col("doc") != LAST, F.col("doc"))), F.lit(n)).alias("_block")
     by_block = blocks.groupBy("_block")
     table = stash(line_table(docs), "lines")
-    distinct = table.groupBy("h1", "h2").agg(F.min(_place()).alias("first"))
-    copies = stash(table.join(distinct, ["h1", "h2"]).filter(_before("first")).select(block(), *_LINE), "line-copies")
+    # Lines by hash, with the first place and whether there is another one: lines without one are no copies.
+    distinct = stash(table.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last")), "distinct-lines")
+    several = distinct.filter("first < last").select("h1", "h2", "first")
+    copies = stash(table.join(several, ["h1", "h2"]).filter(_before("first")).select(block(), *_LINE), "line-copies")
 
     def sketched(key, docs_, copies_):
         parts = [lines.part_keys(which).ravel() for lines, which in _near_lines(docs_, _asked(copies_))]
         return sketch.sketch_rows(key[0].as_py(), np.concatenate(parts) if parts else np.zeros(0, np.uint64), n, bits)
 
-    shared = sketch.merge(by_block.cogroup(copies.groupBy("_block")).applyInArrow(sketched, sketch.SKETCH))
+    shared = sketch.merge(by_block.cogroup(copies.groupBy("_block")).applyInArrow(tidy(sketched), sketch.SKETCH))
     none = lambda kind, name: F.lit(None).cast(kind).alias(name)
     more = copies.select("_block", *_LINE, none("binary", "cells")).unionByName(shared.select(F.col("block").alias("_block"), none("long", "doc"), none("int", "line"), none("long", "h1"), "cells"))
 
@@ -185,23 +204,19 @@ def repeated_lines(docs: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
             out.append(pa.table({"key": pa.array(k.view(np.int64)), "at": pa.array(at, pa.int32()), "h1": pa.array(_key(lines, which)[line])}))
         return pa.concat_tables(out) if out else pa.table({"key": pa.array([], pa.int64()), "at": pa.array([], pa.int32()), "h1": pa.array([], pa.int64())})
 
-    rows = by_block.cogroup(more.groupBy("_block")).applyInArrow(variants, "key long, at int, h1 long").repartition("key")
-    groups = rows.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).filter("lo < hi").select("key")
-    met = rows.join(groups, "key").join(distinct.select("h1", F.col("first.doc").alias("doc"), F.col("first.line").alias("line")), "h1").select("key", "at", *_LINE)
-    ends = met.groupBy("key").agg(F.min(F.when(F.col("at") < 0, _place())).alias("whole"), F.min(F.when(F.col("at") >= 0, _place())).alias("cut"))
-    same_place = met.groupBy("key", "at").agg(F.min(_place()).alias("same"))
-    met = met.join(ends, "key").join(same_place, ["key", "at"]).withColumn("earlier", F.when(F.col("at") < 0, F.col("cut")).otherwise(F.least("same", "whole")))
-    pairs = met.filter(_before("earlier")).select(*_LINE, "earlier").distinct()
+    # Variants are made and shuffled once: both ends of a group are found in its own partition.
+    of_key = Window.partitionBy("key")
+    rows = by_block.cogroup(more.groupBy("_block")).applyInArrow(tidy(variants), "key long, at int, h1 long")
+    groups = rows.withColumns({"lo": F.min("h1").over(of_key), "hi": F.max("h1").over(of_key)}).filter("lo < hi").select("key", "at", "h1")
+    met = groups.join(distinct.select("h1", F.col("first.doc").alias("doc"), F.col("first.line").alias("line")), "h1")
+    ends = {"whole": F.min(F.when(F.col("at") < 0, _place())).over(of_key), "cut": F.min(F.when(F.col("at") >= 0, _place())).over(of_key), "same": F.min(_place()).over(Window.partitionBy("key", "at"))}
+    pairs = met.withColumns(ends).withColumn("earlier", F.when(F.col("at") < 0, F.col("cut")).otherwise(F.least("same", "whole"))).filter(_before("earlier")).select(*_LINE, "earlier").distinct()
     both = pairs.select(*_LINE).unionByName(pairs.select("earlier.*")).distinct()
 
     def strings(key, docs_, asked_):
-        asked, out = _asked(asked_), []
-        for lines, ids in _pieces(docs_, np.unique(asked.doc)):
-            which = lines.full[_in(lines, ids, lines.full, asked)]
-            out.append(pa.table({"doc": pa.array(ids[which], pa.int64()), "line": pa.array(lines.place[which], pa.int32()), "h1": pa.array(_key(lines, which)), "string": pa.array([lines.string(k) for k in which.tolist()], pa.string())}))
-        return pa.concat_tables(out) if out else pa.table({"doc": pa.array([], pa.int64()), "line": pa.array([], pa.int32()), "h1": pa.array([], pa.int64()), "string": pa.array([], pa.string())})
+        return _strings(docs_, _asked(asked_))
 
-    text = by_block.cogroup(both.select(block(), *_LINE).groupBy("_block")).applyInArrow(strings, "doc long, line int, h1 long, string string").dropDuplicates(_LINE)
+    text = by_block.cogroup(both.select(block(), *_LINE).groupBy("_block")).applyInArrow(tidy(strings), "doc long, line int, h1 long, string string").dropDuplicates(_LINE)
     near = (
         pairs.join(text, _LINE)
         .join(text.select(_place().alias("earlier"), F.col("string").alias("string2")), "earlier")
@@ -213,48 +228,59 @@ def repeated_lines(docs: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
     return copies.unionByName(near)
 
 
-def rewrite(docs: DataFrame) -> DataFrame:
-    """docs with repeated lines taken out of text, and _n_lines, _n_removed (lines with a word, before and removed)."""
+def rewrite(docs: DataFrame, counts: tuple[str, str] = ("_n_lines", "_n_removed")) -> DataFrame:
+    """docs with repeated lines taken out of text, and two more columns named by counts: lines with a word, before and
+    removed. The names must not be columns of docs."""
     spark = tune(docs.sparkSession)
     n = n_blocks(spark)
-    blocks = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.lit(n))).repartition("_block")
-    gone = repeated_lines(docs, blocks, n)
     names = list(docs.columns)
+    # The further columns travel as one, whatever their names are.
+    rest = [c for c in names if c not in ("doc_id", "text")]
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(rest)), F.lit(0).alias("c")).alias("rest"))
+    blocks = packed.withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.lit(n))).repartition("_block")
+    gone = repeated_lines(packed.select("doc_id", "text"), blocks, n)
 
     def run(key, docs_, gone_):
         asked = _asked(gone_)
-        kept, total, removed = [], [], []
-        for lines, ids in _pieces(docs_):
-            drop = lines.is_full.copy()
-            drop[lines.full] = _in(lines, ids, lines.full, asked)
-            count = int(lines.text[-1]) + 1 if len(lines.text) else 0
-            removed.append(np.bincount(lines.text[drop], minlength=count))
-            total.append(np.bincount(lines.text[lines.full], minlength=count))
-            gone_places: dict[int, set[int]] = {}
-            for t, k in zip(lines.text[drop].tolist(), lines.place[drop].tolist(), strict=True):
-                gone_places.setdefault(t, set()).add(k)
-            kept += [gone_places.get(t) for t in range(count)]
-        old = docs_["text"].to_pylist()
-        new = [t if g is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in g) for t, g in zip(old, kept, strict=True)]
-        whole = lambda parts: pa.array(np.concatenate(parts) if parts else [], pa.int64())
-        out = docs_.select(names).set_column(names.index("text"), "text", pa.array(new, pa.string()))
-        return out.append_column("_n_lines", whole(total)).append_column("_n_removed", whole(removed))
-
-    fields = [T.StructField(f.name, T.LongType()) if f.name == "doc_id" else f for f in docs.schema]
-    schema = T.StructType([*fields, T.StructField("_n_lines", T.LongType()), T.StructField("_n_removed", T.LongType())])
-    return blocks.groupBy("_block").cogroup(gone.groupBy("_block")).applyInArrow(run, schema)
+        ids = docs_["doc_id"].fill_null(LAST).to_numpy()
+        first, last = np.searchsorted(asked.doc, ids), np.searchsorted(asked.doc, ids, "right")
+        total, removed, new = [], [], []
+        for text, a, z in zip(docs_["text"].to_pylist(), first.tolist(), last.tolist(), strict=True):
+            lines = (text or "").split("\n")
+            full = [bool(x.strip(WHITE)) for x in lines]
+            drop = _gone(lines, full, asked[a:z]) if a < z else set()
+            total.append(sum(full))
+            removed.append(len(drop))
+            new.append("\n".join(x for k, x in enumerate(lines) if k not in drop) if drop else text)
+        out = docs_.select(["doc_id", "text", "rest"]).set_column(1, "text", pa.array(new, pa.string()))
+        return out.append_column("total", pa.array(total, pa.int64())).append_column("removed", pa.array(removed, pa.int64()))
+
+    schema = T.StructType([*packed.schema, T.StructField("total", T.LongType()), T.StructField("removed", T.LongType())])
+    done = blocks.groupBy("_block").cogroup(gone.groupBy("_block")).applyInArrow(tidy(run), schema)
+    back = {"doc_id": F.col("doc_id"), "text": F.col("text")} | {c: F.col(f"rest.c{k}") for k, c in enumerate(rest)}
+    return done.select(*(back[c].alias(c) for c in names), F.col("total").alias(counts[0]), F.col("removed").alias(counts[1]))
+
+
+def _gone(lines: list[str], full: list[bool], asked: np.ndarray) -> set[int]:
+    """Places of the asked lines: those of the document whose hash is asked for too, as rows may repeat a doc_id."""
+    places = [k for k in np.unique(asked.line).tolist() if k < len(lines) and full[k]]
+    some = Lines(pa.array([lines[k].strip(WHITE) for k in places], pa.large_string()))
+    keys = _key(some, some.full).tolist() if places else []
+    wanted = set(zip(asked.line.tolist(), asked.h1.tolist(), strict=True))
+    return {k for k, h in zip(places, keys, strict=True) if (k, h) in wanted}
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """documents -> doc_id, n_lines, n_removed, kept_sha256."""
-    done = rewrite(docs.select("doc_id", "text"))
-    return done.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    done = rewrite(docs.select("doc_id", "text"), ("n_lines", "n_removed"))
+    return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """documents with repeated lines removed; a document all of whose lines are repeats goes. All columns are kept, and
     n_chars, where there is one, follows the text."""
-    done = rewrite(docs).filter("_n_lines = 0 or _n_removed < _n_lines").drop("_n_lines")
+    total, removed = free_names(docs, "n_lines", "n_removed")
+    done = rewrite(docs, (total, removed)).filter(f"`{total}` = 0 or `{removed}` < `{total}`")
     if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return done.drop("_n_removed").select(docs.columns)
+        done = done.withColumn("n_chars", F.when(F.col(removed) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return done.select([f"`{c}`" for c in docs.columns])

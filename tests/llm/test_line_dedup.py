@@ -68,3 +68,13 @@ def test_dedup_keeps_columns(spark):
     assert got.columns == df.columns
     assert sorted(map(tuple, got.collect()), key=str) == [(1, "a b\nc", 5, "p"), (3, "d", 1, None), (4, "", 0, "r"), (5, None, None, "s")]
     assert digests(df.limit(0)).collect() == []
+
+
+def test_clashing_names_and_repeated_ids(spark):
+    rows = [(1, "a line of more than twenty characters\nb", 1), (1, "other text under one id\nb", 2), (2, "a line of more than twenty charactersX\nother text under one id\nc", 3), (None, "b", 4), (None, None, 5)]
+    names = ["_block", "_n_lines", "_n_removed", "n_lines", "n_removed", "rest", "total", "c0"]
+    df = spark.createDataFrame([(i, t, *[k] * len(names)) for i, t, k in rows], "doc_id long, text string, " + ", ".join(f"`{c}` int" for c in names))
+    got = dedup(df)
+    assert got.columns == df.columns
+    assert sorted((r[0], r[1], r[2]) for r in got.collect() if r[0] is not None) == [(1, "a line of more than twenty characters\nb", 1), (1, "other text under one id\nb", 2), (2, "c", 3)]
+    assert [(r[1], r[9]) for r in got.collect() if r[0] is None] == [(None, 5)]
