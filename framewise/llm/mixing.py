@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewise.llm.common import stash
+from framewise.llm.common import free_names, stash
 
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
@@ -262,12 +262,15 @@ def plan(docs: DataFrame, members: Column, seed: int = SEED, weights=WEIGHTS) ->
     return spark.createDataFrame(rows, f"pattern string, copies int, rounds array<{ROUND}>, fill long"), sizes, quota
 
 
-def repeats(docs: DataFrame, planned: DataFrame, members: Column, seed: int = SEED) -> DataFrame:
-    """docs with _size and _times: how often the mix takes each row."""
-    key = docs.withColumns({"_pattern": _key(F.array_sort(F.array_distinct(members))), "_u": _spread(F.col("doc_id"), F.col("text"), seed), "_size": size_of()})
-    p = F.broadcast(planned.select(F.col("pattern").alias("_pattern"), F.col("copies").alias("_copies"), F.col("rounds").alias("_rounds"), F.col("fill").alias("_fill")))
-    more = (_in_rounds(F.col("_rounds"), F.col("_u"), F.col("_size")) | (F.col("_u") == F.coalesce("_fill", F.lit(-1)))).cast("int")
-    return key.join(p, "_pattern").withColumn("_times", F.least(F.col("_copies") + more, F.lit(MOST_REPEATS))).drop("_pattern", "_u", "_copies", "_rounds", "_fill")
+def repeats(docs: DataFrame, planned: DataFrame, members: Column, seed: int = SEED, names: tuple[str, str] = ("_size", "_times")) -> DataFrame:
+    """docs and two more columns: size, and how often the mix takes the row. The names must not be columns of docs."""
+    mine, of = free_names(docs, "mix", "pattern")
+    row = F.struct(_key(F.array_sort(F.array_distinct(members))).alias("pattern"), _spread(F.col("doc_id"), F.col("text"), seed).alias("u"), size_of().alias("size"))
+    p = F.broadcast(planned.select(F.struct("pattern", "copies", "rounds", "fill").alias(of)))
+    x = lambda c: F.col(f"{mine}.{c}")
+    more = (_in_rounds(F.col(f"{of}.rounds"), x("u"), x("size")) | (x("u") == F.coalesce(f"{of}.fill", F.lit(-1)))).cast("int")
+    joined = docs.withColumn(mine, row).join(p, x("pattern") == F.col(f"{of}.pattern"))
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), x("size").alias(names[0]), F.least(F.col(f"{of}.copies") + more, F.lit(MOST_REPEATS)).alias(names[1]))
 
 
 def mix_table(docs: DataFrame) -> DataFrame:
@@ -275,13 +278,15 @@ def mix_table(docs: DataFrame) -> DataFrame:
     members = F.array("source")
     planned, sizes, quota = plan(docs, members)
     by_source = docs.sparkSession.createDataFrame([(s, int(n), float(quota[s])) for s, n in sizes.items()], "source string, source_size long, target double")
-    rows = repeats(docs.select("doc_id", "text", "source"), planned, members).select("doc_id", "source", F.col("_size").alias("size"), "_times")
+    rows = repeats(docs.select("doc_id", "text", "source"), planned, members, names=("size", "times")).drop("text")
     by_source = F.broadcast(by_source.withColumnRenamed("source", "s"))
-    return rows.join(by_source, rows["source"].eqNullSafe(by_source["s"])).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("_times")).alias("taken"))
+    return rows.join(by_source, rows["source"].eqNullSafe(by_source["s"])).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself: documents, each as often as it is taken. All columns are kept."""
     members = F.array("source")
     planned, _, _ = plan(docs, members)
-    return repeats(docs, planned, members).filter("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
+    size, times = free_names(docs, "size", "times")
+    rows = repeats(docs, planned, members, names=(size, times)).filter(f"`{times}` > 0")
+    return rows.select(*(F.col(f"`{c}`") for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col(times))).alias(times)).drop(times)
