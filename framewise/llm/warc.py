@@ -8,7 +8,7 @@ only attempts that ended well are in the index, so a lost executor leaves nothin
 
 Defined results: null html is an empty payload; payloads under 100 bytes are never revisits; a null page_id orders after all
 others and is written as "null"; rows that repeat a page_id with the same payload are all responses; an empty table writes
-no bundle; further columns are ignored.
+no bundle; a record longer than a frame gets a frame of its own; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,11 +25,13 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewise.llm.common import n_blocks, new_path, stash, tune
+from framewise.llm.common import n_blocks, new_path, stash, tidy_batches, tune
 
 LEAST_REVISIT = 100
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 27
+#: Frames that are read as one piece of work, of FRAME_BYTES each and more where a record is longer.
+READ_FRAMES = 16
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -155,7 +157,7 @@ def write(planned: DataFrame, folder: str) -> DataFrame:
         if bundle:
             bundle.close()
 
-    return planned.select("page_id", "url", "html", "digest", "refers_to").mapInArrow(run, INDEX)
+    return planned.select("page_id", "url", "html", "digest", "refers_to").mapInArrow(tidy_batches(run), INDEX)
 
 
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -173,14 +175,14 @@ def _row(head, http, payload) -> tuple:
 
 
 def read(index: DataFrame) -> DataFrame:
-    """All records of the index's bundles, read frame by frame: page_id, payload_bytes, payload_digest, record_type,
+    """All records of the index's bundles, read frame by frame at the places that the seek tables give: page_id, payload_bytes, payload_digest, record_type,
     refers_to. Digests of responses are computed from the payload that was read."""
 
     def run(batches):
         for b in batches:
-            for uri in b["bundle"].to_pylist():
+            for uri, part in zip(b["bundle"].to_pylist(), b["part"].to_pylist(), strict=True):
                 bundle = BundleReader(uri)
-                for k in range(len(bundle.frames)):
+                for k in range(part * READ_FRAMES, min((part + 1) * READ_FRAMES, len(bundle.frames))):
                     data, at, rows = bundle.frame(k), 0, []
                     while at < len(data):
                         head, http, payload, at = parse(data, at)
@@ -188,8 +190,10 @@ def read(index: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
                 bundle.close()
 
-    # A row here is a whole bundle of work: dealt by number, which adaptive execution doesn't coalesce.
-    return index.select("bundle").distinct().repartition(n_blocks(index.sparkSession), "bundle").mapInArrow(run, READ)
+    # A row here is READ_FRAMES frames of work. Dealt in turn to a given number of partitions, which adaptive execution leaves
+    # as they are; by a key it would merge them, for the rows are few.
+    work = index.select("bundle", F.floor(F.col("frame") / READ_FRAMES).cast("int").alias("part")).distinct()
+    return work.repartition(n_blocks(index.sparkSession)).mapInArrow(tidy_batches(run), READ)
 
 
 def fetch(index: DataFrame) -> DataFrame:
