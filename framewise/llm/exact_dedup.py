@@ -7,7 +7,8 @@ the normalised texts of both sides' representatives are compared byte by byte. G
 combination, so a text repeated in a third of all rows is one row per task.
 
 Defined results: null text counts as empty; a null doc_id orders after all others; rows that repeat a doc_id with the same
-text are the same document and share its decision; an empty snapshot or batch is allowed; further columns are ignored.
+text are the same document and share its decision; texts are compared whole, whatever their length; an empty snapshot or
+batch is allowed; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewise.llm.common import n_blocks, stash, tune
+from framewise.llm.common import n_blocks, stash, tidy, tune
 from framewise.llm.fuse_filter import FuseFilter
 
 #: The characters of [\x20\x09-\x0D].
@@ -29,14 +30,14 @@ def normalised(text: str = "text") -> Column:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, digest (32 bytes) and chars, the code points of the original text."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(normalised(), 256)).alias("digest"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars"))
+    """doc_id, new, digest (32 bytes) and chars, the code points of the original text."""
+    return docs.select("new", F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(normalised(), 256)).alias("digest"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars"))
 
 
 def groups(rows: DataFrame) -> DataFrame:
-    """One row per digest: rows, and the one that stays (most code points, then smallest doc_id, null last)."""
+    """One row per digest and side: rows, and the one that stays (most code points, then smallest doc_id, null last)."""
     best = F.min(F.struct((-F.col("chars")).alias("less"), F.col("doc_id").isNull().alias("last"), "doc_id"))
-    return rows.groupBy("digest").agg(F.count("*").alias("rows"), best.alias("best"))
+    return rows.groupBy("digest", "new").agg(F.count("*").alias("rows"), best.alias("best"))
 
 
 def filters(snapshot: DataFrame, buckets: int) -> DataFrame:
@@ -46,7 +47,7 @@ def filters(snapshot: DataFrame, buckets: int) -> DataFrame:
         f = FuseFilter.build(table["h"].to_numpy().view(np.uint64))
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "seed": [f.seed], "segment": [f.segment], "span": [f.span], "prints": pa.array([f.prints.tobytes()], pa.binary())})
 
-    return _keyed(snapshot, buckets).select("bucket", "h").groupBy("bucket").applyInArrow(one, "bucket long, seed long, segment long, span long, prints binary")
+    return _keyed(snapshot, buckets).select("bucket", "h").groupBy("bucket").applyInArrow(tidy(one), "bucket long, seed long, segment long, span long, prints binary")
 
 
 def _keyed(rows: DataFrame, buckets: int) -> DataFrame:
@@ -65,31 +66,40 @@ def screen(batch: DataFrame, made: DataFrame, buckets: int) -> DataFrame:
         return left.select(["digest"]).append_column("maybe", pa.array(maybe))
 
     keyed = _keyed(batch.select("digest"), buckets)
-    return keyed.groupBy("bucket").cogroup(made.groupBy("bucket")).applyInArrow(one, "digest binary, maybe boolean")
+    return keyed.groupBy("bucket").cogroup(made.groupBy("bucket")).applyInArrow(tidy(one), "digest binary, maybe boolean")
 
 
 def dedup(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
     """One row for each row of both inputs (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256."""
-    spark = tune(snapshot.sparkSession)
+    side = lambda df, new: df.select("doc_id", "text", F.lit(new).alias("new"))
+    return dedup_sides(side(snapshot, False).unionByName(side(batch, True)))
+
+
+def dedup_sides(docs: DataFrame) -> DataFrame:
+    """The same for one table (doc_id, text, new), whose rows with `new` are the incoming batch and the others the snapshot."""
+    spark = tune(docs.sparkSession)
     buckets = n_blocks(spark)
-    old, new = stash(digests(snapshot), "digests"), stash(digests(batch), "digests")
-    old_groups, new_groups = groups(old), groups(new)
-    screened = stash(new_groups.join(screen(new_groups, filters(old_groups, buckets), buckets), "digest"), "screened")
-    found = screened.filter("maybe").join(old_groups.select("digest", F.col("rows").alias("old_rows"), F.col("best").alias("old_best")), "digest")
+    rows = stash(digests(docs), "digests")
+    of = stash(groups(rows), "groups")
+    old_groups, new_groups = of.filter("not new").drop("new"), of.filter("new").drop("new")
+    screened = new_groups.join(screen(new_groups, filters(old_groups, buckets), buckets).filter("maybe"), "digest").drop("maybe")
+    found = screened.join(old_groups.select("digest", F.col("rows").alias("old_rows"), F.col("best").alias("old_best")), "digest")
     found = stash(found.select("digest", "rows", "best", "old_rows", "old_best"), "positives")
-    # The byte check. Ids that can't be looked up (null) rest on the 256-bit digest.
-    text = lambda docs, name: docs.select(F.col("doc_id").cast("long").alias(f"{name}_id"), normalised().alias(name))
-    pairs = found.select("digest", F.col("best.doc_id").alias("new_id"), F.col("old_best.doc_id").alias("old_id"))
-    # Shuffled at every size, so that what moves is in proportion to the input.
-    new_text = pairs.hint("shuffle_hash").join(text(batch, "new"), "new_id").select("digest", "new")
-    old_text = pairs.hint("shuffle_hash").join(text(snapshot, "old"), "old_id").select("digest", "old")
-    differ = new_text.join(old_text, "digest").groupBy("digest").agg(F.max(F.col("new") == F.col("old")).alias("same")).filter("not same").select("digest")
+    # The byte check, on the texts of both sides' representatives. Ids that can't be looked up (null) rest on the 256-bit
+    # digest. The text is shuffled at every size, so that what moves is in proportion to the input.
+    ids = F.array(F.struct(F.col("best.doc_id").alias("doc_id"), F.lit(True).alias("new")), F.struct(F.col("old_best.doc_id").alias("doc_id"), F.lit(False).alias("new")))
+    asked = found.filter("best.doc_id is not null and old_best.doc_id is not null").select("digest", F.inline(ids))
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "new", normalised().alias("text"))
+    texts = asked.hint("shuffle_hash").join(text, ["doc_id", "new"]).groupBy("digest", "text").agg((F.min("new") < F.max("new")).alias("both"))
+    differ = texts.groupBy("digest").agg(F.max("both").alias("same")).filter("not same").select("digest")
     same = found.join(differ, "digest", "left_anti")
-    joint = same.select("digest", (F.col("rows") + F.col("old_rows")).alias("rows"), F.least("best", "old_best").alias("best"))
-    alone = lambda g: g.select("digest", "rows", "best").join(same.select("digest"), "digest", "left_anti")
-    final = lambda g, rows: rows.join(g.unionByName(joint), "digest")
-    decided = final(alone(old_groups), old).unionByName(final(alone(screened), new))
-    return decided.select(
+    both = F.explode(F.array(F.lit(False), F.lit(True))).alias("new")
+    joint = same.select("digest", (F.col("rows") + F.col("old_rows")).alias("rows"), F.least("best", "old_best").alias("best"), both)
+    # One row for each digest and side. Written, so that the join below is of two plain tables, whose hot digests adaptive
+    # execution splits over tasks.
+    alone = of.join(same.select("digest"), "digest", "left_anti").select("digest", "rows", "best", "new")
+    decided = stash(alone.unionByName(joint), "decided")
+    return rows.join(decided, ["digest", "new"]).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
         F.col("rows").alias("group_size"),
@@ -100,5 +110,4 @@ def dedup(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
 
 def dedup_table(docs: DataFrame) -> DataFrame:
     """A whole table, of which a seeded half is the snapshot and the other half the incoming batch."""
-    side = F.pmod(F.xxhash64(F.lit("snapshot"), F.col("doc_id")), F.lit(2))
-    return dedup(docs.filter(side == 0), docs.filter(side == 1))
+    return dedup_sides(docs.select("doc_id", "text", (F.pmod(F.xxhash64(F.lit("snapshot"), F.col("doc_id")), F.lit(2)) == 1).alias("new")))
