@@ -7,6 +7,7 @@ one kind keep the order of the families, which puts narrower names first.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 # Label | SPDX identifiers | titles | addresses (each a pattern; empty: no rule).
@@ -55,7 +56,7 @@ elastic-2.0 | elastic-2\.0 | elastic\s+licen[sc]e | elastic\.co/licensing/elasti
 zlib | zlib | zlib(?:/libpng)?\s+licen[sc]e | zlib\.net/zlib_license
 libpng | libpng(?:-2\.0)? | libpng\s+licen[sc]e | libpng\.org/pub/png/src/libpng-license
 unlicense | unlicense | (?:the\s+)?unlicense(?:\s+licen[sc]e)? | unlicense\.org
-wtfpl | wtfpl | do\s+what\s+the\s+f\S+\s+you\s+want\s+to\s+public\s+licen[sc]e | wtfpl\.net
+wtfpl | wtfpl | do\s+what\s+the\s+f\S{1,9}\s+you\s+want\s+to\s+public\s+licen[sc]e | wtfpl\.net
 psf-2.0 | (?:psf|python)-2\.0 | python\s+software\s+foundation\s+licen[sc]e | python\.org/psf/license
 php-3.01 | php-3\.01? | php\s+licen[sc]e | php\.net/license
 ruby | ruby | ruby\s+licen[sc]e | ruby-lang\.org/en/about/license
@@ -71,8 +72,8 @@ cc-by-sa | cc-by-sa-\d\.\d | (?:cc[\s-]+by[\s-]+sa|creative\s+commons\s+attribut
 cc-by | cc-by-\d\.\d | (?:cc[\s-]+by|creative\s+commons\s+attribution)(?:\s+(?:licen[sc]e\s+)?\d\.\d)? | creativecommons\.org/licenses/by/
 cc0-1.0 | cc0-1\.0 | cc0(?:\s+1\.0)?(?:\s+universal)? | creativecommons\.org/publicdomain/zero
 public-domain-mark | pdm-1\.0 | public\s+domain\s+mark | creativecommons\.org/publicdomain/mark
-eupl-1.2 | eupl-1\.2 | european\s+union\s+public\s+licen[sc]e\s*,?\s*(?:version|v)?\.?\s*1\.2 | joinup\.ec\.europa\.eu/\S*eupl-1\.2
-eupl | eupl-1\.[01] | european\s+union\s+public\s+licen[sc]e | joinup\.ec\.europa\.eu/\S*eupl
+eupl-1.2 | eupl-1\.2 | european\s+union\s+public\s+licen[sc]e\s*,?\s*(?:version|v)?\.?\s*1\.2 | joinup\.ec\.europa\.eu/\S{0,200}eupl-1\.2
+eupl | eupl-1\.[01] | european\s+union\s+public\s+licen[sc]e | joinup\.ec\.europa\.eu/\S{0,200}eupl
 cecill-2.1 | cecill-2\.1 | cecill\s+free\s+software\s+licen[sc]e\s+agreement\s*,?\s*(?:version|v)?\s*2\.1 | cecill\.info/licences/licence_cecill_v2\.1
 cecill | cecill(?:-[12]\.\d|-b|-c)? | (?:licence\s+cecill|cecill(?:-[bc])?\s+licen[sc]e) | cecill\.info
 ms-pl | ms-pl | microsoft\s+public\s+licen[sc]e | opensource\.org/licenses?/ms-pl
@@ -82,7 +83,7 @@ afl-3.0 | afl-3\.0 | academic\s+free\s+licen[sc]e | opensource\.org/licenses?/af
 ecl-2.0 | ecl-2\.0 | educational\s+community\s+licen[sc]e | opensource\.org/licenses?/ecl-2\.0
 ncsa | ncsa | (?:university\s+of\s+illinois/)?ncsa\s+(?:open\s+source\s+)?licen[sc]e | opensource\.org/licenses?/ncsa
 postgresql | postgresql | postgresql\s+licen[sc]e | opensource\.org/licenses?/postgresql
-w3c | w3c | w3c\s+software\s+(?:notice\s+and\s+)?licen[sc]e | w3\.org/consortium/legal/\S*copyright-software
+w3c | w3c | w3c\s+software\s+(?:notice\s+and\s+)?licen[sc]e | w3\.org/consortium/legal/\S{0,200}copyright-software
 openssl | openssl | openssl\s+licen[sc]e | openssl\.org/source/license
 vim | vim | vim\s+licen[sc]e | vimhelp\.org/uganda
 blueoak-1.0 | blueoak-1\.0\.0 | blue\s+oak\s+model\s+licen[sc]e | blueoakcouncil\.org/license
@@ -96,10 +97,10 @@ curl | curl | curl\s+licen[sc]e | curl\.se/docs/copyright
 json | json | json\s+licen[sc]e | json\.org/license
 ftl | ftl | freetype\s+(?:project\s+)?licen[sc]e | freetype\.org/license
 ijg | ijg | independent\s+jpeg\s+group(?:'s)?\s+(?:software\s+)?licen[sc]e | ijg\.org
-openrail | openrail | (?:creativeml\s+)?open\s*rail(?:\+\+)?(?:-m)?\s+licen[sc]e | huggingface\.co/spaces/\S*openrail
+openrail | openrail | (?:creativeml\s+)?open\s*rail(?:\+\+)?(?:-m)?\s+licen[sc]e | huggingface\.co/spaces/\S{0,200}openrail
 """
 
-#: What the titles, tags and addresses of a family share literally; a rule runs only on texts that hold its keyword.
+#: What comes before a title in a grant, and before an identifier in a tag.
 GRANT = r"(?:licen[sc]ed|released|distributed|available|published)\s+(?:\w+\s+){0,3}?under\s+(?:the\s+)?(?:terms\s+(?:and\s+conditions\s+)?of\s+(?:the\s+)?)?"
 TAG = r"(?:spdx-license-identifier\s*:\s*(?:\(?\s*[\w.+-]+\s+(?:or|and|with)\s+)*|\"license\"\s*:\s*\"|license\s*=\s*\")"
 
@@ -114,27 +115,53 @@ GENERIC = (
     ("zlib", "'as-is',", r"this\s+software\s+is\s+provided\s+'as-is',\s+without\s+any\s+express", 0.8),
     ("gpl", "redistribute", r"redistribute\s+it\s+and/or\s+modify\s+it\s+under\s+the\s+terms\s+of\s+the\s+gnu\s+general\s+public", 0.9),
     ("unlicense", "unencumbered", r"free\s+and\s+unencumbered\s+software\s+released\s+into\s+the\s+public\s+domain", 0.9),
-    ("wtfpl", "just", r"you\s+just\s+do\s+what\s+the\s+f\S+\s+you\s+want\s+to", 0.9),
+    ("wtfpl", "just", r"you\s+just\s+do\s+what\s+the\s+f\S{1,9}\s+you\s+want\s+to", 0.9),
     ("copyright", "copyright", r"copyright\s+(?:\(c\)|©)?\s*\d{4}", 0.3),
 )
 
 
 @dataclass(frozen=True)
 class Rule:
+    """words: literals that every match holds; the rule runs only on texts that hold them all."""
+
     label: str
     kind: str
-    keyword: str
+    words: tuple[str, ...]
     pattern: str
     weight: float
 
+    def compiled(self) -> re.Pattern:
+        """White space is taken whole and never given back: nothing behind it in a rule begins with white space, so the
+        matches are the same, and a long run of it is read once and not split in all ways."""
+        return re.compile(self.pattern.replace(r"\s+", r"\s++").replace(r"\s*", r"\s*+"))
+
+
+def literal_of(pattern: str) -> str:
+    """The longest run of literal letters that a pattern can't match without; none if there are alternatives at its top."""
+    bare = re.sub(r"\\[.]", ".", pattern)
+    bare = re.sub(r"\(\?[<!=:][^()]*\)[?*]|\(\?<?![^()]*\)", "\n", bare)
+    depth, run, runs = 0, "", []
+    for k, c in enumerate(bare):
+        depth += (c == "(") - (c == ")")
+        if depth == 0 and re.match(r"[a-z0-9.]", c) and bare[k + 1 : k + 2] not in ("?", "*", "{") and bare[k - 1 : k] != "\\":
+            run += c
+        else:
+            runs.append(run)
+            run = ""
+    runs.append(run)
+    if "|" in re.sub(r"\([^()]*\)", "", re.sub(r"\([^()]*\)", "", bare)):
+        return ""
+    return max((r.strip(".") for r in runs), key=len)
+
 
 def rules() -> list[Rule]:
     """All rules, of falling priority: tags, grants, generic phrases, titles, addresses."""
     families = [[x.strip() for x in line.split(" | ")] for line in FAMILIES.strip().splitlines()]
     edge = r"(?<![\w.-])(?:%s)(?![\w-])"
-    out = [Rule(f[0], "tag", "license", f"{TAG}(?P<at>{edge % f[1]})", 0.95) for f in families]
-    out += [Rule(f[0], "grant", "under", GRANT + edge % f[2], 0.9) for f in families]
-    out += [Rule(label, "phrase", word, pattern, weight) for label, word, pattern, weight in GENERIC]
-    out += [Rule(f[0], "title", "", edge % f[2], 0.7) for f in families]
-    out += [Rule(f[0], "address", "", edge % f[3], 0.8) for f in families]
+    words = lambda *some: tuple(w for w in some if len(w) >= 3)
+    out = [Rule(f[0], "tag", words("license", literal_of(f[1])), f"{TAG}(?P<at>{edge % f[1]})", 0.95) for f in families]
+    out += [Rule(f[0], "grant", words("under", literal_of(f[2])), GRANT + edge % f[2], 0.9) for f in families]
+    out += [Rule(label, "phrase", (word,), pattern, weight) for label, word, pattern, weight in GENERIC]
+    out += [Rule(f[0], "title", words(literal_of(f[2])), edge % f[2], 0.7) for f in families]
+    out += [Rule(f[0], "address", words(literal_of(f[3])), edge % f[3], 0.8) for f in families]
     return out

@@ -1,6 +1,6 @@
 """Licence scan: ordered signature rules behind a keyword prefilter, overlaps resolved by priority and containment.
 
-Every text goes through one multi-keyword automaton; a rule's regex runs only where its keyword occurs. Detections are taken
+Every text goes through one multi-keyword automaton; a rule's regex runs only where all its literal words occur. Detections are taken
 in priority order; one that lies inside the interval of a detection taken before is suppressed. Beside them stand the base
 phrases: places where a phrase's words stand consecutively, counted over all words of the text in array operations.
 
@@ -17,58 +17,45 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from framewise.llm.common import slices, texts_of, tune
+from framewise.llm.common import slices, texts_of, tidy_batches, tune
 from framewise.llm.hashing import NOT_ALNUM, Words
-from framewise.llm.license_rules import Rule, rules
+from framewise.llm.license_rules import rules
 
 #: Base phrases, given by the query's contract.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
 
-def keyword_of(rule: Rule) -> str:
-    """The rule's keyword, or the longest run of literal letters that its pattern can't match without."""
-    if rule.keyword:
-        return rule.keyword
-    bare = re.sub(r"\\[.]", ".", rule.pattern)
-    bare = re.sub(r"\(\?[<!=:][^()]*\)[?*]|\(\?<?![^()]*\)", "\n", bare)
-    depth, run, runs = 0, "", []
-    body = re.fullmatch(r"\n\(\?:(.*)\)\n", bare, re.S)
-    for k, c in enumerate(text := body[1] if body else bare):
-        depth += (c == "(") - (c == ")")
-        if depth == 0 and re.match(r"[a-z0-9.]", c) and text[k + 1 : k + 2] not in ("?", "*", "{") and text[k - 1 : k] != "\\":
-            run += c
-        else:
-            runs.append(run)
-            run = ""
-    runs.append(run)
-    if "|" in re.sub(r"\([^()]*\)", "", re.sub(r"\([^()]*\)", "", text)):
-        return ""  # alternatives at the top: nothing is sure to occur
-    return max((r.strip(".") for r in runs), key=len)
-
-
 class Scanner:
     def __init__(self):
         import ahocorasick
 
         self.rules = rules()
         self.compiled: dict[int, re.Pattern] = {}
-        by_word: dict[str, list[int]] = {}
+        # A rule waits for its longest word, and then asks for its other ones.
+        self.by_word: dict[str, list[int]] = {}
         self.always: list[int] = []
         for k, r in enumerate(self.rules):
-            word = keyword_of(r)
-            by_word.setdefault(word, []).append(k) if len(word) >= 3 else self.always.append(k)
+            self.by_word.setdefault(max(r.words, key=len), []).append(k) if r.words else self.always.append(k)
         self.automaton = ahocorasick.Automaton()
-        for word, ks in by_word.items():
-            self.automaton.add_word(word, tuple(ks))
+        for word in {w for r in self.rules for w in r.words}:
+            self.automaton.add_word(word, word)
         self.automaton.make_automaton()
-        # Rules without a sure keyword run where one of these occurs; every pattern of theirs holds one.
+        # Rules without a sure word run where one of these occurs; every pattern of theirs holds one.
         self.gate = re.compile(r"licen[sc]|creative|commons|cc|spdx|unlicense|rail|bsd|mulan|\.org|\.com|\.net|\.info|\.co/|\.eu/").search
 
     def pattern(self, k: int) -> re.Pattern:
         if k not in self.compiled:
-            self.compiled[k] = re.compile(self.rules[k].pattern)
+            self.compiled[k] = self.rules[k].compiled()
         return self.compiled[k]
 
+    def asked(self, low: str) -> set[int]:
+        """The rules whose words the text holds."""
+        words = {w for _, w in self.automaton.iter(low)}
+        asked = {k for w in words for k in self.by_word.get(w, ()) if words.issuperset(self.rules[k].words)}
+        if self.always and self.gate(low):
+            asked.update(self.always)
+        return asked
+
     def matches(self, low: str, asked) -> list[tuple[int, int, int, int]]:
         """(rule, -length, start, end) in priority order; of a tag the identifier counts, as one tag can hold several."""
         spans = ((k, *m.span("at" if self.rules[k].kind == "tag" else 0)) for k in asked for m in self.pattern(k).finditer(low))
@@ -77,10 +64,7 @@ class Scanner:
     def detections(self, text: str) -> list[tuple[int, int, int]]:
         """(start, end, rule) of what stays after suppression, in priority order."""
         low = text.lower()
-        asked = {k for _, ks in self.automaton.iter(low) for k in ks}
-        if self.always and self.gate(low):
-            asked.update(self.always)
-        found = self.matches(low, asked)
+        found = self.matches(low, self.asked(low))
         return [(a, b, k) for k, a, b in suppress([(k, a, b) for k, _, a, b in found])]
 
 
@@ -172,4 +156,4 @@ def scan(docs: DataFrame, spans: bool = False) -> DataFrame:
                 yield pa.record_batch(out, names=fields)
 
     schema = COLUMNS + (", spans array<struct<start:int,end:int,label:string>>" if spans else "")
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy_batches(run), schema)

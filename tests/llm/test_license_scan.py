@@ -1,7 +1,7 @@
 import re
 
 from framewise.llm.license_rules import rules
-from framewise.llm.license_scan import PHRASES, keyword_of, scan, scanner, suppress
+from framewise.llm.license_scan import PHRASES, scan, scanner, suppress
 
 SCHEMA = "doc_id long, text string, labels string, score string"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -86,3 +86,48 @@ def test_line_breaks_between_all_words():
                 met |= {m[0] for m in every} & {k}
                 assert s.detections(t) == [(a, b, j) for j, a, b in suppress([(j, a, b) for j, _, a, b in every])], (r, t)
     assert met == set(range(len(s.rules)))
+
+
+def brute_labels(text):
+    """Labels and score by every rule's plain pattern in turn, and containment by comparing all intervals."""
+    low, taken = (text or "").lower(), []
+    for r in rules():
+        spans = [m.span("at" if r.kind == "tag" else 0) for m in re.finditer(r.pattern, low)]
+        for a, b in sorted(spans, key=lambda s: (s[0] - s[1], s[0])):
+            if not any(x <= a and b <= y for x, y, _ in taken):
+                taken.append((a, b, r))
+    base = set(filter(None, brute(text)[4].split(",")))
+    missed = 0.3 if base else 1.0
+    for _, weight in {(r.label, r.weight) for _, _, r in taken}:
+        missed *= 1 - weight
+    return ",".join(sorted(base | {r.label for _, _, r in taken})), round(1 - missed, 9)
+
+
+def test_labels_and_score_against_brute_force(spark):
+    import random
+
+    rnd = random.Random(9)
+    parts = [t for t in TEXTS if t and len(t) < 1000] + [a_match(re._parser.parse(r.pattern), rnd, " ") for r in rules()]
+    texts = parts + [" and ".join(rnd.choices(parts, k=4)) for _ in range(150)] + [None, ""]
+    got = {r.doc_id: (r.labels, round(r.score, 9)) for r in scan(spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], SCHEMA)).collect()}
+    assert got == {i: brute_labels(t) for i, t in enumerate(texts)}
+
+
+def test_long_white_space():
+    """Every rule on a match with a run of white space wherever it takes some, cut off before its end: read in one pass."""
+    import random
+    import time
+
+    s, rnd = scanner(), random.Random(4)
+    heads = {a_match(re._parser.parse(r.pattern), rnd, "\0") for r in s.rules}
+    began = time.time()
+    for t in sorted(heads):
+        first, *more = t.split("\0")
+        for k in range(len(more)):
+            s.detections("\n".join([first, *more[:k]]) + " " * 20_000 + "x")
+    assert time.time() - began < 120
+    began = time.time()
+    for title in ("apache license", "gnu general public license", "mozilla public license", "common development and distribution license", "licensed under the"):
+        s.detections(title + " " * 300_000 + "x")
+        s.detections((title + " \n\t") * 10_000)
+    assert time.time() - began < 60
