@@ -9,11 +9,12 @@
    first, then the sets themselves. What links is joined into components.
 4. Count-vector R-trees: shingles whose classes are not all in one component are worked through whole. Their classes'
    count vectors are indexed in R-trees, every class queries them, and pairs of different components that survive the bound
-   are verified on the sets. A shingle of more than BLOCK classes is dealt over pairs of blocks.
+   are verified on the sets. A shingle of many classes is dealt over groups of chunks, of which none holds two chunks of the
+   component that the smallest class is in.
 No pair is listed between classes already linked, so a large group of near copies costs one verification per class.
 
 Defined results: a document without words (or null text) has an empty set, n_shingles 0, and links with nothing; one of
-fewer than five words has its whole sequence as its one shingle; a null doc_id has its class's smallest doc_id as its
+fewer than five words has its whole sequence as its one shingle; texts are taken whole, whatever their length; a null doc_id has its class's smallest doc_id as its
 component and no near links of its own; rows that repeat a doc_id are linked each by its text; an empty table gives an empty
 result; further columns are ignored.
 """
@@ -22,18 +23,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewise.llm import sketch
-from framewise.llm.common import n_blocks, slices, stash, texts_of, tune
+from framewise.llm.common import n_blocks, slices, stash, texts_of, tidy, tidy_batches, tune
 from framewise.llm.components import components
 from framewise.llm.count_rtree import CountRTree, count_vector, enough, overlap_bound, vectors
 from framewise.llm.hashing import mix, shingle_sets
 
 WORDS = 5
-#: Classes of one R-tree.
-BLOCK = 2048
+#: Classes of one chunk, and about the rows of one part. Sizes of work, not limits: every pair that counts meets in some part.
+BLOCK = 512
+PART_ROWS = 1024
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n (distinct shingles) and 128 bits that stand for the set."""
 
@@ -45,7 +49,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 sums = [np.diff(np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h, s))])[bounds]).view(np.int64) for s in (3, 4)]
                 yield pa.record_batch([b["doc_id"].slice(a, z - a).cast(pa.int64()), *(pa.array(x, pa.int64()) for x in (np.diff(bounds), *sums))], names=["doc_id", "n", "s1", "s2"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long")
+    return docs.select("doc_id", "text").mapInArrow(tidy_batches(run), "doc_id long, n long, s1 long, s2 long")
 
 
 def prefixes(bounds: np.ndarray, hashes: np.ndarray, shared: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +84,7 @@ def candidates(docs: DataFrame, classes: DataFrame) -> DataFrame:
         parts = [h for _, _, h in sets(table, more["id"].to_numpy())]
         return sketch.sketch_rows(key[0].as_py(), np.concatenate(parts) if parts else np.zeros(0, np.uint64), n, bits)
 
-    found = sketch.merge(blocks.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(sketched, sketch.SKETCH))
+    found = sketch.merge(blocks.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(tidy(sketched), sketch.SKETCH))
     more = found.withColumn("id", F.lit(None).cast("long")).unionByName(wanted.select("block", F.lit(None).cast("binary").alias("cells"), F.lit(None).cast("binary").alias("hot"), "id"))
 
     def one(key, table, more):
@@ -99,7 +103,7 @@ def candidates(docs: DataFrame, classes: DataFrame) -> DataFrame:
         kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
         return pa.table({k: pa.array(v, t) for (k, v), t in zip(rows.items(), kinds, strict=True)})
 
-    return blocks.groupBy("block").cogroup(more.groupBy("block")).applyInArrow(one, CANDIDATE)
+    return blocks.groupBy("block").cogroup(more.groupBy("block")).applyInArrow(tidy(one), CANDIDATE)
 
 
 def bounded(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -115,7 +119,7 @@ def bounded(pairs: DataFrame, found: DataFrame) -> DataFrame:
                 ok[k] = enough(overlap_bound(va[k], vb[k]), na[k] + nb[k])
             yield b.select(["a", "b"]).filter(pa.array(ok))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "va", "vb").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "va", "vb").mapInArrow(tidy_batches(run), "a long, b long")
 
 
 def verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -132,37 +136,49 @@ def verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
                 ok.append(100 * same >= 80 * (len(x) + len(y) - same))
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ha", "hb").mapInArrow(tidy_batches(run), "a long, b long")
+
+
+def dealt_rows(members: DataFrame, parts: int) -> DataFrame:
+    """members(token, pivot, slot, main, n, others, id, label) -> part, token, i, j, side, id, label: the groups (token, i, j)
+    in which classes are compared, each of at most two chunks of BLOCK. Classes of the pivot's component (label = main) are
+    linked with each other; only the others are compared with all, so a hot shingle's rows don't grow with their square.
+    Chunks of others come first, then those of the main component; a group of two chunks compares across its sides."""
+    is_main = F.col("label") == F.col("main")
+    rows = members.withColumns({"o": F.ceil(F.col("others") / BLOCK).cast("int"), "m": F.ceil((F.col("n") - F.col("others")) / BLOCK).cast("int")})
+    rows = rows.withColumn("c", F.pmod(F.xxhash64("id"), F.when(is_main, F.col("m")).otherwise(F.col("o"))).cast("int"))
+    of_main = F.transform(F.sequence(F.lit(0), F.col("o") - 1), lambda i: F.struct(i.alias("i"), (F.col("o") + F.col("c")).alias("j"), F.lit(1).alias("side")))
+    of_other = F.transform(F.sequence(F.lit(0), F.col("o") + F.col("m") - 1), lambda j: F.struct(F.least("c", j).alias("i"), F.greatest("c", j).alias("j"), (j < F.col("c")).cast("int").alias("side")))
+    rows = rows.select("token", "pivot", "slot", "id", "label", F.explode(F.when(is_main, of_main).otherwise(of_other)).alias("g")).select("*", "g.*")
+    # Shingles with the same smallest class have much the same classes and go together, as each class's count vector comes
+    # once a part; where they have many rows, they are spread over neighbouring parts by their slots.
+    return rows.select(F.pmod(F.xxhash64("pivot", "i", "j") + F.col("slot"), F.lit(parts)).alias("part"), "token", "i", "j", "side", "id", "label")
 
 
 def rtree_pairs(members: DataFrame, found: DataFrame, parts: int) -> DataFrame:
-    """members(token, cnt, pivot, id, label) -> pairs of different labels that share a token and survive the R-tree."""
-    chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
-    # Shingles with the same smallest class have much the same classes; together they need each count vector once.
-    dealt = (
-        members.withColumn("chunks", F.ceil(F.col("cnt") / BLOCK).cast("long"))
-        .withColumn("c", chunk)
-        .withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-        .select("token", F.least("c", "k").alias("i"), F.greatest("c", "k").alias("j"), "c", "id", "label", "pivot")
-        .withColumn("part", F.pmod(F.xxhash64("pivot", "i", "j"), F.lit(parts)))
-        .drop("pivot")
-    )
-    points = dealt.select("part", "id").distinct().join(found.select("id", "n", "vector"), "id")
-    points = points.select(F.col("part").alias("at"), F.col("id").alias("point"), "n", "vector")
+    """Pairs of different labels that share a token and survive the R-tree, each once: only the group of a pair's first common
+    token gives it out."""
+    dealt = dealt_rows(members, parts)
+    tokens = members.groupBy("id").agg(F.collect_set("token").alias("tokens"))  # at most the shingles of one prefix
+    points = dealt.select("part", "id").distinct().join(found.select("id", "n", "vector").join(tokens, "id"), "id")
+    points = points.select(F.col("part").alias("at"), F.col("id").alias("point"), "n", "vector", "tokens")
 
     def one(key, table, points):
-        table = table.sort_by([("token", "ascending"), ("i", "ascending"), ("j", "ascending")])
-        col = {c: table[c].to_numpy() for c in ("token", "i", "j", "c", "id", "label")}
+        table = table.sort_by([("token", "ascending"), ("i", "ascending"), ("j", "ascending"), ("id", "ascending")])
+        col = {c: table[c].to_numpy() for c in ("token", "i", "j", "side", "id", "label")}
         packed = dict(zip(points["point"].to_pylist(), zip(points["n"].to_pylist(), points["vector"].to_pylist(), strict=True), strict=True))
+        tokens = dict(zip(points["point"].to_pylist(), map(frozenset, points["tokens"].to_pylist()), strict=True))
         group = np.stack([col["token"], col["i"], col["j"]])
         cut = np.flatnonzero(np.concatenate([[True], (group[:, 1:] != group[:, :-1]).any(0), [True]])) if table.num_rows else []
-        out: set[tuple[int, int]] = set()
+        out: list[tuple[int, int]] = []
         for lo, hi in zip(cut, cut[1:], strict=False):
-            ids, labels, c = col["id"][lo:hi], col["label"][lo:hi], col["c"][lo:hi]
+            token, ids, labels, side = int(col["token"][lo]), col["id"][lo:hi], col["label"][lo:hi], col["side"][lo:hi]
             n = np.array([packed[k][0] for k in ids.tolist()])
             v = [packed[k][1] for k in ids.tolist()]
             groups = np.array([len(x) for x in v])
             across = col["i"][lo] != col["j"][lo]
+            if across and (side == side[0]).all():
+                continue  # one of the two chunks is empty
             for g in np.unique(groups).tolist():
                 # Similar sets' vectors are equally fine, or one is twice as fine and is folded.
                 level = np.flatnonzero((groups == g) | (groups == 2 * g))
@@ -172,26 +188,34 @@ def rtree_pairs(members: DataFrame, found: DataFrame, parts: int) -> DataFrame:
                     me = level[q]
                     near = level[tree.near(points_g[q], int(n[me]))]
                     near = near[labels[near] != labels[me]]
-                    near = near[c[near] != c[me]] if across else near
-                    out.update((min(ids[me], x), max(ids[me], x)) for x in ids[near].tolist())
-        pairs = np.array(sorted(out), np.int64).reshape(-1, 2)
+                    near = near[side[near] != side[me]] if across else near
+                    near = near[(groups[near] != g) | (ids[near] > ids[me])]
+                    my, mine = int(ids[me]), tokens[int(ids[me])]
+                    out += [(min(my, x), max(my, x)) for x in ids[near].tolist() if min(mine & tokens[x]) == token]
+        pairs = np.array(out, np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    return dealt.groupBy("part").cogroup(points.groupBy("at")).applyInArrow(one, "a long, b long").distinct()
+    return dealt.groupBy("part").cogroup(points.groupBy("at")).applyInArrow(tidy(one), "a long, b long").distinct()
 
 
 def links(found: DataFrame, parts: int) -> DataFrame:
     """(id, component) of the classes that have a link."""
     tokens = found.select("id", F.explode("tokens").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("cnt"), F.min("id").alias("pivot"), F.max("id").alias("last")).filter("pivot < last")
+    shared = tokens.groupBy("token").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).filter("pivot < last")
     members = stash(tokens.join(shared.drop("last"), "token"), "members")
     stars = members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     stars = bounded(stars, found).groupBy("b").agg(F.min("a").alias("a"))
     first = components(verified(stars, found))
-    labelled = members.join(first, "id", "left").select("token", "cnt", "pivot", "id", F.coalesce("component", "id").alias("label"))
-    mixed = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.shiftright(F.xxhash64("id"), 20)).alias("s")).filter("lo < hi")
-    mixed = mixed.groupBy("n", "x", "s").agg(F.min("token").alias("token")).select("token")  # shingles of equal classes once
-    pairs = rtree_pairs(labelled.join(mixed, "token"), found, parts)
+    labelled = members.join(first, "id", "left").select("token", "pivot", "id", F.coalesce("component", "id").alias("label"))
+    main = F.max(F.when(F.col("id") == F.col("pivot"), F.col("label")))
+    same = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.shiftright(F.xxhash64("id"), 20)).alias("s")]
+    mixed = labelled.groupBy("token", "pivot").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), main.alias("main"), *same).filter("lo < hi")
+    mixed = mixed.groupBy("n", "x", "s").agg(F.min(F.struct("token", "pivot", "main")).alias("t")).select("n", "t.*")  # shingles of equal classes once
+    mixed = stash(mixed, "mixed")
+    slot = F.floor(F.sum("n").over(Window.partitionBy("pivot").orderBy("token")) / PART_ROWS)  # a pivot's are those of one prefix
+    rows = labelled.select("token", "id", "label").join(mixed.withColumn("slot", slot), "token")
+    others = rows.groupBy("token").agg(F.count(F.when(F.col("label") != F.col("main"), 1)).alias("others"))
+    pairs = rtree_pairs(rows.join(others, "token"), found, parts)
     second = verified(pairs, found)
     return components(first.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(second))
 
