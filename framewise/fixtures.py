@@ -80,6 +80,38 @@ select concat('asset/', cast(doc_id as varchar(20))) as path, length(text) as n,
 select vec_id as tile_id, cast(floor(vec_id/2) as bigint) as pair_id, case when vec_id % 2=0 then 'GT' else 'occ' end as suffix, label,
        cast(pos % 8 as int) as x, cast(floor(pos/8) as int) as y, abs(cast(v as double))*100 as depth_m
 from {pixels}""",
+    "views": """
+select p.pair_id, cast(n.n_nationkey as int) as frame,
+       cast(p.pair_id % 5 as double)*0.01 + cast(n.n_nationkey as double)*0.004 as theta,
+       cast(n.n_nationkey as double)*0.03 as tx, cast(p.pair_id % 3 as double)*-0.01*cast(n.n_nationkey as double) as ty,
+       cast(n.n_nationkey as double)*0.01 as tz
+from (select distinct cast(floor(vec_id/2) as bigint) as pair_id from {embeddings}) p cross join {nation} n""",
+    "audit_pairs": """
+select pair_id, pair_id*2 as image_a, pair_id*2+1 as image_b, case when pair_id % 2=0 then 'GT' else 'occ' end as suffix,
+       case pair_id % 3 when 0 then 'rot_arc' when 1 then 'rot_spiral' else 'rand_shell' end as family,
+       case pair_id % 8 when 0 then 0 when 1 then 5 when 2 then 11 when 3 then 12 when 4 then 18 when 5 then 23 when 6 then 12 else 0 end as frame_a,
+       case pair_id % 8 when 0 then 1 when 1 then 6 when 2 then 12 when 3 then 13 when 4 then 19 when 5 then 24 when 6 then 14 else 12 end as frame_b
+from (select cast(floor(vec_id/2) as bigint) as pair_id, count(*) as n from {embeddings} group by 1) q where n=2""",
+    "rgbd": """
+select tile_id as image, x, y,
+       4.0 + cast(pair_id % 10 as double)*0.3 + cast(x as double)*0.004 + cast(y as double)*0.003 + depth_m*0.0005
+           + case when (tile_id*7 + x*3 + y*5) % 53=0 then 1.5 else 0.0 end as depth,
+       cast((pair_id*3 + x*20 + y*10) % 256 as double) as red, cast((pair_id*5 + x*7) % 256 as double) as green, depth_m as blue
+from {tiles}""",
+    "matches": """
+select p.pair_id, p.family, p.suffix, p.image_a, g.x*8+g.y as match_id, cast(g.x as double) as ax, cast(g.y as double) as ay, g.depth,
+       10.5*q.xx/q.zz + 4.0 - 0.5 + cast((g.x*3 + g.y*7 + p.pair_id) % 5 - 2 as double)*0.02
+           + case (g.x*5 + g.y*3 + p.pair_id) % 22 when 0 then 5.0 when 11 then -5.0 else 0.0 end as bx,
+       10.5*q.yy/q.zz + 4.0 - 0.5 + cast((g.x*7 + g.y*3 + p.pair_id) % 5 - 2 as double)*0.02 as by
+from {audit_pairs} p join {rgbd} g on g.image = p.image_a
+join (select a.pair_id, a.frame as fa, b.frame as fb, m.image, m.x, m.y,
+        cos(a.theta-b.theta)*m.px + sin(a.theta-b.theta)*m.d + cos(b.theta)*(a.tx-b.tx) - sin(b.theta)*(a.tz-b.tz) as xx,
+        m.py + a.ty - b.ty as yy,
+        cos(a.theta-b.theta)*m.d - sin(a.theta-b.theta)*m.px + sin(b.theta)*(a.tx-b.tx) + cos(b.theta)*(a.tz-b.tz) as zz
+      from (select image, x, y, depth*0.97 as d, (cast(x as double) - 3.5)/10.5*depth*0.97 as px, (cast(y as double) - 3.5)/10.5*depth*0.97 as py,
+              cast(floor(image/2) as bigint) as pair_id from {rgbd}) m
+      join {views} a on a.pair_id = m.pair_id join {views} b on b.pair_id = m.pair_id) q
+  on q.pair_id = p.pair_id and q.fa = p.frame_a and q.fb = p.frame_b and q.image = g.image and q.x = g.x and q.y = g.y""",
     "ray_hits": """
 select l_orderkey as ray_id, l_partkey % 200 as point_id, l_suppkey as actor_id, l_linenumber as hit_rank,
        cast(l_quantity as double) as dist, case when l_returnflag='A' then 'up' else 'down' end as direction

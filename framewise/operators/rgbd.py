@@ -5,7 +5,6 @@ Pixel tables have one row per (image, y, x); images stay whole under hash partit
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,10 +64,14 @@ def project_pixels(pixels: DataFrame, f: str = "f", c: str = "c", radial: bool =
     return pixels.withColumns({"u": F.when(ahead, q[0] / q[2] * F.col(f) + F.col(c)), "v": F.when(ahead, q[1] / q[2] * F.col(f) + F.col(c)), "z": q[2]})
 
 
-def sample_image(points: DataFrame, image: DataFrame, keys: list[str], value: str = "depth") -> DataFrame:
-    """Bilinear sample of image(keys, x, y, value) at (u, v), pixel centres at +0.5, zero outside: each point is exploded to
-    its four neighbours, joined on equal keys and summed back."""
+def sample_image(points: DataFrame, image: DataFrame, keys: list[str], value: str = "depth", nearest: bool = False) -> DataFrame:
+    """Bilinear or nearest sample of image(keys, x, y, value) at (u, v), pixel centres at +0.5, zero outside: each point is
+    exploded to its four neighbours, joined on equal keys and summed back; a nearest sample has one neighbour."""
     x, y = F.col("u") - 0.5, F.col("v") - 0.5
+    if nearest:
+        at = points.withColumns({"x": F.floor("u").cast("int"), "y": F.floor("v").cast("int")})
+        found = at.join(image.select(*keys, "x", "y", F.col(value).alias("_v")), [*keys, "x", "y"], "left")
+        return found.select("point", *keys, F.coalesce("_v", F.lit(0.0)).alias("sample"))
     x0, y0 = F.floor(x), F.floor(y)
     corner = lambda i, j: F.struct((x0 + i).cast("int").alias("x"), (y0 + j).cast("int").alias("y"), ((x - x0 if i else 1 - x + x0) * (y - y0 if j else 1 - y + y0)).alias("w"))
     four = points.select("point", *keys, F.explode(F.array(*(corner(i, j) for i in (0, 1) for j in (0, 1)))).alias("n")).select("point", *keys, "n.*")
@@ -76,17 +79,6 @@ def sample_image(points: DataFrame, image: DataFrame, keys: list[str], value: st
     return found.groupBy("point", *keys).agg(F.sum(F.col("w") * F.coalesce("_v", F.lit(0.0))).alias("sample"))
 
 
-def dense_pair(pairs: DataFrame, width: int, scale: float = 0.1) -> DataFrame:
-    """pairs(pair, u, v, z, stable, target_depth, depth_error, se): in-bounds, stable and visible counts, error summary of
-    the visible ones and PSNR. The mask never looks at colour."""
-    inside = F.col("u").between(1, width - 2 - 1e-9) & F.col("v").between(1, width - 2 - 1e-9)
-    seen = inside & F.col("stable") & (F.col("target_depth") > 0) & (F.abs("depth_error") <= F.greatest(F.lit(scale), 0.005 * F.abs("z")))
-    rows = pairs.withColumns({"inside": F.coalesce(inside, F.lit(False)), "seen": F.coalesce(seen, F.lit(False))})
-    e = F.when(F.col("seen"), F.abs("depth_error"))
-    out = rows.withColumn("e", e).groupBy("pair").agg(F.count_if("inside").alias("in_bounds"), F.count_if(F.col("inside") & F.col("stable")).alias("stable"), F.count_if("seen").alias("visible"), F.avg("e").alias("mean_error"), F.expr("percentile(e, 0.95)").alias("p95_error"), F.sum(F.when(F.col("seen"), F.col("se"))).alias("sse"))
-    return out.withColumn("psnr", psnr(F.col("sse"), F.col("visible")))
-
-
 def psnr(sse: Column, n: Column) -> Column:
     return F.when(n > 0, -10 * F.log10(F.greatest(sse / n, F.lit(1e-12))))
 
@@ -98,36 +90,6 @@ def psnr_rollup(pairs: DataFrame) -> DataFrame:
     return out.withColumn("pooled_psnr", F.when((F.col("n") > 0) & (F.col("sse") > 0), psnr(F.col("sse"), F.col("n"))))
 
 
-#: Frame pairs of the audit (fixed values).
-PAIRS = ((0, 1), (0, 6), (0, 12), (6, 12), (12, 13), (12, 18), (12, 24), (18, 24))
-
-
-def pair_enumeration(sequences: DataFrame, pairs=PAIRS) -> DataFrame:
-    table = sequences.sparkSession.createDataFrame([(a, b, s) for a, b in pairs for s in ("occ", "GT")], "frame_a int, frame_b int, suffix string")
-    return sequences.crossJoin(F.broadcast(table))
-
-
-#: The eight hypotheses: depth unit, axis flips, inverse pose, doubled focal length, radial depth, next frame.
-MODES = ("correct", "unit", "flip_y", "flip_z", "inverse", "focal2", "radial", "next_frame")
-
-
-def negative_controls(pixels: DataFrame) -> DataFrame:
-    """Shift error of each hypothesis on the support of the correct one. pixels(pair, x, y, depth, f, c, tx, seen, frame):
-    cameras that differ by a sideways move tx; every hypothesis changes one input and all share one mask."""
-    modes = pixels.sparkSession.createDataFrame([(m,) for m in MODES], "mode string")
-    rows = pixels.filter("seen").crossJoin(F.broadcast(modes))
-    mode = lambda m: F.col("mode") == m
-    a, b = (F.col("x") + 0.5 - F.col("c")) / F.col("f"), (F.col("y") + 0.5 - F.col("c")) / F.col("f")
-    z = F.when(mode("unit"), F.col("depth") * 100).when(mode("radial"), F.col("depth") / F.sqrt(a * a + b * b + 1)).when(mode("flip_z"), -F.col("depth")).otherwise(F.col("depth"))
-    move = F.when(mode("inverse"), -F.col("tx")).when(mode("next_frame"), F.col("tx") * F.least(F.col("frame") + 1, F.lit(24)) / F.greatest(F.col("frame"), F.lit(1))).otherwise(F.col("tx"))
-    focal = F.when(mode("focal2"), 2 * F.col("f")).otherwise(F.col("f"))
-    u = F.col("x") + 0.5 + focal * move / z
-    v = F.col("y") + 0.5 + F.when(mode("flip_y"), -2 * b * F.col("f")).otherwise(0.0)
-    true_u = F.col("x") + 0.5 + F.col("f") * F.col("tx") / F.col("depth")
-    err = F.hypot(u - true_u, v - F.col("y") - 0.5)
-    return rows.withColumn("err", err).groupBy("pair", "mode").agg(F.count("*").alias("support"), F.avg("err").alias("mean_error"), F.max("err").alias("max_error"))
-
-
 def descriptor_match(left: DataFrame, right: DataFrame, ratio: float = 0.75, least: int = 8) -> DataFrame:
     """left and right(pair, id, d array): mutual nearest neighbours whose distance is under ratio of the second's, both ways,
     inside an image pair. A pair with fewer than `least` features or matches has none. Features of one image are bounded by
@@ -148,27 +110,13 @@ def descriptor_match(left: DataFrame, right: DataFrame, ratio: float = 0.75, lea
     return found.join(enough.select("pair"), "pair", "left_semi").withColumnRenamed("d1", "dist")
 
 
-def homography_gate(matches: DataFrame, pixels: float = 3.0, tries: int = 200, seed: int = 7) -> DataFrame:
-    """matches(pair, ax, ay, bx, by) within `pixels` of the pair's best homography among seeded four-point hypotheses."""
-
-    def gate(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ax", "ay", "bx", "by"])
-        if len(pdf) < 4:
-            return pdf.iloc[:0]
-        rng = np.random.default_rng(seed)
-        a, b = pdf[["ax", "ay"]].to_numpy(float), pdf[["bx", "by"]].to_numpy(float)
-        best = np.zeros(len(pdf), bool)
-        for _ in range(tries):
-            k = rng.choice(len(pdf), 4, replace=False)
-            m = np.concatenate([[[x, y, 1, 0, 0, 0, -u * x, -u * y, -u], [0, 0, 0, x, y, 1, -v * x, -v * y, -v]] for (x, y), (u, v) in zip(a[k], b[k])])
-            h = np.linalg.svd(m)[2][-1].reshape(3, 3)
-            p = np.column_stack([a, np.ones(len(a))]) @ h.T
-            with np.errstate(divide="ignore", invalid="ignore"):
-                near = np.hypot(*(p[:, :2] / p[:, 2:] - b).T) <= pixels
-            best = near if near.sum() > best.sum() else best
-        return pdf[best]
-
-    return matches.groupBy("pair").applyInPandas(gate, matches.schema)
+def homography_from(four: np.ndarray) -> np.ndarray:
+    """Homographies (n, 3, 3) through n times four matches (ax, ay, bx, by), all solved at once."""
+    x, y, u, v = (four[:, :, k] for k in range(4))
+    one, none = np.ones_like(x), np.zeros_like(x)
+    top = np.stack([x, y, one, none, none, none, -u * x, -u * y, -u], axis=2)
+    low = np.stack([none, none, none, x, y, one, -v * x, -v * y, -v], axis=2)
+    return np.linalg.svd(np.concatenate([top, low], axis=1))[2][:, -1].reshape(-1, 3, 3)
 
 
 def feature_reprojection_error(matches: DataFrame, least: int = 12) -> DataFrame:
@@ -176,28 +124,6 @@ def feature_reprojection_error(matches: DataFrame, least: int = 12) -> DataFrame
     return matches.groupBy("pair", "mode").agg(F.count("err").alias("matches"), F.expr("percentile(err, 0.5)").alias("median")).withColumn("qualified", F.col("matches") >= least)
 
 
-def fit_scales(matches: DataFrame, rounds: int = 40) -> tuple[float, float]:
-    """matches(ratio_u, weight_u, ratio_z): focal and depth scale by soft-L1 weighted means, one Spark aggregate of the two
-    normal equations a round; the driver only divides two pairs of sums."""
-    focal = depth = 1.0
-    for _ in range(rounds):
-        w = lambda r: 1 / F.sqrt(1 + r * r)
-        wu, wz = w(F.col("ratio_u") - focal) * F.col("weight_u"), w(F.col("ratio_z") - depth)
-        s = matches.agg(F.sum(wu * F.col("ratio_u")), F.sum(wu), F.sum(wz * F.col("ratio_z")), F.sum(wz)).first()
-        new = (s[0] / s[1], s[2] / s[3])
-        if max(abs(new[0] - focal), abs(new[1] - depth)) < 1e-10:
-            break
-        focal, depth = new
-    return focal, depth
-
-
-def point_cloud(pixels: DataFrame, stride: int = 16) -> DataFrame:
-    """Every stride-th pixel along both axes as a world point of a camera at (ox, oy, oz) with identity rotation."""
-    rows = pixels.filter((F.col("x") % stride == 0) & (F.col("y") % stride == 0) & (F.col("depth") > 0))
-    a, b = (F.col("x") + 0.5 - F.col("c")) / F.col("f"), (F.col("y") + 0.5 - F.col("c")) / F.col("f")
-    return rows.withColumns({"wx": a * F.col("depth") + F.col("ox"), "wy": b * F.col("depth") + F.col("oy"), "wz": F.col("depth") + F.col("oz")})
-
-
 def half_float_step(depth: Column) -> Column:
     """Spacing of 16-bit floats at a depth in the normal range."""
     return F.pow(F.lit(2.0), F.floor(F.log2(depth)) - 10)
@@ -211,13 +137,6 @@ def occlusion_fractions(pixels: DataFrame) -> DataFrame:
     return both.groupBy("pair").agg(F.avg(near.cast("double")).alias("equal"), F.avg(((F.col("occ") > F.col("gt")) & ~near).cast("double")).alias("farther"))
 
 
-def existing_pose_delta(stored: DataFrame, fresh: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Largest difference of stored and re-extracted values per first key, and whether all rows met a partner."""
-    rows = stored.join(fresh.select(*keys, *(F.col(c).alias(f"_{c}") for c in columns)), keys, "left")
-    off = F.greatest(*(F.abs(F.col(c) - F.col(f"_{c}")) for c in columns)) if len(columns) > 1 else F.abs(F.col(columns[0]) - F.col(f"_{columns[0]}"))
-    return rows.groupBy(keys[0]).agg(F.max(off).alias("largest"), F.bool_and(off.isNotNull()).alias("matched"))
-
-
 def raw_intrinsic_delta(rows: DataFrame) -> DataFrame:
     """rows(id, focal_mm, film_mm, width, fx): fx from lens and film against the stored one."""
     return rows.withColumn("delta", F.col("focal_mm") / F.col("film_mm") * F.col("width") - F.col("fx"))

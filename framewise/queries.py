@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewise import queries_io, queries_plan, queries_pose, queries_rgbd, queries_scene
+from framewise import queries_audit, queries_io, queries_plan, queries_pose, queries_rgbd, queries_scene
 from framewise.fixtures import oracle, table
 from framewise.plans.flagship import remaining_by_map
 
@@ -23,5 +23,5 @@ with ok as (select p.* from {plan_rows} p join {maps} m on m.map_path=p.map_path
  g as (select trajectory, prefix, count(*) filter (n=25 and d=25 and s>0) as good from f group by 1,2)
 select map_path, count(*) as sequences, count(*) filter (coalesce(good,0) < 4) as remaining from q left join g using (trajectory, prefix) group by 1""")
 
-QUERIES = {"remaining_work": remaining_work} | queries_io.QUERIES | queries_plan.QUERIES | queries_pose.QUERIES | queries_rgbd.QUERIES | queries_scene.QUERIES
-ORACLES = {"remaining_work": _REMAINING} | queries_io.ORACLES | queries_plan.ORACLES | queries_pose.ORACLES | queries_rgbd.ORACLES | queries_scene.ORACLES
+QUERIES = {"remaining_work": remaining_work} | queries_io.QUERIES | queries_plan.QUERIES | queries_pose.QUERIES | queries_rgbd.QUERIES | queries_audit.QUERIES | queries_scene.QUERIES
+ORACLES = {"remaining_work": _REMAINING} | queries_io.ORACLES | queries_plan.ORACLES | queries_pose.ORACLES | queries_rgbd.ORACLES | queries_audit.ORACLES | queries_scene.ORACLES

@@ -82,29 +82,11 @@ def _(spark, d):
     return E.sample_image(points, t, ["tile_id"]).select("point", "tile_id", _r("sample"))
 
 
-_PAIR = f"""{_ST}, g as (select pair_id, x, y, max(case when suffix='GT' then depth_m end) as gt, max(case when suffix='occ' then depth_m end) as occ, bool_or(case when suffix='GT' then hi-lo<=greatest(0.08,0.002*depth_m)*60 and lo>0 end) as stable from st group by 1,2,3),
- p as (select *, x+0.5+2/greatest(gt,0.001) as u, y+0.5 as v, abs(gt-occ)*0.02 as err from g where gt is not null and occ is not null), s as (select *, u between 1 and 6-1e-9 and v between 1 and 6-1e-9 as inside from p), q as (select *, inside and stable and occ>0 and err<=greatest(0.1,0.005*gt) as seen from s)"""
-
-
-def _dense(spark, d):
-    t = E.depth_stable_mask(_tiles(spark, d), "tile_id").withColumn("stable", (F.col("hi") - F.col("lo") <= E.tolerance(F.col("depth")) * 60) & (F.col("lo") > 0))
-    pick = lambda s, c: F.max(F.when(F.col("suffix") == s, F.col(c)))
-    g = t.groupBy("pair_id", "x", "y").agg(pick("GT", "depth").alias("gt"), pick("occ", "depth").alias("occ"), F.bool_or(F.when(F.col("suffix") == "GT", F.col("stable"))).alias("stable")).filter("gt is not null and occ is not null")
-    rows = g.selectExpr("pair_id as pair", "x + 0.5D + 2 / greatest(gt, 0.001D) as u", "y + 0.5D as v", "gt as z", "stable", "occ as target_depth", "abs(gt - occ) * 0.02D as depth_error", "pow(gt - occ, 2) / 1000 as se")
-    return E.dense_pair(rows, 8)
-
-
-@query("e8_dense_pair", f"with {_PAIR} select pair_id as pair, count(*) filter (inside) as in_bounds, count(*) filter (inside and stable) as stable, count(*) filter (seen) as visible, {_R('avg(err) filter (seen)', 'mean_error')}, {_R('quantile_cont(err,0.95) filter (seen)', 'p95_error')}, {_R('case when count(*) filter (seen)>0 then -10*log10(greatest((sum(pow(gt-occ,2)/1000) filter (seen))/(count(*) filter (seen)),1e-12)) end', 'psnr')} from q group by 1")
+@query("e7_sample_image_nearest", f"""with {_UV} select point, pt.tile_id, {_R('coalesce(t.depth_m,0)', 'sample')} from pt left join {{tiles}} t on t.tile_id=pt.tile_id and t.x=floor(u) and t.y=floor(v)""")
 def _(spark, d):
-    return _dense(spark, d).select("pair", "in_bounds", "stable", "visible", _r("mean_error"), _r("p95_error"), _r("psnr"))
-
-
-@query("e9_negative_controls", f"""with p as (select pair_id as pair, x, y, depth_m+1 as z, 0.2 as tx, 10.0 as f, 4.0 as c, pair_id % 25 as frame from {{tiles}} where suffix='GT'), m as (select unnest(['correct','unit','flip_y','flip_z','inverse','focal2','radial','next_frame']) as mode),
- j as (select *, (x+0.5-c)/f as a, (y+0.5-c)/f as b from p cross join m), e as (select pair, mode, (case when mode='focal2' then 2*f else f end)*(case when mode='inverse' then -tx when mode='next_frame' then tx*least(frame+1,24)/greatest(frame,1) else tx end)/(case when mode='unit' then z*100 when mode='radial' then z/sqrt(a*a+b*b+1) when mode='flip_z' then -z else z end) - f*tx/z as du, case when mode='flip_y' then -2*b*f else 0 end as dv from j)
- select pair, mode, count(*) as support, {_R('avg(sqrt(du*du+dv*dv))', 'mean_error')}, {_R('max(sqrt(du*du+dv*dv))', 'max_error')} from e group by 1,2""")
-def _(spark, d):
-    rows = _tiles(spark, d).filter("suffix = 'GT'").selectExpr("pair_id as pair", "x", "y", "depth + 1 as depth", "0.2D as tx", "10D as f", "4D as c", "pair_id % 25 as frame", "true as seen")
-    return E.negative_controls(rows).select("pair", "mode", "support", _r("mean_error"), _r("max_error"))
+    t = _tiles(spark, d)
+    points = t.selectExpr("tile_id * 64 + y * 8 + x as point", "tile_id", "x + 0.5D + 0.3D * (tile_id % 3) as u", "y + 0.5D - 0.2D * (tile_id % 4) as v")
+    return E.sample_image(points, t, ["tile_id"], nearest=True).select("point", "tile_id", _r("sample"))
 
 
 @query("e10_psnr_rollup", f"with p as (select label as scope, tile_id, sum(pow(depth_m,2))/1000 as sse, count(*) as n from {{tiles}} group by 1,2), q as (select *, -10*log10(greatest(sse/n,1e-12)) as ps from p) select scope, count(*) as pairs, {_R('avg(ps)', 'mean_psnr')}, {_R('-10*log10(sum(sse)/sum(n))', 'pooled_psnr')} from q group by 1")
@@ -113,11 +95,6 @@ def _(spark, d):
     return E.psnr_rollup(p).select("scope", "pairs", _r("mean_psnr"), _r("pooled_psnr"))
 
 
-@query("e11_pair_enumeration", f"select seq_no, prefix, a as frame_a, b as frame_b, suffix from {{sequences}} cross join (values {', '.join(map(str, E.PAIRS))}) p(a,b) cross join (values ('occ'),('GT')) s(suffix)")
-def _(spark, d):
-    return E.pair_enumeration(table(spark, d, "sequences").select("seq_no", "prefix"))
-
-
 @query("e12_descriptor_match", """with l as (select label as pair, vec_id as a, list_transform(embedding, lambda v: v::double) as d from {embeddings} where vec_id % 2=0),
  r as (select label as pair, vec_id as b, list_transform(embedding, lambda v, i: v::double + 0.001::double*((vec_id + i - 1) % 3)) as d from {embeddings} where vec_id % 4<2),
  k as (select pair from (select pair, count(*) as n from l group by 1) join (select pair, count(*) as m from r group by 1) using (pair) where n>=8 and m>=8),
@@ -148,34 +125,6 @@ def _(spark, d):
     return E.descriptor_match(left, right).select("pair", "a", "b", _r("dist"))
 
 
-@query("e13_homography_gate", "select pair, count(*) as kept, bool_and(vec_id % 10<>3) as only_true from (select label as pair, vec_id from {embeddings} where vec_id % 10<>3) group by 1")
-def _(spark, d):
-    """Matches follow one shift; every tenth is moved far off and must go."""
-    m = table(spark, d, "embeddings").selectExpr("label as pair", "vec_id", "double(vec_id * 37 % 512) as ax", "double(vec_id * 91 % 512) as ay").selectExpr("pair", "ax", "ay", "ax + 7D + if(vec_id % 10 = 3, 90D + vec_id % 17 * 9, 0D) as bx", "ay - 3D as by")
-    kept = E.homography_gate(m)
-    return kept.groupBy("pair").agg(F.count("*").alias("kept"), F.bool_and(F.abs(F.col("bx") - F.col("ax") - 7) <= 3).alias("only_true"))
-
-
-@query("e14_feature_reprojection_error", f"with m as (select label as pair, case when suffix='GT' then 'correct' else 'inverse' end as mode, depth_m as err from {{tiles}} where x=y) select pair, mode, count(err) as matches, {_R('quantile_cont(err,0.5)', 'median')}, count(err)>=12 as qualified from m group by 1,2")
-def _(spark, d):
-    m = _tiles(spark, d).filter("x = y").selectExpr("label as pair", "if(suffix = 'GT', 'correct', 'inverse') as mode", "depth as err")
-    return E.feature_reprojection_error(m).select("pair", "mode", "matches", _r("median"), "qualified")
-
-
-@query("e15_fit_scales", "select case when count(*)>0 then true end as close from {tiles}")
-def _(spark, d):
-    """Ratios scatter evenly around a focal scale of 1.05 and a depth scale of 0.97; both must be found."""
-    rows = _tiles(spark, d).selectExpr("1.05D + ((x * 8 + y) - 31.5D) * 1e-4 as ratio_u", "1D as weight_u", "0.97D + ((y * 8 + x) - 31.5D) * 1e-4 as ratio_z")
-    focal, depth = E.fit_scales(rows)
-    return rows.agg(F.lit(abs(focal - 1.05) < 1e-6 and abs(depth - 0.97) < 1e-6).alias("close"))
-
-
-@query("e16_point_cloud", f"select tile_id, x, y, {_R('(x+0.5-4)/10*depth_m+tile_id', 'wx')}, {_R('(y+0.5-4)/10*depth_m', 'wy')}, {_R('depth_m+2', 'wz')} from {{tiles}} where x % 2=0 and y % 2=0 and depth_m>0")
-def _(spark, d):
-    rows = _tiles(spark, d).withColumns({"f": F.lit(10.0), "c": F.lit(4.0), "ox": F.col("tile_id").cast("double"), "oy": F.lit(0.0), "oz": F.lit(2.0)})
-    return E.point_cloud(rows, 2).select("tile_id", "x", "y", _r("wx"), _r("wy"), _r("wz"))
-
-
 @query("e17_half_float_step", f"select label, {_R('max(pow(2.0,floor(log2(depth_m))-10))', 'largest', 9)}, {_R('avg(pow(2.0,floor(log2(depth_m))-10))', 'mean', 9)} from {{tiles}} where depth_m>0.001 group by 1")
 def _(spark, d):
     rows = _tiles(spark, d).filter("depth > 0.001").withColumn("step", E.half_float_step(F.col("depth")))
@@ -187,30 +136,12 @@ def _(spark, d):
     return E.occlusion_fractions(_tiles(spark, d).withColumnRenamed("pair_id", "pair")).select("pair", _r("equal"), _r("farther"))
 
 
-@query("e19_pass_evidence", f"with {_PAIR}, v as (select pair_id, count(*) filter (seen)/64.0 as fraction, quantile_cont(err,0.95) filter (seen) as p95 from q group by 1) select count(*) as pairs, {_R('quantile_cont(fraction,0.5)', 'median_visible')}, {_R('quantile_cont(p95,0.5)', 'median_p95')}, {_R('max(p95)', 'max_p95')} from v")
-def _(spark, d):
-    got = _dense(spark, d).agg(F.count("*").alias("pairs"), F.expr("percentile(visible / 64, 0.5)").alias("median_visible"), F.expr("percentile(p95_error, 0.5)").alias("median_p95"), F.max("p95_error").alias("max_p95"))
-    return got.select("pairs", _r("median_visible"), _r("median_p95"), _r("max_p95"))
-
-
-@query("e20_existing_pose_delta", "select seq_no, case when seq_no % 13=0 then 0.25 else 0.0 end::double as largest, seq_no % 17<>0 as matched from (select distinct seq_no from {frames})")
-def _(spark, d):
-    rows = table(spark, d, "frames").select("seq_no", "frame", "tx", "ty")
-    fresh = rows.filter("not (seq_no % 17 = 0 and frame = 4)").withColumn("tx", F.expr("if(seq_no % 13 = 0 and frame = 7, tx + 0.25D, tx)"))
-    return E.existing_pose_delta(rows, fresh, ["seq_no", "frame"], ["tx", "ty"])
-
-
 @query("e21_raw_intrinsic_delta", f"select l_orderkey*10+l_linenumber as id, {_R('(l_quantity+10)::double/35*512-512.0', 'delta')} from {{lineitem}}")
 def _(spark, d):
     rows = table(spark, d, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber as id", "double(l_quantity + 10) as focal_mm", "35D as film_mm", "512 as width", "512D as fx")
     return E.raw_intrinsic_delta(rows).select("id", _r("delta"))
 
 
-@query("e22_coverage", "select trajectory, count(distinct prefix) as sequences, count(distinct (prefix, suffix, frame)) as frames, count(*) as files, count(*) filter (pass_name='depth') as depth_files from {files} group by 1")
-def _(spark, d):
-    return table(spark, d, "files").groupBy("trajectory").agg(F.count_distinct("prefix").alias("sequences"), F.count_distinct("prefix", "suffix", "frame").alias("frames"), F.count("*").alias("files"), F.count_if(F.col("pass_name") == "depth").alias("depth_files"))
-
-
 @query("e23_assessment", "select label, max(depth_m)/100000<0.001 and min(depth_m)<0.01 and max(depth_m)/100000<0.001 and quantile_cont(depth_m,0.5)/20<1 and quantile_cont(depth_m,0.95)/200<0.15 and true as valid from {tiles} group by 1")
 def _(spark, d):
     p = lambda q: F.expr(f"percentile(depth, {q})")
@@ -230,6 +161,3 @@ def _(spark, d):
     return E.depth_display_range(_tiles(spark, d), "tile_id").select("tile_id", "x", "y", _r("shade"))
 
 
-@query("e26_render_validation_report", "select trajectory, suffix, count(distinct prefix) as sequences, count(*) filter (pass_name='rgb') as rgb_files, count(*) filter (pass_name='depth') as depth_files, count(*) filter (size<=0)=0 as success from {files} group by rollup(trajectory, suffix)")
-def _(spark, d):
-    return table(spark, d, "files").rollup("trajectory", "suffix").agg(F.count_distinct("prefix").alias("sequences"), F.count_if(F.col("pass_name") == "rgb").alias("rgb_files"), F.count_if(F.col("pass_name") == "depth").alias("depth_files"), (F.count_if(F.col("size") <= 0) == 0).alias("success"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: str | None = None
 
@@ -22,3 +22,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
         _own = _own or tempfile.mkdtemp(prefix="spark-framewise-")
         base = f"file://{_own}"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stash(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write df as Parquet in a new folder and read it again."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

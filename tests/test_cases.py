@@ -69,12 +69,6 @@ def test_plane_shift_is_focal_times_baseline_over_depth(spark):
     assert behind == 0
 
 
-def test_fit_finds_scales(spark):
-    rows = spark.createDataFrame([(1.05 + (i - 40) * 1e-5, 1.0, 1 / 0.97) for i in range(81)], "ratio_u double, weight_u double, ratio_z double")
-    focal, depth = rgbd.fit_scales(rows)
-    assert math.isclose(focal, 1.05, abs_tol=1e-6) and math.isclose(depth, 1 / 0.97, abs_tol=1e-6)
-
-
 def test_placement_reasons(spark):
     rows = [("r", 0, 1, "G", 10.0, 0.0), ("r", 1, 1, "G", 10.0, 0.0), ("r", 1, 2, "G", 10.0, 0.0), ("r", 1, 1, "C", 10.0, 5.0), ("r", 1, 1, "G", 10.0, 5.0), ("r", 1, 1, "G", None, 0.0)]
     df = spark.createDataFrame(rows, "run_label string, gpu_index int, pid int, process_type string, framebuffer_mb double, sm_util_percent double")
