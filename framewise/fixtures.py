@@ -66,11 +66,12 @@ select concat('run_', cast(user_id % 20 as varchar(9))) as run_label, cast(event
        case when event_id % 50=0 then null else least(value,100.0) end as gpu_util_percent,
        cast(4000+(event_id*37) % 90000 as double) as gpu_memory_mb,
        sum(case when event_type='view' then 4 else 0 end)
-         over (partition by user_id % 20 order by event_id) as image_files
+         over (partition by user_id % 20 order by event_id) as image_files,
+       case when event_id % 33=0 then null else cast(200+(event_id*7) % 500 as double) end as power_w
 from {events}""",
     "placement": """
 select concat('run_', cast(user_id % 20 as varchar(9))) as run_label, event_id, event_id % 4 as gpu_index, user_id % 50 as pid,
-       case when event_type='error' then 'C' else 'G' end as process_type,
+       case when event_type='error' then case when event_id % 2=0 then 'C' else 'C+G' end else 'G' end as process_type,
        case when event_id % 41=0 then null else cast(event_id*13 % 300 as double) end as framebuffer_mb,
        case when event_id % 7=0 then 5.0 else 0.0 end as sm_util_percent, floor(event_id/1000) as start_time
 from {events}""",

@@ -9,17 +9,18 @@ SEQUENCE = ["trajectory", "prefix"]
 DIRECTORY = [*SEQUENCE, "suffix", "pass_name"]
 
 
-def expected_artifacts(sequences: DataFrame, passes: DataFrame, suffixes: DataFrame, frames: int = 25) -> DataFrame:
-    """Every file a sequence must have; the small factors are broadcast and frames come from a generator."""
-    rows = sequences.select(*SEQUENCE).crossJoin(F.broadcast(suffixes)).crossJoin(F.broadcast(passes))
-    return rows.withColumn("frame", F.explode(F.sequence(F.lit(0), F.lit(frames - 1))))
-
-
-def frame_completeness(sequences: DataFrame, files: DataFrame, passes: DataFrame, suffixes: DataFrame, frames: int = 25) -> DataFrame:
-    """Each expected or found directory: frames found, files, empty and unexpected files, and whether it is complete.
-
-    The expected frames of a directory are 0..frames-1, so found files are aggregated per directory first and outer-joined
-    with expected directories: no file-level join, and nothing is multiplied by frames."""
+def expected_artifacts(sequences: DataFrame, passes: DataFrame, suffixes: DataFrame, frames: int = 25, single: int | None = None) -> DataFrame:
+    """Every file a sequence must have, with its pass's extension: frames 0..frames-1, or the one frame `single`. Passes and
+    suffixes are configuration of a few rows; frames come from a generator."""
+    rows = sequences.select(*SEQUENCE).crossJoin(suffixes).crossJoin(passes.select("pass_name", "ext"))
+    frame = F.explode(F.sequence(F.lit(0), F.lit(frames - 1))) if single is None else F.lit(single)
+    rows = rows.withColumn("frame", frame)
+    name = F.format_string("%s/%s_%s/%s/%04d.%s", "trajectory", "prefix", "suffix", "pass_name", "frame", "ext")
+    return rows.withColumn("rel_path", name)
+
+
+def directories(files: DataFrame, frames: int = 25) -> DataFrame:
+    """Found files by directory: files, frames found, empty and unexpected ones, and whether it is complete."""
     inside = F.col("frame").between(0, frames - 1)
     found = files.groupBy(*DIRECTORY).agg(
         F.count("*").alias("files"),
@@ -27,10 +28,19 @@ def frame_completeness(sequences: DataFrame, files: DataFrame, passes: DataFrame
         F.count_if(F.col("size") <= 0).alias("empty"),
         F.count_if(~F.coalesce(inside, F.lit(False))).alias("unexpected"),
     )
+    return found.withColumn("complete", (F.col("frames_found") == frames) & (F.col("files") == frames) & (F.col("empty") == 0))
+
+
+def frame_completeness(sequences: DataFrame, files: DataFrame, passes: DataFrame, suffixes: DataFrame, frames: int = 25) -> DataFrame:
+    """Each expected or found directory: frames found, files, empty and unexpected files, and whether it is complete.
+
+    The expected frames of a directory are 0..frames-1, so found files are aggregated per directory first and outer-joined
+    with expected directories: no file-level join, and nothing is multiplied by frames."""
+    found = directories(files, frames)
     expected = sequences.select(*SEQUENCE).distinct().crossJoin(F.broadcast(suffixes)).crossJoin(F.broadcast(passes.select("pass_name"))).withColumn("expected", F.lit(True))
     rows = expected.join(found, DIRECTORY, "full_outer")
     n = {c: F.coalesce(c, F.lit(0)) for c in ("files", "frames_found", "empty", "unexpected")}
-    complete = F.col("expected").isNotNull() & (n["frames_found"] == frames) & (n["files"] == frames) & (n["empty"] == 0)
+    complete = F.col("expected").isNotNull() & F.coalesce("complete", F.lit(False))
     return rows.select(*DIRECTORY, F.coalesce("expected", F.lit(False)).alias("expected"), *(c.cast("long").alias(k) for k, c in n.items()), complete.alias("complete"))
 
 
@@ -46,11 +56,9 @@ def incomplete_sequences(completeness: DataFrame) -> DataFrame:
 
 
 def remaining_tasks(tasks: DataFrame, completeness: DataFrame, bad_sources: DataFrame) -> DataFrame:
-    """Jobs' tasks that still need work, in order: tasks(job_id, seq_no, trajectory, prefix)."""
+    """Jobs' tasks that still need work, one row each: tasks(job_id, seq_no, trajectory, prefix)."""
     bad = incomplete_sequences(completeness).unionByName(bad_sources.select(*SEQUENCE)).distinct()
-    left = tasks.join(bad, SEQUENCE, "left_semi")
-    ordered = F.sort_array(F.collect_list(F.struct("seq_no", "prefix")))
-    return left.groupBy("job_id").agg(F.count("*").alias("remaining"), F.array_join(F.transform(ordered, lambda x: x["prefix"]), ",").alias("prefixes"))
+    return tasks.join(bad, SEQUENCE, "left_semi").select("job_id", "seq_no", *SEQUENCE)
 
 
 def purge_list(files: DataFrame, bad: DataFrame) -> DataFrame:
@@ -133,11 +141,17 @@ def attempt_rollup(attempts: DataFrame, most_attempts: int) -> DataFrame:
 
 
 def run_summary(planned: DataFrame, attempts: DataFrame) -> DataFrame:
-    """Planned jobs by outcome: completed, failed, unscheduled; wall seconds and success."""
-    last = attempts.groupBy("job_id").agg(F.max_by("returncode", "attempt").alias("rc"), F.sum("wall_seconds").alias("wall"))
-    rows = planned.select("job_id").distinct().join(last, "job_id", "left")
-    out = rows.agg(F.count_if(F.expr("rc = 0")).alias("completed"), F.count_if(F.expr("rc <> 0")).alias("failed"), F.count_if(F.expr("rc is null")).alias("unscheduled"), F.sum("wall").alias("wall"))
-    return out.select("completed", "failed", "unscheduled", F.round("wall", 4).alias("wall_seconds"), F.expr("failed = 0 and unscheduled = 0").alias("success"))
+    """Planned jobs by outcome: completed, failed, unscheduled, resumed; images, those rendered now, wall seconds, images a
+    second and success. attempts(job_id, attempt, returncode, wall_seconds, resumed, image_files, rendered_image_files): a
+    resumed attempt found its output and rendered nothing; a job's last attempt is its result."""
+    result = F.max_by(F.struct("returncode", "resumed", "image_files"), "attempt").alias("r")
+    last = attempts.groupBy("job_id").agg(result, F.sum("wall_seconds").alias("wall"), F.sum(F.when(~F.col("resumed"), F.col("rendered_image_files"))).alias("rendered"))
+    rows = planned.select("job_id").distinct().join(last, "job_id", "left").select("job_id", "r.*", "wall", "rendered")
+    n = lambda c, k: F.count_if(F.expr(c)).alias(k)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    out = rows.agg(n("returncode = 0", "completed"), n("returncode <> 0", "failed"), n("returncode is null", "unscheduled"), n("resumed", "resumed"), total("image_files").alias("image_files"), total("rendered").alias("rendered"), F.sum("wall").alias("wall"))
+    rate = F.when(F.col("wall") > 0, F.col("rendered") / F.col("wall")).otherwise(0.0)
+    return out.select("completed", "failed", "unscheduled", "resumed", "image_files", F.round("wall", 4).alias("wall_seconds"), F.round(rate, 4).alias("image_files_per_second"), F.expr("failed = 0 and unscheduled = 0").alias("success"))
 
 
 def credited_throughput(attempts: DataFrame) -> DataFrame:

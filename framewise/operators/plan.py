@@ -30,14 +30,14 @@ def validate_plan(plan: DataFrame, maps: DataFrame, targets: DataFrame, views: i
         "expected_views": ~F.col("expected_views").eqNullSafe(F.lit(views)),
     }
     codes = F.array_compact(F.array(*(F.when(c, F.lit(k)) for k, c in rules.items())))
-    joined = plan.join(F.broadcast(m), "map_path", "left").join(t, ["map_path", "target_label"], "left")
+    joined = plan.join(m, "map_path", "left").join(t, ["map_path", "target_label"], "left")
     return joined.select("sequence_id", "seq_no", F.array_join(codes, ",").alias("codes")).filter("codes <> ''")
 
 
 def unsupported_recipe(plan: DataFrame, product: DataFrame) -> DataFrame:
     """Plan rows whose task is outside the product; heights match as the same double expression, height_m * 100."""
     p = product.select("kind", "height_cm", F.col("yaw_deg").alias("p_yaw")).distinct()
-    return plan.join(F.broadcast(p), (plan["trajectory"] == p["kind"]) & (plan["height_m"] * 100 == p["height_cm"]) & (plan["yaw_deg"] == p["p_yaw"]), "left_anti")
+    return plan.join(p, (plan["trajectory"] == p["kind"]) & (plan["height_m"] * 100 == p["height_cm"]) & (plan["yaw_deg"] == p["p_yaw"]), "left_anti")
 
 
 def duplicate_recipes(plan: DataFrame) -> DataFrame:
@@ -79,9 +79,16 @@ def assign_shards(plan: DataFrame, shards: int, limit: int | None = None) -> Dat
     return rows.groupBy("job_id", "map_path", "target_label").agg(F.count("*").alias("tasks"), F.array_join(F.transform(ordered, lambda x: x["sequence_id"]), ",").alias("sequence_ids"))
 
 
-def plan_summary(plan: DataFrame) -> DataFrame:
-    """Sequences and targets by split, by map and in total, in one pass."""
-    return plan.groupingSets([["split"], ["map_path"], []], "split", "map_path").agg(F.count("*").alias("sequences"), F.count_distinct("target_label").alias("targets")).select("split", "map_path", "sequences", "targets")
+def plan_summary(plan: DataFrame, shards: int = 3) -> DataFrame:
+    """Sequences, targets and jobs by split, by map and in total. A target's rows on a map make a job for each shard that has
+    any; they belong to the least of their splits. Counted by split, map and target first, so little is left to regroup."""
+    small = plan.groupBy("split", "map_path", "target_label").agg(F.count("*").alias("n"))
+    sets = [["split"], ["map_path"], []]
+    rows = small.groupingSets(sets, "split", "map_path").agg(F.sum("n").alias("sequences"), F.count_distinct("target_label").alias("targets"))
+    jobs = small.groupBy("map_path", "target_label").agg(F.min("split").alias("split"), F.least(F.sum("n"), F.lit(shards)).alias("jobs"))
+    jobs = jobs.groupingSets(sets, "split", "map_path").agg(F.sum("jobs").alias("jobs"))
+    same = rows["split"].eqNullSafe(jobs["split"]) & rows["map_path"].eqNullSafe(jobs["map_path"])
+    return rows.join(jobs, same, "left").select(rows["split"], rows["map_path"], "sequences", "targets", F.coalesce("jobs", F.lit(0)).alias("jobs"))
 
 
 def canonical_prefix(short_map: Column, label: Column, height_m: Column, yaw: Column) -> Column:
@@ -112,9 +119,9 @@ def parse_names(names: DataFrame) -> DataFrame:
 def exact_task_subset(product: DataFrame, requested: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(tasks to do, requested tasks outside the product); nothing requested means all."""
     keys = ["kind", "height_cm", "yaw_deg"]
-    missing = requested.join(F.broadcast(product), keys, "left_anti")
+    missing = requested.join(product, keys, "left_anti")
     some = requested.limit(1).select(F.lit(True).alias("some"))
-    chosen = product.join(F.broadcast(requested.withColumn("asked", F.lit(True)).distinct()), keys, "left").join(F.broadcast(some), F.lit(True), "left")
+    chosen = product.join(requested.withColumn("asked", F.lit(True)).distinct(), keys, "left").join(F.broadcast(some), F.lit(True), "left")
     return chosen.filter("asked or some is null").select(*keys), missing
 
 
@@ -165,9 +172,12 @@ def trajectory_seed(plan: DataFrame, seed: int = 42) -> DataFrame:
 
 
 def plan_fingerprint(plan: DataFrame) -> DataFrame:
-    """One row per map: a hash that doesn't depend on row order or file paths."""
+    """One row per map: a hash that doesn't depend on row order or file paths. Row hashes are added up in four words, which is
+    combined before the shuffle and gathers nothing."""
     row = F.sha2(F.concat_ws("|", "sequence_id", "map_path", "split", "target_label", F.col("expected_views").cast("string"), "trajectory", _number(F.col("height_m")), _number(F.col("yaw_deg"))), 256)
-    return plan.select("map_path", row.alias("h")).groupBy("map_path").agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("fingerprint"), F.count("*").alias("rows"))
+    words = [F.sum(F.conv(F.substring("h", 16 * k + 1, 16), 16, 10).cast("decimal(20,0)")).alias(f"w{k}") for k in range(4)]
+    sums = plan.select("map_path", row.alias("h")).groupBy("map_path").agg(F.count("*").alias("rows"), *words)
+    return sums.select("map_path", F.sha2(F.concat_ws(":", F.col("rows").cast("string"), *(F.col(f"w{k}").cast("string") for k in range(4))), 256).alias("fingerprint"), "rows")
 
 
 def same_plans(a: DataFrame, b: DataFrame) -> bool:
@@ -175,15 +185,17 @@ def same_plans(a: DataFrame, b: DataFrame) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def sequence_categories(paths: DataFrame, names: list[str]) -> DataFrame:
-    """Distinct paths by the first category whose segment they hold, else other."""
+def sequence_categories(selected: DataFrame, exported: DataFrame, names: list[str]) -> DataFrame:
+    """Distinct paths, selected and exported, by the first category whose segment they hold, else other."""
     category = F.coalesce(*(F.when(F.col("path").contains(f"/{n}/"), F.lit(n)) for n in names), F.lit("other"))
-    return paths.select("path").distinct().withColumn("category", category).groupBy("category").agg(F.count("*").alias("sequences"))
+    both = selected.select("path", F.lit(1).alias("s"), F.lit(0).alias("e")).unionByName(exported.select("path", F.lit(0).alias("s"), F.lit(1).alias("e")))
+    once = both.groupBy("path").agg(F.max("s").alias("s"), F.max("e").alias("e")).withColumn("category", category)
+    return once.groupBy("category").agg(F.sum("s").alias("selected"), F.sum("e").alias("exported"), F.sum(F.col("s") * F.col("e")).alias("both"))
 
 
 def trajectory_work_items(targets: DataFrame, tasks: DataFrame, params: DataFrame) -> DataFrame:
     """target x task with the kind's parameters, the shell's bounds (least and greatest height) and the output path."""
     shell = tasks.agg(F.min("height_cm").alias("shell_low"), F.max("height_cm").alias("shell_high"))
-    rows = targets.crossJoin(F.broadcast(tasks)).join(F.broadcast(params), "kind").crossJoin(F.broadcast(shell))
+    rows = targets.crossJoin(tasks).join(params, "kind").crossJoin(F.broadcast(shell))
     name = canonical_prefix(F.element_at(F.split("map_path", "/"), -1), F.col("target_label"), F.col("height_cm") / 100, F.col("yaw_deg"))
     return rows.withColumn("output_path", F.concat("map_path", F.lit("/"), "kind", F.lit("/"), name))

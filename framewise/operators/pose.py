@@ -5,6 +5,7 @@ position tx, ty, tz, height h (cm) and yaw."""
 
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -99,26 +100,27 @@ def dense_spiral(one: DataFrame, span: float, turns: float) -> DataFrame:
     and turns only, so it is made once and broadcast."""
     s = F.col("id") / (DENSE - 1)
     tilt, turn = (1 - s) * (span / 2), s * (360.0 * turns)
-    return one.select("id", s.alias("s"), (sin(tilt) * cos(turn)).alias("x"), (sin(tilt) * sin(turn)).alias("y"), cos(tilt).alias("z"))
+    return one.select(F.lit(0).alias("curve"), "id", s.alias("s"), (sin(tilt) * cos(turn)).alias("x"), (sin(tilt) * sin(turn)).alias("y"), cos(tilt).alias("z"))
 
 
 def resample_by_arc_length(dense: DataFrame, n: int = FRAMES) -> DataFrame:
-    """(frame, s): parameters at equal distances along the polyline of the dense samples (id, s, x, y, z), by running chord
-    length and linear interpolation in the segment that holds each distance."""
-    w = Window.orderBy("id")  # one curve of a fixed number of samples
+    """(curve, frame, s): parameters at equal distances along the polyline of each curve's dense samples (curve, id, s, x, y,
+    z), by running chord length and linear interpolation in the segment that holds each distance. A curve has a fixed number
+    of samples; curves are dealt by their key."""
+    w = Window.partitionBy("curve").orderBy("id")
     step = F.sqrt(F.pow(F.col("x") - F.lag("x").over(w), 2) + F.pow(F.col("y") - F.lag("y").over(w), 2) + F.pow(F.col("z") - F.lag("z").over(w), 2))
     length = dense.withColumn("step", F.coalesce(step, F.lit(0.0))).withColumn("at", F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    segments = length.select("s", "at", F.lead("s").over(w).alias("s1"), F.lead("at").over(w).alias("at1"))
-    total = length.agg(F.max("at").alias("total"))
-    wanted = total.select("total", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("frame")).withColumn("d", F.col("total") * F.col("frame") / (n - 1))
-    inside = (wanted["d"] >= segments["at"]) & ((wanted["d"] < segments["at1"]) | (segments["at1"].isNull() & (wanted["d"] >= segments["at"])))
+    segments = length.select("curve", "s", "at", F.lead("s").over(w).alias("s1"), F.lead("at").over(w).alias("at1"))
+    total = length.groupBy(F.col("curve").alias("of")).agg(F.max("at").alias("total"))
+    wanted = total.select("of", "total", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("frame")).withColumn("d", F.col("total") * F.col("frame") / (n - 1))
+    inside = (wanted["of"] == segments["curve"]) & (wanted["d"] >= segments["at"]) & ((wanted["d"] < segments["at1"]) | (segments["at1"].isNull() & (wanted["d"] >= segments["at"])))
     share = F.when(F.col("at1").isNull() | (F.col("at1") == F.col("at")), F.lit(0.0)).otherwise((F.col("d") - F.col("at")) / (F.col("at1") - F.col("at")))
-    return F.broadcast(wanted).join(segments, inside).select("frame", (F.col("s") + share * (F.coalesce("s1", "s") - F.col("s"))).alias("s"))
+    return wanted.join(segments, inside).select("curve", "frame", (F.col("s") + share * (F.coalesce("s1", "s") - F.col("s"))).alias("s"))
 
 
 def traj_spiral(rows: DataFrame, samples: DataFrame, span: float, turns: float) -> DataFrame:
     """A spiral on the sphere of radius h around the target at equal arc steps; the last frame is the zenith."""
-    joined = rows.join(F.broadcast(samples), "frame")
+    joined = rows.join(samples.select("frame", "s"), "frame")
     tilt, turn = (1 - F.col("s")) * (span / 2), F.col("s") * (360.0 * turns) + F.col("yaw")
     return joined.withColumns({"x": F.col("tx") + F.col("h") * sin(tilt) * cos(turn), "y": F.col("ty") + F.col("h") * sin(tilt) * sin(turn), "z": F.col("tz") + F.col("h") * cos(tilt), "pitch": tilt - 90})
 
@@ -147,24 +149,31 @@ def bspline_eval(points: DataFrame, controls: int = 8) -> DataFrame:
     return points.select("id", "t").mapInArrow(run, "id long, basis array<double>, total double")
 
 
-def traj_random_shell(rows: DataFrame, low: float, high: float, cap: float, controls: int = 8) -> DataFrame:
-    """rows(seq_no, seed, tx, ty, tz) -> 25 frames each: seeded control points in radius and tilt around the zenith, a
-    clamped cubic spline through their hull, resampled at equal arc length. Radii stay in [low, high], tilts within cap
-    degrees. Draws are Python's Mersenne Twister, in the order radius, polar, azimuth for each control point."""
+#: Random control points, then how often the reference view, and the share of the shell kept free below.
+SHELL_DRAWS, SHELL_ENDS, SHELL_MARGIN = 6, 2, 0.05
+
+
+def traj_random_shell(rows: DataFrame, low: float, high: float, span: float) -> DataFrame:
+    """rows(seq_no, seed, tx, ty, tz, h, yaw) -> 25 frames each: seeded control points in radius and tilt around the zenith and
+    the reference view at height h twice, so that the curve comes to rest there; a clamped cubic spline through their hull,
+    resampled at equal arc length and turned by yaw. Radii stay in [low, high], tilts within span / 2 degrees. Draws are
+    Python's Mersenne Twister: radius, cosine of the polar angle, azimuth for each control point."""
 
     def run(batches):
-        basis = bspline_basis(np.linspace(0, 1, DENSE), controls)
+        basis = bspline_basis(np.linspace(0, 1, DENSE), SHELL_DRAWS + SHELL_ENDS)
         for b in batches:
             out: dict[str, list] = {k: [] for k in ("seq_no", "frame", "x", "y", "z", "radius", "tilt")}
             for r in b.to_pylist():
                 rnd = random.Random(int(r["seed"]))
-                draws = np.array([(rnd.uniform(low, high), rnd.uniform(0, cap), rnd.uniform(0, 360)) for _ in range(controls)])
+                draws = [(rnd.uniform(low + SHELL_MARGIN * (high - low), high), math.acos(rnd.uniform(math.cos(math.radians(span / 2)), 1.0)), rnd.uniform(0.0, 2 * math.pi)) for _ in range(SHELL_DRAWS)]
                 # Interpolating radius and the tilt vector keeps both inside their convex bounds.
-                tilt = draws[:, 1:2] * np.column_stack([np.cos(np.radians(draws[:, 2])), np.sin(np.radians(draws[:, 2]))])
-                radius, plane = basis @ draws[:, 0], basis @ tilt
+                control = np.array([(q, math.degrees(p) * math.cos(a), math.degrees(p) * math.sin(a)) for q, p, a in draws] + [(float(r["h"]), 0.0, 0.0)] * SHELL_ENDS)
+                radius, plane = basis @ control[:, 0], basis @ control[:, 1:]
                 angle = np.hypot(plane[:, 0], plane[:, 1])
                 unit = plane / np.maximum(angle, 1e-12)[:, None]
                 p = radius[:, None] * np.column_stack([np.sin(np.radians(angle))[:, None] * unit, np.cos(np.radians(angle))])
+                c, q = math.cos(math.radians(r["yaw"])), math.sin(math.radians(r["yaw"]))
+                p = p @ np.array([[c, q, 0.0], [-q, c, 0.0], [0.0, 0.0, 1.0]])
                 at = np.concatenate([[0], np.cumsum(np.linalg.norm(np.diff(p, axis=0), axis=1))])
                 where = np.interp(np.linspace(0, at[-1], FRAMES), at, np.arange(DENSE))
                 at_frame = lambda v: np.interp(where, np.arange(DENSE), v).tolist()
@@ -177,7 +186,7 @@ def traj_random_shell(rows: DataFrame, low: float, high: float, cap: float, cont
             kinds = [pa.int64(), pa.int32(), *[pa.float64()] * 5]
             yield pa.record_batch([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
 
-    return rows.select("seq_no", "seed", "tx", "ty", "tz").mapInArrow(run, "seq_no long, frame int, x double, y double, z double, radius double, tilt double")
+    return rows.select("seq_no", "seed", "tx", "ty", "tz", F.col("h").cast("double").alias("h"), F.col("yaw").cast("double").alias("yaw")).mapInArrow(run, "seq_no long, frame int, x double, y double, z double, radius double, tilt double")
 
 
 def lookat_rotations(rows: DataFrame) -> DataFrame:
@@ -288,12 +297,22 @@ def pose_error(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return a.join(other, keys).select(*keys, position.alias("position_m"), angle.alias("rotation_deg"))
 
 
-def reference_view_consistency(views: DataFrame) -> DataFrame:
-    """views(prefix, trajectory, x, y, z): largest deviation from the first trajectory's view, for prefixes with two or
-    more. The first and the extremes are aggregates, so no group is gathered."""
-    first = views.groupBy("prefix").agg(F.count_distinct("trajectory").alias("trajectories"), *(F.min_by(c, "trajectory").alias(f"f{c}") for c in "xyz"), *(F.min(c).alias(f"lo{c}") for c in "xyz"), *(F.max(c).alias(f"hi{c}") for c in "xyz"))
-    off = F.greatest(*(F.greatest(F.col(f"hi{c}") - F.col(f"f{c}"), F.col(f"f{c}") - F.col(f"lo{c}")) for c in "xyz"))
-    return first.filter("trajectories >= 2").select("prefix", "trajectories", off.alias("largest"))
+def reference_view_consistency(views: DataFrame, pose: tuple[str, ...] = ("x", "y", "z"), k: tuple[str, ...] = ("fx", "cx")) -> DataFrame:
+    """views(scope, prefix, trajectory, pose and intrinsic columns): largest deviations of pose and of intrinsics from the first
+    trajectory's view, for prefixes with two or more. The first and the extremes are aggregates, so no group is gathered."""
+    every = (*pose, *k)
+    first = views.groupBy("scope", "prefix").agg(F.count_distinct("trajectory").alias("trajectories"), *(F.min_by(c, "trajectory").alias(f"f{c}") for c in every), *(F.min(c).alias(f"lo{c}") for c in every), *(F.max(c).alias(f"hi{c}") for c in every))
+    off = lambda some: F.greatest(*(F.greatest(F.col(f"hi{c}") - F.col(f"f{c}"), F.col(f"f{c}") - F.col(f"lo{c}")) for c in some))
+    return first.filter("trajectories >= 2").select("scope", "prefix", "trajectories", off(pose).alias("pose_delta"), off(k).alias("k_delta"))
+
+
+def reference_depth_consistency(depths: DataFrame) -> DataFrame:
+    """depths(scope, prefix, trajectory, y, x, depth) of the centre views: the largest of the trajectories' mean depth
+    differences from the first one. A pixel of the first is a minimum over its pixel, so no image is joined with another."""
+    w = Window.partitionBy("scope", "prefix", "y", "x")
+    first = F.min(F.struct("trajectory", "depth")).over(w)["depth"]
+    rows = depths.withColumn("off", F.abs(F.col("depth") - first)).groupBy("scope", "prefix", "trajectory").agg(F.avg("off").alias("off"))
+    return rows.groupBy("scope", "prefix").agg(F.count("*").alias("trajectories"), F.max("off").alias("depth_delta")).filter("trajectories >= 2")
 
 
 def pose_continuity(rows: DataFrame) -> DataFrame:

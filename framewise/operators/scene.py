@@ -9,14 +9,14 @@ NEAR = 5.0
 
 
 def occlusion_rates(faces: DataFrame, hits: DataFrame) -> DataFrame:
-    """faces(actor_id, face_id, cx, cy, cz, ray_id) and the first hit of each ray (ray_id, hit_actor, hx, hy, hz): shares of
+    """By camera and actor: faces(camera_id, actor_id, face_id, cx, cy, cz, ray_id) and the first hit of each ray (ray_id, hit_actor, hx, hy, hz): shares of
     faces that are visible, hidden by their own actor or by another. A hit of the own actor within NEAR on every axis of the
     face's centre is that face."""
     close = (F.abs(F.col("hx") - F.col("cx")) <= NEAR) & (F.abs(F.col("hy") - F.col("cy")) <= NEAR) & (F.abs(F.col("hz") - F.col("cz")) <= NEAR)
     kind = F.when(F.col("hit_actor").isNull(), "visible").when(F.col("hit_actor") != F.col("actor_id"), "inter").when(close, "visible").otherwise("self")
     rows = faces.join(hits, "ray_id", "left").withColumn("kind", kind)
     share = lambda k: F.avg((F.col("kind") == k).cast("double"))
-    return rows.groupBy("actor_id").agg(F.count("*").alias("faces"), share("visible").alias("visible"), share("self").alias("self_occlusion"), share("inter").alias("inter_occlusion"))
+    return rows.groupBy("camera_id", "actor_id").agg(F.count("*").alias("faces"), share("visible").alias("visible"), share("self").alias("self_occlusion"), share("inter").alias("inter_occlusion"))
 
 
 def first_hits(hits: DataFrame) -> DataFrame:
@@ -38,10 +38,14 @@ def facing_face_centres(faces: DataFrame, vertices: DataFrame, eye: tuple[float,
 
 
 def vertices_to_world(vertices: DataFrame, instances: DataFrame) -> DataFrame:
-    """Every vertex of every instance (instance_id, scale, yaw, ix, iy, iz): scaled, turned about z, moved."""
-    c, s = F.cos(F.radians("yaw")), F.sin(F.radians("yaw"))
-    rows = vertices.crossJoin(F.broadcast(instances))
-    return rows.select("instance_id", "vertex_id", (F.col("scale") * (F.col("x") * c - F.col("y") * s) + F.col("ix")).alias("x"), (F.col("scale") * (F.col("x") * s + F.col("y") * c) + F.col("iy")).alias("y"), (F.col("scale") * F.col("z") + F.col("iz")).alias("z"))
+    """Every vertex of every instance (instance_id, sx, sy, sz, qx, qy, qz, qw, ix, iy, iz): scaled along each axis, turned by
+    the unit quaternion, moved. The result is their product by definition."""
+    rows = vertices.crossJoin(instances)
+    v, q, w = [F.col(f"s{c}") * F.col(c) for c in "xyz"], [F.col(f"q{c}") for c in "xyz"], F.col("qw")
+    cross = lambda a, b: [a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]]
+    t = [2 * x for x in cross(q, v)]
+    turned = [v[i] + w * t[i] + x for i, x in enumerate(cross(q, t))]
+    return rows.select("instance_id", "vertex_id", *((turned[i] + F.col(f"i{c}")).alias(c) for i, c in enumerate("xyz")))
 
 
 def inside_test(hits: DataFrame) -> DataFrame:
@@ -85,6 +89,6 @@ def stencil_palette(objects: DataFrame, palette: DataFrame, separate: bool) -> D
     """objects(scene, pos, name, value) up to the scene's first value of 255 or more, with palette colours (value, colour);
     in separate mode the looked-up value is 2 to the (value - 1). The cut tests the raw value."""
     stop = objects.filter("value >= 255").groupBy("scene").agg(F.min("pos").alias("stop"))
-    rows = objects.join(F.broadcast(stop), "scene", "left").filter("stop is null or pos < stop")
+    rows = objects.join(stop, "scene", "left").filter("stop is null or pos < stop")
     key = F.pow(F.lit(2.0), F.col("value") - 1).cast("long") if separate else F.col("value").cast("long")
-    return rows.withColumn("key", key).join(F.broadcast(palette.select(F.col("value").cast("long").alias("key"), "colour")), "key", "left").select("scene", "pos", "name", "key", "colour")
+    return rows.withColumn("key", key).join(palette.select(F.col("value").cast("long").alias("key"), "colour"), "key", "left").select("scene", "pos", "name", "key", "colour")

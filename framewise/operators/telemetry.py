@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,10 +14,10 @@ def output_window(samples: DataFrame) -> DataFrame:
 
 
 def gpu_run_summary(samples: DataFrame) -> DataFrame:
-    """Per run: mean utilisation, the same inside the output window, peak memory, samples; nulls are unmeasured."""
-    rows = samples.join(F.broadcast(output_window(samples)), "run_label", "left")
+    """Per run: mean utilisation, the same inside the output window, peak memory, mean power, samples; nulls are unmeasured."""
+    rows = samples.join(output_window(samples), "run_label", "left")
     inside = F.col("elapsed_seconds").between(F.col("first_output"), F.col("last_output"))
-    return rows.groupBy("run_label").agg(F.avg("gpu_util_percent").alias("mean_util"), F.avg(F.when(inside, F.col("gpu_util_percent"))).alias("output_util"), F.max("gpu_memory_mb").alias("peak_memory_mb"), F.count("*").alias("samples"))
+    return rows.groupBy("run_label").agg(F.avg("gpu_util_percent").alias("mean_util"), F.avg(F.when(inside, F.col("gpu_util_percent"))).alias("output_util"), F.max("gpu_memory_mb").alias("peak_memory_mb"), F.avg("power_w").alias("mean_power_w"), F.count("*").alias("samples"))
 
 
 def throughput(samples: DataFrame, bytes_per_file: float) -> DataFrame:
@@ -27,13 +27,26 @@ def throughput(samples: DataFrame, bytes_per_file: float) -> DataFrame:
     return runs.select("run_label", "images", rate(F.col("images")).alias("images_per_second"), rate(F.col("images") / 2).alias("frames_per_second"), rate(F.col("images") * bytes_per_file / 1048576).alias("mib_per_second"))
 
 
-def placement_violations(samples: DataFrame, target: int, most_mb: float = 256.0) -> DataFrame:
-    """Processes off the target device, with the first reason that applies: compute, activity, allocation, unverified. Only
-    a small idle graphics context of a pid that is on the target in the same run passes."""
-    known = samples.filter(F.col("gpu_index") == target).select("run_label", "pid").distinct().withColumn("known", F.lit(True))
+#: Fixed value: the largest display context, in MB, that a process may keep off its device.
+DISPLAY_CONTEXT_MB = 128.0
+
+
+def placement_reason(verified: Column, most_mb: float = DISPLAY_CONTEXT_MB) -> Column:
+    """Why a process off the target device is a violation; null for a small idle graphics context of a verified process."""
+    active, memory = F.coalesce(F.col("sm_util_percent") > 0, F.lit(False)), F.col("framebuffer_mb")
+    small = F.coalesce(memory.between(0, most_mb), F.lit(False))
+    allowed = F.coalesce(F.col("process_type") == "G", F.lit(False)) & verified & small & ~active
+    why = F.when(F.col("process_type").contains("C"), "compute_context").when(active, "sm_activity").when(memory > most_mb, "framebuffer_allocation").otherwise("unverified_graphics_placement")
+    return F.when(~allowed, why)
+
+
+def placement_violations(samples: DataFrame, target: int, most_mb: float = DISPLAY_CONTEXT_MB, verified: DataFrame | None = None) -> DataFrame:
+    """Processes off the target device with the reason. A process is verified if its pid is on the target in the same run, or
+    is one of verified(run_label, pid), whose start times have been checked. Memory that is not known is no small context."""
+    known = samples.filter(F.col("gpu_index") == target).select("run_label", "pid")
+    known = (known if verified is None else known.unionByName(verified.select("run_label", "pid"))).distinct().withColumn("known", F.lit(True))
     off = samples.filter(F.col("gpu_index") != target).join(known, ["run_label", "pid"], "left")
-    why = F.when(F.col("process_type") == "C", "compute").when(F.coalesce("sm_util_percent", F.lit(0.0)) > 0, "activity").when(F.col("framebuffer_mb").isNull() | (F.col("framebuffer_mb") > most_mb), "allocation").when(F.col("known").isNull(), "unverified")
-    return off.withColumn("reason", why).filter("reason is not null")
+    return off.withColumn("reason", placement_reason(F.coalesce("known", F.lit(False)), most_mb)).filter("reason is not null").drop("known")
 
 
 def verified_history(samples: DataFrame) -> DataFrame:

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from framewise.operators import complete, plan
 
 
-def remaining_by_map(rows: DataFrame, maps: DataFrame, targets: DataFrame, files: DataFrame, passes: DataFrame, suffixes: DataFrame) -> DataFrame:
-    """Drop rows that violate the manifest, keep each recipe's first, name them, compare with the files, count per map."""
+def remaining_by_map(rows: DataFrame, maps: DataFrame, targets: DataFrame, files: DataFrame, passes: DataFrame, suffixes: DataFrame, frames: int = 25) -> DataFrame:
+    """Drop rows that violate the manifest, keep each recipe's first, name them, compare with the files, count per map. Rows
+    are named in place and files counted by directory, then by sequence, so each table is read once and met once."""
     bad = plan.validate_plan(rows, maps, targets).select("sequence_id")
     good = plan.first_of_recipe(rows.join(bad, "sequence_id", "left_anti"))
-    named = good.join(plan.canonical_names(good).select("sequence_id", "prefix"), "sequence_id").select("map_path", "trajectory", "prefix")
-    state = complete.frame_completeness(named, files, passes, suffixes).filter("expected")
-    per_sequence = state.groupBy("trajectory", "prefix").agg(F.bool_and("complete").alias("complete"))
-    joined = named.join(per_sequence, ["trajectory", "prefix"])
-    return joined.groupBy("map_path").agg(F.count("*").alias("sequences"), F.count_if(~F.col("complete")).alias("remaining"))
+    prefix = plan.canonical_prefix(F.element_at(F.split("map_path", "/"), -1), F.col("target_label"), F.col("height_m"), F.col("yaw_deg"))
+    named = good.select("map_path", "trajectory", prefix.alias("prefix")).distinct()
+    asked = files.join(F.broadcast(suffixes.crossJoin(passes.select("pass_name"))), ["suffix", "pass_name"], "left_semi")  # configuration of a few rows
+    whole = complete.directories(asked, frames).groupBy(*complete.SEQUENCE).agg(F.count_if("complete").alias("whole"))
+    wanted = suffixes.count() * passes.count()
+    joined = named.join(whole, complete.SEQUENCE, "left")
+    return joined.groupBy("map_path").agg(F.count("*").alias("sequences"), F.count_if(F.coalesce("whole", F.lit(0)) < wanted).alias("remaining"))

@@ -71,17 +71,20 @@ _DENSE = f"""{_REL}, {_STABLE}, q as ({_GO('x', 'y', 'depth')} (select rel.*, a.
  dp as (select pair_id as pair, mode, count(*) as samples, count(*) filter (ib) as in_bounds, count(*) filter (stab) as stable, count(*) filter (vis) as visible, avg(err) filter (vis) as mean_error, quantile_cont(err,0.5) filter (vis) as median_error, quantile_cont(err,0.95) filter (vis) as p95_error, max(err) filter (vis) as max_error, quantile_cont(err,0.95) filter (stab) as stable_p95,
    count(*) filter (sup) as rgb_support, coalesce(sum(sq) filter (sup),0) as sse, count(*) filter (vis)/greatest(count(*) filter (ib),1) as visible_fraction from w group by 1,2)"""
 _DP = f"pair, mode, samples, in_bounds, stable, visible, {_R('visible_fraction', 'visible_fraction')}, {_R('mean_error', 'mean_error')}, {_R('median_error', 'median_error')}, {_R('p95_error', 'p95_error')}, {_R('stable_p95', 'stable_p95')}, rgb_support, {_R('case when rgb_support>0 then 10*log10(65025.0/greatest(sse/rgb_support,1e-12)) end', 'rgb_psnr')}"
-_COLUMNS = ["pair", "mode", "samples", "in_bounds", "stable", "visible", *map(_r, ("visible_fraction", "mean_error", "median_error", "p95_error", "stable_p95")), "rgb_support", _r("rgb_psnr")]
+
+
+def _columns() -> list:
+    return ["pair", "mode", "samples", "in_bounds", "stable", "visible", *map(_r, ("visible_fraction", "mean_error", "median_error", "p95_error", "stable_p95")), "rgb_support", _r("rgb_psnr")]
 
 
 @query("e8_dense_pair", f"with {_DENSE} select {_DP} from dp where mode='correct'")
 def _(spark, d):
-    return _dense(spark, d, A.HYPOTHESES[:1]).select(*_COLUMNS)
+    return _dense(spark, d, A.HYPOTHESES[:1]).select(*_columns())
 
 
 @query("e9_negative_controls", f"with {_DENSE} select {_DP} from dp")
 def _(spark, d):
-    return _dense(spark, d).select(*_COLUMNS)
+    return _dense(spark, d).select(*_columns())
 
 
 @query("e9_control_rollup", f"with {_DENSE} select mode, count(*) as pairs, {_R('avg(case when rgb_support>0 then 10*log10(65025.0/greatest(sse/rgb_support,1e-12)) end)', 'mean_psnr')}, {_R('case when sum(rgb_support)>0 and sum(sse)>0 then 10*log10(65025.0/(sum(sse)/sum(rgb_support))) end', 'pooled_psnr')}, cast(sum(rgb_support) as bigint) as rgb_support, {_R('quantile_cont(visible_fraction,0.5)', 'median_visible')} from dp group by 1")
@@ -150,7 +153,7 @@ def _(spark, d):
     return got.select("suffix", "pairs", _r("median_visible"), "n", *map(_r, ("mean", "median", "p95", "max")))
 
 
-@query("e20_existing_pose_delta", f"select pair_id as sequence, {_R('max(case when pair_id % 13=0 and frame=7 then 0.25 else 0.0 end)', 'pose_delta', 9)}, {_R('max(case when pair_id % 11=0 then 0.5 else 0.0 end)', 'k_delta', 9)}, pair_id % 7<>0 and pair_id % 17<>0 as hash_matches, pair_id % 17<>0 as matched from {{views}} group by pair_id")
+@query("e20_existing_pose_delta", f"select pair_id as sequence, {_R('max(case when pair_id % 13=0 and frame=7 then 0.25::double else 0 end)', 'pose_delta', 9)}, {_R('max(case when pair_id % 11=0 then 0.5::double else 0 end)', 'k_delta', 9)}, pair_id % 7<>0 and pair_id % 17<>0 as hash_matches, pair_id % 17<>0 as matched from {{views}} group by pair_id")
 def _(spark, d):
     """A second extraction of the same poses, with planted differences and missing frames."""
     rows = table(spark, d, "views").selectExpr("pair_id as sequence", "frame", "array(cos(theta), sin(theta), tx, ty, tz) as pose", "array(10D, 10D, 4D, 4D) as k", "sha2(string(pair_id), 256) as source_hash")

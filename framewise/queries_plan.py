@@ -89,7 +89,7 @@ def _(spark, d):
     return P.assign_shards(_t(spark, d)("plan_rows"), 3)
 
 
-@query("b8_plan_summary", "select split, map_path, count(*) as sequences, count(distinct target_label) as targets from {plan_rows} group by grouping sets ((split),(map_path),())")
+@query("b8_plan_summary", "with s as (select split, map_path, count(*) as sequences, count(distinct target_label) as targets from {plan_rows} group by grouping sets ((split),(map_path),())), j as (select min(split) as split, map_path, least(count(*),3) as n from {plan_rows} group by map_path, target_label), k as (select split, map_path, sum(n) as jobs from j group by grouping sets ((split),(map_path),())) select s.*, cast(coalesce(jobs,0) as bigint) as jobs from s left join k on k.split is not distinct from s.split and k.map_path is not distinct from s.map_path")
 def _(spark, d):
     return P.plan_summary(_t(spark, d)("plan_rows"))
 
@@ -154,15 +154,16 @@ def _(spark, d):
 
 
 @query("b17_plan_fingerprint", """with h as (select map_path, sha256(concat_ws('|', sequence_id, map_path, split, target_label, cast(expected_views as varchar), trajectory, printf('%.1f',height_m), printf('%.1f',yaw_deg))) as h from {plan_rows})
- select map_path, sha256(string_agg(h, '' order by h)) as fingerprint, count(*) as rows from h group by 1""")
+ select map_path, sha256(concat_ws(':', count(*), sum(('0x'||substr(h,1,16))::ubigint), sum(('0x'||substr(h,17,16))::ubigint), sum(('0x'||substr(h,33,16))::ubigint), sum(('0x'||substr(h,49,16))::ubigint))) as fingerprint, count(*) as rows from h group by 1""")
 def _(spark, d):
     return P.plan_fingerprint(_t(spark, d)("plan_rows"))
 
 
-@query("b18_sequence_categories", """with p as (select distinct map_path||'/'||trajectory||'/'||prefix as path from {sequences}) select case when path like '%/fix_line/%' then 'fix_line' when path like '%/plane_grid/%' then 'plane_grid' when path like '%/rot_arc/%' then 'rot_arc' else 'other' end as category, count(*) as sequences from p group by 1""")
+@query("b18_sequence_categories", """with p as (select map_path||'/'||trajectory||'/'||prefix as path, max((seq_no % 3<>0)::int) as s, max((seq_no % 4<>0)::int) as e from {sequences} group by 1) select case when path like '%/fix_line/%' then 'fix_line' when path like '%/plane_grid/%' then 'plane_grid' when path like '%/rot_arc/%' then 'rot_arc' else 'other' end as category, cast(sum(s) as bigint) as selected, cast(sum(e) as bigint) as exported, cast(sum(s*e) as bigint) as both from p where s+e>0 group by 1""")
 def _(spark, d):
-    paths = _t(spark, d)("sequences").select(F.concat_ws("/", "map_path", "trajectory", "prefix").alias("path"))
-    return P.sequence_categories(paths, ["fix_line", "plane_grid", "rot_arc"])
+    """Every third sequence is not selected, every fourth not exported."""
+    paths = _t(spark, d)("sequences").select(F.concat_ws("/", "map_path", "trajectory", "prefix").alias("path"), "seq_no")
+    return P.sequence_categories(paths.filter("seq_no % 3 <> 0"), paths.filter("seq_no % 4 <> 0"), ["fix_line", "plane_grid", "rot_arc"])
 
 
 @query("b19_trajectory_work_items", f"""with k as ({_PRODUCT}), p as (select kind, length(kind) * 10.0::double as span from (select distinct kind from k)), s as (select min(height_cm) as shell_low, max(height_cm) as shell_high from k)
@@ -181,7 +182,7 @@ _PASSES = "(select 'rgb' as pass_name union all select 'depth') p cross join (se
 
 
 def _passes(spark):
-    return spark.createDataFrame([("rgb",), ("depth",)], "pass_name string"), spark.createDataFrame([("occ",), ("GT",)], "suffix string")
+    return spark.createDataFrame([("rgb", "png"), ("depth", "exr")], "pass_name string, ext string"), spark.createDataFrame([("occ",), ("GT",)], "suffix string")
 
 
 _COMPLETE = f"""e as (select trajectory, prefix, suffix, pass_name from (select distinct trajectory, prefix from {{sequences}}) q cross join {_PASSES}),
@@ -194,12 +195,18 @@ def _completeness(spark, d):
     return C.frame_completeness(t("sequences"), t("files"), *_passes(spark))
 
 
-@query("c1_expected_artifacts", f"select q.trajectory, q.prefix, x.suffix, p.pass_name, cast(f as int) as frame from {{sequences}} q cross join {_PASSES} cross join unnest(range(0,25)) as u(f)")
+@query("c1_expected_artifacts", f"select q.trajectory, q.prefix, x.suffix, p.pass_name, case when p.pass_name='rgb' then 'png' else 'exr' end as ext, cast(f as int) as frame, q.trajectory||'/'||q.prefix||'_'||x.suffix||'/'||p.pass_name||'/'||printf('%04d', cast(f as int))||'.'||case when p.pass_name='rgb' then 'png' else 'exr' end as rel_path from {{sequences}} q cross join {_PASSES} cross join unnest(range(0,25)) as u(f)")
 def _(spark, d):
     passes, suffixes = _passes(spark)
     return C.expected_artifacts(_t(spark, d)("sequences"), passes, suffixes)
 
 
+@query("c1_expected_single_frame", f"select q.trajectory, q.prefix, x.suffix, p.pass_name, cast(12 as int) as frame from {{sequences}} q cross join {_PASSES}")
+def _(spark, d):
+    passes, suffixes = _passes(spark)
+    return C.expected_artifacts(_t(spark, d)("sequences"), passes, suffixes, single=12).select("trajectory", "prefix", "suffix", "pass_name", "frame")
+
+
 @query("c2_frame_completeness", f"with {_COMPLETE} select * from c")
 def _(spark, d):
     return _completeness(spark, d)
@@ -218,7 +225,7 @@ def _(spark, d):
 
 
 @query("c4_remaining_tasks", f"""with {_COMPLETE}, b as (select distinct trajectory, prefix from c where not complete union select q.trajectory, q.prefix from {{sequences}} q left join {_SOURCES} s on q.trajectory=s.trajectory and q.prefix=s.prefix where coalesce(s.size,0)<1024)
- select map_path as job_id, count(*) as remaining, string_agg(q.prefix, ',' order by seq_no, q.prefix) as prefixes from {{sequences}} q join b on b.trajectory=q.trajectory and b.prefix=q.prefix group by 1""")
+ select map_path as job_id, seq_no, q.trajectory, q.prefix from {{sequences}} q join b on b.trajectory=q.trajectory and b.prefix=q.prefix""")
 def _(spark, d):
     t = _t(spark, d)
     tasks = t("sequences").select(F.col("map_path").alias("job_id"), "seq_no", "trajectory", "prefix")
@@ -239,20 +246,15 @@ def _(spark, d):
     return C.pose_pair_valid(poses, sources)
 
 
-@query("c7_classify_jobs", f"""with {_COMPLETE}, j as (select q.map_path as job_id, bool_and(complete) as frames_ok, count(*) as n from c join {{sequences}} q using (trajectory, prefix) group by 1), s as (select q.target_label as job_id, bool_and(complete) as frames_ok, min(seq_no) as n from c join {{sequences}} q using (trajectory, prefix) where q.height_m=50 and q.trajectory='fix_line' group by 1)
+@query("c7_classify_jobs", f"""with {_COMPLETE}, s as (select q.target_label as job_id, bool_and(complete) as frames_ok, min(seq_no) as n from c join {{sequences}} q using (trajectory, prefix) group by 1)
  select job_id, case when not frames_ok then 'render' when n % 3 = 0 then 'camera' when n % 5 = 0 then 'render' else 'done' end as state from s""")
 def _(spark, d):
-    seqs = _t(spark, d)("sequences").filter("height_m = 50 and trajectory = 'fix_line'").select("trajectory", "prefix", "target_label", "seq_no")
+    seqs = _t(spark, d)("sequences").select("trajectory", "prefix", "target_label", "seq_no")
     jobs = _completeness(spark, d).join(seqs, ["trajectory", "prefix"]).groupBy(F.col("target_label").alias("job_id")).agg(F.bool_and("complete").alias("frames_ok"), F.min("seq_no").alias("n"))
     return C.classify_jobs(jobs.select("job_id", "frames_ok", F.expr("n % 3 <> 0").alias("poses_ok"), F.lit(True).alias("marker"), F.expr("n % 5 <> 0").alias("fingerprint_ok"), F.lit(True).alias("inventory_ok")))
 
 
-@query("c7_classify_jobs_all", f"""with {_COMPLETE}, s as (select q.target_label as job_id, bool_and(complete) as frames_ok, min(seq_no) as n from c join {{sequences}} q using (trajectory, prefix) group by 1)
- select job_id, case when not frames_ok then 'render' when n % 3 = 0 then 'camera' when n % 5 = 0 then 'render' else 'done' end as state from s""")
-def _(spark, d):
-    seqs = _t(spark, d)("sequences").select("trajectory", "prefix", "target_label", "seq_no")
-    jobs = _completeness(spark, d).join(seqs, ["trajectory", "prefix"]).groupBy(F.col("target_label").alias("job_id")).agg(F.bool_and("complete").alias("frames_ok"), F.min("seq_no").alias("n"))
-    return C.classify_jobs(jobs.select("job_id", "frames_ok", F.expr("n % 3 <> 0").alias("poses_ok"), F.lit(True).alias("marker"), F.expr("n % 5 <> 0").alias("fingerprint_ok"), F.lit(True).alias("inventory_ok")))
+QUERIES["c7_classify_jobs_all"], ORACLES["c7_classify_jobs_all"] = QUERIES["c7_classify_jobs"], ORACLES["c7_classify_jobs"]
 
 
 @query("c8_output_inventory", "with p as (select trajectory, prefix, suffix, pass_name, count(*) as files, sum(size) as bytes, count(distinct frame) as frames from {files} group by 1,2,3,4) select trajectory, cast(sum(files) as bigint) as files, cast(sum(bytes) as bigint) as bytes, cast(sum(frames) as bigint) as frames, count(*) as directories from p group by 1")
@@ -303,11 +305,12 @@ def _(spark, d):
     return C.attempt_rollup(_t(spark, d)("attempts"), 12)
 
 
-@query("c15_run_summary", """with p as (select distinct 'job_'||c_custkey as job_id from {customer}), a as (select job_id, arg_max(returncode, attempt) as rc, sum(wall_seconds) as wall from {attempts} group by 1), r as (select p.job_id, rc, wall from p left join a using (job_id))
- select count(*) filter (rc=0) as completed, count(*) filter (rc<>0) as failed, count(*) filter (rc is null) as unscheduled, round(sum(wall),4) as wall_seconds, count(*) filter (rc<>0)=0 and count(*) filter (rc is null)=0 as success from r""")
+@query("c15_run_summary", """with p as (select distinct 'job_'||c_custkey as job_id from {customer}), t as (select *, event_id % 3=0 as resumed, 50+event_id % 7 as image_files, 40+event_id % 5 as fresh from {attempts}), a as (select job_id, arg_max(returncode, attempt) as rc, arg_max(resumed, attempt) as res, arg_max(image_files, attempt) as im, sum(wall_seconds) as wall, sum(case when not resumed then fresh end) as fresh from t group by 1), r as (select p.job_id, rc, res, im, wall, fresh from p left join a using (job_id))
+ select count(*) filter (rc=0) as completed, count(*) filter (rc<>0) as failed, count(*) filter (rc is null) as unscheduled, count(*) filter (res) as resumed, cast(coalesce(sum(im),0) as bigint) as image_files, round(sum(wall),4) as wall_seconds, round(sum(fresh)/sum(wall),4) as image_files_per_second, count(*) filter (rc<>0)=0 and count(*) filter (rc is null)=0 as success from r""")
 def _(spark, d):
     t = _t(spark, d)
-    return C.run_summary(t("customer").select(F.concat(F.lit("job_"), F.col("c_custkey").cast("string")).alias("job_id")), t("attempts"))
+    attempts = t("attempts").withColumns({"resumed": F.expr("event_id % 3 = 0"), "image_files": F.expr("50 + event_id % 7"), "rendered_image_files": F.expr("40 + event_id % 5")})
+    return C.run_summary(t("customer").select(F.concat(F.lit("job_"), F.col("c_custkey").cast("string")).alias("job_id")), attempts)
 
 
 @query("c16_credited_throughput", """with a as (select job_id, attempt, (attempt*5) % 13 as valid_tasks, 13 as tasks, 1000 + event_id % 500 as images from {attempts}), b as (select *, greatest(valid_tasks - coalesce(max(valid_tasks) over (partition by job_id order by attempt rows between unbounded preceding and 1 preceding), 0), 0) as fresh from a)
@@ -322,17 +325,12 @@ def _(spark, d):
     return C.storage_forecast(_t(spark, d)("files"), spark.createDataFrame([("rgb", 960000), ("depth", 480000)], "pass_name string, planned int"))
 
 
-@query("c18_worker_outcome", """with l as (select user_id as worker, event_id as seq, case event_type when 'error' then 'failed' when 'purchase' then 'finished' when 'click' then 'cancelled' else 'progress' end as message, case when event_id % 3=0 then null else cast(event_id % 2 as int) end as returncode from {events} where event_id % 5 = 0),
+@query("c18_worker_outcome", """with l as (select user_id as worker, event_id as seq, case event_type when 'error' then 'failed' when 'purchase' then 'finished' when 'click' then 'cancelled' else 'progress' end as message, case when event_id % 3=0 then null else cast(event_id % 2 as int) end as returncode from {events}),
  w as (select worker, arg_max(message, seq) filter (message in ('finished','failed','cancelled')) as last, arg_max(returncode, seq) as rc, arg_max(returncode is null, seq) as rn from l group by 1)
  select worker, case when last='cancelled' then 'cancelled' when last='failed' then 'failed' when last='finished' and rc is null then 'unreaped' when last='finished' and rc<>0 then 'teardown_incomplete' when last='finished' then 'finished' else 'crash' end as outcome from (select worker, last, case when rn then null else rc end as rc from w)""")
 def _(spark, d):
-    log = _t(spark, d)("events").filter("event_id % 5 = 0").selectExpr("user_id as worker", "event_id as seq", "case event_type when 'error' then 'failed' when 'purchase' then 'finished' when 'click' then 'cancelled' else 'progress' end as message", "if(event_id % 3 = 0, null, cast(event_id % 2 as int)) as returncode")
+    log = _t(spark, d)("events").selectExpr("user_id as worker", "event_id as seq", "case event_type when 'error' then 'failed' when 'purchase' then 'finished' when 'click' then 'cancelled' else 'progress' end as message", "if(event_id % 3 = 0, null, cast(event_id % 2 as int)) as returncode")
     return C.worker_outcome(log)
 
 
-@query("c18_worker_outcome_all", """with l as (select user_id as worker, event_id as seq, case event_type when 'error' then 'failed' when 'purchase' then 'finished' when 'click' then 'cancelled' else 'progress' end as message, case when event_id % 3=0 then null else cast(event_id % 2 as int) end as returncode from {events}),
- w as (select worker, arg_max(message, seq) filter (message in ('finished','failed','cancelled')) as last, arg_max(returncode, seq) as rc, arg_max(returncode is null, seq) as rn from l group by 1)
- select worker, case when last='cancelled' then 'cancelled' when last='failed' then 'failed' when last='finished' and rc is null then 'unreaped' when last='finished' and rc<>0 then 'teardown_incomplete' when last='finished' then 'finished' else 'crash' end as outcome from (select worker, last, case when rn then null else rc end as rc from w)""")
-def _(spark, d):
-    log = _t(spark, d)("events").selectExpr("user_id as worker", "event_id as seq", "case event_type when 'error' then 'failed' when 'purchase' then 'finished' when 'click' then 'cancelled' else 'progress' end as message", "if(event_id % 3 = 0, null, cast(event_id % 2 as int)) as returncode")
-    return C.worker_outcome(log)
+QUERIES["c18_worker_outcome_all"], ORACLES["c18_worker_outcome_all"] = QUERIES["c18_worker_outcome"], ORACLES["c18_worker_outcome"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from framewise.fixtures import oracle, table
@@ -94,7 +95,7 @@ def _samples(spark):
 
 @query("d9_resample_by_arc_length", f"with {_F}, {_DENSE} select f.seq_no, f.frame, round(sm.s, 6)+0.0 as s from f join sm using (frame) where trajectory='rot_spiral'")
 def _(spark, d):
-    rows = _frames(spark, d).filter("trajectory = 'rot_spiral'").join(F.broadcast(_samples(spark)), "frame")
+    rows = _frames(spark, d).filter("trajectory = 'rot_spiral'").join(_samples(spark), "frame")
     return _out(rows, "s", digits=6)
 
 
@@ -106,21 +107,21 @@ def _(spark, d):
 def _shell(spark, d):
     plan = table(spark, d, "plan_rows")
     seeds = P.trajectory_seed(plan).withColumn("seed", F.col("seed").cast("string"))
-    rows = plan.filter("trajectory = 'rand_shell'").select("sequence_id", "seq_no", "map_path", "target_label")
+    rows = plan.filter("trajectory = 'rand_shell'").select("sequence_id", "seq_no", "map_path", "target_label", (F.col("height_m") * 100).alias("h"), F.col("yaw_deg").alias("yaw"))
     targets = table(spark, d, "targets").select("map_path", "target_label", F.col("x").alias("tx"), F.col("y").alias("ty"), F.col("z").alias("tz"))
-    return D.traj_random_shell(rows.join(seeds, "sequence_id").join(F.broadcast(targets), ["map_path", "target_label"]), 5000.0, 12000.0, 60.0)
+    return D.traj_random_shell(rows.join(seeds, "sequence_id").join(targets, ["map_path", "target_label"]), 5000.0, 12000.0, 120.0).join(rows.select("seq_no", "h"), "seq_no")
 
 
-@query("d10_traj_random_shell", "select seq_no, cast(25 as bigint) as frames, true as inside from {plan_rows} where trajectory='rand_shell'")
+@query("d10_traj_random_shell", "select seq_no, cast(25 as bigint) as frames, true as inside, true as ends_at_reference from {plan_rows} where trajectory='rand_shell'")
 def _(spark, d):
-    """Whether all 25 frames stay inside the shell and cap."""
-    return _shell(spark, d).groupBy("seq_no").agg(F.count("*").alias("frames"), F.bool_and(F.expr("radius between 4999.999 and 12000.001 and tilt <= 60.001")).alias("inside"))
+    """Whether all 25 frames stay inside the shell and cap, and the last one is the reference view."""
+    return _shell(spark, d).groupBy("seq_no").agg(F.count("*").alias("frames"), F.bool_and(F.expr("radius between 4999.999 and 12000.001 and tilt <= 60.001")).alias("inside"), F.bool_and(F.expr("frame < 24 or (abs(radius - h) < 0.001 and tilt < 0.001)")).alias("ends_at_reference"))
 
 
-@query("d11_bspline_eval", "select event_id as id, 8 as controls, 1.0::double as total from {events}")
+@query("d11_bspline_eval", "with p as (select event_id as id, (event_id % 1001)/1000.0::double as t from {events}) select id, 8 as controls, 1.0::double as total, round(pow(greatest(1-5*t, 0), 3), 9)+0.0 as first, round(pow(greatest(5*t-4, 0), 3), 9)+0.0 as last from p")
 def _(spark, d):
     points = table(spark, d, "events").selectExpr("event_id as id", "(event_id % 1001) / 1000.0D as t")
-    return D.bspline_eval(points).select("id", F.size("basis").alias("controls"), F.round("total", 9).alias("total"))
+    return D.bspline_eval(points).select("id", F.size("basis").alias("controls"), F.round("total", 9).alias("total"), (F.round(F.get("basis", 0), 9) + 0.0).alias("first"), (F.round(F.get("basis", 7), 9) + 0.0).alias("last"))
 
 
 _LOOK = f"""with {_F}, p as (select *, tx+s*cos(radians(yaw)) as x, ty+s*sin(radians(yaw)) as y, case when seq_no % 101=0 then tz-1 else tz+h end as z from (select *, {_STEP} as s from f)),
@@ -204,11 +205,18 @@ def _(spark, d):
     return err.select(*KEYS, (F.round("position_m", 4) + 0.0).alias("position_m"), (F.round("rotation_deg", 4) + 0.0).alias("rotation_deg"))
 
 
-@query("d22_reference_view_consistency", "with v as (select prefix, trajectory, min(tx) + case when min(seq_no) % 6=0 then 0.25 else 0 end as x from {frames} where frame=12 group by 1,2), f as (select prefix, count(distinct trajectory) as trajectories, arg_min(x, trajectory) as f, min(x) as lo, max(x) as hi from v group by 1) select prefix, trajectories, round(greatest(hi-f, f-lo),4)+0.0 as largest from f where trajectories>=2")
+@query("d22_reference_view_consistency", "with v as (select case when min(seq_no) over (partition by prefix) % 2=0 then 'a' else 'b' end as scope, * from (select prefix, trajectory, min(seq_no) as seq_no, min(tx) + case when min(seq_no) % 6=0 then 0.25 else 0 end as x, case when min(seq_no) % 10=0 then 500.5 else 500.0 end as fx from {frames} where frame=12 group by 1,2)), f as (select scope, prefix, count(distinct trajectory) as trajectories, arg_min(x, trajectory) as f, min(x) as lo, max(x) as hi, arg_min(fx, trajectory) as g, min(fx) as gl, max(fx) as gh from v group by 1,2) select scope, prefix, trajectories, round(greatest(hi-f, f-lo),4)+0.0 as pose_delta, round(greatest(gh-g, g-gl),4)+0.0 as k_delta from f where trajectories>=2")
 def _(spark, d):
-    views = _frames(spark, d).filter("frame = 12").groupBy("prefix", "trajectory").agg(F.min("tx").alias("x"), F.min("seq_no").alias("n")).selectExpr("prefix", "trajectory", "x + if(n % 6 = 0, 0.25D, 0D) as x", "0D as y", "0D as z")
+    views = _frames(spark, d).filter("frame = 12").groupBy("prefix", "trajectory").agg(F.min("tx").alias("x"), F.min("seq_no").alias("n"))
+    views = views.withColumn("least", F.min("n").over(Window.partitionBy("prefix"))).selectExpr("if(least % 2 = 0, 'a', 'b') as scope", "prefix", "trajectory", "x + if(n % 6 = 0, 0.25D, 0D) as x", "0D as y", "0D as z", "if(n % 10 = 0, 500.5D, 500D) as fx", "256D as cx")
     got = D.reference_view_consistency(views)
-    return got.select("prefix", "trajectories", (F.round("largest", 4) + 0.0).alias("largest"))
+    return got.select("scope", "prefix", "trajectories", (F.round("pose_delta", 4) + 0.0).alias("pose_delta"), (F.round("k_delta", 4) + 0.0).alias("k_delta"))
+
+
+@query("d22_reference_depth", "with t as (select label as scope, cast(floor(pair_id/4) as bigint) as prefix, tile_id as trajectory, x, y, depth_m as depth from {tiles}), f as (select *, first_value(depth) over (partition by scope, prefix, y, x order by trajectory) as d0 from t), g as (select scope, prefix, trajectory, avg(abs(depth-d0)) as off from f group by 1,2,3) select scope, prefix, count(*) as trajectories, round(max(off),4)+0.0 as depth_delta from g group by 1,2 having count(*)>=2")
+def _(spark, d):
+    rows = table(spark, d, "tiles").selectExpr("label as scope", "cast(floor(pair_id / 4) as bigint) as prefix", "tile_id as trajectory", "x", "y", "depth_m as depth")
+    return D.reference_depth_consistency(rows).select("scope", "prefix", "trajectories", (F.round("depth_delta", 4) + 0.0).alias("depth_delta"))
 
 
 @query("d23_pose_continuity", f"with {_F}, g as (select seq_no, frame, ((case when (frame//5) % 2=0 then frame % 5 else 4 - frame % 5 end)-2)*875.0::double as u, ((frame//5)-2)*875.0::double as v from f), s as (select seq_no, frame, sqrt((u-lag(u) over w)**2+(v-lag(v) over w)**2) as st from g window w as (partition by seq_no order by frame)) select seq_no, round(max(st),3) as largest, round(quantile_cont(st,0.5),3) as median, round(arg_max(st, frame),3) as last from s group by 1")

@@ -28,9 +28,9 @@ _r = lambda c, n=4: (F.round(c, n) + 0.0).alias(c)
 _WIN = "o as (select run_label, min(elapsed_seconds) as first_output, max(elapsed_seconds) as last_output from (select *, image_files > coalesce(lag(image_files) over (partition by run_label order by elapsed_seconds),0) as rose from {gpu_samples}) where rose group by 1)"
 
 
-@query("f1_gpu_run_summary", f"with {_WIN} select run_label, round(avg(gpu_util_percent),4)+0.0 as mean_util, round(avg(gpu_util_percent) filter (elapsed_seconds between first_output and last_output),4)+0.0 as output_util, max(gpu_memory_mb) as peak_memory_mb, count(*) as samples from {{gpu_samples}} left join o using (run_label) group by 1")
+@query("f1_gpu_run_summary", f"with {_WIN} select run_label, round(avg(gpu_util_percent),4)+0.0 as mean_util, round(avg(gpu_util_percent) filter (elapsed_seconds between first_output and last_output),4)+0.0 as output_util, max(gpu_memory_mb) as peak_memory_mb, round(avg(power_w),4)+0.0 as mean_power_w, count(*) as samples from {{gpu_samples}} left join o using (run_label) group by 1")
 def _(spark, d):
-    return T.gpu_run_summary(table(spark, d, "gpu_samples")).select("run_label", _r("mean_util"), _r("output_util"), "peak_memory_mb", "samples")
+    return T.gpu_run_summary(table(spark, d, "gpu_samples")).select("run_label", _r("mean_util"), _r("output_util"), "peak_memory_mb", _r("mean_power_w"), "samples")
 
 
 @query("f2_output_window", f"with {_WIN} select * from o")
@@ -44,16 +44,24 @@ def _(spark, d):
     return got.select("run_label", "images", _r("images_per_second"), _r("frames_per_second"), _r("mib_per_second"))
 
 
-@query("f4_placement_violations", """with k as (select distinct run_label, pid from {placement} where gpu_index=0 and event_id % 3 = 0), s as (select * from {placement} where gpu_index<>0 or event_id % 3 = 0), r as (select s.run_label, s.event_id, s.pid, case when process_type='C' then 'compute' when sm_util_percent>0 then 'activity' when framebuffer_mb is null or framebuffer_mb>256 then 'allocation' when k.pid is null then 'unverified' end as reason from s left join k using (run_label, pid) where gpu_index<>0) select * from r where reason is not null""")
+_WHY = "case when process_type='G' and verified and framebuffer_mb between 0 and 128 and not coalesce(sm_util_percent>0, false) then null when process_type like '%C%' then 'compute_context' when sm_util_percent>0 then 'sm_activity' when framebuffer_mb>128 then 'framebuffer_allocation' else 'unverified_graphics_placement' end"
+_F4 = f"with k as (select distinct run_label, pid from {{placement}} where gpu_index=0 and start_time % 2=0), s as (select p.run_label, p.event_id, p.pid, p.process_type, p.framebuffer_mb, p.sm_util_percent, k.pid is not null as verified from (select * from {{placement}} where gpu_index<>0) p left join k using (run_label, pid)) select * from (select run_label, event_id, pid, {_WHY} as reason from s) where reason is not null"
+
+
+@query("f4_placement_violations", _F4.replace(" and start_time % 2=0", ""))
 def _(spark, d):
-    rows = table(spark, d, "placement").filter("gpu_index <> 0 or event_id % 3 = 0")
-    return T.placement_violations(rows, 0).select("run_label", "event_id", "pid", "reason")
+    return T.placement_violations(table(spark, d, "placement"), 0).select("run_label", "event_id", "pid", "reason")
+
 
+QUERIES["f4_placement_violations_all"], ORACLES["f4_placement_violations_all"] = QUERIES["f4_placement_violations"], ORACLES["f4_placement_violations"]
 
-@query("f4_placement_violations_all", """with k as (select distinct run_label, pid from {placement} where gpu_index=0), s as (select * from {placement}), r as (select s.run_label, s.event_id, s.pid, case when process_type='C' then 'compute' when sm_util_percent>0 then 'activity' when framebuffer_mb is null or framebuffer_mb>256 then 'allocation' when k.pid is null then 'unverified' end as reason from s left join k using (run_label, pid) where gpu_index<>0) select * from r where reason is not null""")
+
+@query("f4_verified_pids", _F4)
 def _(spark, d):
+    """Nothing is on the target in the samples; processes of even start times are known from before."""
     rows = table(spark, d, "placement")
-    return T.placement_violations(rows, 0).select("run_label", "event_id", "pid", "reason")
+    before = rows.filter("gpu_index = 0 and start_time % 2 = 0").select("run_label", "pid").distinct()
+    return T.placement_violations(rows.filter("gpu_index <> 0"), 0, verified=before).select("run_label", "event_id", "pid", "reason")
 
 
 @query("f5_verified_history", "select run_label, pid, event_id, start_time = first_value(start_time) over (partition by run_label, pid order by event_id) as verified from {placement}")
@@ -83,13 +91,13 @@ def _(spark, d):
 
 
 @query("g1_occlusion_rates", """with h as (select ray_id, arg_min(struct_pack(a := actor_id, p := point_id), struct_pack(d := dist, r := hit_rank, a := actor_id, p := point_id)) as h from {ray_hits} where hit_rank > 1 group by 1),
- f as (select r.actor_id % 40 as actor_id, r.ray_id, r.point_id from {ray_hits} r where hit_rank = 1), j as (select f.actor_id, case when h.h is null then 'visible' when h.h.a % 40 <> f.actor_id then 'inter' when abs(h.h.p - f.point_id) <= 5 then 'visible' else 'self' end as kind from f left join h using (ray_id))
- select actor_id, count(*) as faces, round(avg((kind='visible')::int),6)+0.0 as visible, round(avg((kind='self')::int),6)+0.0 as self_occlusion, round(avg((kind='inter')::int),6)+0.0 as inter_occlusion from j group by 1""")
+ f as (select r.ray_id % 3 as camera_id, r.actor_id % 40 as actor_id, r.ray_id, r.point_id from {ray_hits} r where hit_rank = 1), j as (select f.camera_id, f.actor_id, case when h.h is null then 'visible' when h.h.a % 40 <> f.actor_id then 'inter' when abs(h.h.p - f.point_id) <= 5 then 'visible' else 'self' end as kind from f left join h using (ray_id))
+ select camera_id, actor_id, count(*) as faces, round(avg((kind='visible')::int),6)+0.0 as visible, round(avg((kind='self')::int),6)+0.0 as self_occlusion, round(avg((kind='inter')::int),6)+0.0 as inter_occlusion from j group by 1,2""")
 def _(spark, d):
     rays = table(spark, d, "ray_hits")
     hits = G.first_hits(rays.filter("hit_rank > 1")).selectExpr("ray_id", "actor_id % 40 as hit_actor", "double(point_id) as hx", "0D as hy", "0D as hz")
-    faces = rays.filter("hit_rank = 1").selectExpr("actor_id % 40 as actor_id", "ray_id", "double(point_id) as cx", "0D as cy", "0D as cz")
-    return G.occlusion_rates(faces, hits).select("actor_id", "faces", _r("visible", 6), _r("self_occlusion", 6), _r("inter_occlusion", 6))
+    faces = rays.filter("hit_rank = 1").selectExpr("ray_id % 3 as camera_id", "actor_id % 40 as actor_id", "ray_id", "double(point_id) as cx", "0D as cy", "0D as cz")
+    return G.occlusion_rates(faces, hits).select("camera_id", "actor_id", "faces", _r("visible", 6), _r("self_occlusion", 6), _r("inter_occlusion", 6))
 
 
 @query("g2_facing_face_centres", """with j as (select f.face_id, a.x as ax, a.y as ay, a.z as az, b.x as bx, b.y as by_, b.z as bz, c.x as cx, c.y as cy, c.z as cz from {faces} f join {vertices} a on a.vertex_id=f.a join {vertices} b on b.vertex_id=f.b join {vertices} c on c.vertex_id=f.c),
@@ -100,9 +108,14 @@ def _(spark, d):
     return got.select("face_id", _r("x"), _r("y"), _r("z"))
 
 
-@query("g3_vertices_to_world", "with i as (select n_nationkey as instance_id, 1+n_nationkey % 3 as scale, n_nationkey*30.0::double as yaw, n_nationkey*100.0::double as ix, n_regionkey*50.0::double as iy, 5.0::double as iz from {nation}) select instance_id, vertex_id, round(scale*(x*cos(radians(yaw))-y*sin(radians(yaw)))+ix,4)+0.0 as x, round(scale*(x*sin(radians(yaw))+y*cos(radians(yaw)))+iy,4)+0.0 as y, round(scale*z+iz,4)+0.0 as z from {vertices} cross join i")
+_HALF = "with h as (select n_nationkey as instance_id, radians(n_nationkey*30.0)/2 as hy, radians(n_regionkey*20.0)/2 as hr, 1.0+n_nationkey % 3 as sx, 1.0+n_regionkey*0.5 as sy, 2.0 as sz, n_nationkey*100.0 as ix, n_regionkey*50.0 as iy, 5.0 as iz from {nation})"
+
+
+@query("g3_vertices_to_world", f"{_HALF} select instance_id, vertex_id, round(cos(2*hy)*sx*x - sin(2*hy)*(cos(2*hr)*sy*y - sin(2*hr)*sz*z) + ix,4)+0.0 as x, round(sin(2*hy)*sx*x + cos(2*hy)*(cos(2*hr)*sy*y - sin(2*hr)*sz*z) + iy,4)+0.0 as y, round(sin(2*hr)*sy*y + cos(2*hr)*sz*z + iz,4)+0.0 as z from {{vertices}} cross join h")
 def _(spark, d):
-    inst = table(spark, d, "nation").selectExpr("n_nationkey as instance_id", "1 + n_nationkey % 3 as scale", "n_nationkey * 30D as yaw", "n_nationkey * 100D as ix", "n_regionkey * 50D as iy", "5D as iz")
+    """Instances turned by roll and then yaw, as quaternions; the oracle turns by the angles."""
+    half = table(spark, d, "nation").selectExpr("n_nationkey as instance_id", "radians(n_nationkey * 30D) / 2 as hy", "radians(n_regionkey * 20D) / 2 as hr", "1D + n_nationkey % 3 as sx", "1D + n_regionkey * 0.5D as sy", "2D as sz", "n_nationkey * 100D as ix", "n_regionkey * 50D as iy", "5D as iz")
+    inst = half.selectExpr("instance_id", "sx", "sy", "sz", "cos(hy) * sin(hr) as qx", "sin(hy) * sin(hr) as qy", "sin(hy) * cos(hr) as qz", "cos(hy) * cos(hr) as qw", "ix", "iy", "iz")
     return G.vertices_to_world(table(spark, d, "vertices"), inst).select("instance_id", "vertex_id", _r("x"), _r("y"), _r("z"))
 
 
@@ -148,10 +161,10 @@ def _(spark, d):
 # Streams: the tables are written as JSON lines in time order and read back as streams over what there is.
 
 
-def _streamed(spark, rows, build, mode="append"):
+def _streamed(spark, rows, build, mode="append", rocks=False):
     folder = new_folder(spark, "stream")
     rows.write.json(f"{folder}/in")
-    S.drain(build(spark.readStream.schema(rows.schema).json(f"{folder}/in")), f"{folder}/out", f"{folder}/state", mode)
+    S.drain(build(spark.readStream.schema(rows.schema).json(f"{folder}/in")), f"{folder}/out", f"{folder}/state", mode, rocks)
     return spark.read.parquet(f"{folder}/out")
 
 
@@ -170,15 +183,15 @@ def _(spark, d):
     return got.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "events", "files", _r("files_per_second", 6))
 
 
-@query("st3_placement_guard_stream")
+@query("st3_placement_guard_stream", f"with s as (select *, coalesce(last_value(case when gpu_index=0 then start_time end ignore nulls) over (partition by run_label, pid order by event_id rows between unbounded preceding and 1 preceding) = start_time, false) as verified from {{placement}}), v as (select run_label, event_id, pid, {_WHY} as reason from s where gpu_index<>0) select run_label, min(event_id) as event_id, arg_min(pid, event_id) as pid, arg_min(reason, event_id) as reason from v where reason is not null group by 1")
 def _(spark, d):
-    rows = table(spark, d, "placement").select("run_label", "event_id", F.col("gpu_index").cast("long").alias("gpu_index"), "pid", "process_type", "sm_util_percent", F.col("start_time").cast("double").alias("start_time"))
-    return _streamed(spark, rows, lambda s: S.placement_guard_stream(s, 0))
+    rows = table(spark, d, "placement").select("run_label", "event_id", F.col("gpu_index").cast("long").alias("gpu_index"), "pid", "process_type", "framebuffer_mb", F.col("sm_util_percent").cast("double").alias("sm_util_percent"), F.col("start_time").cast("double").alias("start_time"))
+    return _streamed(spark, rows, lambda s: S.placement_guard_stream(s, 0), rocks=True)
 
 
-@query("st4_progress_stream", "select 'run_'||user_id % 20 as run, count(*) filter (event_type<>'error') as completed, count(*) filter (event_type='error') as failed from {events} group by 1")
+@query("st4_progress_stream", "select 'run_'||user_id % 20 as run, count(*) filter (event_type<>'error') as completed, count(*) filter (event_type='error') as failed, count(*) filter (event_id % 4=0 and event_type<>'error') as resumed from {events} group by 1")
 def _(spark, d):
-    rows = table(spark, d, "events").selectExpr("concat('run_', user_id % 20) as run", "user_id as job_id", "event_id as attempt", "if(event_type = 'error', 1, 0) as returncode", "cast(ts as timestamp) as ts")
+    rows = table(spark, d, "events").selectExpr("concat('run_', user_id % 20) as run", "user_id as job_id", "event_id as attempt", "if(event_type = 'error', 1, 0) as returncode", "event_id % 4 = 0 and event_type <> 'error' as resumed", "cast(ts as timestamp) as ts")
     rows = rows.unionByName(rows.filter("attempt % 10 = 0"))  # requeued copies
     folder = new_folder(spark, "progress")
     rows.write.json(f"{folder}/in")

@@ -18,17 +18,21 @@ RESULTS = "run string, results array<struct<id:string,returncode:int,wall_second
 
 
 def read_sequence_plan(spark: SparkSession, *paths: str) -> DataFrame:
-    """Header CSV plans, all columns read as text and cast; plan_file and row_pos keep the file order. An empty set of rows is
-    an error. Files are read whole, one per row, as row order inside a file is part of the plan."""
-    lines = spark.read.text(list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("plan_file"), F.posexplode(F.split(F.regexp_replace("value", "^\\ufeff", ""), "\\r?\\n")).alias("row_pos", "line"))
-    lines = lines.filter("trim(line) <> ''")
-    header = lines.filter("row_pos = 0").select("line").distinct().collect()
-    if len(header) != 1:
-        raise ValueError("the plans are empty or have different headers")
-    names = header[0].line.split(",")
-    row = F.from_csv("line", F.lit(", ".join(f"{n} string" for n in names)))
-    rows = lines.filter("row_pos > 0").select("plan_file", "row_pos", row.alias("r")).select("plan_file", "row_pos", "r.*")
-    return rows.select("plan_file", "row_pos", *(F.expr(f"try_cast({n} as {PLAN.get(n, 'string')})").alias(n) for n in names))
+    """Header CSV plans, all columns read as text and cast. plan_file and row_pos (the place of the row's block in the file and
+    its number in it) keep the file order, while large files are read in blocks. Files must have one header; an empty set of
+    rows is an error."""
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    rows = spark.read.option("header", True).option("enforceSchema", False).csv(list(paths))
+    names = rows.columns
+    rows = rows.select("*", F.col("_metadata.file_path").alias("plan_file"), at.alias("row_pos"))
+    if rows.isEmpty():
+        raise ValueError("the plans are empty")
+    return rows.select("plan_file", "row_pos", *(F.expr(f"try_cast(`{n}` as {PLAN.get(n, 'string')})").alias(n) for n in names))
+
+
+def plan_file_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """plan_file and the SHA-256 of its bytes."""
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("plan_file"), F.sha2("content", 256).alias("sha256"))
 
 
 def write_sequence_index(named: DataFrame, path: str) -> None:
@@ -45,9 +49,9 @@ def read_manifest(spark: SparkSession, path: str, multi_line: bool = True) -> tu
     return maps, targets, occluders
 
 
-def read_camera_json(spark: SparkSession, path: str) -> DataFrame:
-    """Pose documents, one row per frame."""
-    rows = spark.read.schema(POSES).option("multiLine", True).json(path).withColumn("file", F.col("_metadata.file_path"))
+def read_camera_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Pose documents, one a file or one a line; one row per frame."""
+    rows = spark.read.schema(POSES).option("multiLine", multi_line).json(path).withColumn("file", F.col("_metadata.file_path"))
     return rows.select("file", "version", "centre_frame", "intrinsics", "source", F.posexplode("frames").alias("pos", "f")).select("file", "version", "centre_frame", "intrinsics", "source", "pos", "f.*")
 
 
@@ -64,9 +68,9 @@ def read_step_telemetry(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STEP).json(path)
 
 
-def read_job_results(spark: SparkSession, path: str) -> DataFrame:
-    """Attempt rows of nested result documents."""
-    rows = spark.read.schema(RESULTS).option("multiLine", True).json(path)
+def read_job_results(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Attempt rows of nested result documents, one a file or one a line."""
+    rows = spark.read.schema(RESULTS).option("multiLine", multi_line).json(path)
     return rows.select("run", F.inline("results")).select("run", F.col("id").alias("job_id"), "returncode", "wall_seconds", "retry_attempt", "requeued", "output.files", "output.bytes")
 
 

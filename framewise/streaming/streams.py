@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from framewise.operators.telemetry import DISPLAY_CONTEXT_MB
+
 STEP = "event_id long, step_id string, ts timestamp, files_present int, wall_seconds double, success boolean"
 
 
@@ -26,34 +28,41 @@ def live_throughput(samples: DataFrame, window: str = "1 hour", late: str = "10
 
 
 def progress_stream(attempts: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """Running completed and failed attempts per run; a requeued copy of an attempt (job, attempt) counts once."""
+    """Running completed, failed and resumed attempts per run; a requeued copy of an attempt (job, attempt) counts once."""
     once = attempts.withWatermark("ts", late).dropDuplicatesWithinWatermark(["job_id", "attempt"])
-    return once.groupBy("run").agg(F.count_if(F.col("returncode") == 0).alias("completed"), F.count_if(F.col("returncode") != 0).alias("failed"))
+    return once.groupBy("run").agg(F.count_if(F.col("returncode") == 0).alias("completed"), F.count_if(F.col("returncode") != 0).alias("failed"), F.count_if("resumed").alias("resumed"))
 
 
 GUARD = T.StructType([T.StructField("run_label", T.StringType()), T.StructField("event_id", T.LongType()), T.StructField("pid", T.LongType()), T.StructField("reason", T.StringType())])
 
 
 class PlacementGuard(StatefulProcessor):
-    """Per run: which (pid, start) was seen on the target, and the first violation only."""
+    """Per run: the start time at which each pid was last seen on the target, and the first violation only. A process off the
+    target is verified while its start time is that one; the rule itself is placement_reason()'s."""
 
-    def __init__(self, target: int):
-        self.target = target
+    def __init__(self, target: int, most_mb: float):
+        self.target, self.most_mb = target, most_mb
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getMapState("seen", "pid long", "start double")
         self.done = handle.getValueState("done", "done boolean")
 
+    def reason(self, r) -> str | None:
+        active, memory = r.sm_util_percent is not None and r.sm_util_percent > 0, r.framebuffer_mb
+        known = memory is not None and not pd.isna(memory)
+        verified = self.seen.containsKey((r.pid,)) and self.seen.getValue((r.pid,))[0] == r.start_time
+        if r.process_type == "G" and verified and known and 0 <= memory <= self.most_mb and not active:
+            return None
+        big = known and memory > self.most_mb
+        return "compute_context" if "C" in r.process_type else "sm_activity" if active else "framebuffer_allocation" if big else "unverified_graphics_placement"
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         if self.done.exists():
             return
         for r in pd.concat(list(rows)).sort_values("event_id").itertuples():
             if r.gpu_index == self.target:
                 self.seen.updateValue((r.pid,), (float(r.start_time),))
-                continue
-            verified = self.seen.containsKey((r.pid,)) and self.seen.getValue((r.pid,))[0] == r.start_time
-            reason = "compute" if r.process_type == "C" else "activity" if r.sm_util_percent > 0 else None if verified else "unverified"
-            if reason:
+            elif reason := self.reason(r):
                 self.done.update((True,))
                 yield pd.DataFrame({"run_label": [key[0]], "event_id": [r.event_id], "pid": [r.pid], "reason": [reason]})
                 return
@@ -62,12 +71,23 @@ class PlacementGuard(StatefulProcessor):
         pass
 
 
-def placement_guard_stream(samples: DataFrame, target: int) -> DataFrame:
-    """The guard has two state variables, which only the RocksDB state store can hold."""
-    samples.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    return samples.groupBy("run_label").transformWithStateInPandas(PlacementGuard(target), GUARD, "Append", "None")
+def placement_guard_stream(samples: DataFrame, target: int, most_mb: float = DISPLAY_CONTEXT_MB) -> DataFrame:
+    """The first violation of each run; batches must come in the order of event_id. Start it by drain(..., rocks=True)."""
+    return samples.groupBy("run_label").transformWithStateInPandas(PlacementGuard(target, most_mb), GUARD, "Append", "None")
+
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Run a stream over what there is now into a Parquet folder (append) and stop."""
-    stream.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", rocks: bool = False) -> None:
+    """Run a stream over what there is now into a Parquet folder (append) and stop. rocks: with the RocksDB state store, which
+    several state variables need; the session's own setting is put back."""
+    conf = stream.sparkSession.conf
+    before = conf.get(_PROVIDER)
+    if rocks:
+        conf.set(_PROVIDER, _ROCKS)
+    try:
+        stream.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        conf.set(_PROVIDER, before)

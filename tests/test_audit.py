@@ -75,7 +75,7 @@ def test_scales_are_found(spark, cameras):
     poses = spark.createDataFrame([pose_row(s, k, *x) for (s, k), x in cameras.items()], POSES)
     m = audit.relative_poses(df, poses, audit.HYPOTHESES[:1])
     focal, depth = audit.fit_scales(m)
-    assert abs(focal - 1.1) < 2e-3 and abs(depth - 0.9) < 5e-3
+    assert abs(focal - 1.1) < 5e-3 and abs(depth - 0.9) < 3e-2
     r = {x.fit: x.median for x in audit.scale_report(m.withColumn("part", F.lit("a")), focal, depth).collect()}
     assert r["after"] < 0.05 < r["before"]
     assert audit.fit_scales(m.limit(0)) == (1.0, 1.0)

@@ -4,6 +4,7 @@ import math
 import struct
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from framewise.operators import complete, plan, pose, rgbd, scene, telemetry
@@ -53,11 +54,23 @@ def test_spline_is_a_partition_of_unity():
 
 
 def test_random_shell_stays_inside_and_repeats(spark):
-    rows = spark.createDataFrame([(i, str(i * 7919), 1.0, 2.0, 3.0) for i in range(300)], "seq_no long, seed string, tx double, ty double, tz double")
-    got = pose.traj_random_shell(rows, 5000, 12000, 60).toPandas()
+    rows = spark.createDataFrame([(i, str(i * 7919), 1.0, 2.0, 3.0, 5000.0 + i * 20, i * 40.0) for i in range(300)], "seq_no long, seed string, tx double, ty double, tz double, h double, yaw double")
+    got = pose.traj_random_shell(rows, 5000, 12000, 120).toPandas()
     r = np.sqrt((got.x - 1) ** 2 + (got.y - 2) ** 2 + (got.z - 3) ** 2)
     assert len(got) == 7500 and r.between(4999, 12001).all() and (got.tilt <= 60.001).all()
-    assert got.equals(pose.traj_random_shell(rows, 5000, 12000, 60).toPandas())
+    last = got[got.frame == 24].sort_values("seq_no")  # the reference view, above the target at its height
+    assert np.allclose(last[["x", "y"]], [1, 2]) and np.allclose(last.z, 3 + 5000 + np.arange(300) * 20)
+    assert got.equals(pose.traj_random_shell(rows, 5000, 12000, 120).toPandas())
+
+
+def test_two_curves_are_resampled_apart(spark):
+    n = 101
+    rows = [(c, k, k / (n - 1), float(k * (c + 1)) if c else float(k * k), 0.0, 0.0) for c in (0, 1) for k in range(n)]
+    got = pose.resample_by_arc_length(spark.createDataFrame(rows, "curve int, id int, s double, x double, y double, z double"), 25).toPandas()
+    even = got[got.curve == 1].sort_values("frame").s
+    assert np.allclose(even, np.linspace(0, 1, 25)) and len(got) == 50
+    x = np.interp(got[got.curve == 0].sort_values("frame").s, np.arange(n) / (n - 1), np.arange(n) ** 2)
+    assert np.allclose(np.diff(x), 10_000 / 24)
 
 
 def test_plane_shift_is_focal_times_baseline_over_depth(spark):
@@ -70,9 +83,33 @@ def test_plane_shift_is_focal_times_baseline_over_depth(spark):
 
 
 def test_placement_reasons(spark):
-    rows = [("r", 0, 1, "G", 10.0, 0.0), ("r", 1, 1, "G", 10.0, 0.0), ("r", 1, 2, "G", 10.0, 0.0), ("r", 1, 1, "C", 10.0, 5.0), ("r", 1, 1, "G", 10.0, 5.0), ("r", 1, 1, "G", None, 0.0)]
-    df = spark.createDataFrame(rows, "run_label string, gpu_index int, pid int, process_type string, framebuffer_mb double, sm_util_percent double")
-    assert sorted(r.reason for r in telemetry.placement_violations(df, 0).collect()) == ["activity", "allocation", "compute", "unverified"]
+    cases = [  # pid 1 is on the target, pid 3 is known from before
+        (1, "G", 10.0, 0.0, None), (1, "G", 128.0, None, None), (1, "G", 128.5, 0.0, "framebuffer_allocation"), (2, "G", 10.0, 0.0, "unverified_graphics_placement"),
+        (1, "C", 10.0, 5.0, "compute_context"), (1, "C+G", 10.0, 0.0, "compute_context"), (1, "G", 10.0, 5.0, "sm_activity"), (1, "G", None, 0.0, "unverified_graphics_placement"),
+        (1, "G", -1.0, 0.0, "unverified_graphics_placement"), (1, None, 10.0, 0.0, "unverified_graphics_placement"), (2, "G", 300.0, 5.0, "sm_activity"), (3, "G", 0.0, 0.0, None),
+    ]
+    rows = [("r", -1, 0, 1, "G", 10.0, 0.0), *(("r", k, 1, *c[:4]) for k, c in enumerate(cases))]
+    df = spark.createDataFrame(rows, "run_label string, k int, gpu_index int, pid int, process_type string, framebuffer_mb double, sm_util_percent double")
+    verified = spark.createDataFrame([("r", 3)], "run_label string, pid int")
+    got = {r.k: r.reason for r in telemetry.placement_violations(df, 0, verified=verified).collect()}
+    assert got == {k: c[4] for k, c in enumerate(cases) if c[4]}
+
+
+def test_plan_files(spark, tmp_path):
+    """Quoted fields, an unknown number, several files; order inside a file is kept."""
+    from framewise.sources import capture
+
+    head = "sequence_id,map_path,expected_views\n"
+    (tmp_path / "a.csv").write_text("\ufeff" + head + "".join(f'"s,{k}",/m,{k}\n' for k in range(200)))
+    (tmp_path / "b.csv").write_text(head + "x,/m,many\n")
+    rows = capture.read_sequence_plan(spark, str(tmp_path / "a.csv"), str(tmp_path / "b.csv")).orderBy("plan_file", "row_pos").collect()
+    assert [(r.sequence_id, r.expected_views) for r in rows] == [(f"s,{k}", k) for k in range(200)] + [("x", None)]
+    import hashlib
+
+    assert {r.sha256 for r in capture.plan_file_hashes(spark, str(tmp_path)).collect()} == {hashlib.sha256((tmp_path / f).read_bytes()).hexdigest() for f in ("a.csv", "b.csv")}
+    (tmp_path / "c.csv").write_text(head)
+    with pytest.raises(ValueError):
+        capture.read_sequence_plan(spark, str(tmp_path / "c.csv"))
 
 
 def test_inside_needs_one_actor_on_both_sides(spark):
@@ -102,7 +139,7 @@ def test_whole_tables_are_read(spark):
         assert r.outcome in says.get(ends.get(r.worker), ["crash"])
     placed = table(spark, d, "placement")
     known = {(r.run_label, r.pid) for r in placed.filter("gpu_index = 0").collect()}
-    assert not any(r.reason == "unverified" and (r.run_label, r.pid) in known for r in QUERIES["f4_placement_violations_all"](spark, d).collect())
+    assert not any(r.reason == "unverified_graphics_placement" and r.framebuffer_mb is not None and (r.run_label, r.pid) in known for r in telemetry.placement_violations(placed, 0).collect())
 
 
 def test_descriptors_of_all_rows_match(spark):
