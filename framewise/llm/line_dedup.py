@@ -13,8 +13,8 @@ key with a different line emit variants. The keys meet in a count-min sketch (sk
 pairs are verified by edit distance. The text is shuffled once; its exchange serves all passes.
 
 Defined results: null text counts as empty; a null doc_id orders after all others; rows that repeat a doc_id are the same
-document, so equal places don't remove each other; blank lines stay; an empty table gives an empty result; further columns
-are passed on by rewrite().
+document, so equal places don't remove each other; blank lines stay; lines and texts are taken whole, whatever their length; an empty table
+gives an empty result; further columns are passed on by rewrite(), whatever their names.
 """
 
 from __future__ import annotations

@@ -10,8 +10,12 @@ documents larger than the gap first. Of the documents left aside the smallest is
 The network has one node for each pattern and source, never for documents; its size is checked against MOST_PATTERNS. The
 document side is aggregates and a broadcast of one row per pattern: no document is shuffled for its decision.
 
+Above MOST_PATTERNS the plan raises instead of routing: the flow is solved on the driver, in memory that grows with patterns
+and not with documents. Patterns are distinct sets of sources, so this takes more than 100,000 of them.
+
 Defined results: null text has size 0; the null source is a source of its own, ordered last; documents of size 0 take 0
-words; an empty table gives an empty result; repeated rows are selected alike; further columns are ignored or passed on.
+words; a null doc_id is drawn like any other; texts are counted whole, whatever their length; an empty table gives an empty
+result; repeated rows are selected alike; further columns are ignored or passed on, whatever their names.
 """
 
 from __future__ import annotations

@@ -269,7 +269,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids",
     spark = tune(df.sparkSession)
     model = _model(spark, model_path)
     fields = _without(df, text, ids, decoded or ids)
-    new = [T.StructField(ids, T.ArrayType(T.IntegerType()))] + [T.StructField(decoded, T.StringType())] * bool(decoded)
+    new = [T.StructField(ids, T.ArrayType(T.IntegerType()))] + ([T.StructField(decoded, T.StringType())] if decoded else [])
     rest = [f.name for f in fields]
 
     def run(batches):

@@ -90,3 +90,13 @@ def test_one_document_of_over_half_a_source(spark):
             planned, sizes, quota = plan(df, F.array("source"), seed, weights=(1, 3))
             taken = repeats(df, planned, F.array("source"), seed).filter("source = 'a'").agg(F.sum(size_of() * F.col("_times"))).first()[0]
             assert abs(taken - quota["a"]) <= 100, (long_words, copies_of_b, seed, taken, quota)
+
+
+def test_clashing_names(spark):
+    names = ["_u", "_times", "_size", "_copies", "mix", "pattern", "times", "size", "rounds", "s"]
+    df = spark.createDataFrame([(i, "w " * (1 + i % 9), "ab"[i % 2], *[i] * len(names)) for i in range(80)] + [(None, None, None, *[0] * len(names))], "doc_id long, text string, source string, " + ", ".join(f"`{c}` int" for c in names))
+    out = mixed(df)
+    assert out.columns == df.columns and all(len(set(r[3:])) == 1 and (r.doc_id is None or r.mix == r.doc_id) for r in out.collect())
+    plain = df.select("doc_id", "text", "source")
+    assert sorted(r.doc_id or -1 for r in out.collect()) == sorted(r.doc_id or -1 for r in mixed(plain).collect())
+    assert sorted(map(tuple, mix_table(df).collect()), key=str) == sorted(map(tuple, mix_table(plain).collect()), key=str)

@@ -40,3 +40,20 @@ def test_against_brute_force(spark, tmp_path):
     ids = sorted((r.doc_id, len(library.encode(r.text)) + 1) for r in mix.collect())
     final = step("sentencepiece", mix)
     assert sorted((r.doc_id, r.n_tokens) for r in final.collect()) == ids
+
+
+def test_odd_tables(spark, tmp_path):
+    """Nulls in any column, repeated rows, columns of clashing names, and no rows at all, through every stage."""
+    names = ["_block", "_u", "_times", "ids", "n_lines", "rest", "_dropped", "mix"]
+    rows = [(1, "one line of this text is here\nand another", "en", "a", 5), (1, "one line of this text is here\nand another", "en", "a", 5), (2, None, None, None, None), (None, "one line of this text is here\nmore", None, "b", 3), (None, None, None, None, None), (3, "", "en", "b", 0), (4, "x " * 50_000, "en", "a", 100_000)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in names)
+    spark.createDataFrame([(1, 1, 0), (None, 0, 1), (2, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for some in (rows, []):
+        docs = spark.createDataFrame([(*r, *range(len(names))) for r in some], schema)
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, str(tmp_path))
+            if k < len(corpus_pipeline.STAGES) - 1:
+                assert out.columns == docs.columns, name
+                assert all(tuple(r[5:]) == tuple(range(len(names))) for r in out.collect()), name
+            assert (out.count() > 0) == bool(some), name
+            docs = out

@@ -60,3 +60,19 @@ def test_null_and_empty(spark):
     df = spark.createDataFrame([(None, None, "x"), (1, "", "y"), (1, "a", None)], "doc_id long, text string, n_tokens string")
     assert sorted(r.n_tokens for r in digests(df, PATH).collect()) == [1, 1, len(LIBRARY.encode("a", add_eos=True))]
     assert digests(df.limit(0), PATH).collect() == []
+
+
+def test_clashing_names_and_odd_rows(spark):
+    import public_tokenizers
+
+    from framewise.llm.sentencepiece_bpe import decode, digests, encode
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    df = spark.createDataFrame([(1, "a word", "x", 5), (1, "a word", "y", 6), (None, None, "z", 7), (2, "", None, 8)], "doc_id long, text string, ids string, decoded int")
+    out = encode(df, path)
+    assert out.columns == ["doc_id", "decoded", "ids"] and sorted(r.decoded for r in out.collect()) == [5, 6, 7, 8]
+    both = encode(df, path, decoded="decoded")
+    assert sorted((r.doc_id or -1, r.decoded) for r in both.collect()) == [(-1, ""), (1, "a word"), (1, "a word"), (2, "")]
+    back = decode(out.withColumn("text", out["decoded"]), path)
+    assert sorted((r.doc_id or -1, r.text, r.decoded) for r in back.collect()) == [(-1, "", 7), (1, "a word", 5), (1, "a word", 6), (2, "", 8)]
+    assert digests(df, path).count() == 4 and digests(df.limit(0), path).collect() == []

@@ -45,3 +45,18 @@ def test_index_and_plain_reader(spark):
     # Any Zstandard decoder reads a bundle: the seek table is a frame that decoders skip.
     with open(uri.removeprefix("file://"), "rb") as f:
         assert zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True).read() == whole
+
+
+def test_read_back_is_spread(spark):
+    """Bundles of many frames are read by several tasks, one piece of READ_FRAMES frames each."""
+    from pyspark.sql import functions as F
+
+    from framewise.llm.warc import READ_FRAMES, read
+
+    n = 2 * READ_FRAMES + 3
+    df = spark.createDataFrame([(i, "u", chr(97 + i % 26) * FRAME_BYTES, "x", None) for i in range(n)], SCHEMA)
+    index = stash(write(plan(df).coalesce(1), new_path(spark, "warc")), "index")
+    assert index.select("bundle").distinct().count() == 1 and index.select("frame").distinct().count() == n
+    back = read(index)
+    assert back.groupBy(F.spark_partition_id()).count().count() >= 3
+    assert sorted(r.page_id for r in back.collect()) == list(range(n))
