@@ -54,7 +54,7 @@ def test_read_back_is_spread(spark):
     from framewise.llm.warc import READ_FRAMES, read
 
     n = 2 * READ_FRAMES + 3
-    df = spark.createDataFrame([(i, "u", chr(97 + i % 26) * FRAME_BYTES, "x", None) for i in range(n)], SCHEMA)
+    df = spark.createDataFrame([(i, "u", f"{i:03d}" * (FRAME_BYTES // 3 + 1), "x", None) for i in range(n)], SCHEMA)
     index = stash(write(plan(df).coalesce(1), new_path(spark, "warc")), "index")
     assert index.select("bundle").distinct().count() == 1 and index.select("frame").distinct().count() == n
     back = read(index)
