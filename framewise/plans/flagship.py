@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewise.operators import complete, plan
+from framewise.sources.store import stash
 
 
 def remaining_by_map(rows: DataFrame, maps: DataFrame, targets: DataFrame, files: DataFrame, passes: DataFrame, suffixes: DataFrame, frames: int = 25) -> DataFrame:
@@ -15,8 +16,10 @@ def remaining_by_map(rows: DataFrame, maps: DataFrame, targets: DataFrame, files
     good = plan.first_of_recipe(rows.join(bad, "sequence_id", "left_anti"))
     prefix = plan.canonical_prefix(F.element_at(F.split("map_path", "/"), -1), F.col("target_label"), F.col("height_m"), F.col("yaw_deg"))
     named = good.select("map_path", "trajectory", prefix.alias("prefix")).distinct()
-    asked = files.join(F.broadcast(suffixes.crossJoin(passes.select("pass_name"))), ["suffix", "pass_name"], "left_semi")  # configuration of a few rows
-    whole = complete.directories(asked, frames).groupBy(*complete.SEQUENCE).agg(F.count_if("complete").alias("whole"))
+    found = complete.directories(files, frames).filter("complete").select(*complete.DIRECTORY)
+    asked = found.join(suffixes, "suffix", "left_semi").join(passes, "pass_name", "left_semi")
+    whole = asked.groupBy(*complete.SEQUENCE).agg(F.count("*").alias("whole"))
+    whole = stash(whole, "whole")  # one row a sequence; written, so that the planner knows its size for the join
     wanted = suffixes.count() * passes.count()
     joined = named.join(whole, complete.SEQUENCE, "left")
     return joined.groupBy("map_path").agg(F.count("*").alias("sequences"), F.count_if(F.coalesce("whole", F.lit(0)) < wanted).alias("remaining"))
