@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEQUENCE = ["trajectory", "prefix"]
@@ -19,12 +19,19 @@ def expected_artifacts(sequences: DataFrame, passes: DataFrame, suffixes: DataFr
     return rows.withColumn("rel_path", name)
 
 
+def _bit(frame: Column) -> Column:
+    """The frame's bit in its word of 64 frames."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(frame, F.lit(64)).cast("int"))
+
+
 def directories(files: DataFrame, frames: int = 25) -> DataFrame:
-    """Found files by directory: files, frames found, empty and unexpected ones, and whether it is complete."""
-    inside = F.col("frame").between(0, frames - 1)
+    """Found files by directory: files, frames found, empty and unexpected ones, and whether it is complete. Distinct frames
+    are bits of frames/64 words, so that files are combined before the one shuffle."""
+    inside, frame = F.col("frame").between(0, frames - 1), F.col("frame")
+    words = [F.bit_or(F.when(inside & (F.floor(frame / 64) == k), _bit(frame))) for k in range((frames + 63) // 64)]
     found = files.groupBy(*DIRECTORY).agg(
         F.count("*").alias("files"),
-        F.count_distinct(F.when(inside, F.col("frame"))).alias("frames_found"),
+        sum((F.coalesce(F.bit_count(w), F.lit(0)) for w in words), F.lit(0)).cast("long").alias("frames_found"),
         F.count_if(F.col("size") <= 0).alias("empty"),
         F.count_if(~F.coalesce(inside, F.lit(False))).alias("unexpected"),
     )
@@ -85,8 +92,10 @@ def classify_jobs(jobs: DataFrame) -> DataFrame:
 
 
 def output_inventory(files: DataFrame) -> DataFrame:
-    """Per trajectory: files, bytes, and frame stems that are distinct in their directory, summed."""
-    per_directory = files.groupBy(*DIRECTORY).agg(F.count("*").alias("files"), F.sum("size").alias("bytes"), F.count_distinct("frame").alias("frames"))
+    """Per trajectory: files, bytes, and frame stems that are distinct in their directory, summed. Frames are bits of words, of
+    which a directory may have any number; files are combined before the first shuffle and words before the second."""
+    per_word = files.groupBy(*DIRECTORY, F.floor(F.col("frame") / 64).alias("word")).agg(F.count("*").alias("files"), F.sum("size").alias("bytes"), F.bit_or(_bit(F.col("frame"))).alias("bits"))
+    per_directory = per_word.groupBy(*DIRECTORY).agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"), F.sum(F.coalesce(F.bit_count("bits"), F.lit(0))).alias("frames"))
     return per_directory.groupBy("trajectory").agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"), F.sum("frames").alias("frames"), F.count("*").alias("directories"))
 
 

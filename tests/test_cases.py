@@ -34,6 +34,16 @@ def test_frame_rules(spark):
     assert {(r.prefix, r.complete) for r in got.collect()} == {("p", True), ("q", False), ("none", False)}
 
 
+def test_frames_are_counted_once_whatever_their_number(spark):
+    frames = [0, 0, 3, 63, 64, 64, 127, 128, 1_000_000, -1, -64, None]
+    df = spark.createDataFrame([("k", "p", "occ", "rgb", f, 2) for f in frames] + [("k", "q", "GT", "rgb", None, None)], "trajectory string, prefix string, suffix string, pass_name string, frame int, size int")
+    got = {r.prefix: r for r in complete.directories(df, 130).collect()}
+    assert (got["p"].frames_found, got["p"].files, got["p"].unexpected) == (6, 12, 4)
+    assert (got["q"].frames_found, got["q"].complete, got["q"].unexpected) == (0, False, 1)
+    total = complete.output_inventory(df).first()
+    assert (total["files"], total["bytes"], total["frames"], total["directories"]) == (13, 24, 9, 2)
+
+
 def test_credit_counts_each_task_once(spark):
     a = spark.createDataFrame([("j", 1, 5, 13, 1000), ("j", 2, 3, 13, 1000), ("j", 3, 13, 13, 1000)], "job_id string, attempt int, valid_tasks int, tasks int, images int")
     assert complete.credited_throughput(a).first().credited == 1000 * 5 // 13 + 1000 * 8 // 13
