@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch: a task holds this many whole texts at once.
 ARROW_ROWS = 512
@@ -97,11 +98,26 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+#: Most text of one block of documents, on average: a block is one table in a Python worker.
+BLOCK_BYTES = 128 << 20
+
+
 def n_blocks(spark: SparkSession) -> int:
-    """Blocks of documents: as many as shuffle partitions, so that blocks stay small however large the input is."""
+    """As many as shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def blocks_for(spark: SparkSession, size: int | None) -> int:
+    """Blocks of documents for `size` bytes of text: as many as shuffle partitions, and more where blocks would hold more than
+    BLOCK_BYTES."""
+    return max(n_blocks(spark), -(-(size or 0) // BLOCK_BYTES))
+
+
+def text_bytes(docs: DataFrame) -> int | None:
+    """Bytes of all texts, by a scan of that one column."""
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0]
+
+
 def texts_of(column) -> pa.LargeStringArray:
     """A null-free large_string array; null is the empty text."""
     if isinstance(column, pa.ChunkedArray):

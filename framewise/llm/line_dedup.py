@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framewise.llm import sketch
-from framewise.llm.common import free_names, n_blocks, slices, stash, texts_of, tidy, tidy_batches, tune
+from framewise.llm.common import blocks_for, free_names, slices, stash, text_bytes, texts_of, tidy, tidy_batches, tune
 from framewise.llm.hashing import mix, powers, prefix_sums, span_hash
 
 NEAR_CHARS = 20
@@ -232,7 +232,7 @@ def rewrite(docs: DataFrame, counts: tuple[str, str] = ("_n_lines", "_n_removed"
     """docs with repeated lines taken out of text, and two more columns named by counts: lines with a word, before and
     removed. The names must not be columns of docs."""
     spark = tune(docs.sparkSession)
-    n = n_blocks(spark)
+    n = blocks_for(spark, text_bytes(docs))
     names = list(docs.columns)
     # The further columns travel as one, whatever their names are.
     rest = [c for c in names if c not in ("doc_id", "text")]

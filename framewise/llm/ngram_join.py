@@ -23,11 +23,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewise.llm import sketch
-from framewise.llm.common import n_blocks, slices, stash, texts_of, tidy, tidy_batches, tune
+from framewise.llm.common import blocks_for, n_blocks, slices, stash, texts_of, tidy, tidy_batches, tune
 from framewise.llm.components import components
 from framewise.llm.count_rtree import CountRTree, count_vector, enough, overlap_bound, vectors
 from framewise.llm.hashing import mix, shingle_sets
@@ -39,7 +40,7 @@ PART_ROWS = 1024
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n (distinct shingles) and 128 bits that stand for the set."""
+    """doc_id, n (distinct shingles), 128 bits that stand for the set, and the text's bytes."""
 
     def run(batches):
         for b in batches:
@@ -47,9 +48,10 @@ def signatures(docs: DataFrame) -> DataFrame:
             for a, z in slices(texts):
                 bounds, h = shingle_sets(texts.slice(a, z - a), WORDS)
                 sums = [np.diff(np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h, s))])[bounds]).view(np.int64) for s in (3, 4)]
-                yield pa.record_batch([b["doc_id"].slice(a, z - a).cast(pa.int64()), *(pa.array(x, pa.int64()) for x in (np.diff(bounds), *sums))], names=["doc_id", "n", "s1", "s2"])
+                size = pc.binary_length(texts.slice(a, z - a)).cast(pa.int64())
+                yield pa.record_batch([b["doc_id"].slice(a, z - a).cast(pa.int64()), *(pa.array(x, pa.int64()) for x in (np.diff(bounds), *sums)), size], names=["doc_id", "n", "s1", "s2", "size"])
 
-    return docs.select("doc_id", "text").mapInArrow(tidy_batches(run), "doc_id long, n long, s1 long, s2 long")
+    return docs.select("doc_id", "text").mapInArrow(tidy_batches(run), "doc_id long, n long, s1 long, s2 long, size long")
 
 
 def prefixes(bounds: np.ndarray, hashes: np.ndarray, shared: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,9 +68,8 @@ def prefixes(bounds: np.ndarray, hashes: np.ndarray, shared: np.ndarray, hot: np
 CANDIDATE = "id long, n long, vector binary, hashes binary, tokens array<long>"
 
 
-def candidates(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Classes that may share a prefix shingle with another: their sizes, count vectors, sets and those shingles."""
-    n = n_blocks(docs.sparkSession)
+def candidates(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+    """Classes that may share a prefix shingle with another: their sizes, count vectors, sets and those shingles. n: blocks."""
     bits = sketch.bits_for(n)
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", sketch.block_of("doc_id", n)).repartition("block")
     wanted = classes.select(sketch.block_of("id", n), "id").repartition("block")
@@ -226,7 +227,8 @@ def join(docs: DataFrame) -> DataFrame:
     signed = stash(signatures(docs), "signatures")
     sets = signed.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("id"))
     classes = sets.filter("id is not null").select("id").distinct()
-    found = stash(candidates(docs, classes), "candidates")
+    blocks = blocks_for(spark, signed.agg(F.sum("size")).first()[0])
+    found = stash(candidates(docs, classes, blocks), "candidates")
     linked = links(found, n_blocks(spark))
     classes_of = sets.join(linked, "id", "left").select("n", "s1", "s2", F.coalesce("component", "id").alias("component"))
     return signed.join(classes_of, ["n", "s1", "s2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))

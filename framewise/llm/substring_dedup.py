@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewise.llm import sketch
-from framewise.llm.common import n_blocks, slices, texts_of, tidy, tune
+from framewise.llm.common import blocks_for, slices, text_bytes, texts_of, tidy, tune
 from framewise.llm.hashing import Words
 
 LAST = (1 << 63) - 1
@@ -65,7 +65,7 @@ class Windows:
 def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = False) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text."""
     spark = tune(docs.sparkSession)
-    n = n_blocks(spark)
+    n = blocks_for(spark, text_bytes(docs))
     bits = sketch.bits_for(n)
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", sketch.block_of("doc_id", n)).repartition("block")
 
