@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from framewise.llm.common import n_blocks, stash, tidy, tune
 from framewise.llm.fuse_filter import FuseFilter
 
+#: Digests of one bucket, on average: its filter is built by one Python call. As many buckets as shuffle partitions at least.
+BUCKET_DIGESTS = 1 << 22
+
 #: The characters of [\x20\x09-\x0D].
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -78,9 +81,9 @@ def dedup(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
 def dedup_sides(docs: DataFrame) -> DataFrame:
     """The same for one table (doc_id, text, new), whose rows with `new` are the incoming batch and the others the snapshot."""
     spark = tune(docs.sparkSession)
-    buckets = n_blocks(spark)
     rows = stash(digests(docs), "digests")
     of = stash(groups(rows), "groups")
+    buckets = max(n_blocks(spark), -(-of.count() // BUCKET_DIGESTS))
     old_groups, new_groups = of.filter("not new").drop("new"), of.filter("new").drop("new")
     screened = new_groups.join(screen(new_groups, filters(old_groups, buckets), buckets).filter("maybe"), "digest").drop("maybe")
     found = screened.join(old_groups.select("digest", F.col("rows").alias("old_rows"), F.col("best").alias("old_best")), "digest")

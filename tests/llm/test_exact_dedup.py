@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 
+from framewise.llm import exact_dedup
 from framewise.llm.exact_dedup import dedup_table
 from framewise.llm.fuse_filter import FuseFilter
 from framewise.llm.hashing import mix
@@ -40,6 +41,12 @@ def test_against_brute_force(spark):
     assert dedup_table(df.limit(0)).collect() == []
 
 
+def test_more_buckets_than_partitions(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BUCKET_DIGESTS", 10)
+    rows = [(i, f"text {i % 70}" if i % 3 else "the same") for i in range(250)]
+    assert sorted(map(tuple, dedup_table(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str) == brute(rows)
+
+
 def test_hot_copies(spark):
     df = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, 'same text', concat('t', id)) as text", "null as digest", "null as rows")
     got = dedup_table(df).collect()
