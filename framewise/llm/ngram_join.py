@@ -34,9 +34,11 @@ from framewise.llm.count_rtree import CountRTree, count_vector, enough, overlap_
 from framewise.llm.hashing import mix, shingle_sets
 
 WORDS = 5
-#: Classes of one chunk, and about the rows of one part. Sizes of work, not limits: every pair that counts meets in some part.
+#: Classes of one chunk, the rows of one slot of a pivot, and the rows of one part where these are more than the shuffle's.
+#: Sizes of work, not limits: every pair that counts meets in some part.
 BLOCK = 512
 PART_ROWS = 1024
+PART_MEMBERS = 1 << 17
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -216,6 +218,7 @@ def links(found: DataFrame, parts: int) -> DataFrame:
     slot = F.floor(F.sum("n").over(Window.partitionBy("pivot").orderBy("token")) / PART_ROWS)  # a pivot's are those of one prefix
     rows = labelled.select("token", "id", "label").join(mixed.withColumn("slot", slot), "token")
     others = rows.groupBy("token").agg(F.count(F.when(F.col("label") != F.col("main"), 1)).alias("others"))
+    parts = max(parts, -(-(mixed.agg(F.sum("n")).first()[0] or 0) // PART_MEMBERS))
     pairs = rtree_pairs(rows.join(others, "token"), found, parts)
     second = verified(pairs, found)
     return components(first.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(second))

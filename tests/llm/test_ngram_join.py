@@ -67,6 +67,7 @@ def test_against_brute_force(spark):
 
 def test_blocks_of_one_shingle(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    monkeypatch.setattr(ngram_join, "PART_MEMBERS", 20)
     same(spark, corpus(2, 150))
 
 
