@@ -64,13 +64,13 @@ def tidy_batches(work: Callable) -> Callable:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset and the
-    master is local (tests). On a cluster without that setting the warehouse is used, which is shared as well."""
+    master is local (tests). On a cluster without that setting there is none that is known to be shared: an error."""
     global _own_folder
     conf = spark.sparkContext.getConf()
     if path := conf.get("spark.checkpoint.dir", None):
         return path.rstrip("/")
     if not conf.get("spark.master", "local").startswith("local["):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     _own_folder = _own_folder or tempfile.mkdtemp(prefix="spark-framewise-")
     return f"file://{_own_folder}"
 
@@ -86,6 +86,15 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *work: str | DataFrame) -> None:
+    """Delete work folders, or those that hold the files of stashed tables."""
+    for item in work:
+        paths = [item] if isinstance(item, str) else sorted({f.rpartition("/")[0] for f in item.inputFiles()})
+        for path in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """Names for work columns: those given, with underscores in front until df has no such column."""
     taken = {c.lower() for c in df.columns}

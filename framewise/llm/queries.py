@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewise.llm import exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, sentencepiece_bpe, substring_dedup, toxicity, warc
+from framewise.llm import centroids, exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, secret_scan, sentencepiece_bpe, substring_dedup, token_alignment, toxicity, warc
 
 
 def piece_model() -> str:
@@ -15,6 +15,12 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def byte_level() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -59,6 +65,47 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=20)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(_table(spark, sf_dir, "documents"), byte_level(), piece_model())
+
+
+def _rounds_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds of centroid clustering as one common table expression each."""
+    parts = [
+        f"""
+with v as materialized (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as q, sha256('3:' || vec_id) as h from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64
+), c0 as materialized (
+  select cast(row_number() over (order by h, q) - 1 as integer) as k, q from v order by h, q limit {k}
+)"""
+    ]
+    distance = "list_sum(list_transform(list_zip(v.q, c.q), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+
+    def near(r: int) -> str:
+        return f"a{r} as materialized (select vec_id, q, k[2] as k, k[1] as d from (select vec_id, v.q as q, min([{distance}, c.k]) as k from v cross join c{r} c group by vec_id, v.q))"
+
+    for r in range(rounds):
+        parts.append(near(r))
+        parts.append(
+            f"c{r + 1} as materialized (select c.k, coalesce(n.q, c.q) as q from c{r} c left join (select k, list(cast((s - ((s % n) + n) % n) // n as bigint) order by j) as q "
+            f"from (select k, j, cast(sum(x) as bigint) as s, count(*) as n from (select k, unnest(q) as x, generate_subscripts(q, 1) as j from a{r}) group by k, j) group by k) n on n.k = c.k)"
+        )
+    parts.append(near(rounds))
+    return ", ".join(parts) + (
+        f" select vec_id, cast(a.k as integer) as cluster, cast(d as bigint) as distance, cast(sum(d) over (partition by a.k) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia, "
+        f"sha256(array_to_string(c.q, ',')) as centroid_sha256 from a{rounds} a join c{rounds} c on c.k = a.k"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
@@ -70,8 +117,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_ngram_join": op9_ngram_join,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_centroids": op11_centroids,
+    "op12_secret_scan": op12_secret_scan,
+    "op13_token_alignment": op13_token_alignment,
 }
 ORACLES: dict[str, str] = {
+    "op11_centroids": _rounds_sql(),
     "op4_exact_dedup": r"""
 with d as (
   select doc_id, length(coalesce(text, '')) as chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as norm from documents
