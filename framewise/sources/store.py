@@ -16,8 +16,8 @@ def new_folder(spark: SparkSession, name: str) -> str:
     global _own
     conf = spark.sparkContext.getConf()
     base = conf.get("spark.checkpoint.dir", None)
-    if not base and not conf.get("spark.master", "local").startswith("local"):
-        base = spark.conf.get("spark.sql.warehouse.dir")
+    if not base and not conf.get("spark.master", "local").startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         _own = _own or tempfile.mkdtemp(prefix="spark-framewise-")
         base = f"file://{_own}"
