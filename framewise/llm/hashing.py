@@ -1,12 +1,18 @@
-"""Vectorised words, word hashes and window hashes of a batch of texts.
+"""Vectorised words, word identities and window hashes of a batch of texts.
 
-Texts are laid end to end as UTF-8 bytes, one white-space byte after each. A word's hash is a polynomial in its bytes
-modulo 2**64, taken as a difference of prefix sums and then mixed; a window's hash is the same over its words' hashes.
-Nothing here loops over words.
+Texts are laid end to end as UTF-8 bytes, one white-space byte after each. A word of up to 16 bytes is its bytes, in two
+numbers, which a keyed permutation stirs: different words of one length have different identities, whatever they are. Longer
+words get 128 bits of BLAKE2b. The key is drawn anew for each run, so that no text can be made to collide.
+
+A window's hash is a polynomial over its words' identities modulo 2**64, taken as a difference of prefix sums and then mixed;
+over 20 random numbers such a polynomial can lose 13 bits at most, over five 4, but it must not be taken over characters, of
+which some thousand in a pattern make it zero. The two halves of the identities give two window hashes that are independent.
 """
 
 from __future__ import annotations
 
+import hashlib
+import secrets
 from functools import lru_cache
 
 import numpy as np
@@ -60,8 +66,35 @@ def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return (sums[ends] - sums[starts]) * powers(starts, _INVERSE)
 
 
-#: One random odd number for each byte.
-BYTE_CODE = mix(np.arange(256, dtype=np.uint64), 7) | np.uint64(1)
+#: Longest word whose identity is made of its bytes.
+SHORT = 16
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def new_key() -> int:
+    """A key of identities, to be drawn once for a run, on the driver."""
+    return secrets.randbits(63)
+
+
+def identities(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for each data[start:end], as two arrays."""
+    n = ends - starts
+    padded = np.concatenate([data, np.zeros(SHORT, np.uint8)])
+    eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    low = eight[starts] & _MASK[np.minimum(n, 8)]
+    high = eight[starts + 8] & _MASK[np.clip(n - 8, 0, 8)]
+    k = mix(np.arange(3, dtype=np.uint64) + np.uint64(key), 9)
+    low += k[0] + n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for round_key in k:
+        low, high = high + mix(low ^ round_key), low
+    high, low = mix(high), mix(low)
+    long = np.flatnonzero(n > SHORT)
+    if len(long):
+        view, salt = memoryview(np.ascontiguousarray(data)), key.to_bytes(16, "little")
+        found = np.frombuffer(b"".join(hashlib.blake2b(view[a:b], digest_size=16, salt=salt).digest() for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)), "<u8")
+        low[long], high[long] = found[::2], found[1::2]
+    return low, high
+
 
 #: Bytes of [\x20\x09-\x0D]; bytes of A-Z lowered.
 SPACE = np.zeros(256, bool)
@@ -90,34 +123,35 @@ class Words:
         self.first = np.searchsorted(self.starts, self.offsets)
         self.counts = np.diff(self.first)
 
-    def hashes(self) -> np.ndarray:
-        return mix(span_hash(prefix_sums(BYTE_CODE[self.data]), self.starts, self.ends))
+    def identities(self, key: int) -> tuple[np.ndarray, np.ndarray]:
+        return identities(self.data, self.starts, self.ends, key)
 
     def text_of(self) -> np.ndarray:
         """The text that each word is in."""
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
-    def windows(self, hashes: np.ndarray, size: int, seeds: tuple[int, ...] = (0,)) -> tuple[np.ndarray, list[np.ndarray]]:
-        """First words of the windows of `size` words inside one text, and a hash of each window for each seed."""
+    def windows(self, size: int, *hashes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """First words of the windows of `size` words inside one text, and each window's hash over each of the words' hashes."""
         ends = np.repeat(self.first[1:], self.counts)
-        at = np.flatnonzero(np.arange(len(hashes)) + size <= ends)
-        return at, [mix(span_hash(prefix_sums(hashes if not s else mix(hashes, s)), at, at + size), size + s) for s in seeds]
+        at = np.flatnonzero(np.arange(len(ends)) + size <= ends)
+        return at, [mix(span_hash(prefix_sums(h), at, at + size), size) for h in hashes]
 
 
-def shingle_sets(texts: pa.LargeStringArray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """(bounds, hashes): hashes[bounds[i]:bounds[i+1]] are the sorted distinct shingle hashes of text i, lower-cased.
-    A text of fewer words has its whole sequence as its one shingle; a text without words has none."""
+def shingle_sets(texts: pa.LargeStringArray, size: int, key: int, both: bool = False) -> tuple[np.ndarray, ...]:
+    """(bounds, hashes): hashes[bounds[i]:bounds[i+1]] are the sorted distinct shingle hashes of text i, lower-cased; both: and
+    the second hashes of these shingles. A text of fewer words has its whole sequence as its one shingle; a text without words
+    has none."""
     w = Words(texts, lower=True)
-    h = w.hashes()
-    at, (win,) = w.windows(h, size)
+    h = w.identities(key)[: 1 + both]
+    at, win = w.windows(size, *h)
     text = w.text_of()[at]
     short = np.flatnonzero((w.counts > 0) & (w.counts < size))
     if len(short):
-        whole = mix(span_hash(prefix_sums(h), w.first[short], w.first[short + 1]), 1) + w.counts[short].astype(np.uint64)
-        text, win = np.concatenate([text, short]), np.concatenate([win, mix(whole, 2)])
-    order = np.lexsort((win, text))
-    text, win = text[order], win[order]
-    keep = np.ones(len(win), bool)
-    keep[1:] = (win[1:] != win[:-1]) | (text[1:] != text[:-1])
-    text, win = text[keep], win[keep]
-    return np.searchsorted(text, np.arange(len(texts) + 1)), win
+        whole = [mix(span_hash(prefix_sums(x), w.first[short], w.first[short + 1]), 1) + w.counts[short].astype(np.uint64) for x in h]
+        text, win = np.concatenate([text, short]), [np.concatenate([x, mix(y, 2)]) for x, y in zip(win, whole, strict=True)]
+    order = np.lexsort((*win[::-1], text))
+    text, win = text[order], [x[order] for x in win]
+    keep = np.ones(len(text), bool)
+    keep[1:] = (text[1:] != text[:-1]) | np.logical_or.reduce([x[1:] != x[:-1] for x in win])
+    text, win = text[keep], [x[keep] for x in win]
+    return np.searchsorted(text, np.arange(len(texts) + 1)), *win

@@ -10,7 +10,8 @@ share a variant differ from it by one inserted character, so a group's size is b
 whatever the corpus. Before that, a lossless prefilter spares most lines the full neighbourhood: of a line cut into four
 parts, all but one stand unchanged at their place in any line within the bound, so only lines that share such a three-part
 key with a different line emit variants. The keys meet in a count-min sketch (sketch.py), which costs two bytes a key. Found
-pairs are verified by edit distance. The text is shuffled once; its exchange serves all passes.
+pairs are verified by edit distance. Lines are equal if 128 bits of BLAKE2b are; the polynomial hashes of parts and variants
+only find candidates. The text is shuffled once; its exchange serves all passes.
 
 Defined results: null text counts as empty; a null doc_id orders after all others; rows that repeat a doc_id are the same
 document, so equal places don't remove each other; blank lines stay; lines and texts are taken whole, whatever their length; an empty table
@@ -19,6 +20,7 @@ gives an empty result; further columns are passed on by rewrite(), whatever thei
 
 from __future__ import annotations
 
+import hashlib
 from functools import lru_cache
 
 import numpy as np
@@ -67,9 +69,12 @@ class Lines:
         s, e = self.starts[which], self.ends[which]
         return s, e, e - s
 
-    def hashes(self, which: np.ndarray) -> np.ndarray:
-        s, e, n = self.take(which)
-        return span_hash(self.sums, s, e) + n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    def digests(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two halves of a digest of each line."""
+        view = memoryview(self.chars).cast("B") if len(self.chars) else memoryview(b"")
+        s, e, _ = self.take(which)
+        found = np.frombuffer(b"".join(hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip((4 * s).tolist(), (4 * e).tolist(), strict=True)), "<i8")
+        return found[::2], found[1::2]
 
     def part_keys(self, which: np.ndarray) -> np.ndarray:
         """The keys of the prefilter, one row for each line: for its own length and one less, without each part."""
@@ -98,7 +103,7 @@ class Lines:
 
 
 def _key(lines: Lines, which: np.ndarray) -> np.ndarray:
-    return mix(lines.hashes(which), 1).view(np.int64)
+    return lines.digests(which)[0]
 
 
 #: A line: its document and place, and a hash of it, as rows may repeat a doc_id.
@@ -123,7 +128,7 @@ def line_table(docs: DataFrame) -> DataFrame:
             for a, z in slices(texts):
                 lines = Lines(texts.slice(a, z - a))
                 w = lines.full
-                yield pa.record_batch([pa.array(ids[a + lines.text[w]]), pa.array(lines.place[w], pa.int32()), pa.array(_key(lines, w)), pa.array(mix(lines.hashes(w), 2).view(np.int64))], names=["doc", "line", "h1", "h2"])
+                yield pa.record_batch([pa.array(ids[a + lines.text[w]]), pa.array(lines.place[w], pa.int32()), *map(pa.array, lines.digests(w))], names=["doc", "line", "h1", "h2"])
 
     return docs.select("doc_id", "text").mapInArrow(tidy_batches(run), "doc long, line int, h1 long, h2 long")
 
@@ -135,8 +140,13 @@ def _asked(table: pa.Table) -> np.ndarray:
 
 
 def _in(lines: Lines, ids: np.ndarray, which: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    """Which of some lines are among the asked ones: by hash first, then by document and place."""
-    hit = np.isin(_key(lines, which), asked.h1)
+    """Which of some lines are among the asked ones: by document and place first, then by their digests too."""
+    docs = np.unique(asked.doc)
+    if not len(docs):
+        return np.zeros(len(which), bool)
+    at = np.minimum(np.searchsorted(docs, ids[which]), len(docs) - 1)
+    hit = docs[at] == ids[which]
+    hit &= np.isin(at << 32 | lines.place[which], np.searchsorted(docs, asked.doc) << 32 | asked.line)
     some = np.flatnonzero(hit)
     hit[some] = np.isin(np.rec.fromarrays([ids[which[some]], lines.place[which[some]], _key(lines, which[some])], names=_LINE), asked)
     return hit

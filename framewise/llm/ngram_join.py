@@ -31,7 +31,7 @@ from framewise.llm import sketch
 from framewise.llm.common import blocks_for, n_blocks, slices, stash, texts_of, tidy, tidy_batches, tune
 from framewise.llm.components import components
 from framewise.llm.count_rtree import CountRTree, count_vector, enough, overlap_bound, vectors
-from framewise.llm.hashing import mix, shingle_sets
+from framewise.llm.hashing import mix, new_key, shingle_sets
 
 WORDS = 5
 #: Classes of one chunk, the rows of one slot of a pivot, and the rows of one part where these are more than the shuffle's.
@@ -41,15 +41,16 @@ PART_ROWS = 1024
 PART_MEMBERS = 1 << 17
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n (distinct shingles), 128 bits that stand for the set, and the text's bytes."""
+def signatures(docs: DataFrame, secret: int) -> DataFrame:
+    """doc_id, n (distinct shingles), 128 bits that stand for the set (64 of each half of its words' identities), and the
+    text's bytes."""
 
     def run(batches):
         for b in batches:
             texts = texts_of(b["text"])
             for a, z in slices(texts):
-                bounds, h = shingle_sets(texts.slice(a, z - a), WORDS)
-                sums = [np.diff(np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h, s))])[bounds]).view(np.int64) for s in (3, 4)]
+                bounds, *both = shingle_sets(texts.slice(a, z - a), WORDS, secret, both=True)
+                sums = [np.diff(np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h, 3))])[bounds]).view(np.int64) for h in both]
                 size = pc.binary_length(texts.slice(a, z - a)).cast(pa.int64())
                 yield pa.record_batch([b["doc_id"].slice(a, z - a).cast(pa.int64()), *(pa.array(x, pa.int64()) for x in (np.diff(bounds), *sums)), size], names=["doc_id", "n", "s1", "s2", "size"])
 
@@ -70,7 +71,7 @@ def prefixes(bounds: np.ndarray, hashes: np.ndarray, shared: np.ndarray, hot: np
 CANDIDATE = "id long, n long, vector binary, hashes binary, tokens array<long>"
 
 
-def candidates(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+def candidates(docs: DataFrame, classes: DataFrame, n: int, secret: int) -> DataFrame:
     """Classes that may share a prefix shingle with another: their sizes, count vectors, sets and those shingles. n: blocks."""
     bits = sketch.bits_for(n)
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", sketch.block_of("doc_id", n)).repartition("block")
@@ -81,7 +82,7 @@ def candidates(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
         table = table.filter(pa.array(np.isin(table["doc_id"].fill_null(-1 << 63).to_numpy(), ids)))
         texts, mine = texts_of(table["text"]), table["doc_id"].to_numpy()
         for a, z in slices(texts):
-            yield mine[a:z], *shingle_sets(texts.slice(a, z - a), WORDS)
+            yield mine[a:z], *shingle_sets(texts.slice(a, z - a), WORDS, secret)
 
     def sketched(key, table, more):
         parts = [h for _, _, h in sets(table, more["id"].to_numpy())]
@@ -227,11 +228,12 @@ def links(found: DataFrame, parts: int) -> DataFrame:
 def join(docs: DataFrame) -> DataFrame:
     """documents -> doc_id, n_shingles, component_id."""
     spark = tune(docs.sparkSession)
-    signed = stash(signatures(docs), "signatures")
+    secret = new_key()
+    signed = stash(signatures(docs, secret), "signatures")
     sets = signed.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("id"))
     classes = sets.filter("id is not null").select("id").distinct()
     blocks = blocks_for(spark, signed.agg(F.sum("size")).first()[0])
-    found = stash(candidates(docs, classes, blocks), "candidates")
+    found = stash(candidates(docs, classes, blocks, secret), "candidates")
     linked = links(found, n_blocks(spark))
     classes_of = sets.join(linked, "id", "left").select("n", "s1", "s2", F.coalesce("component", "id").alias("component"))
     return signed.join(classes_of, ["n", "s1", "s2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))

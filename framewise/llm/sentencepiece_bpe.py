@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framewise.llm.common import give_back, slices, texts_of, tidy_batches, tune
-from framewise.llm.hashing import BYTE_CODE, mix, prefix_sums, span_hash
+from framewise.llm.hashing import identities, new_key
 
 MARK = "▁"
 #: Words kept between batches of a task; when there are more, all are forgotten. It bounds memory, not results.
@@ -116,7 +116,8 @@ class Encoder:
 
     def forget(self):
         """Drop the words known so far."""
-        self.known, self.code = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.key = new_key()
+        self.known, self.known2, self.code = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.flat, self.bounds = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -169,6 +170,13 @@ class Encoder:
             sym[spread] = np.concatenate(spelled)
         return sym.astype(np.int32), np.searchsorted(word, np.arange(len(words) + 1))
 
+    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Merge words and keep their ids; the numbers under which they are kept."""
+        flat, bounds = self.merge([data[a:b].tobytes().decode().replace(" ", MARK) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+        first = len(self.bounds) - 1
+        self.flat, self.bounds = np.concatenate([self.flat, flat]), np.concatenate([self.bounds, bounds[1:] + self.bounds[-1]])
+        return np.arange(first, first + len(starts))
+
     def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of texts, each with the end id."""
         if len(self.known) > CACHE_WORDS:
@@ -185,16 +193,23 @@ class Encoder:
         begin[offsets[:-1][np.diff(offsets) > 0]] = True
         starts = np.flatnonzero(begin)
         ends = np.append(starts[1:], len(data))
-        hashes = mix(span_hash(prefix_sums(BYTE_CODE[data]), starts, ends)) if len(starts) else np.zeros(0, np.uint64)
+        hashes, second = identities(data, starts, ends, self.key)
         distinct, at, word = np.unique(hashes, return_index=True, return_inverse=True)
         place = np.searchsorted(self.known, distinct)
-        new = np.flatnonzero(np.append(self.known, 0)[place] != distinct) if len(self.known) else np.arange(len(distinct))
+        there = np.append(self.known, 0)[place] == distinct if len(self.known) else np.zeros(len(distinct), bool)
+        # Words whose first 64 bits are another word's are told by the others, and coded apart.
+        strange = second != second[at][word]
+        strange |= (there & (np.append(self.known2, 0)[place] != second[at]))[word]
+        new = np.flatnonzero(~there)
         if len(new):
-            flat, bounds = self.merge([data[a:b].tobytes().decode().replace(" ", MARK) for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)])
-            self.code = np.insert(self.code, place[new], np.arange(len(self.code), len(self.code) + len(new)))
+            codes = self._learn(data, starts[at[new]], ends[at[new]])
+            self.code = np.insert(self.code, place[new], codes)
             self.known = np.insert(self.known, place[new], distinct[new])
-            self.flat, self.bounds = np.concatenate([self.flat, flat]), np.concatenate([self.bounds, bounds[1:] + self.bounds[-1]])
+            self.known2 = np.insert(self.known2, place[new], second[at[new]])
         code = self.code[np.searchsorted(self.known, distinct)][word]
+        if strange.any():
+            odd = np.flatnonzero(strange)
+            code[odd] = self._learn(data, starts[odd], ends[odd])
         length = np.diff(self.bounds)[code]
         reach = np.concatenate([[0], np.cumsum(length)])
         stops = reach[np.searchsorted(starts, offsets)[1:]]

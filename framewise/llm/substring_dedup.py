@@ -1,7 +1,7 @@
 """Substring dedup: words covered by a window of words that starts earlier somewhere else are removed.
 
-Documents are dealt into blocks by a hash of their id. Inside a block, windows with equal hashes (64 and 32 bits, which are
-independent) are settled at once: all but the block's first are repeats. The first ones meet the other blocks': a count-min
+Documents are dealt into blocks by a hash of their id. Inside a block, windows with equal hashes (64 and 32 bits, of the
+two independent halves of their words' identities, keyed for each run) are settled at once: all but the block's first are repeats. The first ones meet the other blocks': a count-min
 prefilter (sketch.py) finds those that another block may hold, losing none, and only these are shuffled and grouped exactly.
 A group has one window of a block at most, so a passage shared by a third of all documents is a small group.
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from framewise.llm import sketch
 from framewise.llm.common import blocks_for, slices, text_bytes, texts_of, tidy, tune
-from framewise.llm.hashing import Words
+from framewise.llm.hashing import Words, new_key
 
 LAST = (1 << 63) - 1
 
@@ -40,10 +40,10 @@ def _pieces(texts: pa.LargeStringArray):
 class Windows:
     """All windows of a block in order: their document's place, their start in it, two hashes; first: not seen before."""
 
-    def __init__(self, texts: pa.LargeStringArray, window: int):
+    def __init__(self, texts: pa.LargeStringArray, window: int, key: int):
         parts: list[list[np.ndarray]] = [[], [], [], []]
         for a, w in _pieces(texts):
-            at, (h1, h2) = w.windows(w.hashes(), window, (0, 1))
+            at, (h1, h2) = w.windows(window, *w.identities(key))
             row = w.text_of()[at]
             for part, x in zip(parts, ((a + row).astype(np.int32), (at - w.first[row]).astype(np.int32), h1, h2 >> np.uint64(32)), strict=True):
                 part.append(x)
@@ -66,11 +66,11 @@ def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = False) -
     """docs(doc_id, text) -> doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text."""
     spark = tune(docs.sparkSession)
     n = blocks_for(spark, text_bytes(docs))
-    bits = sketch.bits_for(n)
+    bits, secret = sketch.bits_for(n), new_key()
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", sketch.block_of("doc_id", n)).repartition("block")
 
     def keys(table):
-        for_block = [w.windows(w.hashes(), window)[1][0] for _, w in _pieces(texts_of(table["text"]))]
+        for_block = [w.windows(window, w.identities(secret)[0])[1][0] for _, w in _pieces(texts_of(table["text"]))]
         yield np.unique(np.concatenate(for_block)) if for_block else np.zeros(0, np.uint64)
 
     shared = sketch.merge(sketch.sketches(blocks, keys, n))
@@ -80,7 +80,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = False) -
         if not len(cells):
             return pa.table({name: pa.array([], kind) for name, kind in _ROWS})
         docs_ = _sorted(docs_)
-        w = Windows(texts_of(docs_["text"]), window)
+        w = Windows(texts_of(docs_["text"]), window, secret)
         may = w.first & sketch.member(w.h1, cells, bits)
         ids = docs_["doc_id"].fill_null(LAST).to_numpy()
         columns = w.h1[may].view(np.int64), ((w.h2[may] << np.uint64(32)) | w.start[may].astype(np.uint64)).view(np.int64), ids[w.row[may]], w.row[may]
@@ -95,7 +95,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = False) -
     def cut(key, docs_: pa.Table, later_: pa.Table) -> pa.Table:
         docs_ = _sorted(docs_)
         texts = texts_of(docs_["text"])
-        w = Windows(texts, window)
+        w = Windows(texts, window, secret)
         place = lambda row, start: (row.astype(np.int64) << 32) | start.astype(np.int64)
         at = np.sort(np.concatenate([place(later_["ord"].to_numpy(), later_["start"].to_numpy()), place(w.row[~w.first], w.start[~w.first])]))
         words, removed, kept = [], [], []

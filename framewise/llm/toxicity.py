@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
@@ -39,6 +40,7 @@ TARGETS = "you your yours yourself he she they them him his her their tu toi vou
 NEGATIONS = "not never no none nobody don't isn't aren't wasn't ne pas jamais aucun nicht nie kein keine niemals nunca ningún ninguna tampoco".split()
 REPORTED = "said says claimed claims reported reports wrote quoted according alleged dit dite affirme rapporte selon sagte sagt behauptet laut berichtet dijo dice afirmó según escribió".split()
 
+CLAUSE_END = re.compile(r"[.!?;:\n]")
 TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*|[.!?;:\n]")
 OTHER, INSULT1, INSULT2, INSULT3, THREAT, TARGET, NEGATION, REPORT = range(8)
 
@@ -135,12 +137,13 @@ class Matcher:
         if not at:
             return 0.0, 0.0, 0.0
         scores, done = [], -1
+        marks = [m.start() for m in CLAUSE_END.finditer(low)]
         for p in at:
             if p < done:
                 continue
-            begin = max(low.rfind(c, 0, p) for c in ".!?;:\n") + 1
-            ends = [e for e in (low.find(c, p) for c in ".!?;:\n") if e >= 0]
-            done = min(ends, default=len(low))
+            k = bisect_left(marks, p)
+            begin = marks[k - 1] + 1 if k else 0
+            done = marks[k] if k < len(marks) else len(low)
             symbols = [self.symbol(m) for m in TOKEN.findall(low[begin:done])]
             if any(s in (*_INSULTS, THREAT) for s in symbols):
                 scores.append(max(0.0, grammar().best(symbols)))
@@ -153,10 +156,11 @@ def held_out() -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text and toxic of the bounded sample of rows that may teach."""
+    """text and toxic of the bounded sample of ids that may teach; of an id's rows the smallest text does."""
     known = labels.filter("doc_id is not null and toxic is not null").filter(~held_out()).select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
     few = known.groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
-    return docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("id")).select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(few), F.col("doc_id") == F.col("id"))
+    return rows.groupBy("id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")  # an id's rows may be any number
 
 
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:

@@ -54,6 +54,24 @@ def test_odd_words(word):
     assert Matcher({"scum": 6.0}).features(word) == (0.0, 0.0, 0.0)
 
 
+def test_long_text_is_scored_in_linear_time(spark):
+    import time
+
+    m = Matcher({"scum": 6.0})
+    took = []
+    for n in (10_000, 100_000):
+        began = time.time()
+        assert m.features("you are scum and " + "some other words stand here with no insult at all in this clause; plus a scum here. " * n)[0] > 0
+        took.append(time.time() - began)
+    assert took[1] < 30 and took[1] < 25 * took[0]
+
+
+def test_an_id_of_many_rows_teaches_once(spark):
+    docs = spark.createDataFrame([(1, "b scum"), (1, "a"), (1, None)] + [(3, f"t{k}") for k in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int")
+    assert sorted(map(tuple, X.labelled(docs, labels).collect())) == [("", 1), ("t0", 0)]
+
+
 def brute_clause(words, lexicon):
     """A clause's score word by word: reported speech and negation weaken what follows, a target near an insult adds half."""
     grade = lambda w: 3 if w >= 5 else 2 if w >= 3.5 else 1
