@@ -31,13 +31,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framewise.llm.common import n_blocks, slices, stash, texts_of, tidy, tidy_batches, tune
+from framewise.llm.common import slices, stash, texts_of, tidy, tidy_batches, tune
 from framewise.llm.sentencepiece_bpe import encoder, gather
 
 #: Ends that one piece of the merge takes.
 PIECE = 1 << 16
-#: Most links of one block of documents, on average.
-BLOCK_LINKS = 1 << 24
+#: Links of one block of documents, on average. Blocks follow the links alone: each sends its own distinct pairs to the join.
+BLOCK_LINKS = 1 << 22
 #: The pattern by which byte-level BPE cuts words: a fixed value of that kind of tokenizer.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -237,7 +237,7 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         size_b = len(encoder(f.read()).text)
     wide = size_a * size_b >= 1 << 32
     found = stash(coded(docs, a_path, b_path), "coded")
-    n = max(n_blocks(spark), -(-(found.agg(F.sum("n_links")).first()[0] or 0) // BLOCK_LINKS))
+    n = max(1, -(-(found.agg(F.sum("n_links")).first()[0] or 0) // BLOCK_LINKS))
     block = F.pmod(F.xxhash64("doc_id", "n_a", "groups_sha256"), F.lit(n)).alias("block")
 
     def distinct(table: pa.Table) -> pa.Table:
