@@ -14,7 +14,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewise.operators.quantiles import aggregate
 from framewise.operators.rgbd import depth_stable_mask, finite, homography_from
+from framewise.sources.store import stash
 
 # Frame pairs of the dense audit, those of the feature audit for each pass, the last frame.
 DENSE_PAIRS = ((0, 1), (5, 6), (11, 12), (12, 13), (18, 19), (23, 24), (12, 14), (0, 12))
@@ -150,17 +152,18 @@ def control_rollup(rows: DataFrame) -> DataFrame:
     """dense_pairs() -> for each hypothesis the mean of the pairs' PSNR and that of all pixels, support, median visibility."""
     sse, n = F.sum("rgb_sse"), F.sum("rgb_support")
     pooled = F.when((n > 0) & (sse > 0), 10 * F.log10(255.0**2 / (sse / n)))
-    return rows.groupBy("mode").agg(F.count("*").alias("pairs"), F.avg("rgb_psnr").alias("mean_psnr"), pooled.alias("pooled_psnr"), n.alias("rgb_support"), F.percentile("visible_fraction", F.lit(0.5)).alias("median_visible"))
+    some = [F.count("*").alias("pairs"), F.avg("rgb_psnr").alias("mean_psnr"), pooled.alias("pooled_psnr"), n.alias("rgb_support")]
+    rows = stash(rows.select("mode", "rgb_psnr", "rgb_sse", "rgb_support", "visible_fraction"), "pairs")
+    return aggregate(rows, ["mode"], some, {"median_visible": ("visible_fraction", 0.5)})
 
 
 def pass_evidence(rows: DataFrame) -> DataFrame:
     """dense_pairs() of the correct hypothesis with suffix -> for each pass: pairs, median visible fraction and a summary of
     the pairs' 95th percentiles over stable pixels."""
     p = F.when(F.col("stable") > 0, F.col("stable_p95"))
-    return rows.filter(F.col("mode") == HYPOTHESES[0]).groupBy("suffix").agg(
-        F.count("*").alias("pairs"), F.percentile("visible_fraction", F.lit(0.5)).alias("median_visible"), F.count(p).alias("n"),
-        F.avg(p).alias("mean"), F.percentile(p, F.lit(0.5)).alias("median"), F.percentile(p, F.lit(0.95)).alias("p95"), F.max(p).alias("max"),
-    )
+    rows = stash(rows.filter(F.col("mode") == HYPOTHESES[0]).select("suffix", "visible_fraction", p.alias("p")), "pairs")
+    some = [F.count("*").alias("pairs"), F.count("p").alias("n"), F.avg("p").alias("mean"), F.max("p").alias("max")]
+    return aggregate(rows, ["suffix"], some, {"median_visible": ("visible_fraction", 0.5), "median": ("p", 0.5), "p95": ("p", 0.95)})
 
 
 def feature_depth(matches: DataFrame, images: DataFrame) -> DataFrame:
@@ -218,7 +221,8 @@ def scale_report(matches: DataFrame, focal: float, depth: float) -> DataFrame:
     out = None
     for when, f, d in (("before", 1.0, 1.0), ("after", focal, depth)):
         e = _residuals(matches, f, d, "r").select("part", F.explode(F.array(F.abs("rx"), F.abs("ry"))).alias("e"))
-        s = e.groupBy("part").agg(F.count("e").alias("n"), F.avg("e").alias("mean"), F.percentile("e", F.lit(0.5)).alias("median"), F.percentile("e", F.lit(0.95)).alias("p95"), F.max("e").alias("max")).withColumn("fit", F.lit(when))
+        some = [F.count("e").alias("n"), F.avg("e").alias("mean"), F.max("e").alias("max")]
+        s = aggregate(stash(e, "residuals"), ["part"], some, {"median": ("e", 0.5), "p95": ("e", 0.95)}).withColumn("fit", F.lit(when))
         out = s if out is None else out.unionByName(s)
     return out
 
@@ -296,6 +300,7 @@ def render_report(sequences: DataFrame, files: DataFrame, rgb_problems: DataFram
     whole = F.count_if(F.coalesce("good", F.lit(0)) < 4 * expected)
     out = rows.groupBy("map_path").agg(F.count("*").alias("sequences"), total("rgb").alias("rgb_files"), total("depth").alias("depth_files"), whole.alias("incomplete"), total("bad").alias("bad_sources"))
     p = rgb_problems.groupBy("map_path").agg(F.count("*").alias("rgb_problems"))
-    d = depth.groupBy("map_path").agg(F.min("least").alias("least"), F.max("greatest").alias("greatest"), F.percentile("median", F.lit(0.5)).alias("median"), F.sum("bad_frames").alias("bad_frames"))
+    some = [F.min("least").alias("least"), F.max("greatest").alias("greatest"), F.sum("bad_frames").alias("bad_frames")]
+    d = aggregate(stash(depth.select("map_path", "least", "greatest", "median", "bad_frames"), "depth"), ["map_path"], some, {"median": ("median", 0.5)})
     out = out.join(p, "map_path", "left").join(d, "map_path", "left").fillna(0, ["rgb_problems", "bad_frames"])
     return out.withColumn("success", (F.col("incomplete") + F.col("bad_sources") + F.col("rgb_problems") + F.col("bad_frames") == 0) & F.col("least").isNotNull())

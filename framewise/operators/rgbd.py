@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewise.operators.quantiles import aggregate
 
 def finite(c: str) -> Column:
     return F.when(F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < float("inf")), F.col(c))
@@ -16,20 +17,26 @@ def finite(c: str) -> Column:
 def summarize(rows: DataFrame, value: str, *keys: str) -> DataFrame:
     """Count, mean, median, 95th percentile and maximum of the finite values; 0 and nulls where there are none."""
     v = rows.select(*keys, finite(value).alias("v"))
-    return v.groupBy(*keys).agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.expr("percentile(v, 0.5)").alias("median"), F.expr("percentile(v, 0.95)").alias("p95"), F.max("v").alias("max"))
+    done = aggregate(v, list(keys), [F.count("v").alias("n"), F.avg("v").alias("mean"), F.max("v").alias("max")], {"median": ("v", 0.5), "p95": ("v", 0.95)})
+    return done.select(*keys, "n", "mean", "median", "p95", "max")
 
 
 def depth_frame_stats(pixels: DataFrame) -> DataFrame:
-    """pixels(sequence, frame, depth) -> per sequence: least, greatest, median of the frames' medians over positive depth."""
+    """pixels(sequence, frame, depth) -> per sequence: least, greatest, median of the frames' medians over positive depth, and
+    its bad frames: those with a depth that is null, NaN or infinite, and those without a positive one. A frame's pixels are
+    one group; a sequence's frames may be any number."""
     pos = F.when(finite("depth") > 0, F.col("depth"))
-    frames = pixels.withColumn("p", pos).groupBy("sequence", "frame").agg(F.min("p").alias("lo"), F.max("p").alias("hi"), F.expr("percentile(p, 0.5)").alias("mid"), F.count_if(F.col("depth").isNull() | F.isnan("depth")).alias("bad"))
-    return frames.groupBy("sequence").agg(F.min("lo").alias("least"), F.max("hi").alias("greatest"), F.expr("percentile(mid, 0.5)").alias("median"), F.count_if(F.col("lo").isNull() | (F.col("bad") > 0)).alias("bad_frames"))
+    unfit = F.col("depth").isNull() | F.isnan("depth") | (F.abs("depth") == float("inf"))
+    frames = pixels.withColumn("p", pos).groupBy("sequence", "frame").agg(F.min("p").alias("lo"), F.max("p").alias("hi"), F.percentile("p", F.lit(0.5)).alias("mid"), F.count_if(unfit).alias("bad"))
+    bad = F.count_if(F.col("lo").isNull() | (F.col("bad") > 0)).alias("bad_frames")
+    return aggregate(frames, ["sequence"], [F.min("lo").alias("least"), F.max("hi").alias("greatest"), bad], {"median": ("mid", 0.5)})
 
 
 def rgb_frame_checks(images: DataFrame, width: int, height: int) -> DataFrame:
-    """images(id, data array) -> wrong_size, empty or constant."""
+    """images(id, width, height, data array) -> empty, wrong_size (either side) or constant."""
     n = F.size("data")
-    why = F.when(F.col("data").isNull() | (n == 0), "empty").when(n != width * height, "wrong_size").when(F.array_min("data") == F.array_max("data"), "constant")
+    wrong = (F.col("width") != width) | (F.col("height") != height) | (n % (width * height) != 0)
+    why = F.when(F.col("data").isNull() | (n == 0), "empty").when(wrong, "wrong_size").when(F.array_min("data") == F.array_max("data"), "constant")
     return images.select("id", why.alias("problem")).filter("problem is not null")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewise.operators.quantiles import aggregate
+
 
 def output_window(samples: DataFrame) -> DataFrame:
     """First and last sample time at which a run's cumulative file count rose; both ends belong to the window."""
@@ -63,4 +65,5 @@ def step_metrics(steps: DataFrame, expected: int) -> DataFrame:
 def capacity_sample_stats(samples: DataFrame, total_mb: float, least_util: float = 50.0, least_mb: float = 20_000.0) -> DataFrame:
     """Peak and medians of the samples that show full load."""
     busy = samples.filter((F.col("gpu_util_percent") >= least_util) & (F.col("gpu_memory_mb") >= least_mb))
-    return busy.groupBy("run_label").agg(F.count("*").alias("samples"), F.max("gpu_memory_mb").alias("peak_mb"), F.expr("percentile(gpu_memory_mb, 0.5)").alias("median_mb"), F.expr("percentile(gpu_util_percent, 0.5)").alias("median_util"), (F.max("gpu_memory_mb") / total_mb).alias("peak_share"))
+    some = [F.count("*").alias("samples"), F.max("gpu_memory_mb").alias("peak_mb"), (F.max("gpu_memory_mb") / total_mb).alias("peak_share")]
+    return aggregate(busy, ["run_label"], some, {"median_mb": ("gpu_memory_mb", 0.5), "median_util": ("gpu_util_percent", 0.5)})

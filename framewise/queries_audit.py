@@ -186,7 +186,7 @@ def _(spark, d):
     """Images belong to the 25 maps in turn; some are empty or of one colour, and some sources are missing or short."""
     maps = table(spark, d, "maps").select("map_path", F.col("map_id").alias("k"))
     images = table(spark, d, "embeddings").select("vec_id", F.expr("case when vec_id % 211 = 0 then array() when vec_id % 97 = 0 then array_repeat(float(1), 64) else embedding end").alias("data"))
-    problems = E.rgb_frame_checks(images.withColumnRenamed("vec_id", "id"), SIDE, SIDE).join(maps, F.col("id") % 25 == F.col("k")).select("map_path", "problem")
+    problems = E.rgb_frame_checks(images.withColumnRenamed("vec_id", "id").withColumns({"width": F.lit(SIDE), "height": F.lit(SIDE)}), SIDE, SIDE).join(maps, F.col("id") % 25 == F.col("k")).select("map_path", "problem")
     pixels = table(spark, d, "rgbd").join(maps, F.col("image") % 25 == F.col("k")).select(F.struct("map_path", F.floor(F.col("image") / 50).alias("s")).alias("sequence"), F.col("image").alias("frame"), "depth")
     depth = E.depth_frame_stats(pixels).select("sequence.map_path", "least", "greatest", "median", "bad_frames")
     sequences = table(spark, d, "sequences")

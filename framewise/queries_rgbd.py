@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from framewise.fixtures import oracle, table
 from framewise.operators import rgbd as E
+from framewise.operators.quantiles import aggregate
+from framewise.sources.store import stash
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -34,15 +36,22 @@ def _(spark, d):
     return E.summarize(_tiles(spark, d), "depth", "label").select("label", "n", _r("mean"), _r("median"), _r("p95"), _r("max"))
 
 
-@query("e2_depth_frame_stats", f"with f as (select label as sequence, tile_id, min(depth_m) as lo, max(depth_m) as hi, quantile_cont(depth_m,0.5) as mid from {{tiles}} where depth_m>0 group by 1,2) select sequence, {_R('min(lo)', 'least')}, {_R('max(hi)', 'greatest')}, {_R('quantile_cont(mid,0.5)', 'median')}, cast(0 as bigint) as bad_frames from f group by 1")
+_E2 = "case when tile_id % 37=0 and x=3 and y=3 then 'inf'::double when tile_id % 41=0 then 0 when tile_id % 43=0 and x=1 and y=0 then null else depth_m end"
+
+
+@query("e2_depth_frame_stats", f"with t as (select label as sequence, tile_id, {_E2} as dm from {{tiles}}), f as (select sequence, tile_id, min(dm) filter (dm>0 and isfinite(dm)) as lo, max(dm) filter (dm>0 and isfinite(dm)) as hi, quantile_cont(dm,0.5) filter (dm>0 and isfinite(dm)) as mid, count(*) filter (dm is null or not isfinite(dm)) as bad from t group by 1,2) select sequence, {_R('min(lo)', 'least')}, {_R('max(hi)', 'greatest')}, {_R('quantile_cont(mid,0.5)', 'median')}, count(*) filter (lo is null or bad>0) as bad_frames from f group by 1")
 def _(spark, d):
-    got = E.depth_frame_stats(_tiles(spark, d).selectExpr("label as sequence", "tile_id as frame", "depth"))
+    """Tiles with an infinite, a null or no positive depth are bad frames; what is sound in them counts."""
+    dm = "case when tile_id % 37 = 0 and x = 3 and y = 3 then double('inf') when tile_id % 41 = 0 then 0D when tile_id % 43 = 0 and x = 1 and y = 0 then null else depth end as depth"
+    got = E.depth_frame_stats(_tiles(spark, d).selectExpr("label as sequence", "tile_id as frame", dm))
     return got.select("sequence", _r("least"), _r("greatest"), _r("median"), "bad_frames")
 
 
-@query("e3_rgb_frame_checks", "select vec_id as id, case when vec_id % 11=0 then 'empty' when vec_id % 7=0 then 'wrong_size' else 'constant' end as problem from {embeddings} where vec_id % 11=0 or vec_id % 7=0 or vec_id % 5=0")
+@query("e3_rgb_frame_checks", "select vec_id as id, case when vec_id % 11=0 then 'empty' when vec_id % 7=0 or vec_id % 13=0 then 'wrong_size' else 'constant' end as problem from {embeddings} where vec_id % 11=0 or vec_id % 7=0 or vec_id % 13=0 or vec_id % 5=0")
 def _(spark, d):
-    images = table(spark, d, "embeddings").selectExpr("vec_id as id", "case when vec_id % 11 = 0 then array() when vec_id % 7 = 0 then slice(embedding, 1, 60) when vec_id % 5 = 0 then array_repeat(float(1), 64) else embedding end as data")
+    """Some images lack pixels, some have 4 x 16 of them in place of 8 x 8."""
+    data = "case when vec_id % 11 = 0 then array() when vec_id % 7 = 0 then slice(embedding, 1, 60) when vec_id % 5 = 0 then array_repeat(float(1), 64) else embedding end as data"
+    images = table(spark, d, "embeddings").selectExpr("vec_id as id", data, "if(vec_id % 13 = 0, 4, 8) as width", "if(vec_id % 13 = 0, 16, 8) as height")
     return E.rgb_frame_checks(images, 8, 8)
 
 
@@ -140,8 +149,9 @@ def _(spark, d):
 @query("e24_feature_error_by_trajectory", f"with m as (select label % 5 as family, pair_id, quantile_cont(depth_m,0.5) as med from {{tiles}} group by 1,2) select family, count(*) as pairs, {_R('quantile_cont(med,0.25)', 'q1')}, {_R('quantile_cont(med,0.5)', 'q2')}, {_R('quantile_cont(med,0.75)', 'q3')} from m group by 1")
 def _(spark, d):
     m = E.feature_reprojection_error(_tiles(spark, d).selectExpr("concat(label % 5, '-', pair_id) as pair", "'correct' as mode", "depth as err"))
-    m = m.withColumn("family", F.split("pair", "-")[0].cast("int")).groupBy("family").agg(F.count("*").alias("pairs"), F.expr("percentile(median, array(0.25, 0.5, 0.75))").alias("q"))
-    return m.select("family", "pairs", *((F.round(F.get("q", k), 4) + 0.0).alias(f"q{k + 1}") for k in range(3)))
+    m = stash(m.select(F.split("pair", "-")[0].cast("int").alias("family"), "median"), "medians")
+    m = aggregate(m, ["family"], [F.count("*").alias("pairs")], {f"q{k}": ("median", k / 4) for k in (1, 2, 3)})
+    return m.select("family", "pairs", *(_r(f"q{k}") for k in (1, 2, 3)))
 
 
 @query("e25_depth_display_range", f"with e as (select tile_id, quantile_cont(depth_m,0.01) as lo, greatest(quantile_cont(depth_m,0.99), quantile_cont(depth_m,0.01)+0.05) as hi from {{tiles}} group by 1) select tile_id, x, y, {_R('greatest(0.0,least(255.0,(depth_m-lo)/(hi-lo)*255))', 'shade')} from {{tiles}} join e using (tile_id)")
