@@ -91,12 +91,22 @@ def classify_jobs(jobs: DataFrame) -> DataFrame:
     return jobs.select("job_id", state.alias("state"))
 
 
-def output_inventory(files: DataFrame) -> DataFrame:
-    """Per trajectory: files, bytes, and frame stems that are distinct in their directory, summed. Frames are bits of words, of
-    which a directory may have any number; files are combined before the first shuffle and words before the second."""
-    per_word = files.groupBy(*DIRECTORY, F.floor(F.col("frame") / 64).alias("word")).agg(F.count("*").alias("files"), F.sum("size").alias("bytes"), F.bit_or(_bit(F.col("frame"))).alias("bits"))
-    per_directory = per_word.groupBy(*DIRECTORY).agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"), F.sum(F.coalesce(F.bit_count("bits"), F.lit(0))).alias("frames"))
-    return per_directory.groupBy("trajectory").agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"), F.sum("frames").alias("frames"), F.count("*").alias("directories"))
+def output_inventory(files: DataFrame, jobs: DataFrame) -> DataFrame:
+    """files(trajectory, prefix, suffix, rel_path, size) of jobs(job_id, trajectory, prefix): per job its image files, bytes,
+    frame views (stems that are distinct in a sequence's folder, over all passes) and sorted folders. Stems of four digits are
+    bits of words; any other stem is a row of its own, so that 0.png beside 0000.png counts. Files are combined before the
+    first shuffle; a job's folders are those of its plan."""
+    folder = [*SEQUENCE, "suffix"]
+    stem = F.regexp_extract("rel_path", r"([^/]+)\.[^./]*$", 1)
+    image = files.filter(F.lower("rel_path").rlike(r"[^/]\.(png|exr|jpg|jpeg)$")).select(*folder, "size", stem.alias("stem"))
+    usual = F.when(F.col("stem").rlike(r"^[0-9]{4}$"), F.col("stem").cast("int"))
+    words = image.groupBy(*folder, F.floor(usual / 64).alias("word"), F.when(usual.isNull(), F.col("stem")).alias("other"))
+    words = words.agg(F.count("*").alias("files"), F.sum("size").alias("bytes"), F.bit_or(_bit(usual)).alias("bits"))
+    views = F.sum(F.coalesce(F.bit_count("bits"), F.lit(0)) + F.col("other").isNotNull().cast("int"))
+    folders = words.groupBy(*folder).agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"), views.alias("views"))
+    mine = folders.join(jobs.select("job_id", *SEQUENCE), SEQUENCE)
+    name = F.array_sort(F.collect_list(F.concat_ws("_", "prefix", "suffix")))
+    return mine.groupBy("job_id").agg(F.sum("files").alias("image_files"), F.sum("bytes").alias("bytes"), F.sum("views").alias("frame_views"), name.alias("directories"))
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -164,11 +174,12 @@ def run_summary(planned: DataFrame, attempts: DataFrame) -> DataFrame:
 
 
 def credited_throughput(attempts: DataFrame) -> DataFrame:
-    """attempts(job_id, attempt, valid_tasks, tasks, images): images credited are floor(images * newly valid / tasks); valid
-    tasks only count beyond the most that any earlier attempt had."""
-    before = F.coalesce(F.max("valid_tasks").over(Window.partitionBy("job_id").orderBy("attempt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = attempts.withColumn("fresh", F.greatest(F.col("valid_tasks") - before, F.lit(0)))
-    return rows.groupBy("job_id").agg(F.sum(F.floor(F.col("images") * F.col("fresh") / F.col("tasks"))).cast("long").alias("credited"))
+    """attempts(job_id, attempt, returncode, launched, remaining, tasks, images): an attempt that ends well is credited with all
+    tasks it launched, another one with those that don't remain (none where they could not be counted). A job's credit is
+    floor(images after its last attempt * credited tasks / tasks)."""
+    fresh = F.when(F.col("returncode") == 0, F.col("launched")).otherwise(F.coalesce(F.col("launched") - F.col("remaining"), F.lit(0)))
+    jobs = attempts.groupBy("job_id").agg(F.sum(F.greatest(fresh, F.lit(0))).alias("rendered_tasks"), F.max_by("images", "attempt").alias("images"), F.max_by("tasks", "attempt").alias("tasks"))
+    return jobs.select("job_id", "rendered_tasks", F.expr("images * rendered_tasks div tasks").alias("credited"))
 
 
 def storage_forecast(files: DataFrame, planned: DataFrame, reserve: float = 0.2) -> DataFrame:

@@ -109,11 +109,11 @@ def canonical_names(plan: DataFrame) -> DataFrame:
 
 
 def parse_names(names: DataFrame) -> DataFrame:
-    """prefix -> map, target number, height and yaw; a name that doesn't fit has nulls and is bad."""
-    pattern = r"^(.+)_Target_(\d+)_height_(\d+)_ang_(-?\d+)$"
+    """prefix -> map, target number, height and yaw; a name that doesn't fit, or a number that no long holds, is bad."""
+    pattern = r"^(.+)_Target_(\d+)_height_(\d+)_ang_(\d+)$"
     part = lambda k: F.nullif(F.regexp_extract("prefix", pattern, k), F.lit(""))
-    number = lambda k: F.try_to_number(part(k), F.lit("S999999")).cast("int")
-    return names.select("prefix", part(1).alias("map_name"), number(2).alias("target_number"), number(3).alias("height"), number(4).alias("yaw"), (~F.col("prefix").rlike(pattern)).alias("bad"))
+    number = lambda k: part(k).try_cast("long")
+    return names.select("prefix", part(1).alias("map_name"), number(2).alias("target_number"), number(3).alias("height"), number(4).alias("yaw"), (number(2).isNull() | number(3).isNull() | number(4).isNull()).alias("bad"))
 
 
 def exact_task_subset(product: DataFrame, requested: DataFrame) -> tuple[DataFrame, DataFrame]:

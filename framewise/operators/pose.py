@@ -50,18 +50,18 @@ def euler_to_matrix(rows: DataFrame) -> DataFrame:
     return rows.withColumns({f"r{i}{j}": m[i][j] for i in range(3) for j in range(3)})
 
 
-def matrix_to_euler(rows: DataFrame) -> DataFrame:
-    """roll, pitch, yaw of r00..r22. Of the two angle triples of one matrix the one with the smaller |roll| + |yaw| (after
-    wrapping) is chosen; straight down or up, roll is zero and yaw takes the whole turn."""
+def matrix_to_euler(rows: DataFrame, base: str) -> DataFrame:
+    """roll, pitch, yaw of r00..r22 around the base yaw. Two angle triples give one matrix; the one nearer to the canonical
+    view (0, -90, base) is taken, by squared turns with a quarter's weight on pitch. Looking straight down is that view."""
     r = {(i, j): F.col(f"r{i}{j}") for i in range(3) for j in range(3)}
-    flat = F.hypot(r[0, 0], r[1, 0])
-    one = (F.degrees(F.atan2(-r[2, 1], r[2, 2])), F.degrees(F.atan2(r[2, 0], flat)), F.degrees(F.atan2(r[1, 0], r[0, 0])))
-    two = (wrap(one[0] + 180), 180 - one[1], wrap(one[2] + 180))
-    cost = lambda e: F.abs(wrap(e[0])) + F.abs(wrap(e[2]))
-    zenith = flat < 1e-9
-    turn = F.degrees(F.atan2(-r[0, 1], r[1, 1]))
-    pick = lambda k, z: F.when(zenith, z).when(cost(one) <= cost(two), one[k]).otherwise(two[k])
-    return rows.withColumns({"roll": wrap(pick(0, F.lit(0.0))), "pitch": wrap(pick(1, one[1])), "yaw": wrap(pick(2, turn))})
+    flat, around = F.hypot(r[0, 0], r[1, 0]), F.col(base).cast("double")
+    roll, pitch, yaw = F.degrees(F.atan2(-r[2, 1], r[2, 2])), F.degrees(F.atan2(r[2, 0], flat)), F.degrees(F.atan2(r[1, 0], r[0, 0]))
+    one = (wrap(roll), pitch, around + wrap(yaw - around))
+    two = (wrap(roll + 180), -180 - pitch, around + wrap(yaw + 180 - around))
+    cost = lambda e: e[0] * e[0] + (e[2] - around) * (e[2] - around) + 0.25 * (e[1] + 90) * (e[1] + 90)
+    nadir = (F.lit(0.0), F.lit(-90.0), around)
+    chosen = [F.when(flat < 1e-10, nadir[k]).when(cost(one) <= cost(two), one[k]).otherwise(two[k]) for k in range(3)]
+    return rows.withColumns(dict(zip(("roll", "pitch", "yaw"), chosen, strict=True)))
 
 
 def _step(span: Column | float) -> Column:
@@ -79,7 +79,7 @@ def traj_grid(rows: DataFrame, side: float) -> DataFrame:
     """5 x 5 places in snake order: every other row runs back."""
     row = F.floor(F.col("frame") / 5)
     col = F.when(row % 2 == 0, F.col("frame") % 5).otherwise(4 - F.col("frame") % 5)
-    u, v = (col - 2) * (side / 4), (row - 2) * (side / 4)
+    u, v = (col - 2) * (side / 4), (2 - row) * (side / 4)
     return rows.withColumns({"x": F.col("tx") + u * cos("yaw") - v * sin("yaw"), "y": F.col("ty") + u * sin("yaw") + v * cos("yaw"), "z": F.col("tz") + F.col("h"), "pitch": F.lit(-90.0)})
 
 
@@ -89,9 +89,11 @@ def traj_arc(rows: DataFrame, span: float) -> DataFrame:
     return rows.withColumns({"x": F.col("tx") + F.col("h") * cos(angle) * cos("yaw"), "y": F.col("ty") + F.col("h") * cos(angle) * sin("yaw"), "z": F.col("tz") + F.col("h") * sin(angle), "pitch": angle - 180})
 
 
-def traj_tracking_line(rows: DataFrame, side: float) -> DataFrame:
-    """The line of traj_line, always looking at the target."""
-    s = _step(side)
+def traj_tracking_line(rows: DataFrame, span: float) -> DataFrame:
+    """A line along the yaw direction that always looks at the target and is seen from it under `span` degrees. Offsets go by
+    the sine of an even angle, so that they lie closer towards the ends; frame 12 is the canonical pose."""
+    half = math.radians(span / 2)
+    s = F.col("h") * (math.tan(half) / math.sin(half)) * sin(_step(span))
     return rows.withColumns({"x": F.col("tx") + s * cos("yaw"), "y": F.col("ty") + s * sin("yaw"), "z": F.col("tz") + F.col("h"), "pitch": -90 - F.degrees(F.atan2(s, F.col("h")))})
 
 
@@ -119,10 +121,31 @@ def resample_by_arc_length(dense: DataFrame, n: int = FRAMES) -> DataFrame:
 
 
 def traj_spiral(rows: DataFrame, samples: DataFrame, span: float, turns: float) -> DataFrame:
-    """A spiral on the sphere of radius h around the target at equal arc steps; the last frame is the zenith."""
+    """A spiral on the sphere of radius h around the target at equal arc steps, looking at it; the last frame is the canonical
+    pose."""
     joined = rows.join(samples.select("frame", "s"), "frame")
     tilt, turn = (1 - F.col("s")) * (span / 2), F.col("s") * (360.0 * turns) + F.col("yaw")
-    return joined.withColumns({"x": F.col("tx") + F.col("h") * sin(tilt) * cos(turn), "y": F.col("ty") + F.col("h") * sin(tilt) * sin(turn), "z": F.col("tz") + F.col("h") * cos(tilt), "pitch": tilt - 90})
+    placed = joined.withColumns({"x": F.col("tx") + F.col("h") * sin(tilt) * cos(turn), "y": F.col("ty") + F.col("h") * sin(tilt) * sin(turn), "z": F.col("tz") + F.col("h") * cos(tilt)})
+    return ending_canonical(target_rotations(placed))
+
+
+def target_rotations(rows: DataFrame) -> DataFrame:
+    """rows(x, y, z, tx, ty, tz, yaw: the base yaw) with roll, pitch, yaw: the canonical camera frame, turned whole by the least
+    tilt that points it at the target, as the angle triple nearest to the canonical view. above = false and null angles where
+    the camera isn't above the target."""
+    view = euler_matrix(F.lit(0.0), F.lit(-90.0), F.col("yaw"))
+    tilted = lookat_rotations(rows)
+    turned = {f"r{i}{j}": sum((F.col(f"a{i}{k}") * view[k][j] for k in range(1, 3)), F.col(f"a{i}0") * view[0][j]) for i in range(3) for j in range(3)}
+    work = [*turned, *(f"a{i}{j}" for i in range(3) for j in range(3)), "angle", "base_yaw"]
+    return matrix_to_euler(tilted.withColumns(turned).withColumn("base_yaw", F.col("yaw")), "base_yaw").drop(*work)
+
+
+def ending_canonical(rows: DataFrame) -> DataFrame:
+    """The last frame is the canonical pose itself: above the target by h, looking straight down; the yaw of such a camera is the
+    base yaw already."""
+    last = F.col("frame") == FRAMES - 1
+    exact = {"x": F.col("tx"), "y": F.col("ty"), "z": F.col("tz") + F.col("h"), "roll": F.lit(0.0), "pitch": F.lit(-90.0)}
+    return rows.withColumns({c: F.when(last, v).otherwise(F.col(c)) for c, v in exact.items()})
 
 
 def bspline_basis(t: np.ndarray, n: int, degree: int = 3) -> np.ndarray:
@@ -138,55 +161,89 @@ def bspline_basis(t: np.ndarray, n: int, degree: int = 3) -> np.ndarray:
     return basis
 
 
-def bspline_eval(points: DataFrame, controls: int = 8) -> DataFrame:
-    """points(id, t) -> id, the basis values as an array and their sum (a partition of unity)."""
+def basis_columns(t: Column, controls: int, degree: int = 3) -> list[Column]:
+    """The same basis as column expressions."""
+    inner = controls - degree
+    knots = [0.0] * degree + [k / inner for k in range(inner + 1)] + [1.0] * degree
 
-    def run(batches):
-        for b in batches:
-            basis = bspline_basis(b["t"].to_numpy(zero_copy_only=False), controls)
-            yield pa.record_batch([b["id"], pa.array(basis.tolist(), pa.list_(pa.float64())), pa.array(basis.sum(1))], names=["id", "basis", "total"])
+    def piece(i: int, k: int) -> Column | None:
+        """Basis function i of degree k; None where it is zero everywhere."""
+        if k == 0:
+            if knots[i] == knots[i + 1]:
+                return None
+            before = t <= 1.0 if knots[i + 1] == 1.0 else t < knots[i + 1]
+            return F.when((t >= knots[i]) & before, F.lit(1.0)).otherwise(F.lit(0.0))
+        terms = []
+        if (low := piece(i, k - 1)) is not None:
+            terms.append((t - knots[i]) / (knots[i + k] - knots[i]) * low)
+        if (high := piece(i + 1, k - 1)) is not None:
+            terms.append((knots[i + k + 1] - t) / (knots[i + k + 1] - knots[i + 1]) * high)
+        return sum(terms[1:], terms[0]) if terms else None
 
-    return points.select("id", "t").mapInArrow(run, "id long, basis array<double>, total double")
+    return [piece(i, degree) for i in range(controls)]
+
+
+def bspline_eval(points: DataFrame, controls: int = 8) -> DataFrame:
+    """points(id, t) -> id, the basis values as an array and their sum (a partition of unity)."""
+    basis = basis_columns(F.col("t"), controls)
+    return points.select("id", F.array(*basis).alias("basis"), sum(basis[1:], basis[0]).alias("total"))
 
 
 #: Random control points, then how often the reference view, and the share of the shell kept free below.
 SHELL_DRAWS, SHELL_ENDS, SHELL_MARGIN = 6, 2, 0.05
+#: Curves that are evaluated together.
+SHELL_ROWS = 64
+
+
+def shell_controls(seeds: list[str], heights: np.ndarray, low: float, high: float, span: float) -> np.ndarray:
+    """Control points (curve, point, (radius, tilt vector in radians)): for each point Python's generator draws the radius, the
+    cosine of the polar angle and the azimuth; the reference view ends the curve."""
+    least, flat = low + SHELL_MARGIN * (high - low), math.cos(math.radians(span / 2))
+    out = np.zeros((len(seeds), SHELL_DRAWS + SHELL_ENDS, 3))
+    draws = np.array([[(r.uniform(least, high), r.uniform(flat, 1.0), r.uniform(0.0, 2 * math.pi)) for _ in range(SHELL_DRAWS)] for r in map(random.Random, map(int, seeds))]).reshape(-1, SHELL_DRAWS, 3)
+    polar = np.arccos(draws[:, :, 1])
+    out[:, :SHELL_DRAWS, 0] = draws[:, :, 0]
+    out[:, :SHELL_DRAWS, 1], out[:, :SHELL_DRAWS, 2] = polar * np.cos(draws[:, :, 2]), polar * np.sin(draws[:, :, 2])
+    out[:, SHELL_DRAWS:, 0] = heights[:, None]
+    return out
+
+
+def shell_points(values: np.ndarray) -> np.ndarray:
+    """(..., (radius, tilt vector)) -> (..., xyz): the tilt vector's length is the polar angle, its direction the azimuth."""
+    polar = np.hypot(values[..., 1], values[..., 2])
+    across = values[..., :1] * values[..., 1:] * np.sinc(polar / math.pi)[..., None]
+    return np.concatenate([across, values[..., :1] * np.cos(polar)[..., None]], axis=-1)
 
 
 def traj_random_shell(rows: DataFrame, low: float, high: float, span: float) -> DataFrame:
     """rows(seq_no, seed, tx, ty, tz, h, yaw) -> 25 frames each: seeded control points in radius and tilt around the zenith and
     the reference view at height h twice, so that the curve comes to rest there; a clamped cubic spline through their hull,
-    resampled at equal arc length and turned by yaw. Radii stay in [low, high], tilts within span / 2 degrees. Draws are
-    Python's Mersenne Twister: radius, cosine of the polar angle, azimuth for each control point."""
+    taken at parameters of equal arc length, turned by yaw and looking at the target. Radii stay in [low, high], tilts within
+    span / 2 degrees. Curves are evaluated by matrix products, SHELL_ROWS at a time."""
 
     def run(batches):
-        basis = bspline_basis(np.linspace(0, 1, DENSE), SHELL_DRAWS + SHELL_ENDS)
-        for b in batches:
-            out: dict[str, list] = {k: [] for k in ("seq_no", "frame", "x", "y", "z", "radius", "tilt")}
-            for r in b.to_pylist():
-                rnd = random.Random(int(r["seed"]))
-                draws = [(rnd.uniform(low + SHELL_MARGIN * (high - low), high), math.acos(rnd.uniform(math.cos(math.radians(span / 2)), 1.0)), rnd.uniform(0.0, 2 * math.pi)) for _ in range(SHELL_DRAWS)]
-                # Interpolating radius and the tilt vector keeps both inside their convex bounds.
-                control = np.array([(q, math.degrees(p) * math.cos(a), math.degrees(p) * math.sin(a)) for q, p, a in draws] + [(float(r["h"]), 0.0, 0.0)] * SHELL_ENDS)
-                radius, plane = basis @ control[:, 0], basis @ control[:, 1:]
-                angle = np.hypot(plane[:, 0], plane[:, 1])
-                unit = plane / np.maximum(angle, 1e-12)[:, None]
-                p = radius[:, None] * np.column_stack([np.sin(np.radians(angle))[:, None] * unit, np.cos(np.radians(angle))])
-                c, q = math.cos(math.radians(r["yaw"])), math.sin(math.radians(r["yaw"]))
-                p = p @ np.array([[c, q, 0.0], [-q, c, 0.0], [0.0, 0.0, 1.0]])
-                at = np.concatenate([[0], np.cumsum(np.linalg.norm(np.diff(p, axis=0), axis=1))])
-                where = np.interp(np.linspace(0, at[-1], FRAMES), at, np.arange(DENSE))
-                at_frame = lambda v: np.interp(where, np.arange(DENSE), v).tolist()
-                out["seq_no"] += [r["seq_no"]] * FRAMES
-                out["frame"] += range(FRAMES)
-                for k, c in enumerate("xyz"):
-                    out[c] += [v + r["t" + c] for v in at_frame(p[:, k])]
-                out["radius"] += at_frame(radius)
-                out["tilt"] += at_frame(angle)
-            kinds = [pa.int64(), pa.int32(), *[pa.float64()] * 5]
-            yield pa.record_batch([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
-
-    return rows.select("seq_no", "seed", "tx", "ty", "tz", F.col("h").cast("double").alias("h"), F.col("yaw").cast("double").alias("yaw")).mapInArrow(run, "seq_no long, frame int, x double, y double, z double, radius double, tilt double")
+        grid = np.linspace(0, 1, DENSE)
+        basis = bspline_basis(grid, SHELL_DRAWS + SHELL_ENDS)
+        for batch in batches:
+            for first in range(0, batch.num_rows, SHELL_ROWS):
+                b = batch.slice(first, SHELL_ROWS)
+                n, number = b.num_rows, lambda c: b[c].to_numpy(zero_copy_only=False)  # noqa: B023
+                control = shell_controls(b["seed"].to_pylist(), number("h"), low, high, span)
+                steps = np.linalg.norm(np.diff(shell_points(basis @ control), axis=1), axis=2)
+                at = np.concatenate([np.zeros((n, 1)), np.cumsum(steps, axis=1)], axis=1)
+                t = np.stack([np.interp(np.linspace(0, a[-1], FRAMES), a, grid) for a in at])
+                values = bspline_basis(t.ravel(), SHELL_DRAWS + SHELL_ENDS).reshape(n, FRAMES, -1) @ control
+                p, turn = shell_points(values), np.radians(number("yaw"))[:, None]
+                x, y = p[..., 0] * np.cos(turn) - p[..., 1] * np.sin(turn), p[..., 0] * np.sin(turn) + p[..., 1] * np.cos(turn)
+                placed = {c: (v + number("t" + c)[:, None]).ravel() for c, v in zip("xyz", (x, y, p[..., 2]), strict=True)}
+                again = {c: np.repeat(number(c), FRAMES) for c in ("tx", "ty", "tz", "h", "yaw")}
+                inside = {"radius": values[..., 0].ravel(), "tilt": np.degrees(np.hypot(values[..., 1], values[..., 2])).ravel()}
+                out = {"seq_no": np.repeat(number("seq_no"), FRAMES), "frame": np.tile(np.arange(FRAMES, dtype=np.int32), n)} | placed | again | inside
+                yield pa.record_batch([pa.array(v) for v in out.values()], names=list(out))
+
+    numbers = ", ".join(f"{c} double" for c in ("x", "y", "z", "tx", "ty", "tz", "h", "yaw", "radius", "tilt"))
+    made = rows.select("seq_no", "seed", *(F.col(c).cast("double").alias(c) for c in ("tx", "ty", "tz", "h", "yaw"))).mapInArrow(run, f"seq_no long, frame int, {numbers}")
+    return ending_canonical(target_rotations(made))
 
 
 def lookat_rotations(rows: DataFrame) -> DataFrame:
@@ -204,59 +261,90 @@ def lookat_rotations(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"above": above, "angle": F.when(above, F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c))))), **named})
 
 
+#: Fixed values of the pose protocol: what every document must say, and the trajectories that end on the reference view.
+PROTOCOL = {"schema_version": "camera-json-v1-25views", "coordinate_convention": "opencv_c2w", "translation_units": "m", "depth_units": "cm", "w": 512, "h": 512, "num_views": 25, "includes_occ_center": True, "view_order": "sequence", "pixel_center_offset": 0.5}
+TRAJECTORIES = ("fix_line", "plane_grid", "rot_arc", "rot_spiral", "rand_shell")
+ENDING = ("rot_spiral", "rand_shell")
+
+
 def pose_rules(payloads: DataFrame, tolerance: float = 1e-5) -> DataFrame:
-    """payloads(id, version, centre, fx, fy, cx, cy, frames array<struct<frame_id, path, m array<double> 16>>) -> violated
-    rules, comma-joined. Matrices must be rigid: unit determinant and orthogonal rotation."""
+    """payloads(id, the fields of PROTOCOL, trajectory, center_idx, fl_x, fl_y, cx, cy, frames array<struct<frame_id, file_path,
+    m array<double> 16>>) -> violated rules, comma-joined. Whole numbers must have whole types; matrices must be rigid: a
+    rotation and the row 0, 0, 0, 1."""
     dot = lambda m, i, j: m[4 * 0 + i] * m[4 * 0 + j] + m[4 + i] * m[4 + j] + m[8 + i] * m[8 + j]
     det = lambda m: m[0] * (m[5] * m[10] - m[6] * m[9]) - m[1] * (m[4] * m[10] - m[6] * m[8]) + m[2] * (m[4] * m[9] - m[5] * m[8])
+    near = lambda x, v, t: F.abs(x - v) <= t
+    number = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
     orthogonal = lambda m: F.greatest(*(F.abs(dot(m, i, j) - (1.0 if i == j else 0.0)) for i in range(3) for j in range(i, 3))) <= tolerance
-    rigid = lambda f: (F.size(f["m"]) == 16) & orthogonal(f["m"]) & (F.abs(det(f["m"]) - 1) <= tolerance) & (f["m"][12] == 0) & (f["m"][13] == 0) & (f["m"][14] == 0) & (f["m"][15] == 1)
-    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+    rigid = lambda f: (F.size(f["m"]) == 16) & F.forall(f["m"], number) & orthogonal(f["m"]) & near(det(f["m"]), 1, tolerance) & near(f["m"][12], 0, 1e-7) & near(f["m"][13], 0, 1e-7) & near(f["m"][14], 0, 1e-7) & near(f["m"][15], 1, 1e-7)
+    whole = {f.name for f in payloads.schema if f.dataType.typeName() in ("byte", "short", "integer", "long")}
+    integers = ("w", "h", "num_views", "center_idx")
+    centre = F.when(F.col("trajectory").isin(*ENDING), 24).otherwise(CENTRE)
+    focal = F.coalesce(number(F.col("fl_x")) & number(F.col("fl_y")) & number(F.col("cx")) & number(F.col("cy")) & (F.col("fl_x") > 0) & (F.col("fl_y") > 0), F.lit(False))
     rules = {
-        "version": ~F.col("version").eqNullSafe(F.lit("1")),
-        "centre": ~F.col("centre").isin(12, 24),
-        "intrinsics": ~(finite("fx") & finite("fy") & finite("cx") & finite("cy") & (F.col("fx") > 0) & (F.col("fy") > 0)),
-        "frame_count": F.size("frames") != FRAMES,
-        "frame_order": ~F.forall(F.transform("frames", lambda f, i: f["frame_id"] == i), lambda ok: ok),
-        "path": ~F.forall("frames", lambda f: f["path"].rlike(r"^rgb/\d{4}\.png$")),
-        "rigid": ~F.forall("frames", rigid),
+        **{k: ~F.col(k).eqNullSafe(F.lit(v)) | F.lit(k in integers and k not in whole) for k, v in PROTOCOL.items()},
+        "trajectory": ~F.coalesce(F.col("trajectory").isin(*TRAJECTORIES), F.lit(False)),
+        "center_idx": ~F.col("center_idx").eqNullSafe(centre) | F.lit("center_idx" not in whole),
+        "intrinsics": ~focal,
+        "principal_point": ~F.coalesce(F.col("cx").between(0, SIDE) & F.col("cy").between(0, SIDE), F.lit(False)),
+        "frame_count": ~F.coalesce(F.size("frames") == FRAMES, F.lit(False)),
+        "frame_order": ~F.forall(F.transform("frames", lambda f, i: f["frame_id"].eqNullSafe(i)), lambda ok: ok),
+        "path": ~F.forall(F.transform("frames", lambda f, i: f["file_path"].eqNullSafe(F.format_string("../rgb/%04d.png", i))), lambda ok: ok),
+        "rigid": ~F.forall("frames", lambda f: F.coalesce(rigid(f), F.lit(False))),
     }
     return payloads.select("id", F.array_join(F.array_compact(F.array(*(F.when(c, F.lit(k)) for k, c in rules.items()))), ",").alias("codes"))
 
 
 def build_payload(frames: DataFrame) -> DataFrame:
-    """frames(seq_no, frame_id, path, m) -> one nested document per sequence, in frame order."""
-    return frames.groupBy("seq_no").agg(F.sort_array(F.collect_list(F.struct("frame_id", "path", "m"))).alias("frames"))
+    """frames(seq_no, frame_id, file_path, m) -> one nested document per sequence, in frame order."""
+    return frames.groupBy("seq_no").agg(F.sort_array(F.collect_list(F.struct("frame_id", "file_path", "m"))).alias("frames"))
 
 
 def rigid_c2w(matrices: DataFrame, tolerance: float = 1e-4) -> DataFrame:
-    """matrices(id, m: 16 numbers) -> status and the rigid camera-to-world: uniform scale stripped, second and third columns
-    flipped, translation kept. Reflections, singular, sheared or non-affine matrices have a status and no matrix."""
+    """matrices(id, m: 16 numbers) -> status and the rigid camera-to-world: the polar factor of the linear part (the rotation
+    nearest to it) with second and third columns flipped, and the translation as it is. Singular values must agree with their
+    mean. Non-affine, reflecting, singular, sheared or unevenly scaled matrices have a status and no matrix."""
 
     def run(batches):
         for b in batches:
             m = np.array(b["m"].to_pylist(), float).reshape(-1, 4, 4)
             finite = np.isfinite(m).all((1, 2))
             safe = np.where(finite[:, None, None], m, np.eye(4))
-            s = np.linalg.svd(safe[:, :3, :3], compute_uv=False)
-            affine = (np.abs(safe[:, 3] - [0, 0, 0, 1]) <= 1e-6).all(1)
-            det = np.linalg.det(safe[:, :3, :3])
-            uniform = s[:, 0] - s[:, 2] <= tolerance * s[:, 0]
-            status = np.select([~finite, ~affine, s[:, 2] < 1e-9, det < 0, ~uniform], ["not_finite", "not_affine", "singular", "reflection", "not_uniform"], "ok")
-            out = safe.copy()
-            out[:, :3, :3] /= np.maximum(s[:, :1, None], 1e-12)
-            out[:, :3, 1:3] *= -1
+            left, s, right = np.linalg.svd(safe[:, :3, :3])
+            affine = (np.abs(safe[:, 3] - [0, 0, 0, 1]) <= 1e-7).all(1)
+            det, scale = np.linalg.det(safe[:, :3, :3]), s.mean(1)
+            uniform = (scale > 1e-12) & (np.abs(s - scale[:, None]) <= 1e-12 + tolerance * scale[:, None]).all(1)
+            status = np.select([~finite, ~affine, det < 0, det == 0, ~uniform], ["not_finite", "not_affine", "reflection", "singular", "not_uniform"], "ok")
+            out = np.tile(np.eye(4), (len(m), 1, 1))
+            out[:, :3, :3] = left @ right * [1.0, -1.0, -1.0]
+            out[:, :3, 3] = safe[:, :3, 3]
             rows = [v if k == "ok" else None for k, v in zip(status.tolist(), out.reshape(-1, 16).tolist(), strict=True)]
             yield pa.record_batch([b["id"], pa.array(status.tolist(), pa.string()), pa.array(rows, pa.list_(pa.float64()))], names=["id", "status", "c2w"])
 
     return matrices.select("id", "m").mapInArrow(run, "id long, status string, c2w array<double>")
 
 
+#: Fixed value: the side of the images of the pose protocol.
+SIDE = 512
+
+
 def intrinsics_from_projection(rows: DataFrame) -> DataFrame:
-    """p00, p11, p02, p12, p32, p01, width, height -> fx, fy, cx, cy and status; lens shift moves the principal point."""
-    fx, fy = F.col("p00") * F.col("width") / 2, F.col("p11") * F.col("height") / 2
-    cx, cy = (1 - F.col("p02")) * F.col("width") / 2, (1 + F.col("p12")) * F.col("height") / 2
-    status = F.when(F.col("p32") != -1, "orthographic").when(F.abs("p01") > 1e-6, "skew").when(~(cx.between(0, F.col("width")) & cy.between(0, F.col("height"))), "principal_point").when((fx <= 0) | (fy <= 0), "focal").otherwise("ok")
+    """rows(m: the 16 numbers of a projection, width, height) with fx, fy, cx, cy and status; lens shift moves the principal
+    point. Only a perspective of square images of the protocol's side, without skew or off-axis terms, is ok."""
+    p = lambda i, j: F.col("m")[4 * i + j]
+    near = lambda c, v=0.0: F.abs(c - v) <= 1e-7
+    fx, fy = p(0, 0) * F.col("width") / 2, p(1, 1) * F.col("height") / 2
+    cx, cy = (1 - p(0, 2)) * F.col("width") / 2, (1 + p(1, 2)) * F.col("height") / 2
+    whole = (F.size("m") == 16) & F.forall("m", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    rules = {
+        "size": (F.col("width") != SIDE) | (F.col("height") != SIDE),
+        "not_finite": ~whole,
+        "orthographic": ~(near(p(3, 0)) & near(p(3, 1)) & near(p(3, 2), -1.0) & near(p(3, 3))),
+        "skew": ~(near(p(0, 1)) & near(p(1, 0)) & near(p(0, 3)) & near(p(1, 3))),
+        "focal": (fx <= 0) | (fy <= 0),
+        "principal_point": ~(cx.between(0, F.col("width")) & cy.between(0, F.col("height"))),
+    }
+    status = F.coalesce(*(F.when(c, F.lit(k)) for k, c in rules.items()), F.lit("ok"))
     return rows.withColumns({"status": status, "fx": fx, "fy": fy, "cx": cx, "cy": cy})
 
 
@@ -269,12 +357,14 @@ def intrinsics_constant(rows: DataFrame, atol: float = 1e-5, rtol: float = 1e-6)
     return first.select("seq_no", F.greatest(*off.values()).alias("largest"), (ok[0] & ok[1] & ok[2] & ok[3]).alias("constant"))
 
 
-def frame_range_rule(keys: DataFrame) -> DataFrame:
-    """keys(seq_no, frame, x, y, z): starts at 0, ends at 24, or at 25 where that frame repeats 24."""
-    p = F.struct("x", "y", "z")
-    ends = keys.groupBy("seq_no").agg(F.min("frame").alias("first"), F.max("frame").alias("last"), F.max(F.when(F.col("frame") == 24, p)).alias("p24"), F.max(F.when(F.col("frame") == 25, p)).alias("p25"))
-    ok = (F.abs("first") < 1e-6) & ((F.col("last") == 24) | ((F.col("last") == 25) & F.col("p25").eqNullSafe(F.col("p24"))))
-    return ends.select("seq_no", "first", "last", ok.alias("ok"))
+def frame_range_rule(keys: DataFrame, tolerance: float = 1e-3) -> DataFrame:
+    """keys(seq_no, frame, pose array<double>), frames with fractions: an animation starts at 0 and ends in 24 to 25; one that
+    ends beyond 24 must hold its pose at frame 25. Poses are those at the whole frames, whatever keys lie between."""
+    at = lambda k: F.max(F.when(F.col("frame") == k, F.col("pose")))
+    ends = keys.groupBy("seq_no").agg(F.min("frame").alias("first"), F.max("frame").alias("last"), at(24).alias("p24"), at(25).alias("p25"))
+    held = F.coalesce(F.forall(F.zip_with("p24", "p25", lambda x, y: F.abs(x - y) <= 1e-5), lambda ok: ok), F.lit(False))
+    inside = (F.abs("first") <= tolerance) & F.col("last").between(24 - tolerance, 25 + tolerance)
+    return ends.select("seq_no", "first", "last", (inside & ((F.col("last") <= 24 + tolerance) | held)).alias("ok"))
 
 
 def to_opencv(rows: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from framewise.fixtures import oracle, table
 from framewise.operators import plan as P
 from framewise.sources import capture as A
+from framewise.sources.listing import walk
+from framewise.sources.png import SIGNATURE
 from framewise.sources.store import new_folder
 
 QUERIES: dict = {}
@@ -64,33 +66,32 @@ def _(spark, d):
 QUERIES["a3_read_camera_json_all"], ORACLES["a3_read_camera_json_all"] = QUERIES["a3_read_camera_json"], ORACLES["a3_read_camera_json"]
 
 
-def _blobs(spark, d, name, content: bytes):
-    """Write one small file per row of a task's share of sequences, in the tasks."""
+def _blobs(spark, d, name, rel: str, content) -> str:
+    """Write a file for every supplier, in the tasks: its place is the SQL expression rel over s_suppkey, its bytes content(k)."""
     folder = new_folder(spark, name)
 
     def run(batches):
         for b in batches:
-            for rel in b["rel"].to_pylist():
-                where, path = fs.FileSystem.from_uri(f"{folder}/{rel}")
-                where.create_dir(path.rpartition("/")[0], recursive=True)
-                with where.open_output_stream(path) as f:
-                    f.write(content)
-            yield pa.record_batch([pa.array([f"{folder}/{r}" for r in b["rel"].to_pylist()], pa.string())], names=["path"])
+            for rel, k in zip(b["rel"].to_pylist(), b["k"].to_pylist(), strict=True):
+                where, path = fs.FileSystem.from_uri(folder)
+                where.create_dir(f"{path}/{rel}".rpartition("/")[0], recursive=True)
+                with where.open_output_stream(f"{path}/{rel}", compression=None) as f:
+                    f.write(content(k))
+            yield pa.record_batch([b["k"]], names=["k"])
 
-    rows = table(spark, d, "supplier").select(F.format_string("rot_arc/m_Target_%06d_%s/depth/%04d.exr", "s_suppkey", F.expr("if(s_suppkey % 2 = 0, 'occ', 'GT')"), F.col("s_suppkey") % 25).alias("rel"))
-    paths = rows.mapInArrow(run, "path string")
-    listed = new_folder(spark, f"{name}-paths")
-    paths.write.parquet(listed)
-    return folder, spark.read.schema("path string").parquet(listed)
+    rows = table(spark, d, "supplier").selectExpr("cast(s_suppkey as bigint) as k", f"{rel} as rel")
+    rows.mapInArrow(run, "k long").write.parquet(new_folder(spark, f"{name}-written"))
+    return folder
 
 
-_EXR = struct.pack("<II", 20000630, 2) + b"channels\0chlist\0" + struct.pack("<i", 37) + b"R\0" + struct.pack("<iiii", 1, 0, 1, 1) + b"Z\0" + struct.pack("<iiii", 2, 0, 1, 1) + b"\0" + b"\0"
+_TREE = "concat(if(s_suppkey % 3 = 0, 'rot_arc', 'deep/er/fix_line'), '/m_Target_', lpad(cast(s_suppkey as string), 6, '0'), if(s_suppkey % 2 = 0, '_occ', '_GT'), '/depth/', if(s_suppkey % 7 = 0, concat('view.', s_suppkey), lpad(cast(s_suppkey % 25 as string), 4, '0')), if(s_suppkey % 5 = 0, '.EXR', if(s_suppkey % 11 = 0, '.txt', '.exr')))"
 
 
-@query("a4_scan_output_tree", "select 'rot_arc' as trajectory, printf('m_Target_%06d', s_suppkey) as prefix, case when s_suppkey % 2=0 then 'occ' else 'GT' end as suffix, 'depth' as pass_name, cast(s_suppkey % 25 as int) as frame, 'exr' as ext from {supplier}")
+@query("a4_scan_output_tree", "select case when s_suppkey % 3=0 then 'rot_arc' else 'fix_line' end as trajectory, printf('m_Target_%06d', s_suppkey) as prefix, case when s_suppkey % 2=0 then 'occ' else 'GT' end as suffix, 'depth' as pass_name, case when s_suppkey % 7<>0 then cast(s_suppkey % 25 as int) end as frame, case when s_suppkey % 7=0 then 'view.'||s_suppkey else printf('%04d', s_suppkey % 25) end as stem, 'exr' as ext, s_suppkey % 40 as size from {supplier} where s_suppkey % 5=0 or s_suppkey % 11<>0")
 def _(spark, d):
-    folder, _ = _blobs(spark, d, "tree", b"12345")
-    return A.scan_output_tree(spark, folder).select("trajectory", "prefix", "suffix", "pass_name", "frame", "ext")
+    """Files of several depths and sizes, with stems that are no numbers, extensions in capitals and files of other kinds."""
+    folder = _blobs(spark, d, "tree", _TREE, lambda k: b"x" * (k % 40))
+    return A.scan_output_tree(spark, folder).select("trajectory", "prefix", "suffix", "pass_name", "frame", "stem", "ext", "size")
 
 
 @query("a5_read_step_telemetry", "select event_id, 'step_'||user_id as step_id, value as wall_seconds, event_type<>'error' as success from {events}")
@@ -117,9 +118,22 @@ def _(spark, d):
     return A.read_gpu_samples(spark, path)
 
 
-@query("a9_exr_header_audit", "select channel, type, count(*) as files from {supplier} cross join (values ('R','half'),('Z','float')) c(channel,type) group by 1,2")
+def _exr(k: int) -> bytes:
+    """A header whose channels and length depend on k; some are cut off, some are no EXR."""
+    text = lambda *names: b"".join(n.encode() + b"\0" for n in names)
+    channels = [("R", 1), ("Z", 2)] if k % 3 else [("Y", 1), ("id", 0), ("Z", 2)]
+    listed = b"".join(text(n) + struct.pack("<iiii", kind, 0, 1, 1) for n, kind in channels) + b"\0"
+    note = text("comments", "string") + struct.pack("<i", 90_000 * (k % 4 == 1)) + b"c" * (90_000 * (k % 4 == 1))
+    data = struct.pack("<II", 20000630, 2) + note + text("channels", "chlist") + struct.pack("<i", len(listed)) + listed + b"\0" + b"pixels"
+    return b"not an image" if k % 13 == 0 else data[: len(data) - 20] if k % 7 == 0 else data
+
+
+@query("a9_exr_header_audit", """with f as (select s_suppkey as k, k % 13=0 or k % 7=0 as broken from {supplier}), c as (select * from (values (true,'Y','half'),(true,'id','uint'),(true,'Z','float'),(false,'R','half'),(false,'Z','float')) v(third,channel,type))
+ select channel, type, count(*) as files from f join c on third = (k % 3=0) where not broken group by 1,2 union all select null, null, count(*) from f where broken having count(*)>0""")
 def _(spark, d):
-    return A.exr_header_audit(_blobs(spark, d, "exr", _EXR)[1]).groupBy("channel", "type").agg(F.count("*").alias("files"))
+    """Headers of a hundred bytes and of ninety thousand; broken ones count under no channel."""
+    folder = _blobs(spark, d, "exr", "concat('d', s_suppkey % 8, '/', s_suppkey, '.exr')", _exr)
+    return A.exr_header_audit(walk(spark, folder).filter("kind = 'file'"), folder).groupBy("channel", "type").agg(F.count("*").alias("files"))
 
 
 @query("a10_write_sequence_index", "with n as (select *, printf('%s_%s_height_%03d_ang_%03d', string_split(map_path,'/')[-1], target_label, cast(trunc(height_m) as int), cast(trunc(yaw_deg) as int)) as prefix from {plan_rows}) select sequence_id, trajectory||'/'||prefix||'_occ' as occ_directory, trajectory||'/'||prefix||'_GT' as gt_directory from n")
@@ -148,27 +162,35 @@ def _(spark, d):
     return spark.read.schema("trajectory string, files long, bytes long").json(path)
 
 
-def _png(shade: int, side: int = 8) -> bytes:
-    """A plain RGB image of one shade."""
+def _png(k: int) -> bytes:
+    """An image whose size and pixels depend on k, with another row filter in every row; some are cut off."""
+    width, height = 4 + k % 5, 3 + k % 4
+    pixel = lambda x, y: ((k + 7 * x) % 256, (3 * k + 5 * y) % 256, (x * y + k) % 256)
+    rows = [[v for x in range(width) for v in pixel(x, y)] for y in range(height)]
+    out = b""
+    for y, row in enumerate(rows):
+        kind, above = (k + y) % 5, rows[y - 1] if y else [0] * len(row)
+        left, corner = [0, 0, 0, *row[:-3]], [0, 0, 0, *above[:-3]]
+        guess = []
+        for a, b, c in zip(left, above, corner, strict=True):
+            near = min((abs(b - c), 0, a), (abs(a - c), 1, b), (abs(a + b - 2 * c), 2, c))[2]
+            guess.append((0, a, b, (a + b) // 2, near)[kind])
+        out += bytes([kind]) + bytes((v - g) % 256 for v, g in zip(row, guess, strict=True))
     chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
-    rows = (b"\0" + bytes([shade, 0, 255]) * side) * side
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", side, side, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+    packed = zlib.compress(out)
+    data = SIGNATURE + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)) + chunk(b"IDAT", packed[:9]) + chunk(b"IDAT", packed[9:]) + chunk(b"IEND", b"")
+    return data[:-15] if k % 17 == 0 else data
 
 
-@query("a8_scan_rgb_frames", "select s_suppkey % 25 as shade, 8 as width, 8 as height, 'FF00' as blue_green, count(*) as images from {supplier} group by 1")
-def _(spark, d):
-    """One frame for each supplier, whose shade is the red channel; bytes come back as blue, green, red."""
-    folder = new_folder(spark, "frames")
+_TOTAL = "case when k % 17<>0 then (select sum({}) from range(4+k % 5) a(x), range(3+k % 4) b(y)) end"
 
-    def run(batches):
-        for b in batches:
-            for k in b["k"].to_pylist():
-                where, path = fs.FileSystem.from_uri(f"{folder}/{k}.png")
-                where.create_dir(path.rpartition("/")[0], recursive=True)
-                with where.open_output_stream(path) as f:
-                    f.write(_png(k % 25))
-            yield pa.record_batch([b["k"]], names=["k"])
 
-    table(spark, d, "supplier").select(F.col("s_suppkey").alias("k")).mapInArrow(run, "k long").write.parquet(new_folder(spark, "frames-list"))
-    rows = A.scan_rgb_frames(spark, folder).select("width", "height", F.hex(F.substring("bgr", 1, 2)).alias("blue_green"), F.conv(F.hex(F.substring("bgr", 3, 1)), 16, 10).cast("long").alias("shade"))
-    return rows.groupBy("shade", "width", "height", "blue_green").agg(F.count("*").alias("images"))
+@query("a8_scan_rgb_frames", f"select k, case when k % 17<>0 then cast(4+k % 5 as int) end as width, case when k % 17<>0 then cast(3+k % 4 as int) end as height, cast({_TOTAL.format('(x*y+k) % 256')} as bigint) as blue, cast({_TOTAL.format('(3*k+5*y) % 256')} as bigint) as green, cast({_TOTAL.format('(k+7*x) % 256')} as bigint) as red from (select cast(s_suppkey as bigint) as k from {{supplier}})")
+def _(spark, d):
+    """One image for each supplier; the sum of each channel stands for its pixels. Bytes come as blue, green, red."""
+    folder = _blobs(spark, d, "frames", "concat('f', s_suppkey % 6, '/', s_suppkey, if(s_suppkey % 2 = 0, '.png', '.PNG'))", _png)
+    rows = A.scan_rgb_frames(spark, folder)
+    k = F.regexp_extract("path", r"([0-9]+)\.[^.]*$", 1).cast("long").alias("k")
+    byte = lambda i: F.conv(F.substring(F.hex("bgr"), 2 * i + 1, 2), 16, 10).cast("long")
+    total = lambda first: F.when(F.col("bgr").isNotNull(), F.aggregate(F.sequence(F.lit(first), F.octet_length("bgr") - 1, F.lit(3)), F.lit(0).cast("long"), lambda s, i: s + byte(i)))
+    return rows.select(k, "width", "height", *(total(c).alias(n) for c, n in enumerate(("blue", "green", "red"))))

@@ -102,10 +102,11 @@ def _(spark, d):
     return P.canonical_names(_t(spark, d)("plan_rows"))
 
 
-@query("b10_parse_names", r"""with n as (select case when seq_no % 50 = 0 then 'x'||prefix||'_' else prefix end as prefix from {sequences}), p as (select prefix, regexp_extract(prefix, '^(.+)_Target_(\d+)_height_(\d+)_ang_(-?\d+)$', ['m','t','h','y']) as g from n)
- select prefix, nullif(g.m,'') as map_name, try_cast(g.t as int) as target_number, try_cast(g.h as int) as height, try_cast(g.y as int) as yaw, g.m = '' as bad from p""".replace("(\\d+)", "([0-9]+)").replace("(-?\\d+)", "(-?[0-9]+)"))
+@query("b10_parse_names", r"""with n as (select case when seq_no % 50 = 0 then 'x'||prefix||'_' when seq_no % 31 = 0 then replace(prefix, '_Target_', '_Target_1000') when seq_no % 37 = 0 then prefix||'00000000000000000000' else prefix end as prefix from {sequences}), p as (select prefix, regexp_extract(prefix, '^(.+)_Target_([0-9]+)_height_([0-9]+)_ang_([0-9]+)$', ['m','t','h','y']) as g from n)
+ select prefix, nullif(g.m,'') as map_name, try_cast(g.t as bigint) as target_number, try_cast(g.h as bigint) as height, try_cast(g.y as bigint) as yaw, g.m = '' or try_cast(g.y as bigint) is null as bad from p""")
 def _(spark, d):
-    names = _t(spark, d)("sequences").select(F.expr("case when seq_no % 50 = 0 then concat('x', prefix, '_') else prefix end").alias("prefix"))
+    """Names that don't fit, targets of six and seven digits, and yaws that no long holds are among them."""
+    names = _t(spark, d)("sequences").select(F.expr("case when seq_no % 50 = 0 then concat('x', prefix, '_') when seq_no % 31 = 0 then replace(prefix, '_Target_', '_Target_1000') when seq_no % 37 = 0 then concat(prefix, '00000000000000000000') else prefix end").alias("prefix"))
     return P.parse_names(names)
 
 
@@ -257,9 +258,21 @@ def _(spark, d):
 QUERIES["c7_classify_jobs_all"], ORACLES["c7_classify_jobs_all"] = QUERIES["c7_classify_jobs"], ORACLES["c7_classify_jobs"]
 
 
-@query("c8_output_inventory", "with p as (select trajectory, prefix, suffix, pass_name, count(*) as files, sum(size) as bytes, count(distinct frame) as frames from {files} group by 1,2,3,4) select trajectory, cast(sum(files) as bigint) as files, cast(sum(bytes) as bigint) as bytes, cast(sum(frames) as bigint) as frames, count(*) as directories from p group by 1")
+_JOB = "concat(map_path, '|', target_label, '|', cast({} as varchar(9)))"
+
+
+@query("c8_output_inventory", f"""with j as (select trajectory, prefix, {_JOB.format("(row_number() over (partition by map_path, target_label order by seq_no) - 1) % 3")} as job_id from {{sequences}}),
+ f as (select trajectory, prefix, suffix, size, case when drop_key % 97=5 then 'view.'||frame when drop_key % 89=7 then cast(frame as varchar) else printf('%04d', frame) end as stem, case when drop_key % 83=11 then 'txt' else 'img' end as kind from {{files}}),
+ p as (select trajectory, prefix, suffix, count(*) as files, sum(size) as bytes, count(distinct stem) as views from f where kind='img' group by 1,2,3)
+ select job_id, cast(sum(files) as bigint) as image_files, cast(sum(bytes) as bigint) as bytes, cast(sum(views) as bigint) as frame_views, string_agg(prefix||'_'||suffix, ',' order by prefix||'_'||suffix) as directories from p join j using (trajectory, prefix) group by 1""")
 def _(spark, d):
-    return C.output_inventory(_t(spark, d)("files"))
+    """Some stems are no numbers, some are numbers of fewer digits, some extensions are in capitals, some files are no images."""
+    t = _t(spark, d)
+    jobs = t("sequences").select("trajectory", "prefix", F.expr(_JOB.format("(row_number() over (partition by map_path, target_label order by seq_no) - 1) % 3").replace("varchar(9)", "string")).alias("job_id"))
+    stem = "case when drop_key % 97 = 5 then concat('view.', frame) when drop_key % 89 = 7 then string(frame) else format_string('%04d', frame) end"
+    path = f"concat(trajectory, '/', prefix, '_', suffix, '/', pass_name, '/', {stem}, if(drop_key % 83 = 11, '.txt', if(drop_key % 3 = 0, '.PNG', '.exr')))"
+    got = C.output_inventory(t("files").withColumn("rel_path", F.expr(path)), jobs)
+    return got.withColumn("directories", F.array_join("directories", ","))
 
 
 @query("c9_snapshot_diff", """with c as (select rel_path, size from {files} where drop_key % 10 = 3 or drop_key % 10 = 7) select case when rel_path like '%.png' then 'rgb' when rel_path like '%.exr' then 'depth' else 'other' end as kind, count(*) as files, cast(sum(size) as bigint) as bytes from c group by 1""")
@@ -313,11 +326,13 @@ def _(spark, d):
     return C.run_summary(t("customer").select(F.concat(F.lit("job_"), F.col("c_custkey").cast("string")).alias("job_id")), attempts)
 
 
-@query("c16_credited_throughput", """with a as (select job_id, attempt, (attempt*5) % 13 as valid_tasks, 13 as tasks, 1000 + event_id % 500 as images from {attempts}), b as (select *, greatest(valid_tasks - coalesce(max(valid_tasks) over (partition by job_id order by attempt rows between unbounded preceding and 1 preceding), 0), 0) as fresh from a)
- select job_id, cast(sum(images*fresh//tasks) as bigint) as credited from b group by 1""")
+_C16 = "job_id, attempt, returncode, attempt*7 % 13 + 1 as launched, case when event_id % 9=0 then null else attempt*5 % 17 end as remaining, 13 as tasks, 1000 + event_id % 500 as images"
+
+
+@query("c16_credited_throughput", f"""with a as (select {_C16} from {{attempts}}), b as (select *, greatest(case when returncode=0 then launched when remaining is null then 0 else launched - remaining end, 0) as fresh from a)
+ select job_id, cast(sum(fresh) as bigint) as rendered_tasks, cast(arg_max(images, attempt)*sum(fresh)//13 as bigint) as credited from b group by 1""")
 def _(spark, d):
-    a = _t(spark, d)("attempts").selectExpr("job_id", "attempt", "(attempt * 5) % 13 as valid_tasks", "13 as tasks", "1000 + event_id % 500 as images")
-    return C.credited_throughput(a)
+    return C.credited_throughput(_t(spark, d)("attempts").selectExpr("job_id", "attempt", "returncode", "attempt * 7 % 13 + 1 as launched", "if(event_id % 9 = 0, null, attempt * 5 % 17) as remaining", "13 as tasks", "1000 + event_id % 500 as images"))
 
 
 @query("c17_storage_forecast", "select pass_name, count(*) as measured, case when pass_name='rgb' then 960000 else 480000 end as planned, round(avg(size),4) as mean_bytes, round(avg(size)*(case when pass_name='rgb' then 960000 else 480000 end),2) as bytes, round(avg(size)*(case when pass_name='rgb' then 960000 else 480000 end)*1.2,2) as with_reserve from {files} group by 1")

@@ -44,10 +44,10 @@ def _(spark, d):
 
 
 def _angles(spark, d):
-    return _frames(spark, d).withColumns({"roll": (F.col("frame") * 7 % 90 - 45).cast("double"), "pitch": (F.col("seq_no") % 160 - 80).cast("double"), "yaw": (F.col("seq_no") * 13 % 360 - 180).cast("double")})
+    return _frames(spark, d).withColumns({"roll": (F.col("frame") * 7 % 90 - 45).cast("double"), "pitch": (F.col("seq_no") % 181 - 90).cast("double"), "yaw": (F.col("seq_no") * 13 % 360 - 180).cast("double")})
 
 
-_ANGLES = "a as (select seq_no, frame, (frame*7 % 90 - 45)::double as roll, (seq_no % 160 - 80)::double as pitch, (seq_no*13 % 360 - 180)::double as yaw from {frames}), t as (select *, sin(radians(roll)) as sr, cos(radians(roll)) as cr, sin(radians(pitch)) as sp, cos(radians(pitch)) as cp, sin(radians(yaw)) as sy, cos(radians(yaw)) as cy from a)"
+_ANGLES = "a as (select seq_no, frame, (frame*7 % 90 - 45)::double as roll, (seq_no % 181 - 90)::double as pitch, (seq_no*13 % 360 - 180)::double as yaw from {frames}), t as (select *, sin(radians(roll)) as sr, cos(radians(roll)) as cr, sin(radians(pitch)) as sp, cos(radians(pitch)) as cp, sin(radians(yaw)) as sy, cos(radians(yaw)) as cy from a)"
 _M = {"r00": "cp*cy", "r01": "sr*sp*cy-cr*sy", "r02": "-(cr*sp*cy+sr*sy)", "r10": "cp*sy", "r11": "sr*sp*sy+cr*cy", "r12": "cy*sr-cr*sp*sy", "r20": "sp", "r21": "-sr*cp", "r22": "cr*cp"}
 
 
@@ -56,11 +56,19 @@ def _(spark, d):
     return _out(D.euler_to_matrix(_angles(spark, d)), *_M, digits=6)
 
 
-# Roll stays inside +-45 and yaw inside +-180, where the chosen triple can be the other one; the matrix is what must agree.
-@query("d3_matrix_to_euler", f"with {_ANGLES} select seq_no, frame, {', '.join(_r(e, n, 6) for n, e in _M.items())} from t")
+_BASE = "(seq_no*29+frame*31) % 360 - 179.75"
+_WRAP = lambda e: f"(({e})+180-360*floor((({e})+180)/360)-180)"
+
+
+@query("d3_matrix_to_euler", f"""with {_ANGLES}, m as (select seq_no, frame, {_BASE}::double as b, {', '.join(f'{e} as {n}' for n, e in _M.items())} from t),
+ e as (select seq_no, frame, b, sqrt(r00*r00+r10*r10) as flat, degrees(atan2(-r21,r22)) as x, degrees(atan2(r20,sqrt(r00*r00+r10*r10))) as p, degrees(atan2(r10,r00)) as w from m),
+ c as (select seq_no, frame, b, flat, {_WRAP('x')} as x1, p as p1, b+{_WRAP('w-b')} as w1, {_WRAP('x+180')} as x2, -180-p as p2, b+{_WRAP('w+180-b')} as w2 from e),
+ k as (select *, flat<1e-10 as down, x1*x1+(w1-b)*(w1-b)+0.25*(p1+90)*(p1+90) <= x2*x2+(w2-b)*(w2-b)+0.25*(p2+90)*(p2+90) as one from c)
+ select seq_no, frame, {_r('case when down then 0 when one then x1 else x2 end', 'roll', 5)}, {_r('case when down then -90 when one then p1 else p2 end', 'pitch', 5)}, {_r('case when down then b when one then w1 else w2 end', 'yaw', 5)} from k""")
 def _(spark, d):
-    back = D.matrix_to_euler(D.euler_to_matrix(_angles(spark, d))).select(*KEYS, "roll", "pitch", "yaw")
-    return _out(D.euler_to_matrix(back), *_M, digits=6)
+    """Angles around a base yaw; pitches of 90 and -90 degrees are among them."""
+    m = D.euler_to_matrix(_angles(spark, d)).withColumn("base", F.expr(f"cast({_BASE} as double)"))
+    return _out(D.matrix_to_euler(m, "base"), "roll", "pitch", "yaw", digits=5)
 
 
 @query("d4_traj_line", f"with {_F}, s as (select *, {_STEP} as s from f) select seq_no, frame, {_xyz('tx+s*cos(radians(yaw))', 'ty+s*sin(radians(yaw))', 'tz+h')}, -90.0::double as pitch from s")
@@ -68,7 +76,7 @@ def _(spark, d):
     return _out(D.traj_line(_frames(spark, d), 3500.0), "x", "y", "z", "pitch")
 
 
-@query("d5_traj_grid", f"with {_F}, s as (select *, ((case when (frame//5) % 2=0 then frame % 5 else 4 - frame % 5 end)-2)*875.0::double as u, ((frame//5)-2)*875.0::double as v from f) select seq_no, frame, {_xyz('tx+u*cos(radians(yaw))-v*sin(radians(yaw))', 'ty+u*sin(radians(yaw))+v*cos(radians(yaw))', 'tz+h')}, -90.0::double as pitch from s")
+@query("d5_traj_grid", f"with {_F}, s as (select *, ((case when (frame//5) % 2=0 then frame % 5 else 4 - frame % 5 end)-2)*875.0::double as u, (2-(frame//5))*875.0::double as v from f) select seq_no, frame, {_xyz('tx+u*cos(radians(yaw))-v*sin(radians(yaw))', 'ty+u*sin(radians(yaw))+v*cos(radians(yaw))', 'tz+h')}, -90.0::double as pitch from s")
 def _(spark, d):
     return _out(D.traj_grid(_frames(spark, d), 3500.0), "x", "y", "z", "pitch")
 
@@ -78,9 +86,12 @@ def _(spark, d):
     return _out(D.traj_arc(_frames(spark, d), 90.0), "x", "y", "z", "pitch")
 
 
-@query("d7_traj_tracking_line", f"with {_F}, s as (select *, {_STEP} as s from f) select seq_no, frame, {_xyz('tx+s*cos(radians(yaw))', 'ty+s*sin(radians(yaw))', 'tz+h')}, {_r('-90-degrees(atan2(s,h))', 'pitch')} from s")
+_TRACK = "h*tan(radians(45))*sin(radians((frame-12)*3.75))/sin(radians(45))"
+
+
+@query("d7_traj_tracking_line", f"with {_F}, s as (select *, {_TRACK} as s from f) select seq_no, frame, {_xyz('tx+s*cos(radians(yaw))', 'ty+s*sin(radians(yaw))', 'tz+h')}, {_r('-90-degrees(atan2(s,h))', 'pitch')} from s")
 def _(spark, d):
-    return _out(D.traj_tracking_line(_frames(spark, d), 3500.0), "x", "y", "z", "pitch")
+    return _out(D.traj_tracking_line(_frames(spark, d), 90.0), "x", "y", "z", "pitch")
 
 
 _DENSE = """dn as (select i, i/4096.0::double as s from range(0,4097) u(i)), dp as (select i, s, sin(radians((1-s)*45.0))*cos(radians(s*540.0)) as x, sin(radians((1-s)*45.0))*sin(radians(s*540.0)) as y, cos(radians((1-s)*45.0)) as z from dn),
@@ -99,9 +110,17 @@ def _(spark, d):
     return _out(rows, "s", digits=6)
 
 
-@query("d8_traj_spiral", f"with {_F}, {_DENSE}, j as (select f.*, (1-s)*45.0 as t, s*540.0+yaw as u from f join sm using (frame) where trajectory='rot_spiral') select seq_no, frame, {', '.join((_r('tx+h*sin(radians(t))*cos(radians(u))', 'x', 3), _r('ty+h*sin(radians(t))*sin(radians(u))', 'y', 3), _r('tz+h*cos(radians(t))', 'z', 3)))} from j")
+_SPIRAL = f"""with {_F}, {_DENSE}, j as (select f.*, (1-s)*45.0 as t, s*540.0+yaw as u from f join sm using (frame) where trajectory='rot_spiral'),
+ q as (select *, case when frame=24 then tx else tx+h*sin(radians(t))*cos(radians(u)) end as x, case when frame=24 then ty else ty+h*sin(radians(t))*sin(radians(u)) end as y, case when frame=24 then tz+h else tz+h*cos(radians(t)) end as z from j),
+ n as (select *, (tx-x)/h as ux, (ty-y)/h as uy, (tz-z)/h as uz, sin(radians(yaw)) as sy, cos(radians(yaw)) as cy from q),
+ e as (select *, degrees(atan2(ux*sy-uy*cy, ux*cy+uy*sy)) as a, degrees(atan2(uz, sqrt(ux*ux+uy*uy))) as p, degrees(atan2(uy, ux)) as w from n),
+ c as (select *, {_WRAP('a')} as x1, {_WRAP('w-yaw')} as w1, {_WRAP('a+180')} as x2, {_WRAP('w+180-yaw')} as w2 from e)
+ select seq_no, frame, {', '.join((_r('x', 'x', 3), _r('y', 'y', 3), _r('z', 'z', 3)))}, {_r('case when frame=24 then 0 when x1*x1+w1*w1<=x2*x2+w2*w2 then x1 else x2 end', 'roll', 3)}, {_r('case when frame=24 then -90 when x1*x1+w1*w1<=x2*x2+w2*w2 then p else -180-p end', 'pitch', 3)}, {_r('case when frame=24 then yaw when x1*x1+w1*w1<=x2*x2+w2*w2 then yaw+w1 else yaw+w2 end', 'yaw', 3)} from c"""
+
+
+@query("d8_traj_spiral", _SPIRAL)
 def _(spark, d):
-    return _out(D.traj_spiral(_frames(spark, d).filter("trajectory = 'rot_spiral'"), _samples(spark), 90.0, 1.5), "x", "y", "z", digits=3)
+    return _out(D.traj_spiral(_frames(spark, d).filter("trajectory = 'rot_spiral'"), _samples(spark), 90.0, 1.5), "x", "y", "z", "roll", "pitch", "yaw", digits=3)
 
 
 def _shell(spark, d):
@@ -109,19 +128,42 @@ def _shell(spark, d):
     seeds = P.trajectory_seed(plan).withColumn("seed", F.col("seed").cast("string"))
     rows = plan.filter("trajectory = 'rand_shell'").select("sequence_id", "seq_no", "map_path", "target_label", (F.col("height_m") * 100).alias("h"), F.col("yaw_deg").alias("yaw"))
     targets = table(spark, d, "targets").select("map_path", "target_label", F.col("x").alias("tx"), F.col("y").alias("ty"), F.col("z").alias("tz"))
-    return D.traj_random_shell(rows.join(seeds, "sequence_id").join(targets, ["map_path", "target_label"]), 5000.0, 12000.0, 120.0).join(rows.select("seq_no", "h"), "seq_no")
+    return D.traj_random_shell(rows.join(seeds, "sequence_id").join(targets, ["map_path", "target_label"]), 5000.0, 12000.0, 120.0)
 
 
-@query("d10_traj_random_shell", "select seq_no, cast(25 as bigint) as frames, true as inside, true as ends_at_reference from {plan_rows} where trajectory='rand_shell'")
+@query("d10_traj_random_shell", "select seq_no, cast(25 as bigint) as frames, true as inside, true as even, true as ends_at_reference, true as looks_at_target from {plan_rows} where trajectory='rand_shell'")
 def _(spark, d):
-    """Whether all 25 frames stay inside the shell and cap, and the last one is the reference view."""
-    return _shell(spark, d).groupBy("seq_no").agg(F.count("*").alias("frames"), F.bool_and(F.expr("radius between 4999.999 and 12000.001 and tilt <= 60.001")).alias("inside"), F.bool_and(F.expr("frame < 24 or (abs(radius - h) < 0.001 and tilt < 0.001)")).alias("ends_at_reference"))
+    """Whether all 25 frames stay inside the shell and cap at steps of much the same chord, the last one is the reference pose,
+    and every camera's forward axis points at the target. Positions are held against Python's generator in the tests."""
+    s = D.euler_to_matrix(_shell(spark, d)).withColumn("n", F.expr("sqrt(pow(tx - x, 2) + pow(ty - y, 2) + pow(tz - z, 2))"))
+    gap = F.greatest(*(F.abs(F.col(f"r{k}0") - (F.col(f"t{c}") - F.col(c)) / F.col("n")) for k, c in enumerate("xyz")))
+    w = Window.partitionBy("seq_no").orderBy("frame")
+    s = s.withColumn("chord", F.sqrt(sum((F.pow(F.col(c) - F.lag(c).over(w), 2) for c in "xyz"), F.lit(0.0))))
+    return s.groupBy("seq_no").agg(
+        F.count("*").alias("frames"), F.bool_and(F.expr("radius between 4999.999 and 12000.001 and tilt <= 60.001")).alias("inside"),
+        (F.max("chord") < 2 * F.avg("chord")).alias("even"),
+        F.bool_and(F.expr("frame < 24 or (x = tx and y = ty and z = tz + h and roll = 0 and pitch = -90)")).alias("ends_at_reference"),
+        F.bool_and(gap < 1e-6).alias("looks_at_target"),
+    )
+
 
+def _basis_sql(i: int, k: int, knots: list[float]) -> str:
+    """Basis function i of degree k by its recursive definition."""
+    if k == 0:
+        return f"(case when t>={knots[i]} and (t<{knots[i + 1]} or (t=1 and {knots[i + 1]}=1)) and {knots[i]}<{knots[i + 1]} then 1.0::double else 0.0 end)"
+    one = f"(t-{knots[i]})/{knots[i + k] - knots[i]}*{_basis_sql(i, k - 1, knots)}" if knots[i + k] > knots[i] else "0.0::double"
+    two = f"({knots[i + k + 1]}-t)/{knots[i + k + 1] - knots[i + 1]}*{_basis_sql(i + 1, k - 1, knots)}" if knots[i + k + 1] > knots[i + 1] else "0.0::double"
+    return f"({one}+{two})"
 
-@query("d11_bspline_eval", "with p as (select event_id as id, (event_id % 1001)/1000.0::double as t from {events}) select id, 8 as controls, 1.0::double as total, round(pow(greatest(1-5*t, 0), 3), 9)+0.0 as first, round(pow(greatest(5*t-4, 0), 3), 9)+0.0 as last from p")
+
+_BASIS = [_r(_basis_sql(i, 3, [0, 0, 0, 0, 0.2, 0.4, 0.6, 0.8, 1, 1, 1, 1]), f"n{i}", 9) for i in range(8)]
+
+
+@query("d11_bspline_eval", f"with p as (select event_id as id, value-floor(value) as t from {{events}}) select id, 1.0::double as total, {', '.join(_BASIS)} from p")
 def _(spark, d):
-    points = table(spark, d, "events").selectExpr("event_id as id", "(event_id % 1001) / 1000.0D as t")
-    return D.bspline_eval(points).select("id", F.size("basis").alias("controls"), F.round("total", 9).alias("total"), (F.round(F.get("basis", 0), 9) + 0.0).alias("first"), (F.round(F.get("basis", 7), 9) + 0.0).alias("last"))
+    """All eight basis values at the fractions of the events' values."""
+    points = table(spark, d, "events").selectExpr("event_id as id", "double(value) - floor(value) as t")
+    return D.bspline_eval(points).select("id", F.round("total", 9).alias("total"), *((F.round(F.get("basis", k), 9) + 0.0).alias(f"n{k}") for k in range(8)))
 
 
 _LOOK = f"""with {_F}, p as (select *, tx+s*cos(radians(yaw)) as x, ty+s*sin(radians(yaw)) as y, case when seq_no % 101=0 then tz-1 else tz+h end as z from (select *, {_STEP} as s from f)),
@@ -138,13 +180,26 @@ def _(spark, d):
 def _payloads(spark, d):
     c = "if(frame = 3 and seq_no % 17 = 0, 2.0D, 1.0D)"
     m = f"array({c}, 0D, 0D, tx, 0D, 1D, 0D, ty, 0D, 0D, 1D, tz, 0D, 0D, 0D, 1D)"
-    rows = _frames(spark, d).filter("not (seq_no % 19 = 0 and frame = 24)").selectExpr("seq_no", "frame as frame_id", "concat(if(seq_no % 23 = 0, 'x', 'rgb/'), lpad(cast(frame as string), 4, '0'), '.png') as path", f"{m} as m")
+    path = "concat('../rgb/', lpad(cast(if(seq_no % 23 = 0 and frame = 3, 7, frame) as string), 4, '0'), '.png') as file_path"
+    rows = _frames(spark, d).filter("not (seq_no % 19 = 0 and frame = 24)").selectExpr("seq_no", "frame as frame_id", path, f"{m} as m")
     return D.build_payload(rows)
 
 
-@query("d14_pose_rules", "with s as (select distinct seq_no from {frames}) select seq_no as id, concat_ws(',', case when seq_no % 29=0 then 'version' end, case when seq_no % 31=0 then 'centre' end, case when seq_no % 37=0 then 'intrinsics' end, case when seq_no % 19=0 then 'frame_count' end, case when seq_no % 23=0 then 'path' end, case when seq_no % 17=0 then 'rigid' end) as codes from s")
+_CODES = {
+    "schema_version": "seq_no % 29=0", "depth_units": "seq_no % 41=0", "num_views": "seq_no % 59=0", "pixel_center_offset": "seq_no % 61=0", "trajectory": "seq_no % 53=0",
+    "center_idx": "(seq_no % 31=0) or (seq_no % 53=0 and t in ('rot_spiral','rand_shell'))", "intrinsics": "seq_no % 37=0", "principal_point": "seq_no % 67=0", "frame_count": "seq_no % 19=0", "path": "seq_no % 23=0", "rigid": "seq_no % 17=0",
+}
+
+
+@query("d14_pose_rules", "with s as (select seq_no, any_value(trajectory) as t from {frames} group by 1) select seq_no as id, concat_ws(',', " + ", ".join(f"case when {c} then '{k}' end" for k, c in _CODES.items()) + ") as codes from s")
 def _(spark, d):
-    docs = _payloads(spark, d).selectExpr("seq_no as id", "if(seq_no % 29 = 0, '2', '1') as version", "if(seq_no % 31 = 0, 13, 12) as centre", "if(seq_no % 37 = 0, double('nan'), 500D) as fx", "500D as fy", "256D as cx", "256D as cy", "frames")
+    """Documents with planted faults: other constants, the centre of another trajectory, frame 3 with the image of frame 7."""
+    kind = _frames(spark, d).groupBy("seq_no").agg(F.max("trajectory").alias("t"))
+    docs = _payloads(spark, d).join(kind, "seq_no").selectExpr(
+        "seq_no as id", "if(seq_no % 29 = 0, 'camera-json-v2', 'camera-json-v1-25views') as schema_version", "'opencv_c2w' as coordinate_convention", "'m' as translation_units", "if(seq_no % 41 = 0, 'm', 'cm') as depth_units", "512 as w", "512 as h",
+        "if(seq_no % 59 = 0, 24, 25) as num_views", "true as includes_occ_center", "'sequence' as view_order", "if(seq_no % 61 = 0, 0D, 0.5D) as pixel_center_offset", "if(seq_no % 53 = 0, 'orbit', t) as trajectory",
+        "if(t in ('rot_spiral', 'rand_shell'), if(seq_no % 31 = 0, 12, 24), if(seq_no % 31 = 0, 24, 12)) as center_idx", "if(seq_no % 37 = 0, double('nan'), 500D) as fl_x", "500D as fl_y", "256D as cx", "if(seq_no % 67 = 0, 512.5D, 256D) as cy", "frames",
+    )
     return D.pose_rules(docs)
 
 
@@ -153,19 +208,28 @@ def _(spark, d):
     return _payloads(spark, d).select("seq_no", F.size("frames").cast("long").alias("frames"), F.array_join(F.transform("frames", lambda f: f["frame_id"].cast("string")), ",").alias("order_"))
 
 
-@query("d16_rigid_c2w", "select id, case when id % 7=0 then 'reflection' when id % 5=0 then 'singular' when id % 3=0 then 'not_uniform' when id % 11=0 then 'not_affine' else 'ok' end as status, case when not (id % 7=0 or id % 5=0 or id % 3=0 or id % 11=0) then 1.0::double end as m00, case when not (id % 7=0 or id % 5=0 or id % 3=0 or id % 11=0) then -1.0::double end as m11 from (select l_orderkey*10+l_linenumber as id from {lineitem})")
+_D16 = "(select *, case when id % 7=0 then 'reflection' when id % 5=0 then 'singular' when id % 3=0 then 'not_uniform' when id % 11=0 then 'not_affine' else 'ok' end as status from (select l_orderkey*10+l_linenumber as id, l_partkey % 360 - 180 as a from {lineitem}))"
+
+
+@query("d16_rigid_c2w", f"select id, case when id % 11=0 then 'not_affine' else status end as status, {', '.join(f'case when status={chr(39)}ok{chr(39)} then round({e},6)+0.0 end as {n}' for n, e in (('m00', 'cos(radians(a))'), ('m01', 'sin(radians(a))'), ('m10', 'sin(radians(a))'), ('m11', '-cos(radians(a))'), ('m22', '-1.0::double'), ('m03', '1.0::double')))} from {_D16}")
 def _(spark, d):
-    rows = table(spark, d, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber as id", "double(1 + l_partkey % 4) as s")
-    e = "array(if(id % 7 = 0, -s, if(id % 5 = 0, 0D, if(id % 3 = 0, 2 * s, s))), 0D, 0D, 1D, 0D, s, 0D, 2D, 0D, 0D, s, 3D, 0D, 0D, if(id % 11 = 0 and id % 7 <> 0 and id % 5 <> 0 and id % 3 <> 0, 1D, 0D), 1D)"
-    return D.rigid_c2w(rows.selectExpr("id", f"{e} as m")).select("id", "status", (F.round(F.get("c2w", 0), 6) + 0.0).alias("m00"), (F.round(F.get("c2w", 5), 6) + 0.0).alias("m11"))
+    """Turned and scaled matrices, with a shear far below the tolerance that must not come through as scale."""
+    rows = table(spark, d, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber as id", "double(1 + l_partkey % 4) / 100 as s", "radians(l_partkey % 360 - 180) as a")
+    first = "if(id % 7 = 0, -s, if(id % 5 = 0, 0D, if(id % 3 = 0, 1.01D * s, s)))"
+    e = f"array({first} * cos(a), -s * sin(a), 0D, 1D, {first} * sin(a), s * cos(a), 0D, 2D, 0D, 0D, s, 3D, 0D, 0D, if(id % 11 = 0, 1D, 0D), 1D)"
+    got = D.rigid_c2w(rows.selectExpr("id", f"{e} as m"))
+    return got.select("id", "status", *((F.round(F.get("c2w", 4 * i + j), 6) + 0.0).alias(f"m{i}{j}") for i, j in ((0, 0), (0, 1), (1, 0), (1, 1), (2, 2), (0, 3))))
 
 
-_PROJ = "(select l_orderkey*10+l_linenumber as id, 2.0::double*(1+l_partkey % 9) as p00, 1.5::double*(1+l_suppkey % 9) as p11, (l_quantity-25)::double/40 as p02, l_discount::double as p12, case when l_partkey % 13=0 then 0.0 else -1.0 end::double as p32, case when l_partkey % 17=0 then 0.1 else 0.0 end::double as p01, 512 as width, 512 as height from {lineitem})"
+_PROJ = "(select l_orderkey*10+l_linenumber as id, 2.0::double*(1+l_partkey % 9) * case when l_suppkey % 11=0 then -1 else 1 end as p00, 1.5::double*(1+l_suppkey % 9) as p11, (l_quantity-25)::double/20 as p02, l_discount::double as p12, l_partkey, l_linenumber from {lineitem})"
 
 
-@query("d17_intrinsics_from_projection", f"with i as (select *, p00*256 as fx, p11*256 as fy, (1-p02)*256 as cx, (1+p12)*256 as cy from {_PROJ}) select id, case when p32<>-1 then 'orthographic' when abs(p01)>1e-6 then 'skew' when not (cx between 0 and 512 and cy between 0 and 512) then 'principal_point' when fx<=0 or fy<=0 then 'focal' else 'ok' end as status, {', '.join(_r(c, c) for c in ('fx', 'fy', 'cx', 'cy'))} from i")
+@query("d17_intrinsics_from_projection", f"with i as (select *, p00*256 as fx, p11*256 as fy, (1-p02)*256 as cx, (1+p12)*256 as cy from {_PROJ}) select id, case when l_partkey % 13=0 then 'orthographic' when l_partkey % 17=0 or l_partkey % 19=0 or l_partkey % 23=0 then 'skew' when fx<=0 or fy<=0 then 'focal' when not (cx between 0 and 512 and cy between 0 and 512) then 'principal_point' else 'ok' end as status, {', '.join(_r(c, c) for c in ('fx', 'fy', 'cx', 'cy'))} from i")
 def _(spark, d):
-    rows = table(spark, d, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber as id", "2D * (1 + l_partkey % 9) as p00", "1.5D * (1 + l_suppkey % 9) as p11", "double(l_quantity - 25) / 40 as p02", "double(l_discount) as p12", "if(l_partkey % 13 = 0, 0D, -1D) as p32", "if(l_partkey % 17 = 0, 0.1D, 0D) as p01", "512 as width", "512 as height")
+    """Projections whose last row is not a perspective's, with skew, off-axis terms, negative focal lengths, shifts too wide."""
+    off = lambda k: f"if(l_partkey % {k} = 0, 0.001D, 0D)"
+    m = f"array(2D * (1 + l_partkey % 9) * if(l_suppkey % 11 = 0, -1, 1), {off(17)}, double(l_quantity - 25) / 20, {off(19)}, 0D, 1.5D * (1 + l_suppkey % 9), double(l_discount), {off(23)}, 0D, 0D, -1D, -0.2D, 0D, 0D, -1D, {off(13)})"
+    rows = table(spark, d, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber as id", f"{m} as m", "512 as width", "512 as height")
     got = D.intrinsics_from_projection(rows)
     return got.select("id", "status", *((F.round(c, 4) + 0.0).alias(c) for c in ("fx", "fy", "cx", "cy")))
 
@@ -176,18 +240,20 @@ def _(spark, d):
     return D.intrinsics_constant(rows)
 
 
-@query("d19_frame_range_rule", "select seq_no, case when seq_no % 47=0 then 1 else 0 end as first, case when seq_no % 5=0 then 25 else 24 end as last, seq_no % 47<>0 and (seq_no % 5<>0 or seq_no % 3<>0) as ok from (select distinct seq_no from {frames})")
+@query("d19_frame_range_rule", "select seq_no, (case when seq_no % 47=0 then 1 else 0 end + case when seq_no % 13=0 then 0.0005 else 0 end)::double as first, (case when seq_no % 5=0 then case when seq_no % 11=0 then 24.5 else 25 end else 24 end)::double as last, seq_no % 47<>0 and (seq_no % 5<>0 or (seq_no % 11<>0 and seq_no % 3<>0)) as ok from (select distinct seq_no from {frames})")
 def _(spark, d):
-    rows = _frames(spark, d).filter("not (seq_no % 47 = 0 and frame = 0)").selectExpr("seq_no", "frame", "double(frame) as x", "ty as y", "tz as z")
-    more = rows.filter("frame = 24 and seq_no % 5 = 0").withColumn("frame", F.lit(25)).withColumn("x", F.expr("if(seq_no % 3 = 0, 99D, x)"))
+    """Animations that start a little or a whole frame late, end between frames, or move in frame 25."""
+    rows = _frames(spark, d).filter("not (seq_no % 47 = 0 and frame = 0)").selectExpr("seq_no", "double(frame) as frame", "array(double(frame), ty, tz) as pose")
+    rows = rows.withColumn("frame", F.expr("if(seq_no % 13 = 0 and frame = if(seq_no % 47 = 0, 1, 0), frame + 0.0005D, frame)"))
+    more = rows.filter("frame = 24 and seq_no % 5 = 0").withColumns({"frame": F.expr("if(seq_no % 11 = 0, 24.5D, 25D)"), "pose": F.expr("if(seq_no % 3 = 0, transform(pose, (v, i) -> if(i = 0, 99D, v)), pose)")})
     return D.frame_range_rule(rows.unionByName(more))
 
 
 def _engine(spark, d):
-    return D.traj_tracking_line(_frames(spark, d), 3500.0).withColumn("roll", F.lit(0.0))
+    return D.traj_tracking_line(_frames(spark, d), 90.0).withColumn("roll", F.lit(0.0))
 
 
-_CV = f"""with {_F}, e as (select seq_no, frame, tx+s*cos(radians(yaw)) as x, ty+s*sin(radians(yaw)) as y, tz+h as z, radians(-90-degrees(atan2(s,h))) as p, radians(yaw) as w from (select *, {_STEP} as s from f))"""
+_CV = f"""with {_F}, e as (select seq_no, frame, tx+s*cos(radians(yaw)) as x, ty+s*sin(radians(yaw)) as y, tz+h as z, radians(-90-degrees(atan2(s,h))) as p, radians(yaw) as w from (select *, {_TRACK} as s from f))"""
 
 
 @query("d20_to_opencv", f"{_CV} select seq_no, frame, {', '.join((_r('-sin(w)', 'c00', 6), _r('sin(p)*cos(w)', 'c01', 6), _r('cos(p)*cos(w)', 'c02', 6), _r('-cos(w)', 'c10', 6), _r('-cos(p)*sin(w)', 'c12', 6), _r('-cos(p)', 'c21', 6), _r('sin(p)', 'c22', 6), _r('x/100', 'px'), _r('-y/100', 'py'), _r('z/100', 'pz')))} from e")

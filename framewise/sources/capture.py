@@ -9,6 +9,9 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framewise.sources.listing import walk
+from framewise.sources.png import decode
+
 PLAN = {"sequence_id": "string", "map_path": "string", "source_scene": "string", "split": "string", "target_label": "string", "expected_views": "int", "trajectory": "string", "height_m": "double", "yaw_deg": "double"}
 MANIFEST = "owner string, status string, maps array<struct<map:string,source_scene:string,split:string,targets:map<string,struct<x:double,y:double,z:double>>,occlusion_actor_names:array<string>>>"
 POSES = "version string, centre_frame int, intrinsics array<array<double>>, source struct<map:string,target:string,sha256:string>, frames array<struct<frame_id:int,file_path:string,transform:array<array<double>>>>"
@@ -22,11 +25,12 @@ def read_sequence_plan(spark: SparkSession, *paths: str) -> DataFrame:
     its number in it) keep the file order, while large files are read in blocks. Files must have one header; an empty set of
     rows is an error."""
     at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    for path in paths:
+        if spark.read.option("header", True).csv(path).isEmpty():
+            raise ValueError(f"the plan is empty: {path}")
     rows = spark.read.option("header", True).option("enforceSchema", False).csv(list(paths))
     names = rows.columns
     rows = rows.select("*", F.col("_metadata.file_path").alias("plan_file"), at.alias("row_pos"))
-    if rows.isEmpty():
-        raise ValueError("the plans are empty")
     return rows.select("plan_file", "row_pos", *(F.expr(f"try_cast(`{n}` as {PLAN.get(n, 'string')})").alias(n) for n in names))
 
 
@@ -56,11 +60,12 @@ def read_camera_json(spark: SparkSession, path: str, multi_line: bool = True) ->
 
 
 def scan_output_tree(spark: SparkSession, root: str, extensions: tuple[str, ...] = ("png", "exr")) -> DataFrame:
-    """Listing of an output tree: trajectory, prefix, suffix, pass, frame, size and time; file contents are never read."""
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
-    pattern = r"/([^/]+)/([^/]+)_(occ|GT)/([^/]+)/([^/.]+)\.(\w+)$"
+    """Listing of an output tree (listing.py): trajectory, prefix, suffix, pass, frame (null where the stem is no number), stem,
+    size and time; file contents are never read and links are not followed."""
+    rows = walk(spark, root).filter("kind = 'file'")
+    pattern = r"/([^/]+)/([^/]+)_(occ|GT)/([^/]+)/([^/]+)\.(\w+)$"
     part = lambda k: F.regexp_extract("path", pattern, k)
-    rows = rows.select(part(1).alias("trajectory"), part(2).alias("prefix"), part(3).alias("suffix"), part(4).alias("pass_name"), F.expr("try_cast(regexp_extract(path, '/([^/.]+)[.][^/]*$', 1) as int)").alias("frame"), F.lower(part(6)).alias("ext"), "size", "modified", "path")
+    rows = rows.select(part(1).alias("trajectory"), part(2).alias("prefix"), part(3).alias("suffix"), part(4).alias("pass_name"), part(5).try_cast("int").alias("frame"), part(5).alias("stem"), F.lower(part(6)).alias("ext"), "size", F.timestamp_micros(F.floor(F.col("mtime_ns") / 1000)).alias("modified"), "mtime_ns", "path")
     return rows.filter(F.col("ext").isin(*extensions))
 
 
@@ -81,52 +86,102 @@ def read_gpu_samples(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*(F.expr(f"try_cast({c} as {kinds.get(c, 'double')})").alias(c) for c in rows.columns))
 
 
-def scan_rgb_frames(spark: SparkSession, path: str) -> DataFrame:
-    """Decoded frames; pixel bytes are in BGR order."""
-    return spark.read.format("image").load(path).select(F.col("image.origin").alias("path"), "image.width", "image.height", "image.nChannels", F.col("image.data").alias("bgr"))
+def _bytes_of(path: str, scheme: str | None):
+    """An open file; path has no scheme, which is that of the tree it was found in."""
+    where = fs.LocalFileSystem() if scheme is None else fs.FileSystem.from_uri(scheme)[0]
+    return where.open_input_file(path)
+
+
+def _scheme(root: str) -> str | None:
+    return None if "://" not in root or root.startswith("file:") else root
+
+
+def scan_rgb_frames(spark: SparkSession, root: str) -> DataFrame:
+    """Every PNG under root: path, width, height, nChannels and pixel bytes in BGR order, row by row; all null where the file is
+    broken. Files are found by tasks and decoded by tasks, one at a time."""
+    scheme = _scheme(root)
+
+    def run(batches):
+        for b in batches:
+            for path in b["path"].to_pylist():
+                with _bytes_of(path, scheme) as f:
+                    image = decode(f.read())
+                row = [path, None, None, None, None]
+                if image is not None:
+                    turned = image if image.shape[2] < 3 else image[:, :, [2, 1, 0, *range(3, image.shape[2])]]
+                    row = [path, image.shape[1], image.shape[0], image.shape[2], turned.tobytes()]
+                yield pa.record_batch([pa.array([v], t) for v, t in zip(row, (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["path", "width", "height", "nChannels", "bgr"])
+
+    found = walk(spark, root).filter("kind = 'file' and lower(path) like '%.png'").select("path")
+    return found.mapInArrow(run, "path string, width int, height int, nChannels int, bgr binary")
+
+
+#: First bytes of a header that are read; as many again as there are, until it ends.
+HEADER_BYTES = 4096
 
 
 def exr_channels(head: bytes) -> dict[str, str] | None:
-    """Channel -> sample type of an OpenEXR header; None if it is cut off or no EXR."""
+    """Channel -> sample type of an OpenEXR header; None if it is no EXR or has no channels. IndexError if it goes on beyond
+    these bytes."""
     kinds = {0: "uint", 1: "half", 2: "float"}
-    try:
-        if struct.unpack_from("<I", head)[0] != 20000630:
-            return None
-        at = 8
-        while head[at]:
-            name, at = _cstring(head, at)
-            kind, at = _cstring(head, at)
-            size = struct.unpack_from("<i", head, at)[0]
-            at += 4
-            if name == "channels" and kind == "chlist":
-                out, p = {}, at
-                while head[p]:
-                    channel, p = _cstring(head, p)
-                    out[channel] = kinds.get(struct.unpack_from("<i", head, p)[0], "unknown")
-                    p += 16
-                return out
-            at += size
-    except (struct.error, IndexError, ValueError):
+    if _number(head, 0) != 20000630:
         return None
+    at = 8
+    while head[at]:
+        name, at = _cstring(head, at)
+        kind, at = _cstring(head, at)
+        size = _number(head, at)
+        at += 4
+        if name == "channels" and kind == "chlist":
+            out, p = {}, at
+            while head[p]:
+                channel, p = _cstring(head, p)
+                out[channel] = kinds.get(_number(head, p), "unknown")
+                p += 16
+            return out
+        if size < 0:
+            return None
+        at += size
     return None
 
 
+def _number(data: bytes, at: int) -> int:
+    if at + 4 > len(data):
+        raise IndexError
+    return struct.unpack_from("<i", data, at)[0]
+
+
 def _cstring(data: bytes, at: int) -> tuple[str, int]:
-    end = data.index(b"\0", at)
+    end = data.find(b"\0", at)
+    if end < 0:
+        raise IndexError
     return data[at:end].decode("latin-1"), end + 1
 
 
-def exr_header_audit(paths: DataFrame, head_bytes: int = 1 << 16) -> DataFrame:
-    """paths(path) -> channel, type rows; unreadable or truncated headers have null. Only the first bytes are read, by a
-    bounded reader in each task, never whole images."""
+def read_exr_channels(file) -> dict[str, str] | None:
+    """exr_channels() of an open file, of which as much is read as its header has; None too if the file ends before."""
+    head, more = b"", HEADER_BYTES
+    while piece := file.read(more):
+        head, more = head + piece, len(head) + len(piece)
+        try:
+            return exr_channels(head)
+        except IndexError:
+            continue
+    return None
+
+
+def exr_header_audit(paths: DataFrame, root: str = "") -> DataFrame:
+    """paths(path: URIs, or without scheme if found by walk() under root) -> channel, type rows; unreadable or truncated headers
+    have null. Headers are read to their end, whatever their length; images never."""
+    scheme = _scheme(root)
 
     def run(batches):
         for b in batches:
             out = []
-            for uri in b["path"].to_pylist():
-                where, name = fs.FileSystem.from_uri(uri)
-                with where.open_input_file(name) as f:
-                    found = exr_channels(f.read(head_bytes))
+            for path in b["path"].to_pylist():
+                where, name = fs.FileSystem.from_uri(path) if "://" in path else (None, path)
+                with where.open_input_file(name) if where else _bytes_of(name, scheme) as f:
+                    found = read_exr_channels(f)
                 out.append(None if found is None else list(found.items()))
             yield pa.record_batch([b["path"], pa.array(out, pa.map_(pa.string(), pa.string()))], names=["path", "channels"])
 

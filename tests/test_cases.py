@@ -2,6 +2,7 @@
 
 import math
 import struct
+from io import BytesIO
 
 import numpy as np
 import pytest
@@ -40,22 +41,119 @@ def test_frames_are_counted_once_whatever_their_number(spark):
     got = {r.prefix: r for r in complete.directories(df, 130).collect()}
     assert (got["p"].frames_found, got["p"].files, got["p"].unexpected) == (6, 12, 4)
     assert (got["q"].frames_found, got["q"].complete, got["q"].unexpected) == (0, False, 1)
-    total = complete.output_inventory(df).first()
-    assert (total["files"], total["bytes"], total["frames"], total["directories"]) == (13, 24, 9, 2)
 
 
-def test_credit_counts_each_task_once(spark):
-    a = spark.createDataFrame([("j", 1, 5, 13, 1000), ("j", 2, 3, 13, 1000), ("j", 3, 13, 13, 1000)], "job_id string, attempt int, valid_tasks int, tasks int, images int")
-    assert complete.credited_throughput(a).first().credited == 1000 * 5 // 13 + 1000 * 8 // 13
-
-
-def test_matrix_round_trip_and_zenith(spark):
-    df = spark.createDataFrame([(float(r), float(p), float(y)) for r in (0, 20) for p in (-90, -45, 0, 60) for y in (-170, 0, 120)], "roll double, pitch double, yaw double")
-    first = pose.euler_to_matrix(df)
-    names = [f"r{i}{j}" for i in range(3) for j in range(3)]
-    again = pose.euler_to_matrix(pose.matrix_to_euler(first).select("roll", "pitch", "yaw", *(F.col(n).alias(f"o_{n}") for n in names)))
-    worst = again.select(F.max(F.greatest(*(F.abs(F.col(n) - F.col(f"o_{n}")) for n in names)))).first()[0]
-    assert worst < 1e-9
+def test_inventory_of_a_job(spark):
+    names = ["rgb/0000.png", "depth/0000.EXR", "rgb/0.png", "rgb/a.b.jpg", "depth/a.b.jpeg", "rgb/0001.txt", "rgb/.png", "rgb/0001.png"]
+    rows = [("k", "p", "occ", f"k/p_occ/{n}", 5) for n in names] + [("k", "p", "GT", "k/p_GT/rgb/0000.png", 5), ("k", "q", "GT", "k/q_GT/rgb/0000.png", 7)]
+    files = spark.createDataFrame(rows, "trajectory string, prefix string, suffix string, rel_path string, size int")
+    jobs = spark.createDataFrame([("j", "k", "p"), ("j", "k", "none")], "job_id string, trajectory string, prefix string")
+    got = complete.output_inventory(files, jobs).collect()
+    # 0000, 0, a.b and 0001 are four views of one folder, whatever the pass.
+    assert [tuple(r) for r in got] == [("j", 7, 35, 5, ["p_GT", "p_occ"])]
+
+
+def test_credit_counts_every_attempt(spark):
+    a = [("j", 1, 1, 13, 8, 13, 400), ("j", 2, 1, 8, None, 13, 500), ("j", 3, 0, 8, 2, 13, 1300), ("k", 1, 1, 4, 6, 5, 90)]
+    got = complete.credited_throughput(spark.createDataFrame(a, "job_id string, attempt int, returncode int, launched int, remaining int, tasks int, images int")).collect()
+    assert sorted(map(tuple, got)) == [("j", 5 + 0 + 8, 1300 * 13 // 13), ("k", 0, 0)]
+
+
+def rotation(roll, pitch, yaw):
+    """The engine's rotation as a product of three plain ones."""
+    r, p, y = np.radians([roll, pitch, yaw])
+    about_z = np.array([[np.cos(y), -np.sin(y), 0], [np.sin(y), np.cos(y), 0], [0, 0, 1]])
+    about_y = np.array([[np.cos(p), 0, -np.sin(p)], [0, 1, 0], [np.sin(p), 0, np.cos(p)]])
+    about_x = np.array([[1, 0, 0], [0, np.cos(r), np.sin(r)], [0, -np.sin(r), np.cos(r)]])
+    return about_z @ about_y @ about_x
+
+
+def test_angles_of_a_matrix(spark):
+    """The triple is one of the matrix's, and no triple nearer to the canonical view is."""
+    cases = [(r, p, y, b) for r in (-170.0, 0.0, 20.0) for p in (-90.0, -89.0, -45.0, 0.0, 60.0) for y in (-170.0, 0.0, 121.0) for b in (0.0, 240.0)]
+    df = spark.createDataFrame([(k, *c) for k, c in enumerate(cases)], "k int, roll double, pitch double, yaw double, base double")
+    got = {r.k: r for r in pose.matrix_to_euler(pose.euler_to_matrix(df), "base").collect()}
+    away = lambda r, p, y, b: r * r + (y - b) ** 2 + 0.25 * (p + 90) ** 2
+    turn = lambda a: (a + 180) % 360 - 180
+    for k, (r, p, y, b) in enumerate(cases):
+        g = got[k]
+        if p == -90:
+            assert (g.roll, g.pitch, g.yaw) == (0, -90, b)
+            continue
+        assert np.allclose(rotation(g.roll, g.pitch, g.yaw), rotation(r, p, y), atol=1e-9)
+        for other in ((turn(r), p, b + turn(y - b)), (turn(r + 180), -180 - p, b + turn(y + 180 - b))):
+            assert away(g.roll, g.pitch, g.yaw, b) <= away(*other, b) + 1e-6
+
+
+def test_polar_factor(spark):
+    rng = np.random.default_rng(3)
+    cases, want = [], []
+    for k in range(60):
+        turned = rotation(*rng.uniform(-180, 180, 3)) * rng.choice([0.01, 1.0, 100.0])
+        if k % 2:
+            turned = turned @ (np.eye(3) + 1e-5 * rng.uniform(-1, 1, (3, 3)))
+        m = np.eye(4)
+        m[:3, :3], m[:3, 3] = turned, rng.uniform(-9, 9, 3)
+        cases.append(m)
+        x = turned / np.cbrt(np.linalg.det(turned))
+        for _ in range(40):  # Newton's iteration for the polar factor
+            x = (x + np.linalg.inv(x).T) / 2
+        want.append(x @ np.diag([1.0, -1.0, -1.0]))
+    bad = {"reflection": np.diag([-1.0, 1, 1, 1]), "singular": np.diag([0.0, 1, 1, 1]), "not_uniform": np.diag([1.001, 1, 1, 1]), "not_affine": np.eye(4) + np.outer([0, 0, 0, 1], [1e-6, 0, 0, 0]), "not_finite": np.diag([np.inf, 1, 1, 1])}
+    rows = [(k, m.ravel().tolist()) for k, m in enumerate([*cases, *bad.values()])]
+    got = {r.id: r for r in pose.rigid_c2w(spark.createDataFrame(rows, "id long, m array<double>")).collect()}
+    for k, (m, w) in enumerate(zip(cases, want, strict=True)):
+        c = np.array(got[k].c2w).reshape(4, 4)
+        assert got[k].status == "ok" and np.allclose(c[:3, :3], w, atol=1e-9) and np.allclose(c[:3, 3], m[:3, 3]) and c[3].tolist() == [0, 0, 0, 1]
+    assert [got[len(cases) + k].status for k in range(len(bad))] == list(bad)
+
+
+def test_basis_columns_are_the_basis(spark):
+    t = np.append(np.linspace(0, 1, 101), [0.2, 0.4, 0.6, 0.8])
+    rows = spark.createDataFrame([(k, float(x)) for k, x in enumerate(t)], "id long, t double")
+    got = sorted(pose.bspline_eval(rows).collect())
+    assert np.allclose([r.basis for r in got], pose.bspline_basis(t, 8), atol=1e-12) and np.allclose([r.total for r in got], 1)
+
+
+def least_tilt(view, base):
+    """The canonical frame turned whole onto a viewing direction, about the axis across both."""
+    down = np.array([0.0, 0.0, -1.0])
+    axis, cosine = np.cross(down, view), down @ view
+    if np.linalg.norm(axis) < 1e-12:
+        return rotation(0, -90, base)
+    k, angle = axis / np.linalg.norm(axis), np.arccos(cosine)
+    cross = np.array([[0, -k[2], k[1]], [k[2], 0, -k[0]], [-k[1], k[0], 0]])
+    return (np.eye(3) + np.sin(angle) * cross + (1 - np.cos(angle)) * cross @ cross) @ rotation(0, -90, base)
+
+
+def test_cameras_are_tilted_least(spark):
+    rng = np.random.default_rng(8)
+    rows = [(k, *map(float, rng.uniform(-900, 900, 2)), float(rng.uniform(10, 900)), 3.0, -4.0, 5.0, float(b)) for k, b in enumerate([0, 120, 240] * 20)]
+    rows.append((99, 3.0, -4.0, 50.0, 3.0, -4.0, 5.0, 120.0))
+    df = spark.createDataFrame(rows, "k int, x double, y double, z double, tx double, ty double, tz double, yaw double")
+    got = {r.k: r for r in pose.target_rotations(df).collect()}
+    for k, x, y, z, tx, ty, tz, base in rows:
+        view = np.array([tx - x, ty - y, tz - z])
+        if view[2] < 0:
+            assert np.allclose(rotation(got[k].roll, got[k].pitch, got[k].yaw), least_tilt(view / np.linalg.norm(view), base), atol=1e-8)
+        else:
+            assert not got[k].above and got[k].roll is None
+    assert (got[99].roll, got[99].pitch, got[99].yaw) == (0, -90, 120)
+
+
+def test_shell_draws_are_pythons(spark):
+    """Control points for 10**4 seeds, one draw at a time."""
+    import math
+    import random
+
+    seeds = [str(k * 48_271) for k in range(10_000)]
+    got = pose.shell_controls(seeds, np.full(len(seeds), 6000.0), 5000.0, 12000.0, 120.0)
+    for seed, points in list(zip(seeds, got, strict=True))[::7]:
+        r = random.Random(int(seed))
+        for p in points[:6]:
+            radius, polar, azimuth = r.uniform(5000 + 0.05 * 7000, 12000), math.acos(r.uniform(math.cos(math.radians(60)), 1.0)), r.uniform(0, 2 * math.pi)
+            assert np.allclose(p, [radius, polar * math.cos(azimuth), polar * math.sin(azimuth)], atol=1e-12)
+        assert (points[6:] == [6000.0, 0, 0]).all()
 
 
 def test_spline_is_a_partition_of_unity():
@@ -69,7 +167,7 @@ def test_random_shell_stays_inside_and_repeats(spark):
     r = np.sqrt((got.x - 1) ** 2 + (got.y - 2) ** 2 + (got.z - 3) ** 2)
     assert len(got) == 7500 and r.between(4999, 12001).all() and (got.tilt <= 60.001).all()
     last = got[got.frame == 24].sort_values("seq_no")  # the reference view, above the target at its height
-    assert np.allclose(last[["x", "y"]], [1, 2]) and np.allclose(last.z, 3 + 5000 + np.arange(300) * 20)
+    assert (last[["x", "y"]] == [1, 2]).all().all() and (last.pitch == -90).all() and (last.roll == 0).all() and np.allclose(last.z, 3 + 5000 + np.arange(300) * 20)
     assert got.equals(pose.traj_random_shell(rows, 5000, 12000, 120).toPandas())
 
 
@@ -129,7 +227,7 @@ def test_inside_needs_one_actor_on_both_sides(spark):
 
 def test_exr_header():
     head = struct.pack("<II", 20000630, 2) + b"channels\0chlist\0" + struct.pack("<i", 19) + b"R\0" + struct.pack("<iiii", 1, 0, 1, 1) + b"\0\0"
-    assert capture.exr_channels(head) == {"R": "half"} and capture.exr_channels(head[:20]) is None and capture.exr_channels(b"no") is None
+    assert [capture.read_exr_channels(BytesIO(b)) for b in (head, head[:20], b"no")] == [{"R": "half"}, None, None]
 
 
 def test_whole_tables_are_read(spark):
