@@ -8,18 +8,61 @@ from pyspark.sql import functions as F
 from framewise.operators.quantiles import aggregate
 
 
-def output_window(samples: DataFrame) -> DataFrame:
-    """First and last sample time at which a run's cumulative file count rose; both ends belong to the window."""
-    w = Window.partitionBy("run_label").orderBy("elapsed_seconds")
-    rose = F.col("image_files") > F.coalesce(F.lag("image_files").over(w), F.lit(0))
-    return samples.withColumn("rose", rose).filter("rose").groupBy("run_label").agg(F.min("elapsed_seconds").alias("first_output"), F.max("elapsed_seconds").alias("last_output"))
-
-
-def gpu_run_summary(samples: DataFrame) -> DataFrame:
-    """Per run: mean utilisation, the same inside the output window, peak memory, mean power, samples; nulls are unmeasured."""
-    rows = samples.join(output_window(samples), "run_label", "left")
-    inside = F.col("elapsed_seconds").between(F.col("first_output"), F.col("last_output"))
-    return rows.groupBy("run_label").agg(F.avg("gpu_util_percent").alias("mean_util"), F.avg(F.when(inside, F.col("gpu_util_percent"))).alias("output_util"), F.max("gpu_memory_mb").alias("peak_memory_mb"), F.avg("power_w").alias("mean_power_w"), F.count("*").alias("samples"))
+#: Seconds of one block of a run: a block is ordered in one task.
+BLOCK_SECONDS = 3600.0
+
+
+def _run_blocks(samples: DataFrame, block_seconds: float) -> DataFrame:
+    """A run's samples in two levels: its time is cut into blocks, of which each is ordered by itself and gives one row; the rows of
+    a run, one for each block, are then ordered in turn to carry the last count from block to block. A block's row: its least time and
+    counts at both ends, the first and last rise inside it, and for gauges sums and counts over the parts that the
+    run's output window can cut it into."""
+    key = ["run_label", "block"]
+    rows = samples.withColumns({"block": F.floor(F.col("elapsed_seconds") / block_seconds), "files": F.coalesce("image_files", F.lit(0))})
+    ordered, whole = Window.partitionBy(*key).orderBy("elapsed_seconds", "files"), Window.partitionBy(*key)
+    t = F.col("elapsed_seconds")
+    rows = rows.withColumn("rose", F.coalesce(F.col("files") > F.lag("files").over(ordered), F.lit(False)))
+    rows = rows.withColumns({"head": F.min(t).over(whole), "up": F.min(F.when(F.col("rose"), t)).over(whole), "top": F.max(F.when(F.col("rose"), t)).over(whole)})
+    parts = {"all": F.lit(True), "head": t == F.col("head"), "from": t >= F.col("up"), "to": t <= F.col("top"), "mid": t.between(F.col("up"), F.col("top"))}
+    util = F.col("gpu_util_percent")
+    sums = [f(F.when(c, util)).alias(f"{n}_{k}") for k, c in parts.items() for n, f in (("sum", F.sum), ("n", F.count))]
+    at = F.struct(t, "files")
+    ends = [F.min(at)["files"].alias("first_files"), F.max(at)["files"].alias("last_files"), F.min("head").alias("head"), F.min("up").alias("up"), F.max("top").alias("top")]
+    rest = [F.max("gpu_memory_mb").alias("memory"), F.sum("power_w").alias("power"), F.count("power_w").alias("n_power"), F.count("*").alias("samples")]
+    blocks = rows.groupBy(*key).agg(*ends, *sums, *rest)
+    before = F.coalesce(F.lag("last_files").over(Window.partitionBy("run_label").orderBy("block")), F.lit(0))
+    opens = F.col("first_files") > before  # whether the block's first sample is a rise
+    return blocks.withColumns({"opens": opens, "first_rise": F.when(opens, F.col("head")).otherwise(F.col("up")), "last_rise": F.coalesce("top", F.when(opens, F.col("head")))})
+
+
+def output_window(samples: DataFrame, block_seconds: float = BLOCK_SECONDS) -> DataFrame:
+    """First and last sample time at which a run's cumulative file count rose; both ends belong to the window. A run of any
+    length is spread over tasks by blocks of its time."""
+    gauges = [F.lit(None).cast("double").alias(c) for c in ("gpu_util_percent", "gpu_memory_mb", "power_w")]
+    blocks = _run_blocks(samples.select("run_label", "elapsed_seconds", "image_files", *gauges), block_seconds)
+    ends = blocks.groupBy("run_label").agg(F.min("first_rise").alias("first_output"), F.max("last_rise").alias("last_output"))
+    return ends.filter("first_output is not null")
+
+
+def gpu_run_summary(samples: DataFrame, block_seconds: float = BLOCK_SECONDS) -> DataFrame:
+    """Per run: mean utilisation, the same inside the output window, peak memory, mean power, samples; nulls are unmeasured.
+    The samples are read and shuffled once, by blocks: the window holds whole blocks but for its first and last, of which the
+    sums over the right part are taken."""
+    blocks = _run_blocks(samples, block_seconds)
+    run = Window.partitionBy("run_label")
+    rises = F.col("first_rise").isNotNull()
+    blocks = blocks.withColumns({"begin": F.min(F.when(rises, F.col("block"))).over(run), "end": F.max(F.when(rises, F.col("block"))).over(run)})
+    is_begin, is_end = F.col("block") == F.col("begin"), F.col("block") == F.col("end")
+    begins_late, ends_early = is_begin & ~F.col("opens"), is_end & F.col("top").isNotNull()
+    part = (
+        F.when(is_end & F.col("top").isNull(), F.lit("head"))  # its only rise is its first sample
+        .when(begins_late & ends_early, F.lit("mid")).when(begins_late, F.lit("from")).when(ends_early, F.lit("to")).otherwise(F.lit("all"))
+    )
+    within = F.col("block").between(F.col("begin"), F.col("end"))
+    pick = lambda n: F.coalesce(*(F.when(within & (F.col("part") == k), F.col(f"{n}_{k}")) for k in ("all", "head", "from", "to", "mid")))
+    mean = lambda total, n: F.when(F.sum(n) > 0, F.sum(total) / F.sum(n))
+    rows = blocks.withColumn("part", part).withColumns({"out_sum": pick("sum"), "out_n": pick("n")})
+    return rows.groupBy("run_label").agg(mean("sum_all", "n_all").alias("mean_util"), mean("out_sum", "out_n").alias("output_util"), F.max("memory").alias("peak_memory_mb"), mean("power", "n_power").alias("mean_power_w"), F.sum("samples").alias("samples"))
 
 
 def throughput(samples: DataFrame, bytes_per_file: float) -> DataFrame:

@@ -71,10 +71,13 @@ def _(spark, d):
     return P.select_plan(t("plan_rows"), t("targets").filter("target_id % 3 = 0").select("map_path", "target_label"))[0].select("sequence_id", "map_path", "target_label")
 
 
-@query("b5_missing_targets", "select map_path, target_label from {targets} t where not exists (select 1 from {plan_rows} p where p.map_path=t.map_path and p.target_label=t.target_label and p.trajectory='rot_arc' and p.height_m=50)")
+@query("b5_missing_targets", "select map_path, target_label||'_b' as target_label from {targets} where target_id % 3=0 union all select map_path, target_label from {targets} t where not exists (select 1 from {plan_rows} p where p.map_path=t.map_path and p.target_label=t.target_label)")
 def _(spark, d):
+    """All targets are wanted, and some that there are not."""
     t = _t(spark, d)
-    return P.select_plan(t("plan_rows").filter("trajectory = 'rot_arc' and height_m = 50"), t("targets").select("map_path", "target_label"))[1]
+    wanted = t("targets").select("map_path", "target_label")
+    other = t("targets").filter("target_id % 3 = 0").select("map_path", F.concat("target_label", F.lit("_b")).alias("target_label"))
+    return P.select_plan(t("plan_rows"), wanted.unionByName(other))[1]
 
 
 @query("b6_task_limit", "select sequence_id, map_path, target_label, seq_no from (select *, row_number() over (partition by map_path, target_label order by seq_no) as rn from {plan_rows}) z where rn <= 20")

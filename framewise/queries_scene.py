@@ -176,17 +176,32 @@ def _(spark, d):
     return spark.read.schema(S.STEP).parquet(f"{folder}/out").select("event_id", "step_id", "files_present", "success")
 
 
-@query("st2_live_throughput", f"with {_STEPS}, w as (select date_trunc('hour', ts) as b, count(*) as events, cast(sum(files_present) as bigint) as files from s group by 1) select strftime(b, '%Y-%m-%d %H:%M:%S') as start, events, files, round(files/3600.0,6)+0.0 as files_per_second from w where b + interval 1 hour <= (select max(ts) from s) - interval 10 minutes")
+_TOTALS = """select run_label, event_id, ts, sum(case when event_type='view' then 4 else 0 end) over (partition by run_label, era order by event_id) as total
+ from (select concat('run_', cast(user_id % 20 as varchar(9))) as run_label, event_id, ts, event_type, floor((row_number() over (partition by user_id % 20 order by event_id)) / 37) as era from {events})"""
+
+
+@query("st2_live_throughput", f"""with s as ({_TOTALS}), p as (select *, coalesce(lag(total) over (partition by run_label order by ts, event_id), 0) as before, date_trunc('day', ts) + to_hours(cast(6*(hour(ts)//6) as bigint)) as b from s)
+ select run_label, strftime(b, '%Y-%m-%d %H:%M:%S') as start, count(*) as samples, cast(sum(case when total<before then total else total-before end) as bigint) as files, count(*) filter (total<before) as restarts, round(sum(case when total<before then total else total-before end)/21600.0,6)+0.0 as files_per_second
+ from p where b + interval 6 hours <= (select max(ts) from s) - interval 10 minutes group by run_label, b""")
 def _(spark, d):
-    """Windows that the watermark has closed."""
-    got = _streamed(spark, _steps(spark, d), S.live_throughput)
-    return got.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "events", "files", _r("files_per_second", 6))
+    """Windows of six hours that the watermark has closed; each run's total begins again every 37 samples, and files come in no order."""
+    table(spark, d, "events").createOrReplaceTempView("st2_events")
+    rows = spark.sql(_TOTALS.replace("{events}", "st2_events").replace("varchar(9)", "string")).withColumn("ts", F.col("ts").cast("timestamp"))
+    got = _streamed(spark, rows.repartition(6, F.xxhash64("event_id")), lambda s: S.live_throughput(s, window_ms=6 * S.HOUR), rocks=True)
+    return got.select("run_label", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "samples", "files", "restarts", _r("files_per_second", 6))
+
+
+_PLACED = "(select p.*, ts from {placement} p join {events} using (event_id))"
+_SIGHT = "over (partition by run_label, pid order by ts, event_id rows between unbounded preceding and 1 preceding)"
 
 
-@query("st3_placement_guard_stream", f"with s as (select *, coalesce(last_value(case when gpu_index=0 then start_time end ignore nulls) over (partition by run_label, pid order by event_id rows between unbounded preceding and 1 preceding) = start_time, false) as verified from {{placement}}), v as (select run_label, event_id, pid, {_WHY} as reason from s where gpu_index<>0) select run_label, min(event_id) as event_id, arg_min(pid, event_id) as pid, arg_min(reason, event_id) as reason from v where reason is not null group by 1")
+@query("st3_placement_guard_stream", f"""with s as (select *, coalesce(last_value(case when gpu_index=0 then start_time end ignore nulls) {_SIGHT} = start_time and ts - last_value(case when gpu_index=0 then ts end ignore nulls) {_SIGHT} <= interval 24 hours, false) as verified from {_PLACED}),
+ v as (select run_label, event_id, pid, {_WHY} as reason from s where gpu_index<>0 and ts < date_trunc('minute', (select max(ts) from s) - interval 10 minutes)) select run_label, min(event_id) as event_id, arg_min(pid, event_id) as pid, arg_min(reason, event_id) as reason from v where reason is not null group by 1""")
 def _(spark, d):
-    rows = table(spark, d, "placement").select("run_label", "event_id", F.col("gpu_index").cast("long").alias("gpu_index"), "pid", "process_type", "framebuffer_mb", F.col("sm_util_percent").cast("double").alias("sm_util_percent"), F.col("start_time").cast("double").alias("start_time"))
-    return _streamed(spark, rows, lambda s: S.placement_guard_stream(s, 0), rocks=True)
+    """Files come in no order; the guard judges what the watermark has passed."""
+    rows = table(spark, d, "placement").join(table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts")), "event_id")
+    rows = rows.select("run_label", "event_id", "ts", F.col("gpu_index").cast("long").alias("gpu_index"), "pid", "process_type", "framebuffer_mb", F.col("sm_util_percent").cast("double").alias("sm_util_percent"), F.col("start_time").cast("double").alias("start_time"))
+    return _streamed(spark, rows.repartition(6, F.xxhash64("event_id")), lambda s: S.placement_guard_stream(s, 0), rocks=True)
 
 
 @query("st4_progress_stream", "select 'run_'||user_id % 20 as run, count(*) filter (event_type<>'error') as completed, count(*) filter (event_type='error') as failed, count(*) filter (event_id % 4=0 and event_type<>'error') as resumed from {events} group by 1")

@@ -3,12 +3,13 @@ are dropped, which is a policy of this library."""
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from framewise.operators.telemetry import DISPLAY_CONTEXT_MB
@@ -21,59 +22,152 @@ def step_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(STEP).json(folder)
 
 
-def live_throughput(samples: DataFrame, window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    """Files and rate per tumbling window."""
-    out = samples.withWatermark("ts", late).groupBy(F.window("ts", window).alias("w")).agg(F.count("*").alias("events"), F.sum("files_present").cast("long").alias("files"))
-    return out.select(F.col("w.start").alias("start"), "events", "files", (F.col("files") / (F.unix_timestamp("w.end") - F.unix_timestamp("w.start"))).alias("files_per_second"))
-
-
 def progress_stream(attempts: DataFrame, late: str = "10 minutes") -> DataFrame:
     """Running completed, failed and resumed attempts per run; a requeued copy of an attempt (job, attempt) counts once."""
     once = attempts.withWatermark("ts", late).dropDuplicatesWithinWatermark(["job_id", "attempt"])
     return once.groupBy("run").agg(F.count_if(F.col("returncode") == 0).alias("completed"), F.count_if(F.col("returncode") != 0).alias("failed"), F.count_if("resumed").alias("resumed"))
 
 
-GUARD = T.StructType([T.StructField("run_label", T.StringType()), T.StructField("event_id", T.LongType()), T.StructField("pid", T.LongType()), T.StructField("reason", T.StringType())])
+MINUTE = 60_000
+HOUR = 60 * MINUTE
+
+
+class Ordered(StatefulProcessor):
+    """Rows of a key in the order of their time, whatever order they came in. Rows wait in state, in chunks of `bucket`
+    milliseconds of event time; when the watermark passes a bucket's end, a timer releases the bucket, sorted by ts_ms and
+    event_id. Rows of a bucket that is out already are late and dropped. State holds what the watermark has not passed."""
+
+    def __init__(self, bucket: int):
+        self.bucket = bucket
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getMapState("held", "bucket long, n long", "rows binary")
+        self.chunks = handle.getValueState("chunks", "n long")
+
+    def wanted(self) -> bool:
+        return True
+
+    def released(self, key, rows: pd.DataFrame, until: int) -> Iterator[pd.DataFrame]:
+        """What a bucket's rows give; until is its end."""
+        raise NotImplementedError
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        if not self.wanted():
+            return
+        n = self.chunks.get()[0] if self.chunks.exists() else 0
+        out = timerValues.getCurrentWatermarkInMs()
+        for frame in rows:
+            for bucket, part in frame.groupby(frame["ts_ms"] // self.bucket):
+                end = (int(bucket) + 1) * self.bucket
+                if end > out:
+                    self.held.updateValue((int(bucket), n), (pickle.dumps(part.to_dict("list")),))
+                    self.handle.registerTimer(end)
+                    n += 1
+        self.chunks.update((n,))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        until = expiredTimerInfo.getExpiryTimeInMs()
+        due = sorted(tuple(k) for k in self.held.keys() if (k[0] + 1) * self.bucket <= until)
+        parts = [pd.DataFrame(pickle.loads(self.held.getValue(k)[0])) for k in due]
+        for k in due:
+            self.held.removeKey(k)
+        if parts and self.wanted():
+            yield from self.released(key, pd.concat(parts).sort_values(["ts_ms", "event_id"]), until)
+
+    def close(self) -> None:
+        pass
+
+
+THROUGHPUT = "run_label string, start_ms long, samples long, files long, restarts long, files_per_second double"
 
 
-class PlacementGuard(StatefulProcessor):
+class Throughput(Ordered):
+    """Per run and window: files that came in by differences of rescanned totals. A total below the one before is that of a
+    counter that began again. The last total goes from window to window."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.last = handle.getValueState("last", "total long")
+
+    def released(self, key, rows: pd.DataFrame, until: int) -> Iterator[pd.DataFrame]:
+        totals = rows["total"].to_numpy()
+        before = np.concatenate([[self.last.get()[0] if self.last.exists() else 0], totals[:-1]])
+        again = totals < before
+        files = int(np.where(again, totals, totals - before).sum())
+        self.last.update((int(totals[-1]),))
+        out = {"run_label": [key[0]], "start_ms": [until - self.bucket], "samples": [len(totals)], "files": [files], "restarts": [int(again.sum())], "files_per_second": [files * 1000.0 / self.bucket]}
+        yield pd.DataFrame(out)
+
+
+def live_throughput(samples: DataFrame, late: str = "10 minutes", window_ms: int = HOUR) -> DataFrame:
+    """samples(run_label, event_id, ts, total: files of the run so far) -> files and rate per run and tumbling window that the
+    watermark has closed and that has samples. Start it by drain(..., rocks=True)."""
+    rows = samples.withWatermark("ts", late).select("run_label", "event_id", "ts", F.unix_millis("ts").alias("ts_ms"), F.col("total").cast("long").alias("total"))
+    out = rows.groupBy("run_label").transformWithStateInPandas(Throughput(window_ms), THROUGHPUT, "Append", "EventTime")
+    return out.select("run_label", F.timestamp_millis("start_ms").alias("start"), "samples", "files", "restarts", "files_per_second")
+
+
+GUARD = "run_label string, event_id long, pid long, reason string"
+
+
+class PlacementGuard(Ordered):
     """Per run: the start time at which each pid was last seen on the target, and the first violation only. A process off the
-    target is verified while its start time is that one; the rule itself is placement_reason()'s."""
+    target is verified while its start time is that one and it was seen there within `keep` milliseconds; the rule itself is
+    placement_reason()'s. Pids that were not seen for so long are forgotten."""
 
-    def __init__(self, target: int, most_mb: float):
-        self.target, self.most_mb = target, most_mb
+    def __init__(self, bucket: int, target: int, most_mb: float, keep: int):
+        super().__init__(bucket)
+        self.target, self.most_mb, self.keep = target, most_mb, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "pid long", "start double")
+        super().init(handle)
+        self.seen = handle.getMapState("seen", "pid long", "start double, ms long")
+        self.swept = handle.getValueState("swept", "ms long")
         self.done = handle.getValueState("done", "done boolean")
 
-    def reason(self, r) -> str | None:
+    def wanted(self) -> bool:
+        return not self.done.exists()
+
+    def reason(self, r, verified: bool) -> str | None:
         active, memory = r.sm_util_percent is not None and r.sm_util_percent > 0, r.framebuffer_mb
         known = memory is not None and not pd.isna(memory)
-        verified = self.seen.containsKey((r.pid,)) and self.seen.getValue((r.pid,))[0] == r.start_time
         if r.process_type == "G" and verified and known and 0 <= memory <= self.most_mb and not active:
             return None
         big = known and memory > self.most_mb
         return "compute_context" if "C" in r.process_type else "sm_activity" if active else "framebuffer_allocation" if big else "unverified_graphics_placement"
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        if self.done.exists():
-            return
-        for r in pd.concat(list(rows)).sort_values("event_id").itertuples():
+    def released(self, key, rows: pd.DataFrame, until: int) -> Iterator[pd.DataFrame]:
+        known: dict[int, tuple[float, int] | None] = {}  # of this bucket's pids
+        for r in rows.itertuples():
+            if r.pid not in known:
+                known[r.pid] = tuple(self.seen.getValue((r.pid,))) if self.seen.containsKey((r.pid,)) else None
             if r.gpu_index == self.target:
-                self.seen.updateValue((r.pid,), (float(r.start_time),))
-            elif reason := self.reason(r):
+                known[r.pid] = (float(r.start_time), int(r.ts_ms))
+                continue
+            at = known[r.pid]
+            if reason := self.reason(r, at is not None and at[0] == r.start_time and r.ts_ms - at[1] <= self.keep):
                 self.done.update((True,))
+                for state in (self.held, self.seen):
+                    state.clear()
                 yield pd.DataFrame({"run_label": [key[0]], "event_id": [r.event_id], "pid": [r.pid], "reason": [reason]})
                 return
-
-    def close(self) -> None:
-        pass
-
-
-def placement_guard_stream(samples: DataFrame, target: int, most_mb: float = DISPLAY_CONTEXT_MB) -> DataFrame:
-    """The first violation of each run; batches must come in the order of event_id. Start it by drain(..., rocks=True)."""
-    return samples.groupBy("run_label").transformWithStateInPandas(PlacementGuard(target, most_mb), GUARD, "Append", "None")
+        for pid, value in known.items():
+            if value is not None:
+                self.seen.updateValue((pid,), value)
+        if not self.swept.exists() or until - self.swept.get()[0] >= self.keep:
+            self.swept.update((until,))
+            for k, v in [(tuple(k), tuple(v)) for k, v in self.seen.iterator()]:
+                if until - v[1] > self.keep:
+                    self.seen.removeKey(k)
+
+
+def placement_guard_stream(samples: DataFrame, target: int, most_mb: float = DISPLAY_CONTEXT_MB, late: str = "10 minutes", keep_ms: int = 24 * HOUR) -> DataFrame:
+    """The first violation of each run among samples(run_label, event_id, ts, gpu_index, pid, process_type, framebuffer_mb,
+    sm_util_percent, start_time) that the watermark has passed, in the order of ts. Start it by drain(..., rocks=True)."""
+    rows = samples.withWatermark("ts", late).withColumn("ts_ms", F.unix_millis("ts"))
+    return rows.groupBy("run_label").transformWithStateInPandas(PlacementGuard(MINUTE, target, most_mb, keep_ms), GUARD, "Append", "EventTime")
 
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
