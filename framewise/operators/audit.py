@@ -11,11 +11,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from framewise.operators.quantiles import aggregate
-from framewise.operators.rgbd import depth_stable_mask, finite, homography_from
+from framewise.operators.rgbd import finite, homography_from
 from framewise.sources.store import stash
 
 # Frame pairs of the dense audit, those of the feature audit for each pass, the last frame.
@@ -83,63 +86,132 @@ def projected(rows: DataFrame, x: str = "x", y: str = "y", depth: str = "depth",
     return rows.withColumns({"qx": focal * q[0] / safe + F.col(c) - 0.5, "qy": focal * q[1] / safe + F.col(c) - 0.5, "z": q[2]})
 
 
-def sampled(points: DataFrame, images: DataFrame, keys: list[str], values: list[str], nearest: list[str] = [], by: tuple[str, ...] = ()) -> DataFrame:  # noqa: B006
-    """points(keys, qx, qy, image_b) with the bilinear samples of `values` and the nearest ones of `nearest` of image_b; zero
-    outside. Each point goes to its four neighbours, meets them by (image, y, x) and is summed back; rows are dealt by `by`,
-    part of keys, so that later steps by them need no shuffle."""
-    x0, y0 = F.floor("qx"), F.floor("qy")
-    fx, fy = F.col("qx") - x0, F.col("qy") - y0
-    near = lambda i, j: ((fx >= 0.5) == F.lit(bool(i))) & ((fy >= 0.5) == F.lit(bool(j)))
-    corner = lambda i, j: F.struct((x0 + i).cast("int").alias("nx"), (y0 + j).cast("int").alias("ny"), ((fx if i else 1 - fx) * (fy if j else 1 - fy)).alias("w"), near(i, j).alias("near"))
-    four = points.select(*keys, "image_b", F.explode(F.array(*(corner(i, j) for i in (0, 1) for j in (0, 1)))).alias("n")).select(*keys, "image_b", "n.*")
-    there = images.select(F.col("image").alias("image_b"), F.col("x").alias("nx"), F.col("y").alias("ny"), *(F.col(v).alias(f"_{v}") for v in dict.fromkeys([*values, *nearest])))
-    met = four.join(there, ["image_b", "nx", "ny"], "left")
-    met = met.repartition(*by) if by else met
-    sums = [F.sum(F.col("w") * F.coalesce(F.col(f"_{v}").cast("double"), F.lit(0.0))).alias(f"{v}_b") for v in values]
-    return met.groupBy(*keys).agg(*sums, *(F.max(F.when(F.col("near"), F.col(f"_{v}"))).alias(f"{v}_b") for v in nearest))
+class Image:
+    """Pixel rows (y, x, values) of one image as arrays; a pixel that has no row, or no value, is zero."""
+
+    def __init__(self, rows: pa.Table, values: list[str], width: int | None = None, height: int | None = None):
+        y, x = rows["y"].to_numpy().astype(np.int64), rows["x"].to_numpy().astype(np.int64)
+        self.height = height or (int(y.max()) + 1 if len(y) else 0)
+        self.width = width or (int(x.max()) + 1 if len(x) else 0)
+        inside = (y >= 0) & (y < self.height) & (x >= 0) & (x < self.width)
+        self.of: dict[str, np.ndarray] = {}
+        for v in values:
+            self.of[v] = np.zeros((self.height, self.width))
+            self.of[v][y[inside], x[inside]] = pc.fill_null(rows[v].cast(pa.float64()), 0.0).to_numpy()[inside]
+
+    def stable(self) -> np.ndarray:
+        """Where the 3 x 3 depths, clipped at the edges, are positive and close together."""
+        d = self.of["depth"]
+        around = lambda edge: np.pad(d, 1, constant_values=edge)
+        shifted = lambda p: np.stack([p[i : i + self.height, j : j + self.width] for i in range(3) for j in range(3)])
+        low, high = shifted(around(np.inf)).min(0), shifted(around(-np.inf)).max(0)
+        return (low > 0) & np.isfinite(d) & (high - low <= np.maximum(0.08, 0.002 * d))
+
+    def _at(self, values: np.ndarray, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+        inside = (y >= 0) & (y < self.height) & (x >= 0) & (x < self.width)
+        out = np.zeros(len(x))
+        out[inside] = values[y[inside].astype(np.int64), x[inside].astype(np.int64)]
+        return out
+
+    def bilinear(self, values: np.ndarray, qx: np.ndarray, qy: np.ndarray) -> np.ndarray:
+        x, y = np.floor(qx), np.floor(qy)
+        fx, fy = qx - x, qy - y
+        return sum(np.where(np.isfinite(w := (fx if i else 1 - fx) * (fy if j else 1 - fy)), w, 0.0) * self._at(values, y + j, x + i) for i in (0, 1) for j in (0, 1))
+
+    def nearest(self, values: np.ndarray, qx: np.ndarray, qy: np.ndarray) -> np.ndarray:
+        return self._at(values, np.floor(qy) + (qy - np.floor(qy) >= 0.5), np.floor(qx) + (qx - np.floor(qx) >= 0.5))
 
 
 COLOURS = ("red", "green", "blue")
 
 
-def dense_pixels(images: DataFrame, pairs: DataFrame, poses: DataFrame, width: int, height: int, stride: int = 4, hypotheses=HYPOTHESES) -> DataFrame:
-    """Every stride-th pixel of image a under each hypothesis: in_bounds, stable, visible, error, squared colour difference and
-    support. pairs(pair, sequence, frame_a, frame_b, image_a, image_b, f, c). Support is what is visible under the correct
-    hypothesis, for all of them; it never looks at colour."""
-    masked = depth_stable_mask(images, "image")
+def sampled(points: DataFrame, images: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """points(keys, qx, qy, image_b) with the bilinear samples of `values` of image_b (v_b), zero outside, and whether the
+    nearest pixel's depths are stable (stable_b). Points meet their image's pixels in one group of the image, which is an array there;
+    no point is multiplied."""
+    names = [*keys, "qx", "qy"]
+    kinds = {f.name: f.dataType for f in points.schema}
+    schema = T_.StructType([*(T_.StructField(k, kinds[k]) for k in keys), *(T_.StructField(f"{v}_b", T_.DoubleType()) for v in values), T_.StructField("stable_b", T_.BooleanType())])
+
+    def run(points_: pa.Table, pixels: pa.Table) -> pa.Table:
+        image = Image(pixels, list(dict.fromkeys(["depth", *values])))
+        qx, qy = (points_[c].to_numpy().astype(float) for c in ("qx", "qy"))
+        with np.errstate(invalid="ignore"):
+            found = {f"{v}_b": pa.array(image.bilinear(image.of[v], qx, qy)) for v in values}
+            stable = pa.array(image.nearest(image.stable(), qx, qy) > 0)
+        return pa.table({k: points_[k] for k in keys} | found | {"stable_b": stable})
+
+    here = images.select("image", "y", "x", *dict.fromkeys(["depth", *values]))
+    return points.select("image_b", *names).groupBy("image_b").cogroup(here.groupBy("image")).applyInArrow(run, schema)
+
+
+_SUMMARY = ("mean", "median", "p95", "max")
+_DENSE = {
+    "samples": "long", "in_bounds": "long", "stable": "long", "visible": "long", **{f"{k}_error": "double" for k in _SUMMARY}, "stable_p95": "double",
+    **{f"{k}_error_all": "double" for k in _SUMMARY}, "rgb_support": "long", "rgb_sse": "double",
+}
+
+
+def _summary(e: np.ndarray) -> dict[str, float | None]:
+    return dict(zip(_SUMMARY, (e.mean(), np.quantile(e, 0.5), np.quantile(e, 0.95), e.max()), strict=True)) if len(e) else dict.fromkeys(_SUMMARY)
+
+
+def _hypothesis(m: dict, a: Image, b: Image, stable_a: np.ndarray, stable_b: np.ndarray, stride: int) -> dict[str, np.ndarray]:
+    """Every stride-th pixel of image a under one move: the masks, the depth error and the squared colour difference."""
+    y, x = (v.ravel() for v in np.mgrid[0 : a.height : stride, 0 : a.width : stride])
+    focal, c, depth = m["f"] * m["focal_scale"], m["c"], a.of["depth"][y, x]
+    u, v = (x + 0.5 - c) / focal, (y + 0.5 - c) / focal
+    d = depth * m["depth_scale"]
+    d = d / np.sqrt(u * u + v * v + 1) if m["radial"] else d
+    q = np.array([[m[k] for k in row] for row in R]) @ np.stack([u * d, v * d, d]) + np.array([[m[k]] for k in T])
+    z, safe = q[2], np.where(np.abs(q[2]) > 1e-12, q[2], 1e-12)
+    qx, qy = focal * q[0] / safe + c - 0.5, focal * q[1] / safe + c - 0.5
+    inside = (qx >= 1) & (qx < b.width - 2) & (qy >= 1) & (qy < b.height - 2) & (z > 0) & (depth > 0)
+    target = b.bilinear(b.of["depth"], qx, qy) * m["depth_scale"]
+    if m["radial"]:
+        target = target / np.sqrt(((qx + 0.5 - c) / focal) ** 2 + ((qy + 0.5 - c) / focal) ** 2 + 1)
+    error = np.abs(target - z)
+    stable = inside & stable_a[y, x] & (b.nearest(stable_b, qx, qy) > 0)
+    visible = stable & (target > 0) & (error <= np.maximum(0.1 * m["depth_scale"], 0.005 * np.abs(z)))
+    squared = sum((b.bilinear(b.of[k], qx, qy) - a.of[k][y, x]) ** 2 for k in COLOURS) / len(COLOURS)
+    return {"in_bounds": inside, "stable": stable, "visible": visible, "error": error, "squared": squared}
+
+
+def dense_pairs(images: DataFrame, pairs: DataFrame, poses: DataFrame, width: int, height: int, stride: int = 4, hypotheses=HYPOTHESES) -> DataFrame:
+    """One row for each pair and hypothesis: counts of pixels in bounds, stable and visible, summaries of the depth error over
+    the visible ones and over all in bounds, and the colour error over the support. pairs(pair, sequence, frame_a, frame_b,
+    image_a, image_b, f, c). Support is what is visible under the correct hypothesis, for all of them; it never looks at colour.
+
+    A pixel row goes to its pairs as it is, and a pair's two images (and its moves) meet in one group, where all hypotheses are
+    worked through on arrays: pixels are shuffled once for their image and once for their pairs, whatever the number of
+    hypotheses, and a group is two images."""
     moves = relative_poses(pairs, poses, hypotheses)
-    here = masked.filter((F.col("x") % stride == 0) & (F.col("y") % stride == 0)).select(F.col("image").alias("image_a"), "x", "y", "depth", F.col("stable").alias("stable_a"), *COLOURS)
-    points = projected(moves.join(here, "image_a"))
-    pixel = ["pair", "y", "x"]
-    carried = ["depth_scale", "focal_scale", "radial", "f", "c", "qx", "qy", "z", "depth", "stable_a", *COLOURS]
-    inside = F.lit(True)
-    for q, size in (("qx", width), ("qy", height)):
-        inside = inside & (F.col(q) >= 1) & (F.col(q) < size - 2)
-    inside = F.coalesce(inside & (F.col("z") > 0) & (F.col("depth") > 0), F.lit(False))
-    # What a point carries is the same in its four rows, so it is part of the key.
-    rows = sampled(points, masked, [*pixel, "mode", *carried], ["depth", *COLOURS], ["stable"], tuple(pixel))
-    focal = F.col("f") * F.col("focal_scale")
-    ray = F.sqrt(F.pow((F.col("qx") + 0.5 - F.col("c")) / focal, 2) + F.pow((F.col("qy") + 0.5 - F.col("c")) / focal, 2) + 1)
-    target = F.col("depth_b") * F.col("depth_scale")
-    rows = rows.withColumn("target", F.when(F.col("radial"), target / ray).otherwise(target)).withColumn("in_bounds", inside)
-    rows = rows.withColumn("error", F.abs(F.col("target") - F.col("z")))
-    rows = rows.withColumn("stable", F.col("in_bounds") & F.coalesce("stable_a", F.lit(False)) & F.coalesce("stable_b", F.lit(False)))
-    rows = rows.withColumn("visible", F.col("stable") & (F.col("target") > 0) & (F.col("error") <= F.greatest(0.1 * F.col("depth_scale"), 0.005 * F.abs("z"))))
-    squared = sum((F.pow(F.col(f"{v}_b") - F.col(v), 2) for v in COLOURS), F.lit(0.0)) / len(COLOURS)
-    correct = F.max(F.when(F.col("mode") == hypotheses[0], F.col("visible"))).over(Window.partitionBy(*pixel))
-    return rows.withColumn("squared", squared).withColumn("support", F.col("in_bounds") & correct).select(*pixel, "mode", "in_bounds", "stable", "visible", "support", "error", "squared")
-
-
-def dense_pairs(pixels: DataFrame) -> DataFrame:
-    """dense_pixels() -> one row for each pair and hypothesis."""
-    e = lambda c: F.when(F.col(c), F.col("error"))
-    sse, n = F.sum(F.when(F.col("support"), F.col("squared"))), F.count_if("support")
-    pct = lambda c, q: F.percentile(e(c), F.lit(q))
-    out = pixels.groupBy("pair", "mode").agg(
-        F.count("*").alias("samples"), *(F.count_if(c).alias(c) for c in ("in_bounds", "stable", "visible")),
-        F.avg(e("visible")).alias("mean_error"), pct("visible", 0.5).alias("median_error"), pct("visible", 0.95).alias("p95_error"), F.max(e("visible")).alias("max_error"),
-        pct("stable", 0.95).alias("stable_p95"), n.alias("rgb_support"), F.coalesce(sse, F.lit(0.0)).alias("rgb_sse"),
-    )
+    sides = pairs.select("pair", F.explode(F.array(*(F.struct(F.lit(s).alias("side"), F.col(f"image_{s}").alias("image")) for s in "ab"))).alias("i")).select("pair", "i.*")
+    here = images.select("image", "y", "x", "depth", *COLOURS).join(sides, "image").drop("image")
+    move = moves.select(F.col("pair").alias("of"), "mode", "f", "c", *T, *(c for r in R for c in r), "depth_scale", "focal_scale", "radial")
+
+    def run(key, pixels: pa.Table, moves_: pa.Table) -> pa.Table:
+        side = lambda s: Image(pixels.filter(pc.equal(pixels["side"], s)), ["depth", *COLOURS], width, height)
+        a, b = side("a"), side("b")
+        stable_a, stable_b = a.stable(), b.stable()
+        rows = {m["mode"]: m for m in moves_.to_pylist()}
+        out: dict[str, list] = {"mode": []} | {k: [] for k in _DENSE}
+        with np.errstate(invalid="ignore", over="ignore"):
+            found = {k: _hypothesis(rows[k], a, b, stable_a, stable_b, stride) for k in hypotheses if k in rows}
+        correct = found[hypotheses[0]]["visible"] if hypotheses[0] in found else False
+        for mode, h in found.items():
+            support = h["in_bounds"] & correct
+            row = {"samples": len(h["error"]), "stable_p95": _summary(h["error"][h["stable"]])["p95"], "rgb_support": int(support.sum()), "rgb_sse": float(h["squared"][support].sum())}
+            row |= {k: int(h[k].sum()) for k in ("in_bounds", "stable", "visible")}
+            row |= {f"{k}_error": v for k, v in _summary(h["error"][h["visible"]]).items()} | {f"{k}_error_all": v for k, v in _summary(h["error"][h["in_bounds"]]).items()}
+            for k, v in ({"mode": mode} | row).items():
+                out[k].append(v)
+        types = {"string": pa.string(), "long": pa.int64(), "double": pa.float64()}
+        columns = {k: pa.array(out[k], types[t]) for k, t in ({"mode": "string"} | _DENSE).items()}
+        return pa.table({"pair": pa.array([key[0].as_py()] * len(out["mode"]), pa.int64())} | columns)
+
+    schema = "pair long, mode string, " + ", ".join(f"{k} {t}" for k, t in _DENSE.items())
+    out = here.groupBy("pair").cogroup(move.groupBy("of")).applyInArrow(run, schema)
     out = out.withColumn("visible_fraction", F.col("visible") / F.greatest("in_bounds", F.lit(1)))
     return out.withColumn("rgb_psnr", rgb_psnr(F.col("rgb_sse"), F.col("rgb_support")))
 
@@ -168,9 +240,8 @@ def pass_evidence(rows: DataFrame) -> DataFrame:
 
 def feature_depth(matches: DataFrame, images: DataFrame) -> DataFrame:
     """matches(pair, match, image_a, ax, ay, ...) with the depth sampled at (ax, ay), where it is positive and stable."""
-    masked = depth_stable_mask(images, "image")
     points = matches.select("pair", "match", F.col("image_a").alias("image_b"), F.col("ax").alias("qx"), F.col("ay").alias("qy"))
-    got = sampled(points, masked, ["pair", "match"], ["depth"], ["stable"])
+    got = sampled(points, images, ["pair", "match"], ["depth"])
     return matches.join(got.filter("depth_b > 0 and stable_b").select("pair", "match", F.col("depth_b").alias("depth")), ["pair", "match"])
 
 

@@ -45,7 +45,7 @@ def _pairs(spark, d) -> DataFrame:
 
 
 def _dense(spark, d, hypotheses=A.HYPOTHESES) -> DataFrame:
-    return A.dense_pairs(A.dense_pixels(table(spark, d, "rgbd"), _pairs(spark, d), _poses(spark, d), SIDE, SIDE, 1, hypotheses))
+    return A.dense_pairs(table(spark, d, "rgbd"), _pairs(spark, d), _poses(spark, d), SIDE, SIDE, 1, hypotheses)
 
 
 #: Moves of every pair under every hypothesis: angle of the turn, shift, and whether both cameras' axes are flipped.
@@ -68,13 +68,13 @@ _DENSE = f"""{_REL}, {_STABLE}, q as ({_GO('x', 'y', 'depth')} (select rel.*, a.
  s as (select *, ib and coalesce(sa,false) and coalesce(st=1,false) as stab from e),
  v as (select *, stab and tgt>0 and err<=greatest(0.1*ds,0.005*abs(z)) as vis, (pow(tr-red,2)+pow(tg-green,2)+pow(tb-blue,2))/3 as sq from s),
  w as (select *, ib and bool_or(vis and mode='correct') over (partition by pair_id, x, y) as sup from v),
- dp as (select pair_id as pair, mode, count(*) as samples, count(*) filter (ib) as in_bounds, count(*) filter (stab) as stable, count(*) filter (vis) as visible, avg(err) filter (vis) as mean_error, quantile_cont(err,0.5) filter (vis) as median_error, quantile_cont(err,0.95) filter (vis) as p95_error, max(err) filter (vis) as max_error, quantile_cont(err,0.95) filter (stab) as stable_p95,
+ dp as (select pair_id as pair, mode, count(*) as samples, count(*) filter (ib) as in_bounds, count(*) filter (stab) as stable, count(*) filter (vis) as visible, avg(err) filter (vis) as mean_error, quantile_cont(err,0.5) filter (vis) as median_error, quantile_cont(err,0.95) filter (vis) as p95_error, max(err) filter (vis) as max_error, quantile_cont(err,0.95) filter (stab) as stable_p95, avg(err) filter (ib) as mean_error_all, quantile_cont(err,0.5) filter (ib) as median_error_all, quantile_cont(err,0.95) filter (ib) as p95_error_all,
    count(*) filter (sup) as rgb_support, coalesce(sum(sq) filter (sup),0) as sse, count(*) filter (vis)/greatest(count(*) filter (ib),1) as visible_fraction from w group by 1,2)"""
-_DP = f"pair, mode, samples, in_bounds, stable, visible, {_R('visible_fraction', 'visible_fraction')}, {_R('mean_error', 'mean_error')}, {_R('median_error', 'median_error')}, {_R('p95_error', 'p95_error')}, {_R('stable_p95', 'stable_p95')}, rgb_support, {_R('case when rgb_support>0 then 10*log10(65025.0/greatest(sse/rgb_support,1e-12)) end', 'rgb_psnr')}"
+_DP = f"pair, mode, samples, in_bounds, stable, visible, {_R('visible_fraction', 'visible_fraction')}, {_R('mean_error', 'mean_error')}, {_R('median_error', 'median_error')}, {_R('p95_error', 'p95_error')}, {_R('stable_p95', 'stable_p95')}, {_R('mean_error_all', 'mean_error_all')}, {_R('median_error_all', 'median_error_all')}, {_R('p95_error_all', 'p95_error_all')}, rgb_support, {_R('case when rgb_support>0 then 10*log10(65025.0/greatest(sse/rgb_support,1e-12)) end', 'rgb_psnr')}"
 
 
 def _columns() -> list:
-    return ["pair", "mode", "samples", "in_bounds", "stable", "visible", *map(_r, ("visible_fraction", "mean_error", "median_error", "p95_error", "stable_p95")), "rgb_support", _r("rgb_psnr")]
+    return ["pair", "mode", "samples", "in_bounds", "stable", "visible", *map(_r, ("visible_fraction", "mean_error", "median_error", "p95_error", "stable_p95", "mean_error_all", "median_error_all", "p95_error_all")), "rgb_support", _r("rgb_psnr")]
 
 
 @query("e8_dense_pair", f"with {_DENSE} select {_DP} from dp where mode='correct'")
