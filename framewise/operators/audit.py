@@ -125,6 +125,11 @@ class Image:
 COLOURS = ("red", "green", "blue")
 
 
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Dealt by key over all shuffle partitions: few bytes can be much work, so partitions are not to be joined by size."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def sampled(points: DataFrame, images: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """points(keys, qx, qy, image_b) with the bilinear samples of `values` of image_b (v_b), zero outside, and whether the
     nearest pixel's depths are stable (stable_b). Points meet their image's pixels in one group of the image, which is an array there;
@@ -142,7 +147,7 @@ def sampled(points: DataFrame, images: DataFrame, keys: list[str], values: list[
         return pa.table({k: points_[k] for k in keys} | found | {"stable_b": stable})
 
     here = images.select("image", "y", "x", *dict.fromkeys(["depth", *values]))
-    return points.select("image_b", *names).groupBy("image_b").cogroup(here.groupBy("image")).applyInArrow(run, schema)
+    return _dealt(points.select("image_b", *names), "image_b").groupBy("image_b").cogroup(_dealt(here, "image").groupBy("image")).applyInArrow(run, schema)
 
 
 _SUMMARY = ("mean", "median", "p95", "max")
@@ -211,7 +216,7 @@ def dense_pairs(images: DataFrame, pairs: DataFrame, poses: DataFrame, width: in
         return pa.table({"pair": pa.array([key[0].as_py()] * len(out["mode"]), pa.int64())} | columns)
 
     schema = "pair long, mode string, " + ", ".join(f"{k} {t}" for k, t in _DENSE.items())
-    out = here.groupBy("pair").cogroup(move.groupBy("of")).applyInArrow(run, schema)
+    out = _dealt(here, "pair").groupBy("pair").cogroup(_dealt(move, "of").groupBy("of")).applyInArrow(run, schema)
     out = out.withColumn("visible_fraction", F.col("visible") / F.greatest("in_bounds", F.lit(1)))
     return out.withColumn("rgb_psnr", rgb_psnr(F.col("rgb_sse"), F.col("rgb_support")))
 

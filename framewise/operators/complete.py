@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewise.sources.store import stash
+
 SEQUENCE = ["trajectory", "prefix"]
 DIRECTORY = [*SEQUENCE, "suffix", "pass_name"]
 
@@ -92,19 +94,19 @@ def classify_jobs(jobs: DataFrame) -> DataFrame:
 
 
 def output_inventory(files: DataFrame, jobs: DataFrame) -> DataFrame:
-    """files(trajectory, prefix, suffix, rel_path, size) of jobs(job_id, trajectory, prefix): per job its image files, bytes,
+    """files(trajectory, prefix, suffix, stem, ext, size: as scan_output_tree() gives them) of jobs(job_id, trajectory, prefix): per job its image files, bytes,
     frame views (stems that are distinct in a sequence's folder, over all passes) and sorted folders. Stems of four digits are
     bits of words; any other stem is a row of its own, so that 0.png beside 0000.png counts. Files are combined before the
     first shuffle; a job's folders are those of its plan."""
     folder = [*SEQUENCE, "suffix"]
-    stem = F.regexp_extract("rel_path", r"([^/]+)\.[^./]*$", 1)
-    image = files.filter(F.lower("rel_path").rlike(r"[^/]\.(png|exr|jpg|jpeg)$")).select(*folder, "size", stem.alias("stem"))
-    usual = F.when(F.col("stem").rlike(r"^[0-9]{4}$"), F.col("stem").cast("int"))
+    image = files.filter(F.lower("ext").isin("png", "exr", "jpg", "jpeg")).select(*folder, "size", "stem")
+    usual = F.when((F.length("stem") == 4) & F.col("stem").rlike("^[0-9]{4}$"), F.col("stem").cast("int"))
     words = image.groupBy(*folder, F.floor(usual / 64).alias("word"), F.when(usual.isNull(), F.col("stem")).alias("other"))
     words = words.agg(F.count("*").alias("files"), F.sum("size").alias("bytes"), F.bit_or(_bit(usual)).alias("bits"))
     views = F.sum(F.coalesce(F.bit_count("bits"), F.lit(0)) + F.col("other").isNotNull().cast("int"))
     folders = words.groupBy(*folder).agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"), views.alias("views"))
-    mine = folders.join(jobs.select("job_id", *SEQUENCE), SEQUENCE)
+    # Written, so that the planner knows its size and the jobs' keys change nothing in the plan of the files.
+    mine = stash(folders, "folders").join(jobs.select("job_id", *SEQUENCE), SEQUENCE)
     name = F.array_sort(F.collect_list(F.concat_ws("_", "prefix", "suffix")))
     return mine.groupBy("job_id").agg(F.sum("files").alias("image_files"), F.sum("bytes").alias("bytes"), F.sum("views").alias("frame_views"), name.alias("directories"))
 

@@ -272,9 +272,9 @@ def _(spark, d):
     """Some stems are no numbers, some are numbers of fewer digits, some extensions are in capitals, some files are no images."""
     t = _t(spark, d)
     jobs = t("sequences").select("trajectory", "prefix", F.expr(_JOB.format("(row_number() over (partition by map_path, target_label order by seq_no) - 1) % 3").replace("varchar(9)", "string")).alias("job_id"))
-    stem = "case when drop_key % 97 = 5 then concat('view.', frame) when drop_key % 89 = 7 then string(frame) else format_string('%04d', frame) end"
-    path = f"concat(trajectory, '/', prefix, '_', suffix, '/', pass_name, '/', {stem}, if(drop_key % 83 = 11, '.txt', if(drop_key % 3 = 0, '.PNG', '.exr')))"
-    got = C.output_inventory(t("files").withColumn("rel_path", F.expr(path)), jobs)
+    stem = "case when drop_key % 97 = 5 then concat('view.', frame) when drop_key % 89 = 7 then string(frame) else lpad(string(frame), 4, '0') end"
+    ext = "if(drop_key % 83 = 11, 'txt', if(drop_key % 3 = 0, 'PNG', 'exr'))"
+    got = C.output_inventory(t("files").withColumns({"stem": F.expr(stem), "ext": F.expr(ext)}), jobs)
     return got.withColumn("directories", F.array_join("directories", ","))
 
 

@@ -44,9 +44,10 @@ def test_frames_are_counted_once_whatever_their_number(spark):
 
 
 def test_inventory_of_a_job(spark):
-    names = ["rgb/0000.png", "depth/0000.EXR", "rgb/0.png", "rgb/a.b.jpg", "depth/a.b.jpeg", "rgb/0001.txt", "rgb/.png", "rgb/0001.png"]
-    rows = [("k", "p", "occ", f"k/p_occ/{n}", 5) for n in names] + [("k", "p", "GT", "k/p_GT/rgb/0000.png", 5), ("k", "q", "GT", "k/q_GT/rgb/0000.png", 7)]
-    files = spark.createDataFrame(rows, "trajectory string, prefix string, suffix string, rel_path string, size int")
+    names = ["rgb/0000.png", "depth/0000.EXR", "rgb/0.png", "rgb/a.b.jpg", "depth/a.b.jpeg", "rgb/0001.txt", "rgb/0001.png"]
+    split = lambda n: (n.rpartition("/")[2].rpartition(".")[0], n.rpartition(".")[2])
+    rows = [("k", "p", "occ", *split(n), 5) for n in names] + [("k", "p", "GT", "0000", "png", 5), ("k", "q", "GT", "0000", "png", 7)]
+    files = spark.createDataFrame(rows, "trajectory string, prefix string, suffix string, stem string, ext string, size int")
     jobs = spark.createDataFrame([("j", "k", "p"), ("j", "k", "none")], "job_id string, trajectory string, prefix string")
     got = complete.output_inventory(files, jobs).collect()
     # 0000, 0, a.b and 0001 are four views of one folder, whatever the pass.
