@@ -225,13 +225,14 @@ def rgb_psnr(sse: Column, n: Column) -> Column:
     return F.when(n > 0, 10 * F.log10(255.0**2 / F.greatest(sse / n, F.lit(1e-12))))
 
 
-def control_rollup(rows: DataFrame) -> DataFrame:
-    """dense_pairs() -> for each hypothesis the mean of the pairs' PSNR and that of all pixels, support, median visibility."""
+def control_rollup(rows: DataFrame, keys: tuple[str, ...] = ("mode",)) -> DataFrame:
+    """dense_pairs() -> for each hypothesis (or other keys) the mean of the pairs' PSNR and that of all pixels, support, median
+    visibility."""
     sse, n = F.sum("rgb_sse"), F.sum("rgb_support")
     pooled = F.when((n > 0) & (sse > 0), 10 * F.log10(255.0**2 / (sse / n)))
     some = [F.count("*").alias("pairs"), F.avg("rgb_psnr").alias("mean_psnr"), pooled.alias("pooled_psnr"), n.alias("rgb_support")]
-    rows = stash(rows.select("mode", "rgb_psnr", "rgb_sse", "rgb_support", "visible_fraction"), "pairs")
-    return aggregate(rows, ["mode"], some, {"median_visible": ("visible_fraction", 0.5)})
+    rows = stash(rows.select(*keys, "rgb_psnr", "rgb_sse", "rgb_support", "visible_fraction"), "pairs")
+    return aggregate(rows, list(keys), some, {"median_visible": ("visible_fraction", 0.5)})
 
 
 def pass_evidence(rows: DataFrame) -> DataFrame:
@@ -258,6 +259,58 @@ def feature_errors(matches: DataFrame, moves: DataFrame, least: int = 12) -> Dat
     return rows.groupBy("pair", "mode").agg(F.count("*").alias("matches"), F.percentile(e, F.lit(0.5)).alias("median"), F.avg(e).alias("mean"), F.max(e).alias("max"), (F.count("*") >= least).alias("qualified"))
 
 
+def feature_error_by_family(errors: DataFrame, families: DataFrame) -> DataFrame:
+    """feature_errors() and families(pair, family) -> the distribution of the right hypothesis' medians over the qualified pairs
+    of a trajectory family: pairs, least, the quartiles and the greatest. Families without such a pair have no row."""
+    rows = errors.filter((F.col("mode") == HYPOTHESES[0]) & F.col("qualified")).join(families.select("pair", "family"), "pair")
+    some = [F.count("*").alias("pairs"), F.min("median").alias("least"), F.max("median").alias("greatest")]
+    return aggregate(stash(rows.select("family", "median"), "medians"), ["family"], some, {f"q{k}": ("median", k / 4) for k in (1, 2, 3)})
+
+
+# What the verdict asks for. Metres, degrees, pixels.
+MOST_POSITION, MOST_ANGLE, MOST_INTRINSIC, MOST_FEATURE, MOST_DEPTH, MOST_STORED = 0.001, 0.01, 0.001, 1.0, 0.15, 1e-7
+
+
+def assessment(scopes: DataFrame, poses: DataFrame, raw: DataFrame, stored: DataFrame, features: DataFrame, dense: DataFrame) -> DataFrame:
+    """The verdict of each scope with its evidence, from the results of the audit's other steps:
+
+    scopes(sequence, scope); poses(sequence, position_m, rotation_deg) by frame, of pose_error(); raw(sequence, delta) of
+    raw_intrinsic_delta(); stored(sequence, pose_delta, k_delta, hash_matches, matched) of stored_payload_delta(), of those that
+    have a stored document; features(sequence, mode, median, qualified) of feature_errors() and dense(sequence, mode, suffix,
+    stable, stable_p95) of dense_pairs(), whose right hypothesis counts.
+
+    Valid: the largest errors of poses and intrinsics, the median of the qualified feature medians and that of the GT pairs'
+    95th percentiles are below the limits, and every stored document is as the fresh one. Evidence that a scope lacks is null
+    and makes it invalid, but for stored documents, which it need not have. Frames and pairs are combined by sequence before
+    they meet the scopes; medians are exact for any number of pairs."""
+    not_nan = lambda c: F.when(~F.isnan(c), F.col(c)).otherwise(F.lit(float("inf")))
+    as_is = (F.col("pose_delta") < MOST_STORED) & (F.col("k_delta") < MOST_STORED) & F.col("hash_matches") & F.col("matched")
+    of = {
+        "poses": poses.groupBy("sequence").agg(F.max(not_nan("position_m")).alias("position"), F.max(not_nan("rotation_deg")).alias("angle")),
+        "raw": raw.groupBy("sequence").agg(F.max(F.abs(not_nan("delta"))).alias("intrinsic")),
+        "stored": stored.groupBy("sequence").agg(F.bool_and(F.coalesce(as_is, F.lit(False))).alias("as_stored")),
+    }
+    rows = scopes.select("sequence", "scope")
+    for part in of.values():
+        rows = rows.join(part, "sequence", "left")
+    out = rows.groupBy("scope").agg(
+        F.count("*").alias("sequences"), F.max("position").alias("max_position_m"), F.max("angle").alias("max_rotation_deg"), F.max("intrinsic").alias("max_intrinsic_px"),
+        F.coalesce(F.bool_and("as_stored"), F.lit(True)).alias("stored_matches"),
+        F.count_if(F.col("position").isNull() | F.col("intrinsic").isNull()).alias("unchecked"),
+    )
+    right = F.col("mode") == HYPOTHESES[0]
+    named = scopes.select("sequence", "scope")
+    f = stash(features.filter(right & F.col("qualified")).join(named, "sequence").select("scope", "median"), "medians")
+    p = stash(dense.filter(right & (F.col("stable") > 0)).join(named, "sequence").select("scope", "stable_p95", F.when(F.col("suffix") == "GT", F.col("stable_p95")).alias("gt")), "p95")
+    out = out.join(aggregate(f, ["scope"], [], {"feature_median_px": ("median", 0.5)}), "scope", "left")
+    out = out.join(aggregate(p, ["scope"], [], {"gt_depth_p95_m": ("gt", 0.5), "depth_p95_m": ("stable_p95", 0.5)}), "scope", "left")
+    below = {"max_position_m": MOST_POSITION, "max_rotation_deg": MOST_ANGLE, "max_intrinsic_px": MOST_INTRINSIC, "feature_median_px": MOST_FEATURE, "gt_depth_p95_m": MOST_DEPTH}
+    valid = F.col("stored_matches") & (F.col("unchecked") == 0)
+    for c, most in below.items():
+        valid = valid & F.coalesce(F.col(c) < most, F.lit(False))
+    return out.withColumn("valid", valid)
+
+
 def _residuals(rows: DataFrame, focal: float, depth: float, name: str) -> DataFrame:
     done = projected(rows.withColumns({"focal_scale": F.lit(focal), "depth_scale": F.lit(depth), "radial": F.lit(False)}), "ax", "ay")
     return done.withColumns({f"{name}x": F.col("qx") - F.col("bx"), f"{name}y": F.col("qy") - F.col("by")}).drop("qx", "qy", "z")

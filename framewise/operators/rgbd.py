@@ -86,17 +86,6 @@ def sample_image(points: DataFrame, image: DataFrame, keys: list[str], value: st
     return found.groupBy("point", *keys).agg(F.sum(F.col("w") * F.coalesce("_v", F.lit(0.0))).alias("sample"))
 
 
-def psnr(sse: Column, n: Column) -> Column:
-    return F.when(n > 0, -10 * F.log10(F.greatest(sse / n, F.lit(1e-12))))
-
-
-def psnr_rollup(pairs: DataFrame) -> DataFrame:
-    """pairs(scope, sse, n): mean of the pairs' PSNR and the pooled one, null without support or error."""
-    rows = pairs.withColumn("psnr", psnr(F.col("sse"), F.col("n")))
-    out = rows.groupBy("scope").agg(F.count("*").alias("pairs"), F.avg("psnr").alias("mean_psnr"), F.sum("sse").alias("sse"), F.sum("n").alias("n"))
-    return out.withColumn("pooled_psnr", F.when((F.col("n") > 0) & (F.col("sse") > 0), psnr(F.col("sse"), F.col("n"))))
-
-
 def descriptor_match(left: DataFrame, right: DataFrame, ratio: float = 0.75, least: int = 8) -> DataFrame:
     """left and right(pair, id, d array): mutual nearest neighbours whose distance is under ratio of the second's, both ways,
     inside an image pair. A pair with fewer than `least` features or matches has none. Features of one image are bounded by
@@ -126,11 +115,6 @@ def homography_from(four: np.ndarray) -> np.ndarray:
     return np.linalg.svd(np.concatenate([top, low], axis=1))[2][:, -1].reshape(-1, 3, 3)
 
 
-def feature_reprojection_error(matches: DataFrame, least: int = 12) -> DataFrame:
-    """matches(pair, mode, err) -> median error of each pair and mode; qualified with `least` matches or more."""
-    return matches.groupBy("pair", "mode").agg(F.count("err").alias("matches"), F.expr("percentile(err, 0.5)").alias("median")).withColumn("qualified", F.col("matches") >= least)
-
-
 def half_float_step(depth: Column) -> Column:
     """Spacing of 16-bit floats at a depth in the normal range."""
     return F.pow(F.lit(2.0), F.floor(F.log2(depth)) - 10)
@@ -149,10 +133,6 @@ def raw_intrinsic_delta(rows: DataFrame) -> DataFrame:
     return rows.withColumn("delta", F.col("focal_mm") / F.col("film_mm") * F.col("width") - F.col("fx"))
 
 
-def assessment(position_m: Column, angle: Column, k: Column, feature: Column, p95: Column, poses_match: Column) -> Column:
-    return (position_m < 0.001) & (angle < 0.01) & (k < 0.001) & (feature < 1.0) & (p95 < 0.15) & poses_match
-
-
 def depth_display_range(pixels: DataFrame, *image: str) -> DataFrame:
     """Pixels scaled to 0..255 between the image's 1st and 99th percentile, at least 0.05 apart."""
     ends = pixels.groupBy(*image).agg(F.expr("percentile(depth, array(0.01, 0.99))").alias("p"))

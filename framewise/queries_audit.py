@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from framewise.fixtures import oracle, table
 from framewise.operators import audit as A
+from framewise.operators import pose as D
 from framewise.operators import rgbd as E
 from framewise.operators.complete import source_completeness
 from framewise.sources.store import stash
@@ -32,11 +33,15 @@ FOCAL, CENTRE, SIDE = 10.0, 4.0, 8
 
 
 def _poses(spark, d) -> DataFrame:
+    return _turned(table(spark, d, "views").withColumnRenamed("pair_id", "sequence"))
+
+
+def _turned(views: DataFrame) -> DataFrame:
     """Turned by theta about the second axis."""
     c, s, one, none = F.cos("theta"), F.sin("theta"), F.lit(1.0), F.lit(0.0)
     m = [[c, none, s], [none, one, none], [-s, none, c]]
     move = {f"r{i}{j}": m[i][j] for i in range(3) for j in range(3)} | {"t0": F.col("tx"), "t1": F.col("ty"), "t2": F.col("tz")}
-    return table(spark, d, "views").withColumnRenamed("pair_id", "sequence").withColumns(move).drop("theta", "tx", "ty", "tz")
+    return views.withColumns(move).drop("theta", "tx", "ty", "tz")
 
 
 def _pairs(spark, d) -> DataFrame:
@@ -113,14 +118,18 @@ def _matches(spark, d) -> DataFrame:
     return table(spark, d, "matches").withColumnsRenamed({"pair_id": "pair", "match_id": "match"})
 
 
-_M = f"{_REL}, {_STABLE}, fm as (select m.pair_id, m.match_id, m.ax as mx, m.ay as my, m.bx as ux, m.by as uy, sb.depth as fd from {{matches}} m join sb on sb.image=m.image_a and sb.x=m.ax and sb.y=m.ay where sb.stable and sb.depth>0), fe as (select pair_id, mode, sqrt(pow(qx-ux,2)+pow(qy-uy,2)) as e from ({_GO('mx', 'my', 'fd')} (select rel.*, mx, my, ux, uy, fd from rel join fm using (pair_id)))))))"
+_FE = f"fm as (select m.pair_id, m.match_id, m.ax as mx, m.ay as my, m.bx as ux, m.by as uy, sb.depth as fd from {{matches}} m join sb on sb.image=m.image_a and sb.x=m.ax and sb.y=m.ay where sb.stable and sb.depth>0), fe as (select pair_id, mode, sqrt(pow(qx-ux,2)+pow(qy-uy,2)) as e from ({_GO('mx', 'my', 'fd')} (select rel.*, mx, my, ux, uy, fd from rel join fm using (pair_id)))))))"
+_M = f"{_REL}, {_STABLE}, {_FE}"
+
+
+def _feature_errors(spark, d, hypotheses=A.HYPOTHESES) -> DataFrame:
+    found = A.feature_depth(_matches(spark, d).drop("depth", "family", "suffix"), table(spark, d, "rgbd"))
+    return A.feature_errors(found, A.relative_poses(_pairs(spark, d).drop("image_a", "image_b"), _poses(spark, d), hypotheses))
 
 
 @query("e14_feature_reprojection_error", f"with {_M} select pair_id as pair, mode, count(*) as matches, {_R('quantile_cont(e,0.5)', 'median')}, {_R('avg(e)', 'mean')}, {_R('max(e)', 'max')}, count(*)>=12 as qualified from fe group by 1,2")
 def _(spark, d):
-    found = A.feature_depth(_matches(spark, d).drop("depth", "family", "suffix"), table(spark, d, "rgbd"))
-    moves = A.relative_poses(_pairs(spark, d).drop("image_a", "image_b"), _poses(spark, d))
-    return A.feature_errors(found, moves).select("pair", "mode", "matches", _r("median"), _r("mean"), _r("max"), "qualified")
+    return _feature_errors(spark, d).select("pair", "mode", "matches", _r("median"), _r("mean"), _r("max"), "qualified")
 
 
 _RES = f"{_REL}, r as (select family, qx-ux as dx, qy-uy as dy from ({_GO('mx', 'my', 'fd')} (select rel.*, m.ax as mx, m.ay as my, m.bx as ux, m.by as uy, m.depth as fd from rel join {{matches}} m using (pair_id) where mode='correct')))))), a as (select case when family='rand_shell' then 'holdout' else 'training' end as part, abs(unnest([dx, dy])) as e from r)"
@@ -153,6 +162,42 @@ def _(spark, d):
     return got.select("suffix", "pairs", _r("median_visible"), "n", *map(_r, ("mean", "median", "p95", "max")))
 
 
+@query("e10_psnr_rollup", f"with {_DENSE}, p as (select dp.*, suffix, case when rgb_support>0 then 10*log10(65025.0/greatest(sse/rgb_support,1e-12)) end as ps from dp join {{audit_pairs}} on pair_id=pair) select suffix, mode, count(*) as pairs, {_R('avg(ps)', 'mean_psnr')}, {_R('case when sum(rgb_support)>0 and sum(sse)>0 then 10*log10(65025.0/(sum(sse)/sum(rgb_support))) end', 'pooled_psnr')}, cast(sum(rgb_support) as bigint) as rgb_support from p group by 1,2")
+def _(spark, d):
+    """By pass and hypothesis, from the colour errors of the dense pairs."""
+    suffix = table(spark, d, "audit_pairs").select(F.col("pair_id").alias("pair"), "suffix")
+    got = A.control_rollup(_dense(spark, d).join(suffix, "pair"), ("suffix", "mode"))
+    return got.select("suffix", "mode", "pairs", _r("mean_psnr"), _r("pooled_psnr"), "rgb_support")
+
+
+@query("e24_feature_error_by_trajectory", f"with {_M}, m as (select pair_id, quantile_cont(e,0.5) as med from fe where mode='correct' group by 1 having count(*)>=12) select family, count(*) as pairs, {_R('min(med)', 'least')}, {_R('quantile_cont(med,0.25)', 'q1')}, {_R('quantile_cont(med,0.5)', 'q2')}, {_R('quantile_cont(med,0.75)', 'q3')}, {_R('max(med)', 'greatest')} from m join {{audit_pairs}} using (pair_id) group by 1")
+def _(spark, d):
+    families = table(spark, d, "audit_pairs").select(F.col("pair_id").alias("pair"), "family")
+    got = A.feature_error_by_family(_feature_errors(spark, d, A.HYPOTHESES[:1]), families)
+    return got.select("family", "pairs", *map(_r, ("least", "q1", "q2", "q3", "greatest")))
+
+
+@query("e23_assessment", f"""with {_DENSE}, {_FE}, sc as (select pair_id, family||'/'||(pair_id % 7) as scope, suffix, pair_id % 7=1 and pair_id % 5=0 as moved, pair_id % 7=2 and pair_id % 5=0 as turned, pair_id % 7=3 and pair_id % 5=0 as zoomed, pair_id % 7=4 and pair_id % 5=0 as stale, pair_id % 7=5 and pair_id % 5=0 as other from {{audit_pairs}}),
+ ft as (select pair_id, quantile_cont(e,0.5) as med from fe where mode='correct' group by 1 having count(*)>=12), dd as (select pair as pair_id, stable_p95 as p from dp where mode='correct' and stable>0),
+ ev as (select scope, count(*) as sequences, max(case when moved then 0.25 else 0 end)::double as pos, max(case when turned then 0.05 else 0 end)::double as ang, max(case when zoomed then 0.02 else 0 end)::double as k, not bool_or(stale or other) as st, quantile_cont(med,0.5) as fm, quantile_cont(case when suffix='GT' then p end,0.5) as gt, quantile_cont(p,0.5) as dpt from sc left join ft using (pair_id) left join dd using (pair_id) group by 1)
+ select scope, sequences, {_R('pos', 'max_position_m')}, {_R('ang', 'max_rotation_deg')}, {_R('k', 'max_intrinsic_px')}, st as stored_matches, {_R('fm', 'feature_median_px')}, {_R('gt', 'gt_depth_p95_m')}, {_R('dpt', 'depth_p95_m')}, coalesce(pos<0.001 and ang<0.01 and k<0.001 and st and fm<1 and gt<0.15, false) as valid from ev""")
+def _(spark, d):
+    """The whole chain: poses against those expected, intrinsics against the lens, stored documents against fresh ones, matches
+    and dense pairs. Some sequences of five scopes of every family are wrong in one frame or one number."""
+    of = table(spark, d, "audit_pairs").selectExpr("pair_id as sequence", "pair_id as pair", "concat(family, '/', pair_id % 7) as scope", "suffix", "if(pair_id % 5 = 0, pair_id % 7, 0) as fault")
+    views = table(spark, d, "views").withColumnRenamed("pair_id", "sequence").join(of.select("sequence", "fault"), "sequence")
+    columns = {f"r{i}{j}": f"c{i}{j}" for i in range(3) for j in range(3)} | {"t0": "px", "t1": "py", "t2": "pz"}
+    fresh = views.withColumns({"theta": F.expr("if(fault = 2 and frame = 3, theta + radians(0.05D), theta)"), "tz": F.expr("if(fault = 1 and frame = 7, tz + 0.25D, tz)")})
+    poses = D.pose_error(*(_turned(v).withColumnsRenamed(columns) for v in (fresh, views)), ["sequence", "frame"])
+    raw = E.raw_intrinsic_delta(of.selectExpr("sequence", f"({FOCAL} + if(fault = 3, 0.02D, 0D)) * 36 / {SIDE} as focal_mm", "36D as film_mm", f"{SIDE} as width", f"double({FOCAL}) as fx"))
+    document = views.selectExpr("sequence", "frame", "fault", "array(cos(theta), sin(theta), tx, ty, tz) as pose", f"array({FOCAL}D, {CENTRE}D) as k", "sha2(string(sequence), 256) as source_hash")
+    old = document.withColumns({"pose": F.expr("if(fault = 4 and frame = 24, transform(pose, (v, i) -> if(i = 3, v + 0.001D, v)), pose)"), "source_hash": F.expr("if(fault = 5, sha2('other', 256), source_hash)")})
+    features = _feature_errors(spark, d, A.HYPOTHESES[:1]).withColumn("sequence", F.col("pair"))
+    dense = _dense(spark, d, A.HYPOTHESES[:1]).join(of.select("pair", "sequence", "suffix"), "pair")
+    got = A.assessment(of, poses, raw, A.stored_payload_delta(old, document), features, dense)
+    return got.select("scope", "sequences", *map(_r, ("max_position_m", "max_rotation_deg", "max_intrinsic_px")), "stored_matches", *map(_r, ("feature_median_px", "gt_depth_p95_m", "depth_p95_m")), "valid")
+
+
 @query("e20_existing_pose_delta", f"select pair_id as sequence, {_R('max(case when pair_id % 13=0 and frame=7 then 0.25::double else 0 end)', 'pose_delta', 9)}, {_R('max(case when pair_id % 11=0 then 0.5::double else 0 end)', 'k_delta', 9)}, pair_id % 7<>0 and pair_id % 17<>0 as hash_matches, pair_id % 17<>0 as matched from {{views}} group by pair_id")
 def _(spark, d):
     """A second extraction of the same poses, with planted differences and missing frames."""

@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 
 from framewise.fixtures import oracle, table
 from framewise.operators import rgbd as E
-from framewise.operators.quantiles import aggregate
-from framewise.sources.store import stash
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -98,12 +96,6 @@ def _(spark, d):
     return E.sample_image(points, t, ["tile_id"], nearest=True).select("point", "tile_id", _r("sample"))
 
 
-@query("e10_psnr_rollup", f"with p as (select label as scope, tile_id, sum(pow(depth_m,2))/1000 as sse, count(*) as n from {{tiles}} group by 1,2), q as (select *, -10*log10(greatest(sse/n,1e-12)) as ps from p) select scope, count(*) as pairs, {_R('avg(ps)', 'mean_psnr')}, {_R('-10*log10(sum(sse)/sum(n))', 'pooled_psnr')} from q group by 1")
-def _(spark, d):
-    p = _tiles(spark, d).groupBy(F.col("label").alias("scope"), "tile_id").agg((F.sum(F.pow("depth", F.lit(2.0))) / 1000).alias("sse"), F.count("*").alias("n"))
-    return E.psnr_rollup(p).select("scope", "pairs", _r("mean_psnr"), _r("pooled_psnr"))
-
-
 @query("e12_descriptor_match", """with l as (select cast(floor(vec_id/64) as bigint) as pair, vec_id as a, list_transform(embedding, lambda v: v::double) as d from {embeddings}),
  r as (select cast(floor(vec_id/64) as bigint) as pair, vec_id as b, list_transform(embedding, lambda v, i: v::double + 0.001::double*((vec_id + i - 1) % 3)) as d from {embeddings}),
  k as (select pair from (select pair, count(*) as n from l group by 1) join (select pair, count(*) as m from r group by 1) using (pair) where n>=8 and m>=8),
@@ -139,21 +131,6 @@ def _(spark, d):
     return E.raw_intrinsic_delta(rows).select("id", _r("delta"))
 
 
-@query("e23_assessment", "select label, max(depth_m)/100000<0.001 and min(depth_m)<0.01 and max(depth_m)/100000<0.001 and quantile_cont(depth_m,0.5)/20<1 and quantile_cont(depth_m,0.95)/200<0.15 and true as valid from {tiles} group by 1")
-def _(spark, d):
-    p = lambda q: F.expr(f"percentile(depth, {q})")
-    m = _tiles(spark, d).groupBy("label").agg((F.max("depth") / 100000).alias("m"), F.min("depth").alias("a"), (p(0.5) / 20).alias("f"), (p(0.95) / 200).alias("p"))
-    return m.select("label", E.assessment(F.col("m"), F.col("a"), F.col("m"), F.col("f"), F.col("p"), F.lit(True)).alias("valid"))
-
-
-@query("e24_feature_error_by_trajectory", f"with m as (select label % 5 as family, pair_id, quantile_cont(depth_m,0.5) as med from {{tiles}} group by 1,2) select family, count(*) as pairs, {_R('quantile_cont(med,0.25)', 'q1')}, {_R('quantile_cont(med,0.5)', 'q2')}, {_R('quantile_cont(med,0.75)', 'q3')} from m group by 1")
-def _(spark, d):
-    m = E.feature_reprojection_error(_tiles(spark, d).selectExpr("concat(label % 5, '-', pair_id) as pair", "'correct' as mode", "depth as err"))
-    m = stash(m.select(F.split("pair", "-")[0].cast("int").alias("family"), "median"), "medians")
-    m = aggregate(m, ["family"], [F.count("*").alias("pairs")], {f"q{k}": ("median", k / 4) for k in (1, 2, 3)})
-    return m.select("family", "pairs", *(_r(f"q{k}") for k in (1, 2, 3)))
-
-
 @query("e25_depth_display_range", f"with e as (select tile_id, quantile_cont(depth_m,0.01) as lo, greatest(quantile_cont(depth_m,0.99), quantile_cont(depth_m,0.01)+0.05) as hi from {{tiles}} group by 1) select tile_id, x, y, {_R('greatest(0.0,least(255.0,(depth_m-lo)/(hi-lo)*255))', 'shade')} from {{tiles}} join e using (tile_id)")
 def _(spark, d):
     return E.depth_display_range(_tiles(spark, d), "tile_id").select("tile_id", "x", "y", _r("shade"))

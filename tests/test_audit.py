@@ -94,3 +94,49 @@ def test_homography_gate(spark):
     df = spark.createDataFrame([tuple(float(v) if isinstance(v, np.floating) else v for v in r) for r in rows], "pair int, k int, ax double, ay double, bx double, by double, good boolean")
     kept = audit.homography_gate(df).collect()
     assert len(kept) == 180 and all(r.good for r in kept)
+
+
+def verdict(spark, **change):
+    """Scopes a and b are sound, c has no matches, d no stable GT pair, e no stored document; `change` replaces tables."""
+    t = {
+        "scopes": ([(k, s, "extra") for k, s in enumerate("aabbcde")], "sequence int, scope string, frame string"),
+        "poses": ([(k, 1e-4 * f, 1e-3 * f) for k in range(7) for f in range(3)], "sequence int, position_m double, rotation_deg double"),
+        "raw": ([(k, -1e-4) for k in range(7)], "sequence int, delta double"),
+        "stored": ([(k, 0.0, 0.0, True, True) for k in range(6)], "sequence int, pose_delta double, k_delta double, hash_matches boolean, matched boolean"),
+        "features": ([(k, m, e, q) for k in (0, 1, 2, 3, 5, 6) for m, e, q in (("correct", 0.2 + k / 10, True), ("focal_x2", 30.0, True), ("correct", 99.0, False))], "sequence int, mode string, median double, qualified boolean"),
+        "dense": ([(k, "correct", "GT" if k != 5 else "occ", 4, 0.1 + k / 1000) for k in range(7)] + [(0, "correct", "GT", 0, None), (0, "focal_x2", "GT", 9, 5.0)], "sequence int, mode string, suffix string, stable int, stable_p95 double"),
+    }
+    t |= {k: (rows, t[k][1]) for k, rows in change.items()}
+    return {r.scope: r for r in audit.assessment(*(spark.createDataFrame(*v) for v in t.values())).collect()}
+
+
+def test_verdict_and_its_evidence(spark):
+    r = verdict(spark)
+    assert {k: v.valid for k, v in r.items()} == {"a": True, "b": True, "c": False, "d": False, "e": True}
+    assert (r["a"].sequences, r["a"].max_position_m, r["a"].max_rotation_deg, r["a"].max_intrinsic_px) == (2, 2e-4, 2e-3, 1e-4)
+    assert np.isclose(r["a"].feature_median_px, 0.25) and np.isclose(r["b"].gt_depth_p95_m, 0.1025)
+    assert r["c"].feature_median_px is None and r["d"].gt_depth_p95_m is None and np.isclose(r["d"].depth_p95_m, 0.105)
+    assert verdict(spark, scopes=[]) == {}
+
+
+@pytest.mark.parametrize("table, rows", [
+    ("poses", [(k, 0.0011 if k == 1 else 0.0, 0.0) for k in range(7)]),
+    ("poses", [(k, 0.0, 0.011 if k == 1 else 0.0) for k in range(7)]),
+    ("poses", [(k, float("nan") if k == 1 else 0.0, 0.0) for k in range(7)]),
+    ("poses", [(k, 0.0, 0.0) for k in range(7) if k != 1]),
+    ("raw", [(k, -0.002 if k == 1 else 0.0) for k in range(7)]),
+    ("stored", [(1, 2e-7, 0.0, True, True)]),
+    ("stored", [(1, 0.0, 0.0, False, True)]),
+    ("stored", [(1, None, None, False, False)]),
+    ("features", [(k, "correct", 2.0 if k < 2 else 0.5, True) for k in range(7)]),
+])
+def test_one_fault_turns_the_verdict_of_its_scope(spark, table, rows):
+    r = verdict(spark, **{table: rows})
+    assert not r["a"].valid and r["b"].valid
+
+
+def test_distribution_of_a_family(spark):
+    errors = spark.createDataFrame([(k, m, float(k), k != 5) for k in range(8) for m in ("correct", "focal_x2")], "pair int, mode string, median double, qualified boolean")
+    families = spark.createDataFrame([(k, "x" if k < 6 else "y" if k == 6 else None) for k in range(9)], "pair int, family string")
+    got = {r.family: (r.pairs, r.least, r.q1, r.q2, r.q3, r.greatest) for r in audit.feature_error_by_family(errors, families).collect()}
+    assert got == {"x": (5, 0.0, 1.0, 2.0, 3.0, 4.0), "y": (1, *[6.0] * 5), None: (1, *[7.0] * 5)}
