@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from framewise.fixtures import oracle, table
 from framewise.operators import plan as P
 from framewise.sources import capture as A
+from framewise.sources import pose_store as PS
 from framewise.sources.listing import walk
 from framewise.sources.png import SIGNATURE
 from framewise.sources.store import new_folder
@@ -143,16 +144,23 @@ def _(spark, d):
     return spark.read.schema("sequence_id string, occ_directory string, gt_directory string").option("header", True).csv(path)
 
 
-@query("a11_write_pose_pairs", "select prefix, suffix, case when n % 5=0 then 'written' when n % 7=0 and suffix='occ' then 'conflict' else 'unchanged' end as status from (select prefix, min(seq_no) as n from {sequences} group by 1) q cross join (values ('GT'),('occ')) s(suffix)")
+@query("a11_write_pose_pairs", """with s as (select prefix, suffix, n, case when n % 5=0 then 'written' when n % 7=0 and suffix='occ' then 'conflict' else 'unchanged' end as status from (select prefix, min(seq_no) as n from {sequences} group by 1) q cross join (values ('GT'),('occ')) s(suffix))
+ select prefix, suffix, status, sha256(case when status='unchanged' then '{"pose": 1.0, "prefix": "'||prefix||'"}' else '{"prefix": "'||prefix||'", "pose": 1}' end) as sha256 from s""")
 def _(spark, d):
+    """Over documents of another key order, some of another pose, and some missing: a conflict first refuses the version, then is
+    overwritten. The digests are of the documents read back."""
     one = table(spark, d, "sequences").groupBy("prefix").agg(F.min("seq_no").alias("n"))
-    payloads = one.select("prefix", F.concat(F.lit("pose "), "prefix").alias("content"), F.sha2("prefix", 256).alias("source_hash"), F.sha2("prefix", 256).alias("current_hash"))
-    existing = one.filter("n % 5 <> 0").withColumn("suffix", F.explode(F.array(F.lit("GT"), F.lit("occ")))).selectExpr("prefix", "suffix", "concat('pose ', prefix, if(n % 7 = 0 and suffix = 'occ', '!', '')) as content")
-    status = A.pose_pair_status(payloads, existing)
-    path = new_folder(spark, "pose-pairs")
-    if A.write_pose_pairs(status, path) or not A.write_pose_pairs(status, path, overwrite=True):
+    hashed = F.sha2("prefix", 256)
+    payloads = one.select("prefix", F.format_string('{"prefix": "%s", "pose": 1}', "prefix").alias("content"), hashed.alias("source_hash"), hashed.alias("current_hash"))
+    there = one.filter("n % 5 <> 0").withColumn("suffix", F.explode(F.array(*map(F.lit, PS.SUFFIXES))))
+    pose = F.expr("if(n % 7 = 0 and suffix = 'occ', '2.0', '1.0')")
+    root = new_folder(spark, "pose-store")
+    PS.write_documents(there.select("prefix", "suffix", F.format_string('{"pose": %s, "prefix": "%s"}', pose, "prefix").alias("content"), hashed.alias("source_hash")), root)
+    if PS.write_pose_pairs(payloads, root)[1] is not None:
         raise RuntimeError("a conflict must refuse a version unless overwriting is asked for")
-    return spark.read.schema(status.schema).parquet(path).select("prefix", "suffix", "status")
+    status, _version = PS.write_pose_pairs(payloads, root, overwrite=True)
+    found = PS.read_documents(spark, root).select("prefix", "suffix", F.sha2("content", 256).alias("sha256"))
+    return status.join(found, ["prefix", "suffix"]).select("prefix", "suffix", "status", "sha256")
 
 
 @query("a12_write_report", "select trajectory, count(*) as files, cast(sum(size) as bigint) as bytes from {files} group by 1")

@@ -188,25 +188,5 @@ def exr_header_audit(paths: DataFrame, root: str = "") -> DataFrame:
     return paths.select("path").mapInArrow(run, "path string, channels map<string,string>").select("path", F.explode_outer("channels").alias("channel", "type"))
 
 
-def pose_pair_status(payloads: DataFrame, existing: DataFrame) -> DataFrame:
-    """payloads(prefix, content, source_hash, current_hash) against existing(prefix, suffix, content): for both suffixes
-    written, unchanged or conflict; source_changed where the source is no longer what the payload was made of."""
-    both = payloads.withColumn("suffix", F.explode(F.array(F.lit("GT"), F.lit("occ"))))
-    old = existing.select("prefix", "suffix", F.sha2("content", 256).alias("old"))
-    rows = both.join(old, ["prefix", "suffix"], "left").withColumn("new", F.sha2("content", 256))
-    status = F.when(~F.col("source_hash").eqNullSafe(F.col("current_hash")), "source_changed").when(F.col("old").isNull(), "written").when(F.col("old") == F.col("new"), "unchanged").otherwise("conflict")
-    return rows.select("prefix", "suffix", status.alias("status"), "content")
-
-
-def write_pose_pairs(status: DataFrame, path: str, overwrite: bool = False) -> bool:
-    """Write all pairs as a new version, or none: a conflict (unless overwriting) or a changed source refuses the version.
-    The version becomes visible by Spark's committer, which writes its _SUCCESS mark last."""
-    refused = ["source_changed"] + ([] if overwrite else ["conflict"])
-    if not status.filter(F.col("status").isin(refused)).isEmpty():
-        return False
-    status.write.parquet(path)
-    return True
-
-
 def write_report(metrics: DataFrame, path: str) -> None:
     metrics.coalesce(1).write.json(path)
