@@ -75,6 +75,22 @@ def scene_visibility_matrix(targets: DataFrame, actors: DataFrame) -> DataFrame:
     return rows.select("map_path", "target", "actor", "suffix", visible.alias("visible"))
 
 
+def visibility_rules(actors: DataFrame) -> DataFrame:
+    """actors(map_path, actor, is_occluder) -> one row an actor with its rule: `occ`, shown in that pass whatever the target, or
+    `target`, shown in both passes when it is the target. An actor without is_occluder is no occluder."""
+    return actors.select("map_path", "actor", F.when(F.col("is_occluder"), "occ").otherwise("target").alias("rule"))
+
+
+def visible_actors(asked: DataFrame, rules: DataFrame) -> DataFrame:
+    """asked(map_path, target, suffix) and visibility_rules() -> the actors that are visible then: the visible rows of
+    scene_visibility_matrix() for what is asked, without the pairs of targets that hide each other. Occluders meet only what is
+    asked of the occ pass, and a target only itself."""
+    of = lambda rule: rules.filter(F.col("rule") == rule).drop("rule")
+    asked = asked.select("map_path", "target", "suffix")
+    own = asked.join(of("target").withColumn("target", F.col("actor")), ["map_path", "target"])
+    return own.unionByName(asked.filter("suffix = 'occ'").join(of("occ"), "map_path"))
+
+
 def select_actors(actors: DataFrame, prefix: str) -> DataFrame:
     """Actors by label prefix, with their place in label order."""
     return actors.filter(F.col("label").startswith(prefix)).withColumn("place", F.row_number().over(Window.partitionBy("map_path").orderBy("label")))

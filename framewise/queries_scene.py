@@ -141,6 +141,14 @@ def _(spark, d):
     return G.scene_visibility_matrix(t.selectExpr("map_path", "target_label as target"), actors)
 
 
+@query("g7_visible_actors", "with p as (select unnest(['occ','GT']) as suffix) select map_path, target_label as target, target_label as actor, suffix from {targets} cross join p union all select map_path, target_label, 'Tree_'||m.map_id, 'occ' from {targets} t join {maps} m using (map_path)")
+def _(spark, d):
+    t, m = table(spark, d, "targets"), table(spark, d, "maps")
+    actors = t.selectExpr("map_path", "target_label as actor", "false as is_occluder").unionByName(m.selectExpr("map_path", "concat('Tree_', map_id) as actor", "true as is_occluder"))
+    asked = t.selectExpr("map_path", "target_label as target", "explode(array('occ', 'GT')) as suffix")
+    return G.visible_actors(asked, G.visibility_rules(actors))
+
+
 @query("g8_select_actors", "select map_path, target_label as label, row_number() over (partition by map_path order by target_label) as place from {targets} where target_label like 'Target_0000%'")
 def _(spark, d):
     return G.select_actors(table(spark, d, "targets").selectExpr("map_path", "target_label as label"), "Target_0000")

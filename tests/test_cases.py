@@ -262,3 +262,15 @@ def test_descriptors_of_all_rows_match(spark):
     ids = {r.vec_id for r in table(spark, d, "embeddings").select("vec_id").collect()}
     blocks = {k: sum(i // 64 == k for i in ids) for k in {i // 64 for i in ids}}
     assert {(r.a, r.b) for r in found.collect()} == {(i, i) for i in ids if blocks[i // 64] >= 8}
+
+
+def test_visible_actors_are_the_visible_rows_of_the_matrix(spark):
+    from framewise.operators import scene
+
+    actors = spark.createDataFrame([("m", a, o) for a, o in (("t1", False), ("t2", False), ("t3", None), ("tree", True), ("rock", True))] + [("n", "t1", False), ("o", "tree", True)], "map_path string, actor string, is_occluder boolean")
+    targets = spark.createDataFrame([("m", "t1"), ("m", "t2"), ("m", "gone"), ("n", "t1"), ("o", "t9")], "map_path string, target string")
+    rows = lambda df: sorted(map(tuple, df.select("map_path", "target", "actor", "suffix").collect()))
+    asked = targets.selectExpr("map_path", "target", "explode(array('occ', 'GT')) as suffix", "1 as actor")
+    got = scene.visible_actors(asked, scene.visibility_rules(actors))
+    assert rows(got) == rows(scene.scene_visibility_matrix(targets, actors).filter("visible"))
+    assert rows(scene.visible_actors(asked.filter("target = 't1' and suffix = 'GT'"), scene.visibility_rules(actors))) == [("m", "t1", "t1", "GT"), ("n", "t1", "t1", "GT")]
