@@ -316,9 +316,10 @@ def _residuals(rows: DataFrame, focal: float, depth: float, name: str) -> DataFr
     return done.withColumns({f"{name}x": F.col("qx") - F.col("bx"), f"{name}y": F.col("qy") - F.col("by")}).drop("qx", "qy", "z")
 
 
-def fit_scales(matches: DataFrame, rounds: int = 12) -> tuple[float, float]:
-    """matches with moves (r.., t.., f, c, ax, ay, bx, by, depth) -> the focal and depth scale of least soft-L1 cost, by damped
-    Gauss-Newton steps on their logarithms. A round is one aggregate of the normal equations, six sums, over all matches."""
+def fit_scales(matches: DataFrame, rounds: int = 40) -> tuple[float, float]:
+    """matches with moves (r.., t.., f, c, ax, ay, bx, by, depth) -> the focal and depth scale of least soft-L1 cost, their
+    logarithms within 1.5, by damped Gauss-Newton steps on those. A round is one aggregate of the normal equations, six sums,
+    over all matches; it ends when a step gains nothing, after 40 rounds at most. No matches: (1, 1)."""
     p, step, cost, best = np.zeros(2), 1e-4, np.inf, np.zeros(2)
     damp = 1e-3
     for _ in range(rounds):
@@ -341,6 +342,8 @@ def fit_scales(matches: DataFrame, rounds: int = 12) -> tuple[float, float]:
                 break
         else:
             damp *= 10
+            if damp > 1e7:
+                break
         p = np.clip(best - np.linalg.solve(normal + damp * np.diag(np.diag(normal)) + 1e-12 * np.eye(2), slope), -1.5, 1.5)
     return float(np.exp(best[0])), float(np.exp(best[1]))
 

@@ -18,8 +18,8 @@ def trajectory_product(kinds: DataFrame, heights_cm: DataFrame, yaws: DataFrame)
     return rows.withColumn("collides", F.count("*").over(Window.partitionBy("name")) > 1)
 
 
-def validate_plan(plan: DataFrame, maps: DataFrame, targets: DataFrame, views: int = 25) -> DataFrame:
-    """Rows with at least one violated rule; codes in rule order, comma-joined."""
+def checked(plan: DataFrame, maps: DataFrame, targets: DataFrame, views: int = 25) -> DataFrame:
+    """Every row of the plan with the codes of the rules that it violates, in rule order and comma-joined; none is ''."""
     m = maps.select("map_path", F.col("split").alias("m_split"), F.col("source_scene").alias("m_scene"), F.lit(True).alias("m_known"))
     t = targets.select("map_path", "target_label").distinct().withColumn("t_known", F.lit(True))
     rules = {
@@ -31,7 +31,12 @@ def validate_plan(plan: DataFrame, maps: DataFrame, targets: DataFrame, views: i
     }
     codes = F.array_compact(F.array(*(F.when(c, F.lit(k)) for k, c in rules.items())))
     joined = plan.join(m, "map_path", "left").join(t, ["map_path", "target_label"], "left")
-    return joined.select("sequence_id", "seq_no", F.array_join(codes, ",").alias("codes")).filter("codes <> ''")
+    return joined.select(*(plan[c] if c not in ("map_path", "target_label") else F.col(c) for c in plan.columns), F.array_join(codes, ",").alias("codes"))
+
+
+def validate_plan(plan: DataFrame, maps: DataFrame, targets: DataFrame, views: int = 25) -> DataFrame:
+    """Rows with at least one violated rule; codes in rule order, comma-joined."""
+    return checked(plan, maps, targets, views).select("sequence_id", "seq_no", "codes").filter("codes <> ''")
 
 
 def unsupported_recipe(plan: DataFrame, product: DataFrame) -> DataFrame:
@@ -51,10 +56,10 @@ def duplicate_recipes(plan: DataFrame) -> DataFrame:
     return out
 
 
-def first_of_recipe(plan: DataFrame) -> DataFrame:
-    """The plan without later rows of a recipe: an aggregate with map-side combination, no window."""
-    rest = [c for c in plan.columns if c not in RECIPE]
-    return plan.groupBy(*RECIPE).agg(F.min_by(F.struct(*rest), "seq_no").alias("r")).select(*RECIPE, "r.*").select(plan.columns)
+def first_of(plan: DataFrame, keys: list[str]) -> DataFrame:
+    """The plan without later rows of the same keys: an aggregate with map-side combination, no window."""
+    rest = [c for c in plan.columns if c not in keys]
+    return plan.groupBy(*keys).agg(F.min_by(F.struct(*rest), "seq_no").alias("r")).select(*keys, "r.*").select(plan.columns)
 
 
 def select_plan(plan: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -69,13 +74,32 @@ def task_limit(plan: DataFrame, n: int) -> DataFrame:
     return plan.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n).drop("rn")
 
 
-def assign_shards(plan: DataFrame, shards: int, limit: int | None = None) -> DataFrame:
-    """Jobs: the rows of each map and target dealt in strides after the limit; job id, and its tasks in order."""
-    w = Window.partitionBy("map_path", "target_label").orderBy("seq_no")
-    rows = (plan if limit is None else task_limit(plan, limit)).withColumn("rn", F.row_number().over(w) - 1)
+def places(plan: DataFrame, keys: list[str], block: int = 1_000_000) -> DataFrame:
+    """The plan with rn, a row's place from 0 among those of its keys in file order (equal seq_no: in any order; null first).
+    Rows are ordered inside blocks of the file and blocks counted apart, so a group of any size is no single task."""
+    rows = plan.withColumn("_block", F.coalesce(F.floor(F.col("seq_no") / block), F.lit(-1)))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    counts = rows.groupBy(*keys, "_block").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(before, F.lit(0)))
+    counts = counts.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_block").alias("_at"), "_before")
+    here = F.col("_block") == F.col("_at")
+    for k in keys:
+        here = here & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy("seq_no")) - 1
+    return rows.withColumn("_in", inside).join(counts, here).select(*plan.columns, (F.col("_before") + F.col("_in")).alias("rn"))
+
+
+def job_tasks(plan: DataFrame, shards: int, limit: int | None = None, block: int = 1_000_000) -> DataFrame:
+    """A row per task: the rows of each map and target dealt in strides after the limit; its job and its place there."""
+    rows = places(plan if limit is None else task_limit(plan, limit), ["map_path", "target_label"], block)
     short = F.element_at(F.split("map_path", "/"), -1)
-    rows = rows.withColumn("job_id", F.format_string("%s_%s_s%03d", short, "target_label", F.pmod("rn", F.lit(shards))))
-    ordered = F.sort_array(F.collect_list(F.struct("rn", "sequence_id")))
+    job = F.format_string("%s_%s_s%03d", short, "target_label", F.pmod("rn", F.lit(shards)))
+    return rows.select(job.alias("job_id"), "map_path", "target_label", F.floor(F.col("rn") / shards).alias("place"), "sequence_id")
+
+
+def assign_shards(plan: DataFrame, shards: int, limit: int | None = None) -> DataFrame:
+    """Jobs with their tasks in order, each job's as one string; job_tasks is the form for jobs of any size."""
+    ordered = F.sort_array(F.collect_list(F.struct("place", "sequence_id")))
+    rows = job_tasks(plan, shards, limit)
     return rows.groupBy("job_id", "map_path", "target_label").agg(F.count("*").alias("tasks"), F.array_join(F.transform(ordered, lambda x: x["sequence_id"]), ",").alias("sequence_ids"))
 
 
@@ -133,16 +157,23 @@ def target_shard_select(targets: DataFrame, named: DataFrame, shards: int) -> tu
     return rows, named.join(known, ["map_path", "target_label"], "left_anti")
 
 
-def job_row_rules(jobs: DataFrame, shards: int) -> DataFrame:
-    """jobs(job_id, map_path, shard_index, tasks array, targets array) -> violated rules of each job, comma-joined."""
+def job_row_rules(jobs: DataFrame, tasks: DataFrame, targets: DataFrame, shards: int) -> DataFrame:
+    """jobs(job_id, map_path, shard_index), tasks(job_id, kind, height, yaw), targets(job_id, target) -> violated rules of each
+    job, comma-joined. Repeats are counted by value and then by job, so no job's tasks are gathered. A null path or shard index
+    violates its rule."""
+    finite = lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False))
+    task = tasks.groupBy("job_id", "kind", "height", "yaw").agg(F.count("*").alias("n"))
+    task = task.groupBy("job_id").agg((F.max("n") > 1).alias("again"), F.bool_or(~(finite("height") & finite("yaw"))).alias("odd"))
+    target = targets.groupBy("job_id", "target").agg(F.count("*").alias("n")).groupBy("job_id").agg((F.max("n") > 1).alias("twice"))
     rules = {
-        "duplicate_task": F.size(F.array_distinct("tasks")) < F.size("tasks"),
-        "duplicate_target": F.size(F.array_distinct("targets")) < F.size("targets"),
-        "package_path": ~F.col("map_path").rlike(r"^/Game/[A-Za-z0-9_/]+$"),
-        "shard_index": (F.col("shard_index") < 0) | (F.col("shard_index") >= shards),
-        "not_finite": F.exists("tasks", lambda t: F.isnan(t["height"]) | F.isnan(t["yaw"]) | t["height"].isNull() | t["yaw"].isNull()),
+        "duplicate_task": F.col("again"),
+        "duplicate_target": F.col("twice"),
+        "package_path": ~F.coalesce(F.col("map_path").rlike(r"^/Game/[A-Za-z0-9_/]+$"), F.lit(False)),
+        "shard_index": ~F.coalesce(F.col("shard_index").between(0, shards - 1), F.lit(False)),
+        "not_finite": F.col("odd"),
     }
-    return jobs.select("job_id", F.array_join(F.array_compact(F.array(*(F.when(c, F.lit(k)) for k, c in rules.items()))), ",").alias("codes"))
+    codes = F.array_join(F.array_compact(F.array(*(F.when(c, F.lit(k)) for k, c in rules.items()))), ",")
+    return jobs.join(task, "job_id", "left").join(target, "job_id", "left").select("job_id", codes.alias("codes"))
 
 
 def map_resolution(names: DataFrame, packages: DataFrame) -> DataFrame:

@@ -10,10 +10,11 @@ from framewise.sources.store import stash
 
 
 def remaining_by_map(rows: DataFrame, maps: DataFrame, targets: DataFrame, files: DataFrame, passes: DataFrame, suffixes: DataFrame, frames: int = 25) -> DataFrame:
-    """Drop rows that violate the manifest, keep each recipe's first, name them, compare with the files, count per map. Rows
-    are named in place and files counted by directory, then by sequence, so each table is read once and met once."""
-    bad = plan.validate_plan(rows, maps, targets).select("sequence_id")
-    good = plan.first_of_recipe(rows.join(bad, "sequence_id", "left_anti"))
+    """Drop rows that violate the manifest, keep each id's first and then each recipe's, name them, compare with the files,
+    count per map. A bad row takes no good one of its id along. Rows are named in place and files counted by directory, then by
+    sequence, so each table is read once and met once."""
+    good = plan.checked(rows, maps, targets).filter("codes = ''")
+    good = plan.first_of(plan.first_of(good, ["sequence_id"]), plan.RECIPE)
     prefix = plan.canonical_prefix(F.element_at(F.split("map_path", "/"), -1), F.col("target_label"), F.col("height_m"), F.col("yaw_deg"))
     named = good.select("map_path", "trajectory", prefix.alias("prefix")).distinct()
     found = complete.directories(files, frames).filter("complete").select(*complete.DIRECTORY)

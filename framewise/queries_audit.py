@@ -135,12 +135,25 @@ def _(spark, d):
 _RES = f"{_REL}, r as (select family, qx-ux as dx, qy-uy as dy from ({_GO('mx', 'my', 'fd')} (select rel.*, m.ax as mx, m.ay as my, m.bx as ux, m.by as uy, m.depth as fd from rel join {{matches}} m using (pair_id) where mode='correct')))))), a as (select case when family='rand_shell' then 'holdout' else 'training' end as part, abs(unnest([dx, dy])) as e from r)"
 
 
+def _parts(spark, d) -> DataFrame:
+    moves = A.relative_poses(_pairs(spark, d).drop("image_a", "image_b"), _poses(spark, d), A.HYPOTHESES[:1])
+    part = F.when(F.col("family") == "rand_shell", "holdout").otherwise("training").alias("part")
+    return stash(_matches(spark, d).select("pair", part, "ax", "ay", "bx", "by", "depth").join(moves, "pair"), "matches")
+
+
+@query("e15_scale_values")
+def _(spark, d):
+    """Both parts' summaries before and after the fit, with the scales that the training part gave: values, no truths."""
+    rows = _parts(spark, d)
+    focal, depth = A.fit_scales(rows.filter("part = 'training'"))
+    got = A.scale_report(rows, focal, depth).withColumns({"focal_scale": F.lit(focal), "depth_scale": F.lit(depth)})
+    return got.select("part", "fit", "n", "mean", "median", "p95", "max", "focal_scale", "depth_scale")
+
+
 @query("e15_fit_scales", f"with {_RES} select part, count(*) as n, {_R('avg(e)', 'mean')}, {_R('quantile_cont(e,0.5)', 'median')}, {_R('quantile_cont(e,0.95)', 'p95')}, {_R('max(e)', 'max')}, true as better_after, true as scales_found from a group by 1")
 def _(spark, d):
     """Summaries before the fit; afterwards both medians must be lower and the planted scales (1.05 and 0.97) found."""
-    moves = A.relative_poses(_pairs(spark, d).drop("image_a", "image_b"), _poses(spark, d), A.HYPOTHESES[:1])
-    part = F.when(F.col("family") == "rand_shell", "holdout").otherwise("training").alias("part")
-    rows = stash(_matches(spark, d).select("pair", part, "ax", "ay", "bx", "by", "depth").join(moves, "pair"), "matches")
+    rows = _parts(spark, d)
     focal, depth = A.fit_scales(rows.filter("part = 'training'"))
     both = A.scale_report(rows, focal, depth)
     after = both.filter("fit = 'after'").select("part", F.col("median").alias("_after"))

@@ -92,6 +92,12 @@ def _(spark, d):
     return P.assign_shards(_t(spark, d)("plan_rows"), 3)
 
 
+@query("b7_job_tasks", """with a as (select *, row_number() over (partition by map_path, target_label order by seq_no) - 1 as rn from {plan_rows})
+ select printf('%s_%s_s%03d', string_split(map_path,'/')[-1], target_label, rn % 3) as job_id, map_path, target_label, rn // 3 as place, sequence_id from a""")
+def _(spark, d):
+    return P.job_tasks(_t(spark, d)("plan_rows"), 3)
+
+
 @query("b8_plan_summary", "with s as (select split, map_path, count(*) as sequences, count(distinct target_label) as targets from {plan_rows} group by grouping sets ((split),(map_path),())), j as (select min(split) as split, map_path, least(count(*),3) as n from {plan_rows} group by map_path, target_label), k as (select split, map_path, sum(n) as jobs from j group by grouping sets ((split),(map_path),())) select s.*, cast(coalesce(jobs,0) as bigint) as jobs from s left join k on k.split is not distinct from s.split and k.map_path is not distinct from s.map_path")
 def _(spark, d):
     return P.plan_summary(_t(spark, d)("plan_rows"))
@@ -129,9 +135,10 @@ def _(spark, d):
 @query("b13_job_row_rules", """with j as (select map_path||'#'||target_label as job_id, map_path, count(*) % 4 as shard_index, count(*) as n, count(distinct (trajectory, height_m, yaw_deg)) as nd, count(distinct source_scene) as td from {plan_rows} group by 1, 2)
  select job_id, concat_ws(',', case when nd < n then 'duplicate_task' end, case when td < n then 'duplicate_target' end, case when shard_index >= 3 then 'shard_index' end) as codes from j""")
 def _(spark, d):
-    task = F.struct("trajectory", F.col("height_m").alias("height"), F.col("yaw_deg").alias("yaw"))
-    jobs = _t(spark, d)("plan_rows").groupBy(F.concat("map_path", F.lit("#"), "target_label").alias("job_id"), "map_path").agg((F.count("*") % 4).alias("shard_index"), F.collect_list(task).alias("tasks"), F.collect_list("source_scene").alias("targets"))
-    return P.job_row_rules(jobs, 3)
+    rows = _t(spark, d)("plan_rows").withColumn("job_id", F.concat("map_path", F.lit("#"), "target_label"))
+    jobs = rows.groupBy("job_id", "map_path").agg((F.count("*") % 4).alias("shard_index"))
+    tasks = rows.select("job_id", F.col("trajectory").alias("kind"), F.col("height_m").alias("height"), F.col("yaw_deg").alias("yaw"))
+    return P.job_row_rules(jobs, tasks, rows.select("job_id", F.col("source_scene").alias("target")), 3)
 
 
 @query("b14_map_resolution", """with n as (select string_split(map_path,'/')[-1] as name from {maps} union all select source_scene from {maps}), p as (select distinct map_path as package from {maps} union select '/Game/Other/'||string_split(map_path,'/')[-1] from {maps} where map_id % 5 = 0),

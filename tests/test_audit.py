@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from framewise import queries_audit
 from framewise.operators import audit
 
 
@@ -81,6 +82,34 @@ def test_scales_are_found(spark, cameras):
     assert audit.fit_scales(m.limit(0)) == (1.0, 1.0)
 
 
+def test_scale_values_of_the_query(spark):
+    """The registered query against numpy: no scales near those found have less soft-L1 cost, and the summaries are right."""
+    sf = "/root/testdata/sf0.001"
+    rows = queries_audit._parts(spark, sf).toPandas()
+    r = np.array([[rows[f"r{i}{j}"] for j in range(3)] for i in range(3)])
+    t, f, c = np.array([rows[f"t{i}"] for i in range(3)]), rows.f.to_numpy(), rows.c.to_numpy()
+
+    def residuals(focal, depth, part):
+        z = rows.depth.to_numpy() * depth
+        ray = np.array([(rows.ax + 0.5 - c) / (f * focal) * z, (rows.ay + 0.5 - c) / (f * focal) * z, z])
+        q = np.einsum("ijn,jn->in", r, ray) + t
+        e = np.array([f * focal * q[k] / q[2] + c - 0.5 - rows[b] for k, b in ((0, "bx"), (1, "by"))])
+        return e[:, (rows.part == part).to_numpy()].ravel()
+
+    cost = lambda focal, depth: (2 * (np.sqrt(1 + residuals(focal, depth, "training") ** 2) - 1)).sum()
+    got = queries_audit.QUERIES["e15_scale_values"](spark, sf).collect()
+    assert {(x.part, x.fit) for x in got} == {(p, w) for p in ("training", "holdout") for w in ("before", "after")}
+    focal, depth = got[0].focal_scale, got[0].depth_scale
+    least = cost(focal, depth)
+    for step in (1e-3, 1e-2, 0.1):
+        for k in range(16):
+            assert cost(focal * np.exp(step * np.cos(k * np.pi / 8)), depth * np.exp(step * np.sin(k * np.pi / 8))) > least
+    for x in got:
+        assert (x.focal_scale, x.depth_scale) == (focal, depth)
+        e = np.abs(residuals(*((focal, depth) if x.fit == "after" else (1.0, 1.0)), x.part))
+        assert x.n == len(e) and np.allclose((x.mean, x.median, x.p95, x.max), (e.mean(), np.median(e), np.percentile(e, 95), e.max()), rtol=1e-7, atol=1e-9)
+
+
 def test_homography_gate(spark):
     rnd, rows = np.random.default_rng(1), []
     for pair in range(3):

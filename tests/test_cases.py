@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from framewise.operators import complete, plan, pose, rgbd, scene, telemetry
+from framewise.plans.flagship import remaining_by_map
 from framewise.sources import capture
 
 
@@ -22,6 +23,44 @@ def test_plan_rules_and_duplicates(spark):
     assert {(r.seq_no, r.rule, r.keeper) for r in plan.duplicate_recipes(p).collect()} == {(3, "sequence_id", 0), (1, "recipe", 0)}
 
 
+def test_a_bad_row_takes_no_good_one_along(spark):
+    """Row 1 is good and shares its id with the bad row 0; 2 repeats its id with another recipe; 3 repeats its recipe."""
+    rows = [("a", 0, "/Game/m", "s", "val", "T1", 25, "k", 50.0, 0.0), ("a", 1, "/Game/m", "s", "train", "T1", 25, "k", 60.0, 0.0), ("a", 2, "/Game/m", "s", "train", "T1", 25, "k", 70.0, 0.0), ("b", 3, "/Game/m", "s", "train", "T1", 25, "k", 60.0, 0.0)]
+    p = spark.createDataFrame(rows, "sequence_id string, seq_no long, map_path string, source_scene string, split string, target_label string, expected_views int, trajectory string, height_m double, yaw_deg double")
+    maps = spark.createDataFrame([("/Game/m", "s", "train")], "map_path string, source_scene string, split string")
+    targets = spark.createDataFrame([("/Game/m", "T1")], "map_path string, target_label string")
+    files = spark.createDataFrame([("k", "m_T1_height_060_ang_000", "occ", "rgb", f, 9) for f in range(25)], "trajectory string, prefix string, suffix string, pass_name string, frame int, size int")
+    one = lambda name, v: spark.createDataFrame([(v,)], f"{name} string")
+    got = remaining_by_map(p, maps, targets, files, one("pass_name", "rgb"), one("suffix", "occ")).collect()
+    assert [tuple(r) for r in got] == [("/Game/m", 1, 0)]
+    got = remaining_by_map(p, maps, targets, files.limit(0), one("pass_name", "rgb"), one("suffix", "occ")).collect()
+    assert [tuple(r) for r in got] == [("/Game/m", 1, 1)]
+
+
+@pytest.mark.parametrize("block", [1, 3, 100])
+def test_places_over_blocks(spark, block):
+    """The same jobs whatever the blocks, for gaps in seq_no, a null map and one group with most rows."""
+    rnd = np.random.default_rng(block)
+    rows = [("m" if rnd.random() < 0.7 else None, f"T{rnd.integers(3)}", int(n), f"s{n}") for n in rnd.permutation(400)[:150]]
+    df = spark.createDataFrame(rows, "map_path string, target_label string, seq_no long, sequence_id string").repartition(5)
+    want, seen = {}, {}
+    for m, t, n, s in sorted(rows, key=lambda r: r[2]):
+        k = seen[m, t] = seen.get((m, t), -1) + 1
+        want[s] = (m, t, k)
+    got = {r.sequence_id: (r.map_path, r.target_label, r.rn) for r in plan.places(df, ["map_path", "target_label"], block).collect()}
+    assert got == want
+    jobs = plan.job_tasks(df.filter("map_path is not null"), 4, block=block).collect()
+    assert {(r.sequence_id, r.job_id, r.place) for r in jobs} == {(s, f"m_{t}_s{k % 4:03d}", k // 4) for s, (m, t, k) in want.items() if m}
+
+
+def test_job_rows(spark):
+    jobs = [("ok", "/Game/a/B_1", 0), ("low", "/Game/a", -1), ("high", "/Game/a", 3), ("path", "/Other/a", 1), ("none", None, None), ("tasks", "/Game/a", 2), ("names", "/Game/a", 2), ("nan", "/Game/a", 2), ("inf", "/Game/a", 2), ("null", "/Game/a", 2)]
+    tasks = [("ok", "k", 1.0, 0.0), ("ok", "k", 1.0, 9.0), ("tasks", "k", 1.0, 0.0), ("tasks", "k", 1.0, 0.0), ("nan", "k", float("nan"), 0.0), ("inf", "k", 1.0, float("-inf")), ("null", "k", None, 0.0)]
+    targets = [("ok", "T1"), ("ok", "T2"), ("names", "T1"), ("names", "T1"), ("tasks", "T1")]
+    got = plan.job_row_rules(spark.createDataFrame(jobs, "job_id string, map_path string, shard_index int"), spark.createDataFrame(tasks, "job_id string, kind string, height double, yaw double"), spark.createDataFrame(targets, "job_id string, target string"), 3)
+    assert {r.job_id: r.codes for r in got.collect()} == {"ok": "", "low": "shard_index", "high": "shard_index", "path": "package_path", "none": "package_path,shard_index", "tasks": "duplicate_task", "names": "duplicate_target", "nan": "not_finite", "inf": "not_finite", "null": "not_finite"}
+
+
 def test_names_keep_four_digits(spark):
     df = spark.createDataFrame([("q", "/Game/m", "Target_001", "k", 1200.9, 120.0)], "sequence_id string, map_path string, target_label string, trajectory string, height_m double, yaw_deg double")
     assert plan.canonical_names(df).first().prefix == "m_Target_001_height_1200_ang_120"
