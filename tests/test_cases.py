@@ -313,3 +313,15 @@ def test_visible_actors_are_the_visible_rows_of_the_matrix(spark):
     got = scene.visible_actors(asked, scene.visibility_rules(actors))
     assert rows(got) == rows(scene.scene_visibility_matrix(targets, actors).filter("visible"))
     assert rows(scene.visible_actors(asked.filter("target = 't1' and suffix = 'GT'"), scene.visibility_rules(actors))) == [("m", "t1", "t1", "GT"), ("n", "t1", "t1", "GT")]
+
+
+def test_planted_centres_are_faults_of_renamed_trajectories_too(spark):
+    """1643 = 31 * 53 has both faults; sf0.01 is the smallest size with such a sequence that ends on the reference view."""
+    from framewise.fixtures import table
+    from framewise.queries import QUERIES
+
+    d = "/root/testdata/sf0.01"
+    ending = {r.seq_no for r in table(spark, d, "sequences").filter("seq_no % 1643 = 0 and trajectory in ('rot_spiral', 'rand_shell')").collect()}
+    got = {r.id: r.codes.split(",") for r in QUERIES["d14_pose_rules"](spark, d).filter("id % 31 = 0 or id % 53 = 0").collect()}
+    assert ending and all({"trajectory", "center_idx"} <= set(got[k]) for k in ending)
+    assert all(("center_idx" in codes) for k, codes in got.items() if k % 31 == 0)
