@@ -2,11 +2,11 @@
 
 Words and word pairs are hashed into BUCKETS counters. Two smoothed multinomials over the counters, one of trusted rows and
 one of the whole corpus, give each counter a log ratio; a document's score is the mean over its n-grams. Documents that fail
-the base rules or score below a cut are not kept. The corpus counts cover all documents; the trusted side is a bounded
-sample of at most SAMPLE rows labelled good (those with the smallest hash), a documented parameter. The cut is fitted on a
-sample of labelled rows of the same size and then holds for every document.
+the base rules or score below a cut are not kept. The corpus counts cover all documents, the trusted ones all rows labelled good,
+and the cut is fitted on all labelled rows that pass the base rules.
 
-Everything about one document is computed inside its row, so documents are never shuffled. The log ratios are one constant
+Everything about one document is computed inside its row. Texts are shuffled once, to meet their labels.
+Measures and scores are written once as a work table; the cut is fitted on its labelled rows. The log ratios are one constant
 array of BUCKETS numbers.
 
 Defined results: null text has no words and fails the base rules; a null doc_id is passed on; repeated rows are judged each;
@@ -16,16 +16,20 @@ without trusted rows every ratio is 0; an empty table gives an empty result; fur
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewise.llm.common import stash
+
 BUCKETS = 1 << 14
-SAMPLE = 12_000
 PRIOR = 50.0
 #: The cut where labels don't tell one, and how many shares of bad rows one share of good rows is worth.
 THRESHOLD = -0.05
 GOOD_COST = 5.0
+#: Ranges of scores, to a unit of score, whose totals are looked at before single scores; it bounds memory and changes no result.
+PARTS = 4096
 WINDOW = 8
 LEAST_WORDS, MOST_REPEATED = 20, 30
 
@@ -57,24 +61,29 @@ def grams(h: Column) -> Column:
     return F.concat(one, F.when(F.size(h) > 1, F.slice(two, F.lit(1), F.size(h) - 1)).otherwise(F.array().cast("array<bigint>")))
 
 
-def counts(docs: DataFrame) -> DataFrame:
-    return with_hashes(docs).select(F.explode(grams(F.col("h"))).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+def known(labels: DataFrame) -> DataFrame:
+    """One row an id: whether a row labels it good, and q, its least label."""
+    rows = labels.filter("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").alias("id"))
+    return rows.agg(F.max(F.col("quality") == 1).alias("good"), F.min("quality").cast("int").alias("q"))
 
 
-def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
-    return docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("id"), "left_semi")
+def counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Of each counter n, its n-grams in all rows, and good, those in rows labelled good."""
+    # By sort and merge at every size: labels grow with the documents, so that a broadcast would end at some size.
+    good = known(labels).filter("good").select("id", "good").hint("merge")
+    rows = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("id"), "left")
+    return with_hashes(rows, "good").select("good", F.explode(grams(F.col("h"))).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"), F.count("good").alias("good"))
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
     """log(trusted / corpus) of each counter, rounded; BUCKETS numbers whatever the input."""
-    raw = {r.bucket: r.n for r in counts(docs).collect()}
-    good = {r.bucket: r.n for r in counts(trusted(docs, labels)).collect()}
-    if not good:
-        return [0.0] * BUCKETS
+    found = counts(docs, labels).collect()
+    raw, good = {r.bucket: r.n for r in found}, {r.bucket: r.good for r in found}
     n_raw, n_good = sum(raw.values()), sum(good.values())
+    if not n_good:
+        return [0.0] * BUCKETS
     # Smoothing draws the trusted side to the corpus, so that counters without evidence are neutral.
-    ratio = lambda k: math.log((good.get(k, 0) + PRIOR * raw.get(k, 0) * BUCKETS / n_raw) / (n_good + PRIOR * BUCKETS) * n_raw / raw[k]) if raw.get(k) else 0.0
+    ratio = lambda k: math.log((good[k] + PRIOR * raw[k] * BUCKETS / n_raw) / (n_good + PRIOR * BUCKETS) * n_raw / raw[k]) if k in raw else 0.0
     return [round(ratio(k), 4) for k in range(BUCKETS)]
 
 
@@ -119,7 +128,7 @@ def measured(docs: DataFrame, ratios: list[float], *keep: str) -> DataFrame:
 def best_cut(scores: list[tuple[float, int]]) -> float:
     """The score under which documents are rejected: of all places halfway between neighbouring scores, the one that takes the
     largest share of bad rows (0) less GOOD_COST times the share of good ones (1); of equal places the lowest. With one kind
-    of rows only, THRESHOLD."""
+    of rows only, THRESHOLD. This is the rule on a list; fitted_cut follows it on a table."""
     n_good = sum(q for _, q in scores)
     n_bad = len(scores) - n_good
     if not n_good or not n_bad:
@@ -133,19 +142,36 @@ def best_cut(scores: list[tuple[float, int]]) -> float:
     return cut
 
 
-def threshold(docs: DataFrame, labels: DataFrame, ratios: list[float]) -> float:
-    """The cut fitted on at most SAMPLE labelled rows (those with the smallest hash) that pass the base rules."""
-    known = labels.filter("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").cast("int").alias("q"))
-    few = known.orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
-    sample = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("id")).select("text", "q")
-    return best_cut([(r.score, r.q) for r in measured(sample, ratios, "q").filter("not base_failed").select("score", "q").collect()])
+def fitted_cut(taught: DataFrame) -> float:
+    """best_cut of taught(score, q), a table of any size. The totals of narrow ranges of scores tell which ranges can hold the
+    best place; in those, places are compared one by one. Gains are whole numbers here, in units of 1 / (n_good * n_bad)."""
+    places = taught.groupBy("score").agg(F.count_if(F.col("q") == 0).alias("bad"), F.count_if(F.col("q") == 1).alias("good")).withColumn("part", F.floor(F.col("score") * PARTS))
+    parts = places.groupBy("part").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.min("score").alias("first")).orderBy("part").collect()
+    n_bad, n_good = sum(p.bad for p in parts), sum(p.good for p in parts)
+    if not n_good or not n_bad:
+        return THRESHOLD
+    price = Decimal(GOOD_COST) * n_bad
+    gain = lambda bad, good: bad * n_good - good * price
+    least, bad, good, ranges = Decimal(0), 0, 0, []
+    for p, after in zip(parts, [*(p.first for p in parts[1:]), None], strict=True):
+        ranges.append((gain(bad + p.bad, good), (p.part, bad, good, after)))
+        bad, good = bad + p.bad, good + p.good
+        least = max(least, gain(bad, good))
+    spark, inside, whole = taught.sparkSession, Window.partitionBy("part").orderBy("score"), "decimal(18,0)"
+    some = spark.createDataFrame([r for most, r in ranges if most >= least], "part long, bad_before long, good_before long, next double")
+    rows = places.join(F.broadcast(some), "part").select(
+        "score",
+        F.coalesce(F.lead("score").over(inside), "next", F.col("score") + 1.0).alias("after"),
+        ((F.col("bad_before") + F.sum("bad").over(inside)).cast(whole) * F.lit(Decimal(n_good)) - (F.col("good_before") + F.sum("good").over(inside)).cast(whole) * F.lit(price)).alias("gain"),
+    )
+    best = rows.filter("gain > 0").orderBy(F.desc("gain"), "score").first()
+    return (best.score + best.after) / 2 if best else parts[0].first - 1.0
 
 
 def judge(docs: DataFrame, labels: DataFrame, scores: bool = False) -> DataFrame:
     """documents -> doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept and, if asked
     for, score."""
-    ratios = log_ratios(docs, labels)
-    cut = threshold(docs, labels, ratios)
-    rows = measured(docs.select("doc_id", "text"), ratios, "doc_id").withColumn("kept", ~F.col("base_failed") & (F.col("score") >= cut))
+    rows = stash(measured(docs.select("doc_id", "text"), log_ratios(docs, labels), "doc_id"), "quality")
+    cut = fitted_cut(rows.filter("not base_failed").join(known(labels), F.col("doc_id") == F.col("id")).select("score", "q"))
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    return rows.select(*out, *["score"] * scores)
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= cut)).select(*out, *["score"] * scores)

@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from framewise.llm import quality
 from framewise.llm.quality import BUCKETS, PRIOR, THRESHOLD, best_cut, judge
 
 SCHEMA = "doc_id long, text string, h string, score string"
@@ -78,3 +79,30 @@ def test_scores_and_verdicts_against_brute_force(spark):
     assert sorted((str(r.doc_id), r.kept) for r in got) == want
     assert sorted(round(r.score, 6) for r in got) == sorted(round(s, 6) for s in score)
     assert 20 < sum(k for _, k in want) < 290
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_the_cut_of_a_table_is_that_of_a_list(spark, monkeypatch, seed):
+    rnd = random.Random(seed)
+    cases = [[], [(0.5, 1)] * 3, [(0.3, 0), (0.3, 0), (0.1, 1)], [(-0.4, 0), (0.0, 1), (0.2, 0), (0.3, 1)], [(-0.4, 0), (-0.2, 0), (0.0, 1), (0.2, 1)]]
+    cases = cases[seed : seed + 1] or cases[:1]
+    for digits, gap in ((1, 0.8), (4, 0.3), (9, 0.05)):
+        cases.append([(round(rnd.gauss(gap * q, 0.3), digits), q) for q in (int(rnd.random() < 0.8) for _ in range(400))])
+    for rows in cases:
+        df = spark.createDataFrame(rows, "score double, q int")
+        for parts in (2, quality.PARTS):
+            monkeypatch.setattr(quality, "PARTS", parts)
+            assert quality.fitted_cut(df) == best_cut(rows)
+            monkeypatch.undo()
+
+
+def test_every_labelled_row_teaches(spark):
+    """12,800 ids are labelled, and the bad ones among them come last by hash; they differ from the good ones by one word."""
+    n = 12_800
+    labels = spark.range(n).selectExpr("id as doc_id", "int(row_number() over (order by xxhash64(id), id) <= 12500) as quality")
+    text = " ".join(f"g{i}" for i in range(24))
+    docs = spark.range(n + 300).join(labels.withColumnRenamed("doc_id", "id"), "id", "left").selectExpr("id as doc_id", f"concat('{text} ', if(quality = 1, 'g24', 'b24')) as text")
+    got = judge(docs, labels).groupBy("kept").count().collect()
+    assert {r.kept: r["count"] for r in got} == {True: 12_500, False: 600}
+    found = quality.counts(docs, labels).agg({"n": "sum", "good": "sum"}).first()
+    assert (found["sum(n)"], found["sum(good)"]) == ((n + 300) * 49, 12_500 * 49)
