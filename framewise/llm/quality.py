@@ -69,9 +69,10 @@ def known(labels: DataFrame) -> DataFrame:
 
 def counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Of each counter n, its n-grams in all rows, and good, those in rows labelled good."""
-    # By sort and merge at every size: labels grow with the documents, so that a broadcast would end at some size.
-    good = known(labels).filter("good").select("id", "good").hint("merge")
-    rows = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("id"), "left")
+    taught = stash(known(labels), "quality-labels").filter("good").select("id", "good")
+    # By sort and merge at every size: labels grow with the documents, so that a broadcast would end at some size. The labels' side is
+    # a plain table, which lets Spark split the documents of one id, or without one, over tasks.
+    rows = docs.select("doc_id", "text").join(taught.hint("merge"), F.col("doc_id") == F.col("id"), "left")
     return with_hashes(rows, "good").select("good", F.explode(grams(F.col("h"))).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"), F.count("good").alias("good"))
 
 
