@@ -9,7 +9,7 @@ from framewise.queries import QUERIES
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["c3_source_completeness", "c4_remaining_tasks", "c5_purge_list", "c6_pose_pair_valid", "c7_classify_jobs", "e22_coverage"])
+@pytest.mark.parametrize("name", ["c3_source_completeness", "c4_remaining_tasks", "c5_purge_list", "c6_pose_pair_valid", "c7_classify_jobs", "e22_coverage", "e26_render_validation_report"])
 def test_orders_meet_targets_by_key(spark, name):
     """Suppliers are not broadcast here. A product with a condition is one that a key should have stood for."""
     key = "spark.sql.autoBroadcastJoinThreshold"
