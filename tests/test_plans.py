@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from framewise.fixtures import table
 from framewise.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -20,3 +21,22 @@ def test_orders_meet_targets_by_key(spark, name):
     finally:
         spark.conf.set(key, before)
     assert not re.search(r"CartesianProduct \S", plan)
+
+
+def _most_rows(node) -> int:
+    rows = node.metrics().get("numOutputRows")
+    below = node.children()
+    return max([rows.get().value() if rows.isDefined() else 0, *(_most_rows(below.apply(i)) for i in range(below.size()))])
+
+
+def test_matches_meet_two_views(spark):
+    """No step of the fixture makes more rows than there are pixels, where all pairs of views would be 625 times as many."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        rows = table(spark, SF, "matches")
+        assert rows.collect()
+        assert _most_rows(rows._jdf.queryExecution().executedPlan()) <= table(spark, SF, "rgbd").count()
+    finally:
+        spark.conf.set(key, before)
