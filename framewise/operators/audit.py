@@ -382,10 +382,11 @@ def homographies(matches: DataFrame, tries: int = 128, seeds: int = 64) -> DataF
 
 def homography_gate(matches: DataFrame, pixels: float = 3.0, tries: int = 128) -> DataFrame:
     """matches within `pixels` of the pair's best hypothesis: every match is scored against every hypothesis of its pair, the
-    hypothesis with most matches wins, of equal ones the first. Pairs with under four matches have none."""
+    hypothesis with most matches wins, of equal ones the first. Pairs with under four matches have none. A match that a
+    hypothesis moves to infinity is not near."""
     h = lambda i, j: F.col(f"h{i}{j}")
     near = {i: h(i, 0) * F.col("ax") + h(i, 1) * F.col("ay") + h(i, 2) for i in range(3)}
-    ok = F.coalesce(F.hypot(near[0] / near[2] - F.col("bx"), near[1] / near[2] - F.col("by")) <= pixels, F.lit(False))
+    ok = F.coalesce(F.hypot(F.try_divide(near[0], near[2]) - F.col("bx"), F.try_divide(near[1], near[2]) - F.col("by")) <= pixels, F.lit(False))
     made = homographies(matches, tries)
     votes = matches.join(made, "pair").groupBy("pair", "h").agg(F.count_if(ok).alias("n"))
     best = votes.groupBy("pair").agg(F.max_by("h", F.struct("n", -F.col("h"))).alias("h"))

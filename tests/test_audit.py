@@ -169,3 +169,13 @@ def test_distribution_of_a_family(spark):
     families = spark.createDataFrame([(k, "x" if k < 6 else "y" if k == 6 else None) for k in range(9)], "pair int, family string")
     got = {r.family: (r.pairs, r.least, r.q1, r.q2, r.q3, r.greatest) for r in audit.feature_error_by_family(errors, families).collect()}
     assert got == {"x": (5, 0.0, 1.0, 2.0, 3.0, 4.0), "y": (1, *[6.0] * 5), None: (1, *[7.0] * 5)}
+
+
+def test_homography_gate_at_infinity(spark, monkeypatch):
+    """A match on the line that the hypothesis moves to infinity is not near; the others stay."""
+    names = ", ".join(f"h{i}{j} double" for i in range(3) for j in range(3))
+    made = spark.createDataFrame([(1, 0, 1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 1.0, 0.0, -2.0)], f"pair long, h int, {names}")
+    monkeypatch.setattr("framewise.operators.audit.homographies", lambda matches, tries: made)
+    rows = [(1, float(x), 3.0, x / (x - 2.0) if x != 2 else 0.0, 3.0 / (x - 2.0) if x != 2 else 0.0) for x in range(6)]
+    got = audit.homography_gate(spark.createDataFrame(rows, "pair long, ax double, ay double, bx double, by double"))
+    assert sorted(r.ax for r in got.collect()) == [0.0, 1.0, 3.0, 4.0, 5.0]
