@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -129,3 +130,71 @@ def test_throughput_on_shuffled_batches(spark, tmp_path):
         last[run] = total
     assert {(x.run_label, x.start): [x.samples, x.files, x.restarts] for x in got} == want
     assert all(x.files_per_second == x.files / 3600 for x in got)
+
+
+class _Kept(dict):
+    """Stands for a state variable of any kind; calls that write are counted."""
+
+    writes = 0
+
+    def updateValue(self, k, v):  # noqa: N802
+        self[k], self.writes = v, self.writes + 1
+
+    def update(self, v):
+        self[None], self.writes = v, self.writes + 1
+
+    getValue = dict.__getitem__  # noqa: N815
+    removeKey = dict.__delitem__  # noqa: N815
+    exists = dict.__len__
+
+    def get(self):
+        return self[None]
+
+
+class _Handle:
+    def __init__(self):
+        self.timers, self.state = set(), {}
+
+    def getMapState(self, name, *_):  # noqa: N802
+        return self.state.setdefault(name, _Kept())
+
+    getValueState = getMapState  # noqa: N815
+
+    def registerTimer(self, ms):  # noqa: N802
+        self.timers.add(ms)
+
+
+class _At:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs  # noqa: N815
+
+
+def test_waiting_rows_cost_few_state_calls():
+    """A thousand minutes wait as a chunk and a timer; buckets come out whole, in order, up to the watermark."""
+
+    class Seen(S.Ordered):
+        def released(self, key, rows, until):
+            yield rows.assign(until=until)
+
+    handle, guard = _Handle(), Seen(S.MINUTE)
+    guard.init(handle)
+    rows = pd.DataFrame({"ts_ms": [k * S.MINUTE + 5 for k in range(1000)], "event_id": range(1000)})
+    list(guard.handleInputRows(("r",), iter([rows.sample(frac=1, random_state=1)]), _At(0)))
+    assert handle.timers == {S.MINUTE} and handle.state["held"].writes == 1
+    out, mark = [], 700 * S.MINUTE + 9
+    list(guard.handleInputRows(("r",), iter([rows[:0]]), _At(mark)))
+    for now in (mark, 2000 * S.MINUTE):
+        for t in sorted(t for t in handle.timers if t <= now):
+            handle.timers.remove(t)
+            clock = _At(t)
+            out += guard.handleExpiredTimer(("r",), _At(now), clock)
+        if now == mark:
+            assert len(out) == 700
+    got = pd.concat(out)
+    assert got["event_id"].tolist() == list(range(1000)) and (got["until"] == (got["event_id"] + 1) * S.MINUTE).all()
+    assert not handle.state["held"] and not handle.timers
