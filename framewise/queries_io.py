@@ -56,10 +56,12 @@ def _(spark, d):
 @query("a3_read_camera_json", "select 'T'||seq_no as target, frame as frame_id, tx, cast(frame as bigint) as pos from {frames}")
 def _(spark, d):
     path = new_folder(spark, "poses")
-    row = lambda *v: F.array(*(F.col(x) if isinstance(x, str) else F.lit(float(x)) for x in v))
-    f = F.struct(F.col("frame").alias("frame_id"), F.format_string("rgb/%04d.png", "frame").alias("file_path"), F.array(row(1, 0, 0, "tx"), row(0, 1, 0, "ty"), row(0, 0, 1, "tz"), row(0, 0, 0, 1)).alias("transform"))
-    docs = table(spark, d, "frames").groupBy("seq_no").agg(F.sort_array(F.collect_list(f)).alias("frames"))
-    docs.select(F.lit("1").alias("version"), F.lit(12).alias("centre_frame"), F.struct(F.concat(F.lit("T"), F.col("seq_no").cast("string")).alias("target")).alias("source"), "frames").write.json(path)
+    row = lambda *v: F.array(*(F.lit(float(x)) if isinstance(x, int) else x for x in v))
+    # What a frame has of its own is shuffled; the document is made of it afterwards, and written compressed.
+    own = table(spark, d, "frames").groupBy("seq_no").agg(F.sort_array(F.collect_list(F.struct("frame", "tx", "ty", "tz"))).alias("own"))
+    f = lambda x: F.struct(x["frame"].alias("frame_id"), F.format_string("rgb/%04d.png", x["frame"]).alias("file_path"), F.array(row(1, 0, 0, x["tx"]), row(0, 1, 0, x["ty"]), row(0, 0, 1, x["tz"]), row(0, 0, 0, 1)).alias("transform"))
+    docs = own.select("seq_no", F.transform("own", f).alias("frames"))
+    docs.select(F.lit("1").alias("version"), F.lit(12).alias("centre_frame"), F.struct(F.concat(F.lit("T"), F.col("seq_no").cast("string")).alias("target")).alias("source"), "frames").write.option("compression", "gzip").json(path)
     got = A.read_camera_json(spark, path, multi_line=False)
     return got.select("source.target", "frame_id", F.get(F.get("transform", 0), 3).alias("tx"), F.col("pos").cast("long").alias("pos"))
 
