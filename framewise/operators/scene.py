@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 NEAR = 5.0
+#: Parts of a map's targets in the visibility matrix.
+SALTS = 64
 
 
 def occlusion_rates(faces: DataFrame, hits: DataFrame) -> DataFrame:
@@ -68,9 +70,13 @@ def visual_centre(rays: DataFrame, hits: DataFrame, reach: float = 10_000.0) ->
 
 def scene_visibility_matrix(targets: DataFrame, actors: DataFrame) -> DataFrame:
     """(target, actor, pass) -> visible: of targets the current one only; occluders in occ and not in GT. actors(actor,
-    is_occluder) per map; targets(map_path, target)."""
-    passes = targets.sparkSession.createDataFrame([("occ",), ("GT",)], "suffix string")
-    rows = targets.join(actors, "map_path").crossJoin(F.broadcast(passes))
+    is_occluder) per map; targets(map_path, target). A map's targets are dealt over SALTS parts, each of which meets all its
+    actors: few bytes make many rows, so tasks are not to follow the input's size or the number of maps."""
+    spark = targets.sparkSession
+    passes = spark.createDataFrame([("occ",), ("GT",)], "suffix string")
+    dealt = lambda rows, salt: rows.withColumn("salt", salt).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "map_path", "salt")
+    mine = dealt(targets, F.pmod(F.xxhash64("target"), F.lit(SALTS)).cast("int"))
+    rows = mine.join(dealt(actors, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["map_path", "salt"]).drop("salt").crossJoin(F.broadcast(passes))
     visible = F.when(F.col("is_occluder"), F.col("suffix") == "occ").otherwise(F.col("actor") == F.col("target"))
     return rows.select("map_path", "target", "actor", "suffix", visible.alias("visible"))
 

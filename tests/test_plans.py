@@ -3,8 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from framewise.fixtures import table
+from framewise.operators.scene import scene_visibility_matrix
 from framewise.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -40,3 +42,12 @@ def test_matches_meet_two_views(spark):
         assert _most_rows(rows._jdf.queryExecution().executedPlan()) <= table(spark, SF, "rgbd").count()
     finally:
         spark.conf.set(key, before)
+
+
+def test_visibility_matrix_is_dealt(spark):
+    """One map's targets are worked through by all tasks, with every pair once."""
+    targets = spark.range(200).selectExpr("'m' as map_path", "string(id) as target").coalesce(1)
+    actors = targets.selectExpr("map_path", "target as actor", "false as is_occluder")
+    rows = scene_visibility_matrix(targets, actors)
+    assert rows.select(F.spark_partition_id()).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert rows.distinct().count() == rows.count() == 200 * 200 * 2
